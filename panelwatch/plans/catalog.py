@@ -343,3 +343,235 @@ def linestatus_share_by_regime_lineitem(spark, sf):
           ("target_rate",))
 def split_summary_lineitem(spark, sf):
     return P.split_summary(lineitem_panel(spark, sf), LINEITEM_SPEC)
+
+
+# ================================================================== association
+from panelwatch.operators import association as A  # noqa: E402
+from panelwatch.operators import timeline as TL  # noqa: E402
+
+OP_REG = regime_sql("order_month", ORDERS_REGIMES)
+
+
+def corr_sql(x: str, y: str) -> str:
+    return f"covar_samp({x}, {y}) / nullif(stddev_samp({x}) * stddev_samp({y}), 0)"
+
+
+@register("priority_gap_by_regime_orders",
+          f"WITH {OP}, r AS (SELECT order_month, avg(CASE WHEN top_priority = '1-URGENT' THEN "
+          f"fulfilled::DOUBLE END) AS ra, avg(CASE WHEN top_priority = '5-LOW' THEN "
+          f"fulfilled::DOUBLE END) AS rb FROM op GROUP BY 1) SELECT {OP_REG} AS regime, "
+          f"avg(ra - rb) AS mean_gap, count(ra - rb) AS n_periods FROM r GROUP BY 1",
+          ("mean_gap",))
+def priority_gap_by_regime_orders(spark, sf):
+    return A.category_gap_by_regime(orders_panel(spark, sf), ORDERS_SPEC, "top_priority",
+                                    "1-URGENT", "5-LOW", ORDERS_REGIMES)
+
+
+_LI_CORR = ("WITH {LI}, mc AS (" + " UNION ALL ".join(
+    f"SELECT ship_month, '{c}' AS \"column\", {corr_sql(c, 'returned::DOUBLE')} AS corr "
+    f"FROM li GROUP BY ship_month" for c in LI_NUM) + ")")
+
+
+@register("month_correlations_lineitem",
+          _LI_CORR.format(LI=LI) + " SELECT * FROM mc", ("corr",))
+def month_correlations_lineitem(spark, sf):
+    return A.period_correlations(lineitem_panel(spark, sf), LINEITEM_SPEC, LI_NUM)
+
+
+@register("correlation_regime_summary_lineitem",
+          _LI_CORR.format(LI=LI) + f", mr AS (SELECT \"column\", {LI_REG} AS regime, corr FROM mc)"
+          " SELECT \"column\", round(avg(CASE WHEN regime = 'baseline' THEN corr END), 3) AS "
+          "mean_baseline, round(avg(CASE WHEN regime = 'data_drift' THEN corr END), 3) AS "
+          "mean_data_drift, round(avg(CASE WHEN regime = 'concept_drift' THEN corr END), 3) AS "
+          "mean_concept_drift, round(avg(CASE WHEN regime = 'concept_drift' THEN corr END) - "
+          "avg(CASE WHEN regime = 'baseline' THEN corr END), 3) AS change FROM mr GROUP BY 1",
+          ("mean_baseline", "mean_data_drift", "mean_concept_drift", "change"))
+def correlation_regime_summary_lineitem(spark, sf):
+    corrs = A.period_correlations(lineitem_panel(spark, sf), LINEITEM_SPEC, LI_NUM)
+    return A.correlation_regime_summary(corrs, LINEITEM_SPEC, LINEITEM_REGIMES)
+
+
+@register("pooled_correlation_by_regime_lineitem",
+          f"WITH {LI} " + " UNION ALL ".join(
+              f"SELECT {LI_REG} AS regime, '{c}' AS \"column\", "
+              f"{corr_sql(c, 'returned::DOUBLE')} AS corr FROM li GROUP BY 1" for c in LI_NUM),
+          ("corr",))
+def pooled_correlation_by_regime_lineitem(spark, sf):
+    return A.pooled_correlation(lineitem_panel(spark, sf), LINEITEM_SPEC, LI_NUM,
+                                LINEITEM_REGIMES)
+
+
+_MAT_COLS = LI_NUM + ("returned",)
+_PAIRS = [(a, b) for i, a in enumerate(_MAT_COLS) for b in _MAT_COLS[i + 1:]]
+_MAT_SQL = f"WITH {LI}, m AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {corr_sql(a + '::DOUBLE', b + '::DOUBLE')} AS r "
+    f"FROM li" for a, b in _PAIRS) + ")"
+
+
+@register("correlation_matrix_lineitem", _MAT_SQL + " SELECT * FROM m", ("r",))
+def correlation_matrix_lineitem(spark, sf):
+    return A.correlation_matrix(lineitem_panel(spark, sf), _MAT_COLS)
+
+
+_OP_MAT = ORDERS_SPEC.numeric + ("fulfilled",)
+_OP_PAIRS = [(a, b) for i, a in enumerate(_OP_MAT) for b in _OP_MAT[i + 1:]]
+
+
+@register("strong_correlation_pairs_orders",
+          f"WITH {OP}, m AS (" + " UNION ALL ".join(
+              f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
+              f"{corr_sql(a + '::DOUBLE', b + '::DOUBLE')} AS r FROM op" for a, b in _OP_PAIRS)
+          + ") SELECT * FROM m WHERE abs(r) > 0.30", ("r",))
+def strong_correlation_pairs_orders(spark, sf):
+    return A.strong_pairs(A.correlation_matrix(orders_panel(spark, sf), _OP_MAT), 0.30)
+
+
+@register("contingency_linestatus_lineitem",
+          f"WITH {LI} SELECT l_linestatus AS value, returned AS target, count(*) AS n FROM li "
+          f"GROUP BY 1, 2")
+def contingency_linestatus_lineitem(spark, sf):
+    return A.contingency(lineitem_panel(spark, sf), "l_linestatus", "returned")
+
+
+def chi_sql(panel_cte: str, src: str, target: str, columns) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, "
+                              f"{target} AS t FROM {src}" for c in columns)
+    dev0 = "abs(o0 - e0)"
+    dev1 = "abs(o1 - e1)"
+    corr0 = f"({dev0} - CASE WHEN dof = 1 THEN least(0.5, {dev0}) ELSE 0 END)"
+    corr1 = f"({dev1} - CASE WHEN dof = 1 THEN least(0.5, {dev1}) ELSE 0 END)"
+    return (
+        f"WITH {panel_cte}, lg AS ({long}), cells AS (SELECT \"column\", value, "
+        f"count_if(t = 0) AS o0, count_if(t = 1) AS o1 FROM lg WHERE value IS NOT NULL "
+        f"GROUP BY 1, 2), tab AS (SELECT *, o0 + o1 AS r, sum(o0) OVER w AS c0, "
+        f"sum(o1) OVER w AS c1, count(*) OVER w AS nv FROM cells WINDOW w AS "
+        f"(PARTITION BY \"column\")), tab2 AS (SELECT *, c0 + c1 AS n, "
+        f"CAST(c0 > 0 AS INTEGER) + CAST(c1 > 0 AS INTEGER) AS k FROM tab), "
+        f"tab3 AS (SELECT *, (nv - 1) * (k - 1) AS dof, r * c0 / n AS e0, r * c1 / n AS e1 "
+        f"FROM tab2), st AS (SELECT \"column\", sum(CASE WHEN e0 > 0 THEN {corr0} * {corr0} / e0 "
+        f"ELSE 0 END + CASE WHEN e1 > 0 THEN {corr1} * {corr1} / e1 ELSE 0 END) AS chi2, "
+        f"any_value(dof) AS dof, any_value(n) AS n, any_value(nv) AS nv, any_value(k) AS k "
+        f"FROM tab3 GROUP BY 1) SELECT \"column\", chi2, CAST(dof AS INTEGER) AS dof, "
+        f"sqrt(chi2 / nullif(n * (least(nv, k) - 1), 0)) AS cramers_v FROM st")
+
+
+@register("chi_square_orders", chi_sql(OP, "op", "fulfilled", ORDERS_SPEC.categorical),
+          ("chi2", "cramers_v"))
+def chi_square_orders(spark, sf):
+    return A.chi_square(orders_panel(spark, sf), ORDERS_SPEC, ORDERS_SPEC.categorical)
+
+
+@register("chi_square_lineitem", chi_sql(LI, "li", "returned", ("l_linestatus",)),
+          ("chi2", "cramers_v"))
+def chi_square_lineitem(spark, sf):
+    return A.chi_square(lineitem_panel(spark, sf), LINEITEM_SPEC, ("l_linestatus",))
+
+
+@register("chi_square_pvalues_orders")
+def chi_square_pvalues_orders(spark, sf):
+    return A.chi_square(orders_panel(spark, sf), ORDERS_SPEC, ORDERS_SPEC.categorical,
+                        with_pvalue=True)
+
+
+@register("point_biserial_lineitem",
+          f"WITH {LI} " + " UNION ALL ".join(
+              f"SELECT '{c}' AS \"column\", {corr_sql(c, 'returned::DOUBLE')} AS r, "
+              f"avg(CASE WHEN returned = 1 THEN {c} END) AS mean_positive, "
+              f"avg(CASE WHEN returned = 0 THEN {c} END) AS mean_negative, count({c}) AS n, "
+              f"avg(CASE WHEN returned = 1 THEN {c} END) / avg(CASE WHEN returned = 0 THEN {c} END)"
+              f" - 1.0 AS relative_diff FROM li" for c in LI_NUM),
+          ("r", "mean_positive", "mean_negative", "relative_diff"))
+def point_biserial_lineitem(spark, sf):
+    return A.point_biserial(lineitem_panel(spark, sf), LINEITEM_SPEC, LI_NUM)
+
+
+@register("point_biserial_pvalues_orders")
+def point_biserial_pvalues_orders(spark, sf):
+    return A.point_biserial(orders_panel(spark, sf), ORDERS_SPEC, ORDERS_SPEC.numeric,
+                            with_pvalue=True)
+
+
+# ================================================================== timeline
+def _month_idx_sql(col: str, start: str) -> str:
+    y, m = start.split("-")
+    return (f"(CAST(substr({col}, 1, 4) AS INTEGER) * 12 + CAST(substr({col}, 6, 2) AS INTEGER)"
+            f" - {int(y) * 12 + int(m)})")
+
+
+_LI_IDX = _month_idx_sql("ship_month", "1995-01")
+_MQ = (f"mq AS (SELECT ship_month, avg(l_quantity) AS mean_quantity, {_LI_IDX} AS i FROM li "
+       f"GROUP BY ship_month)")
+
+
+def _li_month_means(spark, sf):
+    df = lineitem_panel(spark, sf)
+    return df.groupBy("ship_month").agg(F.avg("l_quantity").alias("mean_quantity"))
+
+
+@register("month_change_quantity_lineitem",
+          f"WITH {LI}, {_MQ} SELECT a.ship_month, a.mean_quantity, "
+          f"a.mean_quantity - b.mean_quantity AS diff FROM mq a LEFT JOIN mq b ON b.i = a.i - 1",
+          ("mean_quantity", "diff"))
+def month_change_quantity_lineitem(spark, sf):
+    return TL.period_change(_li_month_means(spark, sf), "ship_month", "mean_quantity", "1995-01")
+
+
+_RAMP = ("1995-09", "1995-10", "1995-11", "1995-12")
+
+
+@register("ramp_change_summary_lineitem",
+          f"WITH {LI}, {_MQ}, d AS (SELECT a.ship_month, a.mean_quantity - b.mean_quantity AS diff "
+          f"FROM mq a LEFT JOIN mq b ON b.i = a.i - 1) SELECT max(diff) AS max_diff, "
+          f"bool_and(diff >= 0) AS non_decreasing, sum(diff) AS total_change FROM d WHERE "
+          f"ship_month IN ({', '.join(repr(m) for m in _RAMP[1:])})",
+          ("max_diff", "total_change"))
+def ramp_change_summary_lineitem(spark, sf):
+    ch = TL.period_change(_li_month_means(spark, sf), "ship_month", "mean_quantity", "1995-01")
+    return TL.change_summary(ch, list(_RAMP), "ship_month")
+
+
+@register("stacked_returnflag_share_lineitem",
+          f"WITH {LI}, c AS (SELECT ship_month, l_returnflag AS category, count(*) AS n FROM li "
+          f"GROUP BY 1, 2), s AS (SELECT ship_month, category, n / sum(n) OVER (PARTITION BY "
+          f"ship_month) AS share FROM c) SELECT ship_month, category, share, coalesce(sum(share) "
+          f"OVER (PARTITION BY ship_month ORDER BY category ROWS BETWEEN UNBOUNDED PRECEDING AND "
+          f"1 PRECEDING), 0.0) AS base FROM s", ("share", "base"))
+def stacked_returnflag_share_lineitem(spark, sf):
+    wide = P.period_category_share(lineitem_panel(spark, sf), LINEITEM_SPEC, "l_returnflag",
+                                   ["A", "N", "R"])
+    long = wide.unpivot(["ship_month"], ["share_A", "share_N", "share_R"], "category", "share")
+    long = long.withColumn("category", F.regexp_replace("category", "^share_", ""))
+    return TL.stacked_share_base(long, "ship_month", "category")
+
+
+@register("regime_runs_lineitem",
+          f"WITH {LI}, m AS (SELECT DISTINCT ship_month, {LI_REG} AS regime, {_LI_IDX} AS i "
+          f"FROM li), isl AS (SELECT *, i - row_number() OVER (PARTITION BY regime ORDER BY i) AS g"
+          f" FROM m) SELECT strftime(DATE '1995-01-01' + to_months(CAST(min(i) AS INTEGER)), "
+          f"'%Y-%m') AS first_period, strftime(DATE '1995-01-01' + to_months(CAST(max(i) AS "
+          f"INTEGER)), '%Y-%m') AS last_period, regime, count(*) AS n_periods FROM isl "
+          f"GROUP BY regime, g")
+def regime_runs_lineitem(spark, sf):
+    months = lineitem_panel(spark, sf).select("ship_month").distinct().withColumn(
+        "regime", regime_label("ship_month", LINEITEM_REGIMES))
+    return TL.consecutive_runs(months, "ship_month", "regime", "1995-01")
+
+
+_OP_IDX = _month_idx_sql("order_month", "1995-01")
+
+
+@register("panel_transitions_orders",
+          f"WITH {OP}, r AS (SELECT o_custkey, {_OP_IDX} AS i, fulfilled AS t FROM op), "
+          f"r2 AS (SELECT *, lag(i) OVER w AS prev, lead(i) OVER w AS nxt FROM r WINDOW w AS "
+          f"(PARTITION BY o_custkey ORDER BY i)), pr AS (SELECT i, count(*) AS n_ids, "
+          f"count_if(prev IS NULL) AS n_new, count_if(coalesce(prev = i - 1, false)) AS n_retained, "
+          f"count_if(coalesce(prev < i - 1, false)) AS n_returned, count_if(coalesce(t = 1 AND nxt = i + 1, false)) AS "
+          f"n_target_then_present FROM r2 GROUP BY i), lo AS (SELECT i + 1 AS i, count(*) AS "
+          f"n_lost FROM r2 WHERE nxt IS NULL OR nxt > i + 1 GROUP BY 1) "
+          f"SELECT strftime(DATE '1995-01-01' + to_months(CAST(pr.i AS INTEGER)), '%Y-%m') AS "
+          f"order_month, n_ids, CAST(n_new AS BIGINT) AS n_new, CAST(n_retained AS BIGINT) AS "
+          f"n_retained, CAST(n_returned AS BIGINT) AS n_returned, CAST(n_target_then_present AS "
+          f"BIGINT) AS n_target_then_present, coalesce(n_lost, 0) AS n_lost "
+          f"FROM pr LEFT JOIN lo USING (i)")
+def panel_transitions_orders(spark, sf):
+    return TL.panel_transitions(orders_panel(spark, sf), ORDERS_SPEC, "1995-01")
