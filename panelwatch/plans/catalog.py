@@ -575,3 +575,196 @@ _OP_IDX = _month_idx_sql("order_month", "1995-01")
           f"FROM pr LEFT JOIN lo USING (i)")
 def panel_transitions_orders(spark, sf):
     return TL.panel_transitions(orders_panel(spark, sf), ORDERS_SPEC, "1995-01")
+
+
+# ================================================================== metrics, scoring
+from panelwatch.operators import metrics as M  # noqa: E402
+from panelwatch.operators import scoring as S  # noqa: E402
+
+# A fixed scorecard for the lineitem panel: numeric terms are z-scores with
+# stated reference mean / sd and weight, plus a line-status term.
+LINEITEM_CARD = S.Scorecard(
+    intercept=-0.7,
+    numeric={"l_discount": (0.05, 0.03, 0.4), "l_quantity": (25.5, 14.4, -0.3),
+             "l_tax": (0.04, 0.025, 0.2)},
+    categorical={"l_linestatus": {"O": 0.2, "F": -0.1}},
+)
+
+
+def card_sql(card: S.Scorecard, with_intercept: bool = True) -> str:
+    """The same expression tree as ``Scorecard.linear`` (same float ops)."""
+    z = f"CAST({float(card.intercept) if with_intercept else 0.0!r} AS DOUBLE)"
+    for c, (mean, sd, beta) in card.numeric.items():
+        z = f"({z} + CAST({float(beta)!r} AS DOUBLE) * (({c} - CAST({float(mean)!r} AS DOUBLE)) / CAST({float(sd)!r} AS DOUBLE)))"
+    for c, table in card.categorical.items():
+        whens = " ".join(f"WHEN '{k}' THEN CAST({float(v)!r} AS DOUBLE)" for k, v in table.items())
+        z = f"({z} + (CASE {c} {whens} END))"
+    return z
+
+
+def prob_sql(card: S.Scorecard) -> str:
+    return f"(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{card_sql(card)})))"
+
+
+def _scored_li(spark, sf):
+    return S.linear_score(lineitem_panel(spark, sf), LINEITEM_CARD, "score", z_out="z")
+
+
+def _sigmoid_of(c):
+    from panelwatch.functions.scalar import sigmoid
+    return sigmoid(c)
+
+
+_SC = (f"sc AS (SELECT ship_month, returned AS y, {card_sql(LINEITEM_CARD)} AS z, "
+       f"{prob_sql(LINEITEM_CARD)} AS p FROM li)")
+
+
+def _rank_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    part = f"PARTITION BY {group}" if group else ""
+    return (
+        f"st AS (SELECT {g}z, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM sc "
+        f"GROUP BY {g}z), rr AS (SELECT *, sum(pos) OVER w AS pos_le, sum(neg) OVER w AS neg_le, "
+        f"sum(pos) OVER ({part}) AS PP, sum(neg) OVER ({part}) AS NN FROM st WINDOW w AS "
+        f"({part} ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))")
+
+
+def _eval_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    join = f"USING ({group})" if group else "ON true"
+    tp = "(PP - pos_le + pos)"
+    fp = "(NN - neg_le + neg)"
+    return (
+        f"WITH {LI}, {_SC}, {_rank_sql(group)}, rk AS (SELECT {g}"
+        f"CASE WHEN any_value(PP) > 0 AND any_value(NN) > 0 THEN "
+        f"sum(pos * ((neg_le - neg) + 0.5 * neg)) / (any_value(PP) * any_value(NN)) END AS roc_auc,"
+        f" CASE WHEN any_value(PP) > 0 THEN sum(CASE WHEN pos > 0 THEN pos * {tp} / ({tp} + {fp}) "
+        f"END) / any_value(PP) END AS pr_auc FROM rr {gb}), "
+        f"th0 AS (SELECT {g}y::DOUBLE AS y, p, CAST(p >= 0.5 AS DOUBLE) AS pred FROM sc), "
+        f"th1 AS (SELECT {g}count(*) AS n, sum(pred * y) AS tp, sum(pred * (1 - y)) AS fp, "
+        f"sum((1 - pred) * y) AS fn, avg((p - y) * (p - y)) AS brier, avg(pred) AS positive_rate "
+        f"FROM th0 {gb}), th AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS prec, "
+        f"coalesce(tp / nullif(tp + fn, 0), 0.0) AS rec FROM th1) "
+        f"SELECT {g}n, roc_auc, pr_auc, prec AS precision, rec AS recall, "
+        f"coalesce(2 * prec * rec / nullif(prec + rec, 0), 0.0) AS f1, brier, positive_rate "
+        f"FROM th JOIN rk {join}")
+
+
+_EV_D = ("roc_auc", "pr_auc", "precision", "recall", "f1", "brier", "positive_rate")
+
+
+@register("evaluation_by_month_lineitem", _eval_sql("ship_month"), _EV_D)
+def evaluation_by_month_lineitem(spark, sf):
+    return M.evaluate(_scored_li(spark, sf), ["ship_month"], "score", "returned",
+                      rank_score="z")
+
+
+@register("evaluation_overall_lineitem", _eval_sql(None), _EV_D)
+def evaluation_overall_lineitem(spark, sf):
+    return M.evaluate(_scored_li(spark, sf), [], "score", "returned", rank_score="z")
+
+
+@register("roc_curve_lineitem",
+          f"WITH {LI}, {_SC}, {_rank_sql(None)} SELECT 1.0 / (1.0 + exp(-z)) AS threshold, "
+          f"(NN - neg_le + neg)::DOUBLE / NN AS fpr, (PP - pos_le + pos)::DOUBLE / PP AS tpr FROM rr"
+          f" UNION ALL SELECT NULL::DOUBLE, 0.0, 0.0",
+          ("threshold", "fpr", "tpr"))
+def roc_curve_lineitem(spark, sf):
+    return M.roc_points(_scored_li(spark, sf), [], "z", "returned", threshold_of=_sigmoid_of)
+
+
+@register("pr_curve_lineitem",
+          f"WITH {LI}, {_SC}, {_rank_sql(None)} SELECT 1.0 / (1.0 + exp(-z)) AS threshold, "
+          f"(PP - pos_le + pos)::DOUBLE / PP AS recall, (PP - pos_le + pos) / "
+          f"((PP - pos_le + pos) + (NN - neg_le + neg)) AS precision, PP / (PP + NN) AS base_rate "
+          f"FROM rr UNION ALL SELECT NULL::DOUBLE, 0.0, 1.0, (SELECT avg(y::DOUBLE) FROM sc)",
+          ("threshold", "recall", "precision", "base_rate"))
+def pr_curve_lineitem(spark, sf):
+    return M.pr_points(_scored_li(spark, sf), [], "z", "returned", threshold_of=_sigmoid_of)
+
+
+@register("confusion_by_regime_lineitem",
+          f"WITH {LI}, b AS (SELECT {LI_REG} AS regime, returned AS actual, "
+          f"CAST({prob_sql(LINEITEM_CARD)} >= 0.5 AS INTEGER) AS predicted FROM li), "
+          f"k AS (SELECT DISTINCT regime FROM b), cells AS (SELECT regime, a.actual, p.predicted "
+          f"FROM k, (VALUES (0), (1)) a(actual), (VALUES (0), (1)) p(predicted)) "
+          f"SELECT c.regime, c.actual, c.predicted, count(b.actual) AS n FROM cells c LEFT JOIN b "
+          f"ON b.regime = c.regime AND b.actual = c.actual AND b.predicted = c.predicted "
+          f"GROUP BY ALL")
+def confusion_by_regime_lineitem(spark, sf):
+    df = _scored_li(spark, sf).withColumn("regime", regime_label("ship_month", LINEITEM_REGIMES))
+    return M.confusion_counts(df, ["regime"], "score", "returned")
+
+
+@register("scorecard_risk_bands_lineitem",
+          f"WITH {LI}, s AS (SELECT ship_month, {prob_sql(LINEITEM_CARD)} AS p FROM li) "
+          f"SELECT ship_month, CASE WHEN p < 0.35 THEN 'bajo' WHEN p < 0.65 THEN 'medio' ELSE "
+          f"'alto' END AS risk_band, count(*) AS n, avg(round(p, 4)) AS mean_probability, "
+          f"CAST(sum(CAST(p >= 0.5 AS INTEGER)) AS BIGINT) AS n_positive_class FROM s GROUP BY 1, 2",
+          ("mean_probability",))
+def scorecard_risk_bands_lineitem(spark, sf):
+    b = S.bands_from_probability(_scored_li(spark, sf), "score", prefix="return")
+    return b.groupBy("ship_month", "risk_band").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("return_probability").alias("mean_probability"),
+        F.sum("return_prediction").cast("bigint").alias("n_positive_class"))
+
+
+@register("calibrated_intercept_by_month_lineitem")
+def calibrated_intercept_by_month_lineitem(spark, sf):
+    z = S.linear_score(lineitem_panel(spark, sf), LINEITEM_CARD, "score", z_out="z0")
+    z = z.withColumn("z0", S.Scorecard(0.0, LINEITEM_CARD.numeric,
+                                       LINEITEM_CARD.categorical).linear(with_intercept=False))
+    return S.calibrate_intercept(z, ["ship_month"], "z0", "returned")
+
+
+# Contract for lineitem rows (ranges and closed domains).
+LINEITEM_RULES = (
+    S.FieldRule("l_quantity", "int", ge=1, le=50),
+    S.FieldRule("l_extendedprice", "double", gt=0, le=1_000_000),
+    S.FieldRule("l_discount", "double", ge=0, le=0.10),
+    S.FieldRule("l_tax", "double", ge=0, le=0.08),
+    S.FieldRule("l_linestatus", "string", allowed=("O", "F")),
+    S.FieldRule("l_returnflag", "string", allowed=("A", "N", "R")),
+    S.FieldRule("ship_month", "string", min_len=7, max_len=7),
+)
+
+
+def _rules_sql(rules) -> str:
+    parts = []
+    for r in rules:
+        c = r.name
+        checks = [(f"{c} IS NULL", "field required")]
+        if r.kind in ("int", "double"):
+            num = f"TRY_CAST({c} AS DOUBLE)"
+            if r.kind == "int":
+                checks.append((f"{num} <> floor({num})", "not a valid integer"))
+            if r.ge is not None:
+                checks.append((f"{num} < {float(r.ge)!r}", f"must be >= {r.ge}"))
+            if r.gt is not None:
+                checks.append((f"{num} <= {float(r.gt)!r}", f"must be > {r.gt}"))
+            if r.le is not None:
+                checks.append((f"{num} > {float(r.le)!r}", f"must be <= {r.le}"))
+        else:
+            if r.allowed is not None:
+                vals = ", ".join(f"'{v}'" for v in r.allowed)
+                checks.append((f"{c} IS NOT NULL AND {c} NOT IN ({vals})", "value not allowed"))
+            if r.min_len is not None:
+                checks.append((f"length({c}) < {r.min_len}", f"length must be >= {r.min_len}"))
+            if r.max_len is not None:
+                checks.append((f"length({c}) > {r.max_len}", f"length must be <= {r.max_len}"))
+        whens = " ".join(f"WHEN coalesce({cond}, false) THEN '{c}: {msg}'" for cond, msg in checks)
+        parts.append(f"CASE {whens} END")
+    return "list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL)"
+
+
+@register("row_validation_lineitem",
+          f"WITH {LI}, v AS (SELECT {_rules_sql(LINEITEM_RULES)} AS errors FROM li), "
+          f"e AS (SELECT unnest(CASE WHEN len(errors) = 0 THEN [NULL::VARCHAR] ELSE errors END) AS "
+          f"error FROM v) SELECT coalesce(error, '(valid)') AS error, count(*) AS n FROM e "
+          f"GROUP BY 1")
+def row_validation_lineitem(spark, sf):
+    v = S.validate_rows(lineitem_panel(spark, sf), LINEITEM_RULES)
+    return (v.select(F.explode_outer("errors").alias("error"))
+            .groupBy(F.coalesce("error", F.lit("(valid)")).alias("error"))
+            .agg(F.count(F.lit(1)).alias("n")))
