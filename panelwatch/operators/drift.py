@@ -50,6 +50,7 @@ from panelwatch.functions.scalar import (
 from panelwatch.operators.metrics import ranking_metrics
 from panelwatch.operators.profile import unpivot_categorical, unpivot_numeric
 from panelwatch.operators.scan import DEFAULT_ROWS_PER_BUCKET, Scan, ordered_scan
+from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
 DRIFT_THRESHOLD = 0.1  # fallback threshold of the reference, used for both methods
@@ -65,14 +66,19 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
                           rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """``(period, column, w1, sd_ref, score)`` from a long numeric table
     ``(period, column, value)``."""
-    vals = _clean_numeric(long)
-    ref_rows = vals.where(F.col(period).isin(list(reference)))
-    cur_rows = vals if periods is None else vals.where(F.col(period).isin(list(periods)))
-    ref = ref_rows.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ref_stats = ref_rows.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n_ref"), F.avg("value").alias("mean_ref"),
-        F.stddev_pop("value").alias("sd_ref"))
-    cur = cur_rows.groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # one pass over the rows: counts per (period, column, distinct value)
+    counts = (_clean_numeric(long).groupBy(period, "column", "value")
+              .agg(F.count(F.lit(1)).alias("n")))
+    counts, n_counts = materialize(counts)
+    is_ref = F.col(period).isin(list(reference))
+    ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    mom = ref.groupBy("column").agg(F.sum("n").alias("n_ref"),
+                                    (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean_ref"))
+    var = (ref.join(mom, "column")
+           .groupBy("column").agg((F.sum(F.col("n") * (F.col("value") - F.col("mean_ref")) ** 2)
+                                   / F.first("n_ref")).alias("var_ref")))
+    ref_stats = mom.join(var, "column").withColumn("sd_ref", F.sqrt("var_ref"))
+    cur = counts if periods is None else counts.where(F.col(period).isin(list(periods)))
 
     # ---- scan A: reference CDF F and S at every reference and period point
     stream = (ref.select("column", "value", F.lit(0).alias("kind"),
@@ -85,7 +91,8 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     a = ordered_scan(stream, ["column"], ["value", "kind", period],
                      [Scan("cnt_ref", "sum", "nr"),
                       Scan("sum_ref", "sum", F.col("nr") * F.col("value"))],
-                     rows_per_bucket=rows_per_bucket)
+                     rows_per_bucket=rows_per_bucket, materialize_output=True,
+                     known_rows=2 * n_counts)
     a = (a.withColumn("F", F.col("cnt_ref") / F.col("n_ref"))
          .withColumn("J", F.col("value") * F.col("F") - F.col("sum_ref") / F.col("n_ref")))
     ref_pts = a.where(F.col("kind") == 0).select(
@@ -95,7 +102,8 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     # ---- scan B: per (period, column), own CDF level and the next point
     b = ordered_scan(cur_pts, [period, "column"], ["value"],
                      [Scan("cnt_ge", "sum", "nc"), Scan("next_v", "min", "value", inclusive=False)],
-                     ascending=False, totals={"n_cur": "nc"}, rows_per_bucket=rows_per_bucket)
+                     ascending=False, totals={"n_cur": "nc"}, rows_per_bucket=rows_per_bucket,
+                     materialize_output=True, known_rows=n_counts)
     b = b.withColumn("k", (F.col("n_cur") - F.col("cnt_ge") + F.col("nc")) / F.col("n_cur"))
     nxt = cur_pts.select(period, "column", F.col("value").alias("next_v"), F.col("J").alias("Jb"))
     b = b.join(nxt, [period, "column", "next_v"], "left")
@@ -108,7 +116,8 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
               .unionByName(mids.select("column", F.col("k").alias("level"), F.lit(0).alias("kind"),
                                        period, "value", F.lit(None).cast("double").alias("u"))))
     c = ordered_scan(lookup, ["column"], ["level", "kind", period, "value"],
-                     [Scan("q", "min", "u")], ascending=False, rows_per_bucket=rows_per_bucket)
+                     [Scan("q", "min", "u")], ascending=False, rows_per_bucket=rows_per_bucket,
+                     known_rows=2 * n_counts)
     q = c.where(F.col("kind") == 0).select(period, "column", "value", "q")
     q = q.join(ref_pts.select("column", F.col("u").alias("q"), F.col("Ju").alias("Jq")),
                ["column", "q"], "left")
@@ -224,10 +233,17 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
         per, F.col("score").alias("prediction_drift_score"),
         F.col("drifted").alias("prediction_drift_detected"))
     rank = cfg.rank_score or cfg.prediction
-    auc = ranking_metrics(cur, [per], rank, spec.target, rows_per_bucket).select(
-        per, F.col("roc_auc").alias("__auc"))
-    ref_auc = ranking_metrics(df.where(F.col(per).isin(list(reference))), [], rank, spec.target,
-                              rows_per_bucket).first()["roc_auc"]
+    # months and the reference slice ranked in one grouped pass
+    ref_key = "__reference__"
+    sliced = (cur.select(F.col(per).alias("__slice"), rank, spec.target)
+              .unionByName(df.where(is_ref).select(F.lit(ref_key).alias("__slice"), rank,
+                                                   spec.target)))
+    aucs = ranking_metrics(sliced, ["__slice"], rank, spec.target, rows_per_bucket)
+    aucs = materialize(aucs.select("__slice", "roc_auc"))[0]  # one row per month
+    auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),
+                                                           F.col("roc_auc").alias("__auc"))
+    ref_auc = aucs.where(F.col("__slice") == ref_key).first()
+    ref_auc = ref_auc["roc_auc"] if ref_auc else None
     counts = cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows"))
     rec = (counts.join(feat_agg, per, "left").join(pred, per, "left").join(auc, per, "left"))
     share = F.col("drifted_columns_count") / F.lit(float(len(feats)))

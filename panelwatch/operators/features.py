@@ -142,8 +142,7 @@ def preprocessing_stages(spec: PanelSpec, features_col: str = "features") -> lis
                           outputCols=[f"{c}__idx" for c in cats],
                           handleInvalid="keep", stringOrderType="alphabetAsc"),
             OneHotEncoder(inputCols=[f"{c}__idx" for c in cats],
-                          outputCols=[f"{c}__ohe" for c in cats], dropLast=True,
-                          handleInvalid="keep"),
+                          outputCols=[f"{c}__ohe" for c in cats], dropLast=True),
         ]
         assembled += [f"{c}__ohe" for c in cats]
     stages.append(VectorAssembler(inputCols=assembled, outputCol=features_col,

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-_BUCKET = "__bucket"
-_BOUNDS = "__bounds"
+from panelwatch.session import materialize
+
+_BUCKET = "__scanbucket"
+_BOUNDS = "__scanbounds"
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 21
 MAX_BUCKETS_PER_GROUP = 2048
@@ -53,9 +55,14 @@ def _combine(func: str, local: Column, carry: Column) -> Column:
 
 
 def _bucketize(df: DataFrame, group_cols: list[str], first: str,
-               rows_per_bucket: int) -> DataFrame:
-    """Attach a bucket number that is monotone in ``first`` inside each group."""
+               rows_per_bucket: int, total_rows: int | None = None) -> DataFrame:
+    """Attach a bucket number that is monotone in ``first`` inside each group.
+
+    When the whole input has at most ``rows_per_bucket`` rows no group can
+    be too big, and no sizing job is needed."""
     spark = df.sparkSession
+    if total_rows is not None and total_rows <= rows_per_bucket:
+        return df.withColumn(_BUCKET, F.lit(0))
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n")) if group_cols \
         else df.agg(F.count(F.lit(1)).alias("__n"))
     big = sizes.where(F.col("__n") > rows_per_bucket)
@@ -89,45 +96,75 @@ def _bucketize(df: DataFrame, group_cols: list[str], first: str,
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  scans: list[Scan], *, ascending: bool = True,
                  totals: dict[str, str] | None = None,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                 materialize_input: bool = True,
+                 materialize_output: bool = False,
+                 known_rows: int | None = None) -> DataFrame:
     """Add running aggregates in ``order_cols`` order inside ``group_cols``.
 
     ``(group_cols, order_cols)`` must be unique per row (aggregate first), and
     ``order_cols[0]`` must be numeric, date or timestamp.  ``totals`` maps an
     output name to a column whose per-group sum is attached as well.
     Group keys must be non-null.
+
+    The input is read three times (sizing, local scan, bucket totals), so by
+    default it is materialized once (checkpoint); ``materialize_output``
+    does the same for a result that several later branches read.
+    ``known_rows`` is an upper bound on the input rows that the caller
+    already knows (e.g. from a materialized count upstream); when it is at
+    most ``rows_per_bucket`` nothing needs materializing or sizing.
     """
     first = order_cols[0]
     cols = {}
     for s in scans:
-        cols[f"__sv_{s.out}"] = F.col(s.col) if isinstance(s.col, str) else s.col
+        cols[f"__scansv_{s.out}"] = F.col(s.col) if isinstance(s.col, str) else s.col
     for name, c in (totals or {}).items():
-        cols[f"__st_{name}"] = F.col(c) if isinstance(c, str) else c
+        cols[f"__scanst_{name}"] = F.col(c) if isinstance(c, str) else c
     base = df.withColumns(cols) if cols else df
-    b = _bucketize(base, group_cols, first, rows_per_bucket)
+    total = known_rows
+    small = known_rows is not None and known_rows <= rows_per_bucket
+    if materialize_input and not small:
+        base, total = materialize(base)
+    b = _bucketize(base, group_cols, first, rows_per_bucket, total)
 
     order = [F.col(c).asc() if ascending else F.col(c).desc() for c in order_cols]
+    if total is not None and total <= rows_per_bucket:
+        # every group fits one bucket (<= rows_per_bucket rows): no carry
+        gpart = (W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0)))
+        gpart = gpart.orderBy(*order)
+        out = base
+        for s in scans:
+            frame = gpart.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
+            out = out.withColumn(s.out, _AGG[s.func](f"__scansv_{s.out}").over(frame))
+            if s.func == "sum":
+                out = out.withColumn(s.out, F.coalesce(F.col(s.out), F.lit(0)))
+        gw0 = W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0))
+        for n in (totals or {}):
+            out = out.withColumn(n, F.sum(f"__scanst_{n}").over(gw0))
+        out = out.drop(*[c for c in out.columns if c.startswith("__scan")])
+        return materialize(out)[0] if (materialize_output and not small) else out
     part = W.partitionBy(*group_cols, _BUCKET).orderBy(*order)
     local = b
     for s in scans:
         frame = part.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
-        local = local.withColumn(f"__sl_{s.out}", _AGG[s.func](f"__sv_{s.out}").over(frame))
+        local = local.withColumn(f"__scansl_{s.out}", _AGG[s.func](f"__scansv_{s.out}").over(frame))
 
     # per-bucket totals, then totals of all earlier buckets of the same group
-    aggs = [_AGG[s.func](f"__sv_{s.out}").alias(f"__sp_{s.out}") for s in scans]
-    aggs += [F.sum(f"__st_{n}").alias(f"__spt_{n}") for n in (totals or {})]
+    aggs = [_AGG[s.func](f"__scansv_{s.out}").alias(f"__scansp_{s.out}") for s in scans]
+    aggs += [F.sum(f"__scanst_{n}").alias(f"__scanspt_{n}") for n in (totals or {})]
     partial = b.groupBy(*group_cols, _BUCKET).agg(*aggs)
     border = F.col(_BUCKET).asc() if ascending else F.col(_BUCKET).desc()
     gw = W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0))
     before = gw.orderBy(border).rowsBetween(W.unboundedPreceding, -1)
-    carry_cols = [_AGG[s.func](f"__sp_{s.out}").over(before).alias(f"__sc_{s.out}")
+    carry_cols = [_AGG[s.func](f"__scansp_{s.out}").over(before).alias(f"__scansc_{s.out}")
                   for s in scans]
-    carry_cols += [F.sum(f"__spt_{n}").over(gw).alias(n) for n in (totals or {})]
+    carry_cols += [F.sum(f"__scanspt_{n}").over(gw).alias(n) for n in (totals or {})]
     carry = partial.select(*group_cols, _BUCKET, *carry_cols)
 
     out = local.join(carry, [*group_cols, _BUCKET], "left")
     for s in scans:
-        out = out.withColumn(s.out, _combine(s.func, F.col(f"__sl_{s.out}"),
-                                             F.col(f"__sc_{s.out}")))
-    drop = [c for c in out.columns if c.startswith("__s") or c == _BUCKET]
-    return out.drop(*drop)
+        out = out.withColumn(s.out, _combine(s.func, F.col(f"__scansl_{s.out}"),
+                                             F.col(f"__scansc_{s.out}")))
+    drop = [c for c in out.columns if c.startswith("__scan") or c == _BUCKET]
+    out = out.drop(*drop)
+    return materialize(out)[0] if materialize_output else out

@@ -25,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwatch.session import materialize
 from panelwatch.functions.scalar import (
     DECISION_THRESHOLD, decision, risk_band, sigmoid, zscore,
 )
@@ -72,15 +73,18 @@ def linear_score(df: DataFrame, card: Scorecard, out: str = "score",
 # ---------------------------------------------------------------- K3
 def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
                         target_rate: float | str, lo: float = -15.0, hi: float = 15.0,
-                        rounds: int = 9, grid: int = 63, z_digits: int | None = None) -> DataFrame:
+                        max_rounds: int = 60, tol: float = 1e-13,
+                        z_digits: int | None = None) -> DataFrame:
     """K3: per group, the intercept b with mean(sigmoid(z + b)) = target.
 
     ``target_rate`` is a constant or a column holding the per-row target
-    (its per-group average is used).  Mean probability is increasing in b,
-    so each round keeps the grid cell that brackets the target; after
-    ``rounds`` rounds the bracket width is (hi - lo) / (grid + 1) ** rounds
-    (about 5e-16 with the defaults).  ``z_digits`` groups z by rounding
-    first (approximate mode); by default distinct z values are exact.
+    (its per-group average is used).  The mean is increasing in b, so each
+    group keeps a bracket [lo, hi] that is shrunk every round; the next
+    point is the Newton step when it falls inside the bracket, else the
+    midpoint (plain bisection, as in the reference, is the fallback).  One
+    grouped aggregate per round over the (group, distinct z) table; the
+    loop stops when every group's |mean - target| < ``tol``.  ``z_digits``
+    rounds z first (approximate mode); by default distinct z are exact.
     """
     if not group_cols:  # one constant group key instead of a cross join
         df, group_cols = df.withColumn("__all", F.lit(0)), ["__all"]
@@ -92,28 +96,33 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
         F.col(target_rate).cast("double")
     zt = (df.groupBy(*group_cols, zc.alias("__z"))
           .agg(F.count(F.lit(1)).alias("__n"), F.sum(tgt).alias("__tsum")))
-    zt = zt.persist()  # reused by every round
-    targets = zt.groupBy(*group_cols).agg((F.sum("__tsum") / F.sum("__n")).alias("__target"))
-    bounds = targets.select(*group_cols, "__target", F.lit(lo).alias("__lo"),
-                            F.lit(hi).alias("__hi"))
-    for _ in range(rounds):
-        step = (F.col("__hi") - F.col("__lo")) / F.lit(grid + 1)
-        cands = [F.col("__lo") + step * F.lit(k) for k in range(1, grid + 1)]
-        j = zt.join(F.broadcast(bounds), group_cols)  # one row per group
-        means = j.groupBy(*group_cols, "__target", "__lo", "__hi").agg(
-            *[(F.sum(F.col("__n") * sigmoid(F.col("__z") + c)) / F.sum("__n")).alias(f"__m{k}")
-              for k, c in enumerate(cands)])
-        # number of candidates whose mean is below the target = index of new lower bound
-        below = functools.reduce(lambda a, b: a + b, [
-            (F.col(f"__m{k}") < F.col("__target")).cast("int") for k in range(grid)])
-        step = (F.col("__hi") - F.col("__lo")) / F.lit(grid + 1)
-        bounds = means.select(*group_cols, "__target",
-                              (F.col("__lo") + step * below).alias("__lo"),
-                              (F.col("__lo") + step * (below + 1)).alias("__hi"))
-        bounds = bounds.persist()  # one small row per group
-        bounds.count()
-    return bounds.select(*group_cols, F.col("__target").alias("target_rate"),
-                         ((F.col("__lo") + F.col("__hi")) / 2).alias("intercept")).drop("__all")
+    zt, _ = materialize(zt)  # reused by every round
+    state = zt.groupBy(*group_cols).agg((F.sum("__tsum") / F.sum("__n")).alias("__t")).select(
+        *group_cols, "__t", F.lit(lo).alias("__lo"), F.lit(hi).alias("__hi"),
+        F.lit((lo + hi) / 2).alias("__b"), F.lit(None).cast("double").alias("__err"))
+    state, _ = materialize(state)
+    for _ in range(max_rounds):
+        s = sigmoid(F.col("__z") + F.col("__b"))
+        j = zt.join(F.broadcast(state), group_cols)  # state: one row per group
+        ev = j.groupBy(*group_cols, "__t", "__lo", "__hi", "__b").agg(
+            (F.sum(F.col("__n") * s) / F.sum("__n")).alias("__m"),
+            (F.sum(F.col("__n") * s * (1 - s)) / F.sum("__n")).alias("__d"))
+        below = F.col("__m") < F.col("__t")
+        nlo = F.when(below, F.col("__b")).otherwise(F.col("__lo"))
+        nhi = F.when(below, F.col("__hi")).otherwise(F.col("__b"))
+        newton = F.col("__b") - (F.col("__m") - F.col("__t")) / F.col("__d")
+        ok = (F.col("__d") > 0) & (newton > nlo) & (newton < nhi)
+        nxt = ev.select(*group_cols, "__t", nlo.alias("__lo"), nhi.alias("__hi"),
+                        F.when(ok, newton).otherwise((nlo + nhi) / 2).alias("__b"),
+                        F.abs(F.col("__m") - F.col("__t")).alias("__err"))
+        old = state
+        state, _ = materialize(nxt)
+        old.unpersist()
+        worst = state.agg(F.max(F.least("__err", F.col("__hi") - F.col("__lo")))).first()[0]
+        if worst is None or worst < tol:
+            break
+    return state.select(*group_cols, F.col("__t").alias("target_rate"),
+                        F.col("__b").alias("intercept")).drop("__all")
 
 
 # ---------------------------------------------------------------- M23, M24

@@ -226,7 +226,7 @@ def outlier_profile_lineitem(spark, sf):
           f"any_value(median) AS median, any_value(q3) AS q3, "
           f"min(CASE WHEN inside THEN value END) AS lower_whisker, "
           f"max(CASE WHEN inside THEN value END) AS upper_whisker, "
-          f"count_if(NOT inside) AS n_outliers FROM j GROUP BY \"column\"",
+          f"CAST(count_if(NOT inside) AS BIGINT) AS n_outliers FROM j GROUP BY \"column\"",
           ("q1", "median", "q3", "lower_whisker", "upper_whisker"))
 def box_stats_lineitem(spark, sf):
     return P.box_stats(lineitem_panel(spark, sf), LINEITEM_SPEC.numeric)
@@ -768,3 +768,155 @@ def row_validation_lineitem(spark, sf):
     return (v.select(F.explode_outer("errors").alias("error"))
             .groupBy(F.coalesce("error", F.lit("(valid)")).alias("error"))
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+# ================================================================== drift monitoring
+from panelwatch.operators import drift as D  # noqa: E402
+from panelwatch.operators import timeline as TL2  # noqa: E402,F811
+
+_LI_REF = LINEITEM_SPEC.train_periods
+_LI_REF_SQL = ", ".join(f"'{m}'" for m in _LI_REF)
+_LI_FEATS = LINEITEM_SPEC.numeric + LINEITEM_SPEC.categorical
+_MCFG = D.MonitorConfig(prediction="score", rank_score="z")
+
+
+def _drift_sql() -> str:
+    nums = LI_NUM + ("prediction",)
+    return (
+        f"WITH {LI}, sc AS (SELECT ship_month, returned, {prob_sql(LINEITEM_CARD)} AS prediction, "
+        f"{card_sql(LINEITEM_CARD)} AS z, l_quantity, l_extendedprice, l_discount, l_tax, "
+        f"l_linestatus FROM li), "
+        f"num AS (UNPIVOT (SELECT ship_month, {', '.join(nums)} FROM sc) ON {', '.join(nums)} "
+        f"INTO NAME \"column\" VALUE value), "
+        f"numc AS (SELECT * FROM num WHERE value IS NOT NULL AND NOT isnan(value)), "
+        f"refn AS (SELECT \"column\", value, count(*) AS n FROM numc WHERE ship_month IN "
+        f"({_LI_REF_SQL}) GROUP BY 1, 2), "
+        f"refsd AS (SELECT \"column\", stddev_pop(value) AS sd FROM numc WHERE ship_month IN "
+        f"({_LI_REF_SQL}) GROUP BY 1), "
+        f"curn AS (SELECT ship_month, \"column\", value, count(*) AS n FROM numc WHERE ship_month "
+        f"NOT IN ({_LI_REF_SQL}) GROUP BY 1, 2, 3), "
+        f"pairs AS (SELECT DISTINCT ship_month, \"column\" FROM curn), "
+        f"pts AS (SELECT p.ship_month, p.\"column\", r.value, r.n AS nr, 0 AS nc FROM pairs p "
+        f"JOIN refn r USING (\"column\") UNION ALL SELECT ship_month, \"column\", value, 0, n FROM "
+        f"curn), agg AS (SELECT ship_month, \"column\", value, sum(nr) AS nr, sum(nc) AS nc FROM pts "
+        f"GROUP BY 1, 2, 3), cdf AS (SELECT *, sum(nr) OVER w / sum(nr) OVER pp AS fr, "
+        f"sum(nc) OVER w / sum(nc) OVER pp AS fc, lead(value) OVER w2 AS nv FROM agg WINDOW w AS "
+        f"(PARTITION BY ship_month, \"column\" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND "
+        f"CURRENT ROW), pp AS (PARTITION BY ship_month, \"column\"), w2 AS (PARTITION BY "
+        f"ship_month, \"column\" ORDER BY value)), "
+        f"w1 AS (SELECT ship_month, \"column\", sum(coalesce(abs(fr - fc) * (nv - value), 0)) AS w1 "
+        f"FROM cdf GROUP BY 1, 2), "
+        f"wd AS (SELECT ship_month, \"column\", 'wasserstein' AS method, CASE WHEN sd > 0 THEN "
+        f"w1 / sd WHEN abs(w1) < 1e-12 THEN 0.0 END AS score FROM w1 JOIN refsd USING (\"column\")),"
+        f" cat AS (SELECT ship_month, l_linestatus AS value FROM sc WHERE l_linestatus IS NOT NULL),"
+        f" refc AS (SELECT value, count(*) AS n FROM cat WHERE ship_month IN ({_LI_REF_SQL}) "
+        f"GROUP BY 1), refp AS (SELECT value, n / sum(n) OVER () AS p FROM refc), "
+        f"curc AS (SELECT ship_month, value, count(*) AS n FROM cat WHERE ship_month NOT IN "
+        f"({_LI_REF_SQL}) GROUP BY 1, 2), curp AS (SELECT ship_month, value, n / sum(n) OVER "
+        f"(PARTITION BY ship_month) AS q FROM curc), cm AS (SELECT DISTINCT ship_month FROM curc), "
+        f"vv AS (SELECT DISTINCT value FROM cat), grid AS (SELECT ship_month, value FROM cm, vv), "
+        f"g2 AS (SELECT g.ship_month, coalesce(r.p, 0) AS p, coalesce(c.q, 0) AS q FROM grid g "
+        f"LEFT JOIN refp r ON r.value = g.value LEFT JOIN curp c ON c.ship_month = g.ship_month "
+        f"AND c.value = g.value), "
+        f"jd AS (SELECT ship_month, 'l_linestatus' AS \"column\", 'jensenshannon' AS method, "
+        f"sqrt(greatest(0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END) + "
+        f"0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)) AS score "
+        f"FROM g2 GROUP BY 1), "
+        f"cd AS (SELECT ship_month, \"column\", method, score, CAST(0.1 AS DOUBLE) AS threshold, "
+        f"coalesce(score > 0.1, true) AS drifted FROM (SELECT * FROM wd UNION ALL SELECT * FROM jd))")
+
+
+@register("column_drift_lineitem", _drift_sql() + " SELECT * FROM cd", ("score", "threshold"))
+def column_drift_lineitem(spark, sf):
+    df = _scored_li(spark, sf)
+    d = D.column_drift(df, "ship_month", list(LI_NUM) + ["score"], ["l_linestatus"], _LI_REF)
+    return d.where(~F.col("ship_month").isin(list(_LI_REF))).withColumn("column", F.when(F.col("column") == "score",
+                                                        F.lit("prediction"))
+                                       .otherwise(F.col("column")))
+
+
+def _monthly_sql() -> str:
+    feats = _LI_FEATS
+    order = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(feats))
+    return (
+        _drift_sql()
+        + f", fa AS (SELECT ship_month, CAST(count_if(drifted) AS INTEGER) AS dc, "
+        f"string_agg(CASE WHEN drifted THEN \"column\" END, ', ' ORDER BY CASE \"column\" {order} "
+        f"END) AS dl FROM cd WHERE \"column\" <> 'prediction' GROUP BY 1), "
+        f"pd AS (SELECT ship_month, score AS pscore, drifted AS pdet FROM cd WHERE \"column\" = "
+        f"'prediction'), "
+        f"st AS (SELECT ship_month, z, count_if(returned = 1) AS pos, count_if(returned = 0) AS neg"
+        f" FROM sc GROUP BY 1, 2), "
+        f"rr AS (SELECT *, sum(neg) OVER w AS neg_le, sum(pos) OVER pm AS pp, sum(neg) OVER pm AS nn"
+        f" FROM st WINDOW w AS (PARTITION BY ship_month ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW), pm AS (PARTITION BY ship_month)), "
+        f"auc AS (SELECT ship_month, CASE WHEN any_value(pp) > 0 AND any_value(nn) > 0 THEN "
+        f"sum(pos * ((neg_le - neg) + 0.5 * neg)) / (any_value(pp) * any_value(nn)) END AS auc "
+        f"FROM rr GROUP BY 1), "
+        f"rst AS (SELECT z, count_if(returned = 1) AS pos, count_if(returned = 0) AS neg FROM sc "
+        f"WHERE ship_month IN ({_LI_REF_SQL}) GROUP BY 1), "
+        f"rrr AS (SELECT *, sum(neg) OVER (ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT "
+        f"ROW) AS neg_le, sum(pos) OVER () AS pp, sum(neg) OVER () AS nn FROM rst), "
+        f"rauc AS (SELECT sum(pos * ((neg_le - neg) + 0.5 * neg)) / (any_value(pp) * any_value(nn))"
+        f" AS ra FROM rrr), "
+        f"cnt AS (SELECT ship_month, count(*) AS n_rows FROM sc WHERE ship_month NOT IN "
+        f"({_LI_REF_SQL}) GROUP BY 1), "
+        f"rec AS (SELECT c.ship_month, c.n_rows, coalesce(fa.dc, 0) AS dc, fa.dl, pd.pscore, "
+        f"pd.pdet, auc.auc, rauc.ra, coalesce(fa.dc, 0) / {float(len(feats))!r} AS share, "
+        f"auc.auc - rauc.ra AS delta FROM cnt c LEFT JOIN fa USING (ship_month) LEFT JOIN pd "
+        f"USING (ship_month) LEFT JOIN auc USING (ship_month) CROSS JOIN rauc) "
+        f"SELECT ship_month AS month, {LI_REG} AS regime, n_rows, dc AS drifted_columns_count, "
+        f"round(share, 4) AS drifted_columns_share, coalesce(dl, '') AS drifted_columns, "
+        f"round(pscore, 4) AS prediction_drift_score, coalesce(pdet, false) AS "
+        f"prediction_drift_detected, round(auc, 4) AS roc_auc, round(delta, 4) AS auc_delta, "
+        f"CASE WHEN delta IS NOT NULL AND delta <= -0.02 THEN 'CRITICO' WHEN share > 0.3 THEN "
+        f"'VIGILAR' ELSE 'OK' END AS status, round(ra, 4) AS reference_roc_auc FROM rec")
+
+
+def monthly_drift_lineitem(spark, sf):
+    """Library result (array of drifted columns kept as an array)."""
+    return D.monthly_drift(_scored_li(spark, sf), LINEITEM_SPEC, _LI_REF, LINEITEM_REGIMES,
+                           cfg=_MCFG)
+
+
+@register("monthly_drift_status_lineitem", _monthly_sql(),
+          ("drifted_columns_share", "prediction_drift_score", "roc_auc", "auc_delta",
+           "reference_roc_auc"))
+def monthly_drift_status_lineitem(spark, sf):
+    rec = monthly_drift_lineitem(spark, sf)
+    return rec.withColumn("drifted_columns", F.array_join("drifted_columns", ", "))
+
+
+@register("drift_history_document_lineitem")
+def drift_history_document_lineitem(spark, sf):
+    model = {"name": "lineitem-scorecard", "version": "1", "algorithm": "scorecard"}
+    return D.history_document(monthly_drift_lineitem(spark, sf), model, _LI_REF, _MCFG)
+
+
+@register("status_milestones_lineitem",
+          _monthly_sql().replace("SELECT ship_month AS month,", "SELECT ship_month AS month,", 1)
+          and (f"WITH h AS ({_monthly_sql()}) SELECT min(CASE WHEN status = 'VIGILAR' THEN month END)"
+               f" AS first_watch, min(CASE WHEN status = 'CRITICO' THEN month END) AS "
+               f"first_critical, arg_max(status, month) AS latest_status, max(month) AS "
+               f"latest_period, CAST(datediff('month', CAST(min(CASE WHEN status = 'VIGILAR' THEN "
+               f"month END) || '-01' AS DATE), CAST(min(CASE WHEN status = 'CRITICO' THEN month END)"
+               f" || '-01' AS DATE)) AS INTEGER) AS lag_periods FROM h"))
+def status_milestones_lineitem(spark, sf):
+    return TL.status_milestones(monthly_drift_lineitem(spark, sf))
+
+
+@register("status_runs_lineitem",
+          f"WITH h AS ({_monthly_sql()}), m AS (SELECT month, status, {_month_idx_sql('month', '1995-01')}"
+          f" AS i FROM h), isl AS (SELECT *, i - row_number() OVER (PARTITION BY status ORDER BY i) "
+          f"AS g FROM m) SELECT strftime(DATE '1995-01-01' + to_months(CAST(min(i) AS INTEGER)), "
+          f"'%Y-%m') AS first_period, strftime(DATE '1995-01-01' + to_months(CAST(max(i) AS "
+          f"INTEGER)), '%Y-%m') AS last_period, status, count(*) AS n_periods FROM isl "
+          f"GROUP BY status, g")
+def status_runs_lineitem(spark, sf):
+    rec = monthly_drift_lineitem(spark, sf)
+    return TL.consecutive_runs(rec.select("month", "status"), "month", "status", "1995-01")
+
+
+@register("latest_headline_lineitem")
+def latest_headline_lineitem(spark, sf):
+    return D.latest_headline(monthly_drift_lineitem(spark, sf))

@@ -49,3 +49,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, checkpoint_rows: int = 1_000_000):
+    """Compute ``df`` once; return ``(frame, row_count)``.
+
+    The frame is persisted (memory, spilling to disk) and counted in one job.
+    Above ``checkpoint_rows`` rows it is also written as a reliable
+    checkpoint in the shared checkpoint folder and the cache is released,
+    which cuts the lineage: a lost executor then re-reads the checkpoint
+    instead of recomputing upstream stages.  Small results stay cached;
+    losing them only recomputes a short, cheap lineage."""
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    if n > checkpoint_rows:
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out, n
+    return cached, n
