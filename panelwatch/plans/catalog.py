@@ -920,3 +920,119 @@ def status_runs_lineitem(spark, sf):
 @register("latest_headline_lineitem")
 def latest_headline_lineitem(spark, sf):
     return D.latest_headline(monthly_drift_lineitem(spark, sf))
+
+
+# ================================================================== models, registry, stream, io
+import uuid as _uuid  # noqa: E402
+
+from panelwatch.operators import models as MD  # noqa: E402
+from panelwatch.plans import training as TR  # noqa: E402
+from panelwatch.session import scratch_path  # noqa: E402
+from panelwatch.sources import panel_io as IO  # noqa: E402
+from panelwatch.sources.registry import Registry  # noqa: E402
+from panelwatch.streaming.score_stream import read_scored, score_stream  # noqa: E402
+
+N_TREES = 20  # tree count is a parameter; 400 in the reference
+
+
+def _candidates():
+    return MD.default_candidates(N_TREES)
+
+
+@register("model_comparison_lineitem")
+def model_comparison_lineitem(spark, sf):
+    """Logistic and two boosted-tree candidates on the
+    temporal split; metrics per model and split, plus the champion flag."""
+    _, metrics = TR.train_candidates(lineitem_panel(spark, sf), LINEITEM_SPEC, _candidates())
+    best = MD.choose_champion(metrics).select(F.col("model").alias("__best"))
+    return (MD.metrics_long(metrics).join(best, F.col("model") == F.col("__best"), "left")
+            .withColumn("is_champion", F.col("__best").isNotNull()).drop("__best"))
+
+
+@register("top_features_lineitem")
+def top_features_lineitem(spark, sf):
+    """Signed logistic coefficients with names, top 15 by |w|."""
+    models, _ = TR.train_candidates(lineitem_panel(spark, sf), LINEITEM_SPEC,
+                                    [MD.Candidate("logistic_regression", "logistic")])
+    return MD.top_features(models["logistic_regression"], LINEITEM_SPEC, 15)
+
+
+@register("batch_scoring_lineitem")
+def batch_scoring_lineitem(spark, sf):
+    """Score every lineitem row with the fitted logistic pipeline;
+    probability (4 decimals), class from the unrounded probability, band."""
+    panel = lineitem_panel(spark, sf)
+    models, _ = TR.train_candidates(panel, LINEITEM_SPEC,
+                                    [MD.Candidate("logistic_regression", "logistic")])
+    scored = S.score_batch(panel, models["logistic_regression"], model_version="1",
+                           keep=["ship_month"], prefix="return")
+    return scored.groupBy("ship_month", "risk_band", "model_version", "threshold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("return_prediction").alias("n_positive_class"),
+        F.avg("return_probability").alias("mean_probability"))
+
+
+@register("monitor_panel_orders")
+def monitor_panel_orders(spark, sf):
+    """K6: train on the orders panel's train months, score all rows once and
+    compare every later month with the reference."""
+    panel = orders_panel(spark, sf)
+    models, _ = TR.train_candidates(panel, ORDERS_SPEC,
+                                    [MD.Candidate("logistic_regression", "logistic")])
+    rec = TR.monitor_panel(panel, ORDERS_SPEC, models["logistic_regression"], ORDERS_REGIMES)
+    return rec.withColumn("drifted_columns", F.array_join("drifted_columns", ", "))
+
+
+@register("registry_champion_orders")
+def registry_champion_orders(spark, sf):
+    """Log runs, register the best model as a new version,
+    move the champion alias, and describe the served model."""
+    reg = Registry(spark, scratch_path(spark, f"registry-{_uuid.uuid4().hex}"))
+    cands = [MD.Candidate("logistic_regression", "logistic"),
+             MD.Candidate("boosted_trees_d5", "gbt", max_iter=N_TREES, depth=5)]
+    TR.train_and_register(orders_panel(spark, sf), ORDERS_SPEC, reg, "orders-model", cands)
+    info = reg.model_info("orders-model")
+    return info.select("name", "version", "algorithm",
+                       F.map_keys("metrics").alias("metric_keys"),
+                       F.col("metrics")["validation_roc_auc"].alias("validation_roc_auc"))
+
+
+@register("stream_scoring_lineitem",
+          f"WITH {LI}, s AS (SELECT ship_month, {prob_sql(LINEITEM_CARD)} AS p FROM li) "
+          f"SELECT ship_month, CASE WHEN p < 0.35 THEN 'bajo' WHEN p < 0.65 THEN 'medio' ELSE "
+          f"'alto' END AS risk_band, count(*) AS n, avg(round(p, 4)) AS mean_probability, "
+          f"CAST(sum(CAST(p >= 0.5 AS INTEGER)) AS BIGINT) AS n_positive_class FROM s GROUP BY 1, 2",
+          ("mean_probability",))
+def stream_scoring_lineitem(spark, sf):
+    """K5: the lineitem file is read as a stream, validated, scored with the
+    scorecard and written per micro-batch; the stream's output must equal
+    the batch answer of ``scorecard_risk_bands_lineitem``."""
+    schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
+    out = scratch_path(spark, f"stream-{_uuid.uuid4().hex}")
+    rules = LINEITEM_RULES[:-1]  # ship_month is derived after validation
+
+    def scorer(df):
+        df = df.withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
+        df = S.linear_score(df, LINEITEM_CARD, "score")
+        return S.bands_from_probability(df, "score", prefix="return").select(
+            "ship_month", "return_probability", "return_prediction", "risk_band")
+
+    score_stream(spark, sf, schema, rules, scorer, out, glob="lineitem.parquet")
+    return read_scored(spark, out).groupBy("ship_month", "risk_band").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("return_probability").alias("mean_probability"),
+        F.sum("return_prediction").cast("bigint").alias("n_positive_class"))
+
+
+_IO_MONTHS = ("1996-01", "1996-02", "1996-03", "1998-12")
+
+
+@register("panel_roundtrip_orders",
+          f"WITH {OP} SELECT order_month, count(*) AS n_rows, avg(fulfilled::DOUBLE) AS target_rate"
+          f" FROM op WHERE order_month IN ({', '.join(repr(m) for m in _IO_MONTHS)}) GROUP BY 1",
+          ("target_rate",))
+def panel_roundtrip_orders(spark, sf):
+    """A1-A3: write the panel partitioned by month, read back four months
+    (partition pruning, missing-month check) and count them."""
+    path = scratch_path(spark, f"panel-{_uuid.uuid4().hex}")
+    IO.write_panel(orders_panel(spark, sf), path, ORDERS_SPEC)
+    back = IO.load_panel(spark, path, ORDERS_SPEC, list(_IO_MONTHS))
+    return P.period_counts(back, ORDERS_SPEC)
