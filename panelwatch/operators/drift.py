@@ -70,6 +70,7 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     counts = (_clean_numeric(long).groupBy(period, "column", "value")
               .agg(F.count(F.lit(1)).alias("n")))
     counts, n_counts = materialize(counts)
+    cached = [counts]
     is_ref = F.col(period).isin(list(reference))
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("n").alias("n"))
     mom = ref.groupBy("column").agg(F.sum("n").alias("n_ref"),
@@ -135,8 +136,14 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     w1 = w1.join(ref_stats.select("column", "sd_ref"), "column")
     score = (F.when(F.col("sd_ref") > 0, F.col("w1") / F.col("sd_ref"))
              .when(F.abs(F.col("w1")) < F.lit(1e-12), F.lit(0.0)))
-    return w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
-                     "sd_ref", score.alias("score"))
+    out = w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
+                    "sd_ref", score.alias("score"))
+    # the result has one row per (period, column): compute it, then release
+    # the cached intermediates of this operator
+    out, _ = materialize(out)
+    for f in cached + [a, b]:
+        f.unpersist()
+    return out
 
 
 def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[str],

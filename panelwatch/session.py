@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app_name: str = "panelwatch",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
     """Return a session with AQE on, UTC time, no UI, Arrow transfer enabled.
 
     On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
@@ -26,6 +27,11 @@ def get_session(master: str | None = None, app_name: str = "panelwatch",
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # only takes effect when this call starts the JVM (local runs); on a
+    # cluster the driver size comes from spark-submit
+    mem = driver_memory or os.environ.get("PANELWATCH_DRIVER_MEMORY")
+    if mem:
+        b = b.config("spark.driver.memory", mem)
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
@@ -51,6 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+class Scratch:
+    """Collects frames cached by :func:`materialize` inside one operator so
+    they can be released once the operator's (small) result is computed."""
+
+    def __init__(self):
+        self.frames = []
+
+    def keep(self, pair):
+        self.frames.append(pair[0])
+        return pair
+
+    def release(self):
+        for f in self.frames:
+            f.unpersist()
+        self.frames = []
+
+
 def materialize(df, checkpoint_rows: int = 1_000_000):
     """Compute ``df`` once; return ``(frame, row_count)``.
 

@@ -15,7 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from panelwatch.session import get_session
 
-    s = get_session("local[8]", "panelwatch-tests", shuffle_partitions=8)
+    s = get_session("local[8]", "panelwatch-tests", shuffle_partitions=8, driver_memory="8g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
