@@ -70,7 +70,7 @@ def make_estimator(cand: Candidate, spec: PanelSpec, weight_sum: float):
     if cand.kind == "logistic":
         return LogisticRegression(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
                                   maxIter=cand.max_iter, regParam=1.0 / (cand.c * weight_sum),
-                                  elasticNetParam=0.0, standardization=False, tol=1e-8)
+                                  elasticNetParam=0.0, standardization=False)
     return GBTClassifier(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
                          maxIter=cand.max_iter, maxDepth=cand.depth, stepSize=cand.step,
                          subsamplingRate=cand.subsample,

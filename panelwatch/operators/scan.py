@@ -30,6 +30,7 @@ _BUCKET = "__scanbucket"
 _BOUNDS = "__scanbounds"
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 21
+MIN_ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS_PER_GROUP = 2048
 MAX_BOUNDS = 4_000_000
 
@@ -93,6 +94,14 @@ def _bucketize(df: DataFrame, group_cols: list[str], first: str,
     return out.withColumn(_BUCKET, bucket).drop(_BOUNDS)
 
 
+def _effective_bucket(df: DataFrame, rows_per_bucket: int, total: int) -> int:
+    """Buckets small enough to keep every core busy when there are few
+    groups (a handful of columns or months), never above the caller's cap
+    (which bounds the rows one task holds on a cluster)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return min(rows_per_bucket, max(MIN_ROWS_PER_BUCKET, math.ceil(total / (2 * par))))
+
+
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  scans: list[Scan], *, ascending: bool = True,
                  totals: dict[str, str] | None = None,

@@ -22,6 +22,9 @@ def get_session(master: str | None = None, app_name: str = "panelwatch",
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         # windows and sorts over compact shuffle data are CPU-bound: do not let
+         # AQE merge a few MB of compressed rows into one or two tasks
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
