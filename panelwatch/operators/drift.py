@@ -292,14 +292,19 @@ def history_document(records: DataFrame, model: dict, reference: Sequence[str],
     return doc.select(F.to_json("doc").alias("drift_history"))
 
 
+# Status label shown for each monitoring status (unknown -> the
+# status text itself).
+STATUS_LABELS = {"OK": "Estable", "VIGILAR": "Vigilar", "CRITICO": "Requiere reentrenamiento"}
+
+
 def latest_headline(records: DataFrame, labels: dict | None = None) -> DataFrame:
-    """Latest month's status (with a label lookup, default for unknown),
-    AUC and delta."""
-    labels = labels or {"OK": "Sin alertas", "VIGILAR": "Vigilar", "CRITICO": "Critico"}
+    """Latest month's status with its label (lookup with the
+    status itself as default), AUC and delta."""
+    labels = labels or STATUS_LABELS
     last = records.agg(F.max_by(F.struct(*records.columns), "month").alias("r")).select("r.*")
     lab = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
     return last.select("month", "status",
-                       F.coalesce(lab[F.col("status")], F.lit("Desconocido")).alias("status_label"),
+                       F.coalesce(lab[F.col("status")], F.col("status")).alias("status_label"),
                        "roc_auc", "auc_delta")
 
 

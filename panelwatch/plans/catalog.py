@@ -917,11 +917,29 @@ def status_runs_lineitem(spark, sf):
     return TL.consecutive_runs(rec.select("month", "status"), "month", "status", "1995-01")
 
 
-@register("latest_headline_lineitem")
+@register("latest_headline_lineitem",
+          f"WITH h AS ({_monthly_sql()}) SELECT max(month) AS month, arg_max(status, month) AS "
+          f"status, CASE arg_max(status, month) WHEN 'OK' THEN 'Estable' WHEN 'VIGILAR' THEN "
+          f"'Vigilar' WHEN 'CRITICO' THEN 'Requiere reentrenamiento' ELSE arg_max(status, month) "
+          f"END AS status_label, arg_max(roc_auc, month) AS roc_auc, arg_max(auc_delta, month) AS "
+          f"auc_delta FROM h", ("roc_auc", "auc_delta"))
 def latest_headline_lineitem(spark, sf):
     return D.latest_headline(monthly_drift_lineitem(spark, sf))
 
 
+_DETAIL_MONTH = "1998-12"
+
+
+@register("month_detail_lineitem",
+          f"WITH h AS ({_monthly_sql()}) SELECT month, CAST(drifted_columns_count AS VARCHAR) || "
+          f"'/{len(_LI_FEATS)}' AS drifted, drifted_columns AS drifted_list, "
+          f"prediction_drift_detected, roc_auc FROM h WHERE month = '{_DETAIL_MONTH}'",
+          ("roc_auc",))
+def month_detail_lineitem(spark, sf):
+    """One month's detail (count of n, list as text, flag, AUC)."""
+    return D.month_detail(monthly_drift_lineitem(spark, sf), _DETAIL_MONTH, len(_LI_FEATS))
+
+
 # ================================================================== models, registry, stream, io
 import uuid as _uuid  # noqa: E402
 
