@@ -306,3 +306,14 @@ def share_where(df: DataFrame, cond: Column, name: str = "share") -> DataFrame:
 def schema_listing(df: DataFrame) -> DataFrame:
     """Column names and types (metadata only, no job)."""
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Multiset comparison of two tables with the same columns, as
+    ``(side, n)``: rows only in ``a`` and rows only in ``b`` (duplicates
+    counted, nulls equal).  Both zero means the tables are equal."""
+    cols = a.columns
+    left = a.select(*cols).exceptAll(b.select(*cols)).agg(F.count(F.lit(1)).alias("n"))
+    right = b.select(*cols).exceptAll(a.select(*cols)).agg(F.count(F.lit(1)).alias("n"))
+    return (left.select(F.lit("only_left").alias("side"), "n")
+            .unionByName(right.select(F.lit("only_right").alias("side"), "n")))

@@ -780,50 +780,67 @@ _LI_FEATS = LINEITEM_SPEC.numeric + LINEITEM_SPEC.categorical
 _MCFG = D.MonitorConfig(prediction="score", rank_score="z")
 
 
-def _drift_sql() -> str:
-    nums = LI_NUM + ("prediction",)
+def drift_sql(panel_cte: str, src: str, period: str, reference, numeric, categorical,
+              extra_cols: str) -> str:
+    """DuckDB oracle for column drift: W1 on per-period breakpoints that
+    include every reference value (plain construction), JS on the full
+    value grid; ``extra_cols`` adds derived columns (prediction, z)."""
+    ref_sql = ", ".join(f"'{m}'" for m in reference)
+    keep = ", ".join(numeric)
+    cat_parts = []
+    for c in categorical:
+        cat_parts.append(f"SELECT {period}, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM sc "
+                         f"WHERE {c} IS NOT NULL")
+    js = ""
+    if categorical:
+        js = (
+            f", cat AS ({' UNION ALL '.join(cat_parts)}), "
+            f"refc AS (SELECT \"column\", value, count(*) AS n FROM cat WHERE {period} IN ({ref_sql}) "
+            f"GROUP BY 1, 2), refp AS (SELECT \"column\", value, n / sum(n) OVER (PARTITION BY "
+            f"\"column\") AS p FROM refc), curc AS (SELECT {period}, \"column\", value, count(*) AS n "
+            f"FROM cat WHERE {period} NOT IN ({ref_sql}) GROUP BY 1, 2, 3), curp AS (SELECT {period}, "
+            f"\"column\", value, n / sum(n) OVER (PARTITION BY {period}, \"column\") AS q FROM curc), "
+            f"cm AS (SELECT DISTINCT {period}, \"column\" FROM curc), vv AS (SELECT DISTINCT "
+            f"\"column\", value FROM cat), grid AS (SELECT cm.{period}, cm.\"column\", vv.value FROM "
+            f"cm JOIN vv USING (\"column\")), g2 AS (SELECT g.{period}, g.\"column\", "
+            f"coalesce(r.p, 0) AS p, coalesce(c.q, 0) AS q FROM grid g LEFT JOIN refp r ON "
+            f"r.\"column\" = g.\"column\" AND r.value = g.value LEFT JOIN curp c ON c.{period} = "
+            f"g.{period} AND c.\"column\" = g.\"column\" AND c.value = g.value), "
+            f"jd AS (SELECT {period}, \"column\", 'jensenshannon' AS method, sqrt(greatest(0.5 * "
+            f"sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END) + 0.5 * sum(CASE WHEN "
+            f"q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)) AS score FROM g2 GROUP BY 1, 2)")
+    union = "SELECT * FROM wd" + (" UNION ALL SELECT * FROM jd" if categorical else "")
     return (
-        f"WITH {LI}, sc AS (SELECT ship_month, returned, {prob_sql(LINEITEM_CARD)} AS prediction, "
-        f"{card_sql(LINEITEM_CARD)} AS z, l_quantity, l_extendedprice, l_discount, l_tax, "
-        f"l_linestatus FROM li), "
-        f"num AS (UNPIVOT (SELECT ship_month, {', '.join(nums)} FROM sc) ON {', '.join(nums)} "
+        f"WITH {panel_cte}, sc AS (SELECT *, {extra_cols} FROM {src}), "
+        f"num AS (UNPIVOT (SELECT {period}, {keep} FROM sc) ON {keep} "
         f"INTO NAME \"column\" VALUE value), "
         f"numc AS (SELECT * FROM num WHERE value IS NOT NULL AND NOT isnan(value)), "
-        f"refn AS (SELECT \"column\", value, count(*) AS n FROM numc WHERE ship_month IN "
-        f"({_LI_REF_SQL}) GROUP BY 1, 2), "
-        f"refsd AS (SELECT \"column\", stddev_pop(value) AS sd FROM numc WHERE ship_month IN "
-        f"({_LI_REF_SQL}) GROUP BY 1), "
-        f"curn AS (SELECT ship_month, \"column\", value, count(*) AS n FROM numc WHERE ship_month "
-        f"NOT IN ({_LI_REF_SQL}) GROUP BY 1, 2, 3), "
-        f"pairs AS (SELECT DISTINCT ship_month, \"column\" FROM curn), "
-        f"pts AS (SELECT p.ship_month, p.\"column\", r.value, r.n AS nr, 0 AS nc FROM pairs p "
-        f"JOIN refn r USING (\"column\") UNION ALL SELECT ship_month, \"column\", value, 0, n FROM "
-        f"curn), agg AS (SELECT ship_month, \"column\", value, sum(nr) AS nr, sum(nc) AS nc FROM pts "
+        f"refn AS (SELECT \"column\", value, count(*) AS n FROM numc WHERE {period} IN "
+        f"({ref_sql}) GROUP BY 1, 2), "
+        f"refsd AS (SELECT \"column\", stddev_pop(value) AS sd FROM numc WHERE {period} IN "
+        f"({ref_sql}) GROUP BY 1), "
+        f"curn AS (SELECT {period}, \"column\", value, count(*) AS n FROM numc WHERE {period} "
+        f"NOT IN ({ref_sql}) GROUP BY 1, 2, 3), "
+        f"pairs AS (SELECT DISTINCT {period}, \"column\" FROM curn), "
+        f"pts AS (SELECT p.{period}, p.\"column\", r.value, r.n AS nr, 0 AS nc FROM pairs p "
+        f"JOIN refn r USING (\"column\") UNION ALL SELECT {period}, \"column\", value, 0, n FROM "
+        f"curn), agg AS (SELECT {period}, \"column\", value, sum(nr) AS nr, sum(nc) AS nc FROM pts "
         f"GROUP BY 1, 2, 3), cdf AS (SELECT *, sum(nr) OVER w / sum(nr) OVER pp AS fr, "
         f"sum(nc) OVER w / sum(nc) OVER pp AS fc, lead(value) OVER w2 AS nv FROM agg WINDOW w AS "
-        f"(PARTITION BY ship_month, \"column\" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND "
-        f"CURRENT ROW), pp AS (PARTITION BY ship_month, \"column\"), w2 AS (PARTITION BY "
-        f"ship_month, \"column\" ORDER BY value)), "
-        f"w1 AS (SELECT ship_month, \"column\", sum(coalesce(abs(fr - fc) * (nv - value), 0)) AS w1 "
+        f"(PARTITION BY {period}, \"column\" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND "
+        f"CURRENT ROW), pp AS (PARTITION BY {period}, \"column\"), w2 AS (PARTITION BY "
+        f"{period}, \"column\" ORDER BY value)), "
+        f"w1 AS (SELECT {period}, \"column\", sum(coalesce(abs(fr - fc) * (nv - value), 0)) AS w1 "
         f"FROM cdf GROUP BY 1, 2), "
-        f"wd AS (SELECT ship_month, \"column\", 'wasserstein' AS method, CASE WHEN sd > 0 THEN "
-        f"w1 / sd WHEN abs(w1) < 1e-12 THEN 0.0 END AS score FROM w1 JOIN refsd USING (\"column\")),"
-        f" cat AS (SELECT ship_month, l_linestatus AS value FROM sc WHERE l_linestatus IS NOT NULL),"
-        f" refc AS (SELECT value, count(*) AS n FROM cat WHERE ship_month IN ({_LI_REF_SQL}) "
-        f"GROUP BY 1), refp AS (SELECT value, n / sum(n) OVER () AS p FROM refc), "
-        f"curc AS (SELECT ship_month, value, count(*) AS n FROM cat WHERE ship_month NOT IN "
-        f"({_LI_REF_SQL}) GROUP BY 1, 2), curp AS (SELECT ship_month, value, n / sum(n) OVER "
-        f"(PARTITION BY ship_month) AS q FROM curc), cm AS (SELECT DISTINCT ship_month FROM curc), "
-        f"vv AS (SELECT DISTINCT value FROM cat), grid AS (SELECT ship_month, value FROM cm, vv), "
-        f"g2 AS (SELECT g.ship_month, coalesce(r.p, 0) AS p, coalesce(c.q, 0) AS q FROM grid g "
-        f"LEFT JOIN refp r ON r.value = g.value LEFT JOIN curp c ON c.ship_month = g.ship_month "
-        f"AND c.value = g.value), "
-        f"jd AS (SELECT ship_month, 'l_linestatus' AS \"column\", 'jensenshannon' AS method, "
-        f"sqrt(greatest(0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END) + "
-        f"0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)) AS score "
-        f"FROM g2 GROUP BY 1), "
-        f"cd AS (SELECT ship_month, \"column\", method, score, CAST(0.1 AS DOUBLE) AS threshold, "
-        f"coalesce(score > 0.1, true) AS drifted FROM (SELECT * FROM wd UNION ALL SELECT * FROM jd))")
+        f"wd AS (SELECT {period}, \"column\", 'wasserstein' AS method, CASE WHEN sd > 0 THEN "
+        f"w1 / sd WHEN abs(w1) < 1e-12 THEN 0.0 END AS score FROM w1 JOIN refsd USING (\"column\"))"
+        f"{js}, cd AS (SELECT {period}, \"column\", method, score, CAST(0.1 AS DOUBLE) AS "
+        f"threshold, coalesce(score > 0.1, true) AS drifted FROM ({union}))")
+
+
+def _drift_sql() -> str:
+    return drift_sql(LI, "li", "ship_month", _LI_REF, LI_NUM + ("prediction",), ("l_linestatus",),
+                     f"{prob_sql(LINEITEM_CARD)} AS prediction, {card_sql(LINEITEM_CARD)} AS z")
 
 
 @register("column_drift_lineitem", _drift_sql() + " SELECT * FROM cd", ("score", "threshold"))
@@ -1054,3 +1071,54 @@ def panel_roundtrip_orders(spark, sf):
     IO.write_panel(orders_panel(spark, sf), path, ORDERS_SPEC)
     back = IO.load_panel(spark, path, ORDERS_SPEC, list(_IO_MONTHS))
     return P.period_counts(back, ORDERS_SPEC)
+
+
+@register("column_drift_events",
+          drift_sql(EV, "ev", "event_day", EVENTS_SPEC.train_periods, EVENTS_SPEC.numeric, (),
+                    "1 AS one") + " SELECT * FROM cd", ("score", "threshold"))
+def column_drift_events(spark, sf):
+    """R4 on the daily events panel: each later day against the first week."""
+    ev = events_panel(spark, sf)
+    d = D.column_drift(ev, "event_day", list(EVENTS_SPEC.numeric), [], EVENTS_SPEC.train_periods)
+    return d.where(~F.col("event_day").isin(list(EVENTS_SPEC.train_periods)))
+
+
+@register("column_drift_orders",
+          drift_sql(OP, "op", "order_month", ORDERS_SPEC.train_periods,
+                    ("total_spent", "c_acctbal"), ORDERS_SPEC.categorical, "1 AS one")
+          + " SELECT * FROM cd", ("score", "threshold"))
+def column_drift_orders(spark, sf):
+    """R4 + R5 on the orders panel: W1/sd for spend and balance, JS for
+    priority and market segment, every month against the train months."""
+    op = orders_panel(spark, sf)
+    d = D.column_drift(op, "order_month", ["total_spent", "c_acctbal"], list(ORDERS_SPEC.categorical),
+                       ORDERS_SPEC.train_periods)
+    return d.where(~F.col("order_month").isin(list(ORDERS_SPEC.train_periods)))
+
+
+@register("panel_roundtrip_equality_lineitem",
+          f"WITH {LI} SELECT 'only_left' AS side, (SELECT count(*) FROM (SELECT * FROM li "
+          f"EXCEPT ALL SELECT * FROM li)) AS n UNION ALL SELECT 'only_right', (SELECT count(*) "
+          f"FROM (SELECT * FROM li EXCEPT ALL SELECT * FROM li))")
+def panel_roundtrip_equality_lineitem(spark, sf):
+    """A3 + A1 + G4: the panel written partitioned by month and read back
+    holds exactly the same multiset of rows."""
+    panel = lineitem_panel(spark, sf)
+    path = scratch_path(spark, f"panel-{_uuid.uuid4().hex}")
+    IO.write_panel(panel, path, LINEITEM_SPEC)
+    back = IO.load_panel(spark, path, LINEITEM_SPEC)
+    return P.same_rows(panel, back.select(*panel.columns))
+
+
+@register("drift_history_roundtrip_lineitem",
+          f"WITH h AS ({_monthly_sql()}) SELECT month, status, drifted_columns_count, roc_auc "
+          f"FROM h", ("roc_auc",))
+def drift_history_roundtrip_lineitem(spark, sf):
+    """A4 + A5: the history document written as JSON and read back with a
+    fixed schema gives the monthly records again."""
+    model = {"name": "lineitem-scorecard", "version": "1", "algorithm": "scorecard"}
+    doc = D.history_document(monthly_drift_lineitem(spark, sf), model, _LI_REF, _MCFG)
+    path = scratch_path(spark, f"history-{_uuid.uuid4().hex}")
+    IO.write_drift_history(doc, path)
+    back = IO.read_drift_history(spark, path)
+    return back.select("month", "status", "drifted_columns_count", "roc_auc")
