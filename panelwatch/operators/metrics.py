@@ -102,9 +102,12 @@ def evaluate(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
     df, group_cols, __drop = _keyed(df, group_cols)
     rk = ranking_metrics(df, group_cols, rank_score or score, label, rows_per_bucket)
     th = threshold_metrics(df, group_cols, score, label, threshold)
-    out = th.join(rk, list(group_cols), "left")
-    return out.select(*group_cols, "n", "roc_auc", "pr_auc", "precision", "recall", "f1",
-                      "brier", "positive_rate").drop(*__drop)
+    # stack the two one-row-per-group tables and collapse them per group: a
+    # grouped aggregate instead of a join (no join on a constant key)
+    metrics = ["n", "roc_auc", "pr_auc", "precision", "recall", "f1", "brier", "positive_rate"]
+    both = th.unionByName(rk.select(*group_cols, "roc_auc", "pr_auc"), allowMissingColumns=True)
+    out = both.groupBy(*group_cols).agg(*[F.first(c, ignorenulls=True).alias(c) for c in metrics])
+    return out.select(*group_cols, *metrics).drop(*__drop)
 
 
 def roc_points(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
