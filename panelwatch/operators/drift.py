@@ -100,30 +100,32 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
         "column", F.col("value").alias("u"), F.col("F").alias("level"), F.col("J").alias("Ju"))
     cur_pts = a.where(F.col("kind") == 1).select(period, "column", "value", "nc", "J", "mean_ref")
 
-    # ---- scan B: per (period, column), own CDF level and the next point
+    # ---- scan B: per (period, column), own CDF level and the next point;
+    # the next point's J comes with it (min of struct(value, J) over the
+    # points after this one), so no join is needed
+    cur_pts = cur_pts.withColumn("vj", F.struct(F.col("value").alias("v"), F.col("J").alias("j")))
     b = ordered_scan(cur_pts, [period, "column"], ["value"],
-                     [Scan("cnt_ge", "sum", "nc"), Scan("next_v", "min", "value", inclusive=False)],
+                     [Scan("cnt_ge", "sum", "nc"), Scan("nxt", "min", "vj", inclusive=False)],
                      ascending=False, totals={"n_cur": "nc"}, rows_per_bucket=rows_per_bucket,
                      materialize_output=True, known_rows=n_counts)
-    b = b.withColumn("k", (F.col("n_cur") - F.col("cnt_ge") + F.col("nc")) / F.col("n_cur"))
-    nxt = cur_pts.select(period, "column", F.col("value").alias("next_v"), F.col("J").alias("Jb"))
-    b = b.join(nxt, [period, "column", "next_v"], "left")
-
-    # ---- scan C: q_k = first reference value whose CDF reaches k
-    mids = b.where(F.col("next_v").isNotNull())
-    lookup = (ref_pts.select("column", "level", F.lit(1).alias("kind"),
-                             F.lit(None).cast("string").alias(period),
-                             F.lit(None).cast("double").alias("value"), "u")
-              .unionByName(mids.select("column", F.col("k").alias("level"), F.lit(0).alias("kind"),
-                                       period, "value", F.lit(None).cast("double").alias("u"))))
-    c = ordered_scan(lookup, ["column"], ["level", "kind", period, "value"],
-                     [Scan("q", "min", "u")], ascending=False, rows_per_bucket=rows_per_bucket,
+    b = (b.withColumn("k", (F.col("n_cur") - F.col("cnt_ge") + F.col("nc")) / F.col("n_cur"))
+         .withColumn("next_v", F.col("nxt.v")).withColumn("Jb", F.col("nxt.j"))
+         .drop("vj", "nxt"))
+
+    # ---- scan C: q_k = first reference value whose CDF reaches k, with J(q);
+    # every period point travels through the scan with its own columns
+    pt_cols = ["value", "next_v", "k", "J", "Jb", "cnt_ge", "n_cur", "mean_ref"]
+    ref_side = ref_pts.select(
+        "column", "level", F.lit(1).alias("kind"), F.lit(None).cast("string").alias(period),
+        *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in pt_cols],
+        F.struct(F.col("u").alias("u"), F.col("Ju").alias("ju")).alias("uj"))
+    pt_side = b.select("column", F.col("k").alias("level"), F.lit(0).alias("kind"), period,
+                       *pt_cols, F.lit(None).cast(ref_side.schema["uj"].dataType).alias("uj"))
+    c = ordered_scan(ref_side.unionByName(pt_side), ["column"], ["level", "kind", period, "value"],
+                     [Scan("quj", "min", "uj")], ascending=False, rows_per_bucket=rows_per_bucket,
                      known_rows=2 * n_counts)
-    q = c.where(F.col("kind") == 0).select(period, "column", "value", "q")
-    q = q.join(ref_pts.select("column", F.col("u").alias("q"), F.col("Ju").alias("Jq")),
-               ["column", "q"], "left")
+    t = c.where(F.col("kind") == 0).withColumn("q", F.col("quj.u")).withColumn("Jq", F.col("quj.ju"))
 
-    t = b.join(q, [period, "column", "value"], "left")
     av, bv, k = F.col("value"), F.col("next_v"), F.col("k")
     ja, jb = F.col("J"), F.col("Jb")
     cpos = F.least(F.greatest(F.col("q"), av), bv)
