@@ -100,7 +100,8 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
     state = zt.groupBy(*group_cols).agg((F.sum("__tsum") / F.sum("__n")).alias("__t")).select(
         *group_cols, "__t", F.lit(lo).alias("__lo"), F.lit(hi).alias("__hi"),
         F.lit((lo + hi) / 2).alias("__b"), F.lit(None).cast("double").alias("__err"))
-    state, _ = materialize(state)
+    state, _ = materialize(state, checkpoint_rows=0)
+    rounds_used = 0
     for _ in range(max_rounds):
         s = sigmoid(F.col("__z") + F.col("__b"))
         j = zt.join(F.broadcast(state), group_cols)  # state: one row per group
@@ -111,18 +112,22 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
         nlo = F.when(below, F.col("__b")).otherwise(F.col("__lo"))
         nhi = F.when(below, F.col("__hi")).otherwise(F.col("__b"))
         newton = F.col("__b") - (F.col("__m") - F.col("__t")) / F.col("__d")
-        ok = (F.col("__d") > 0) & (newton > nlo) & (newton < nhi)
+        ok = (F.col("__d") > 0) & (newton >= nlo) & (newton <= nhi)
         nxt = ev.select(*group_cols, "__t", nlo.alias("__lo"), nhi.alias("__hi"),
                         F.when(ok, newton).otherwise((nlo + nhi) / 2).alias("__b"),
                         F.abs(F.col("__m") - F.col("__t")).alias("__err"))
         old = state
-        state, _ = materialize(nxt)
+        # one small row per group; a reliable checkpoint cuts the lineage so
+        # every round plans from scratch (the plan does not grow with rounds)
+        state, _ = materialize(nxt, checkpoint_rows=0)
         old.unpersist()
         worst = state.agg(F.max(F.least("__err", F.col("__hi") - F.col("__lo")))).first()[0]
+        rounds_used += 1
         if worst is None or worst < tol:
             break
     return state.select(*group_cols, F.col("__t").alias("target_rate"),
-                        F.col("__b").alias("intercept")).drop("__all")
+                        F.col("__b").alias("intercept"),
+                        F.lit(rounds_used).alias("rounds")).drop("__all")
 
 
 # ---------------------------------------------------------------- M23, M24
