@@ -230,8 +230,10 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     feats = list(spec.numeric) + list(spec.categorical)
     drift = column_drift(base, per, list(spec.numeric) + [cfg.prediction], spec.categorical,
                          reference, None, cfg.drift_threshold, rows_per_bucket)
-    analysed = cur.select(per).distinct()
-    drift = drift.join(analysed, per, "left_semi")
+    # rows per analysed period (one pass), also the list of analysed periods
+    counts, _ = materialize(cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows")))
+    drift = drift.join(counts.select(per), per, "left_semi")
+    drift, _ = materialize(drift)  # periods x columns rows, read by two branches
     order = F.create_map(*[x for i, c in enumerate(feats) for x in (F.lit(c), F.lit(i))])
     fd = drift.where(F.col("column") != cfg.prediction)
     feat_agg = fd.groupBy(per).agg(
@@ -253,7 +255,6 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
                                                            F.col("roc_auc").alias("__auc"))
     ref_auc = aucs.where(F.col("__slice") == ref_key).first()
     ref_auc = ref_auc["roc_auc"] if ref_auc else None
-    counts = cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows"))
     rec = (counts.join(feat_agg, per, "left").join(pred, per, "left").join(auc, per, "left"))
     share = F.col("drifted_columns_count") / F.lit(float(len(feats)))
     ra = F.lit(ref_auc).cast("double")
