@@ -106,7 +106,7 @@ def month_summary_lineitem(spark, sf):
           f"FROM op GROUP BY order_month",
           ("target_rate", "variable_mean", "variable_target_corr"))
 def month_summary_orders(spark, sf):
-    return P.period_summary(orders_panel(spark, sf), ORDERS_SPEC, "total_spent", ORDERS_REGIMES)
+    return P.period_summary(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC, "total_spent", ORDERS_REGIMES)
 
 
 @register("day_summary_events",
@@ -137,7 +137,7 @@ def dataset_overview_lineitem(spark, sf):
           f"count(*) / (2.0 * count_if(fulfilled = 0)) AS weight_negative FROM op",
           ("neg_pos_ratio", "weight_positive", "weight_negative"))
 def class_balance_orders(spark, sf):
-    return P.class_balance(orders_panel(spark, sf), ORDERS_SPEC)
+    return P.class_balance(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC)
 
 
 # ------------------------------------------------------------------ D3-D6
@@ -298,7 +298,7 @@ def month_returnflag_share_lineitem(spark, sf):
           tuple(f"rate_{v.replace('-', '_').replace(' ', '_')}"
                 for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")))
 def month_priority_rate_orders(spark, sf):
-    return P.period_category_rate(orders_panel(spark, sf), ORDERS_SPEC, "top_priority",
+    return P.period_category_rate(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC, "top_priority",
                                   ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
 
 
@@ -322,7 +322,7 @@ def rate_dispersion_lineitem(spark, sf):
 @register("distinct_months_orders",
           f"WITH {OP} SELECT DISTINCT order_month FROM op")
 def distinct_months_orders(spark, sf):
-    return P.distinct_periods(orders_panel(spark, sf), ORDERS_SPEC)
+    return P.distinct_periods(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC)
 
 
 @register("linestatus_share_by_regime_lineitem",
@@ -363,7 +363,7 @@ def corr_sql(x: str, y: str) -> str:
           f"avg(ra - rb) AS mean_gap, count(ra - rb) AS n_periods FROM r GROUP BY 1",
           ("mean_gap",))
 def priority_gap_by_regime_orders(spark, sf):
-    return A.category_gap_by_regime(orders_panel(spark, sf), ORDERS_SPEC, "top_priority",
+    return A.category_gap_by_regime(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC, "top_priority",
                                     "1-URGENT", "5-LOW", ORDERS_REGIMES)
 
 
@@ -574,7 +574,7 @@ _OP_IDX = _month_idx_sql("order_month", "1995-01")
           f"BIGINT) AS n_target_then_present, coalesce(n_lost, 0) AS n_lost "
           f"FROM pr LEFT JOIN lo USING (i)")
 def panel_transitions_orders(spark, sf):
-    return TL.panel_transitions(orders_panel(spark, sf), ORDERS_SPEC, "1995-01")
+    return TL.panel_transitions(orders_panel(spark, sf, with_customer=False), ORDERS_SPEC, "1995-01")
 
 
 # ================================================================== metrics, scoring

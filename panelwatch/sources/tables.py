@@ -55,17 +55,22 @@ ORDERS_SPEC = PanelSpec(
 ORDERS_REGIMES = RegimeSpec(start="1995-01")
 
 
-def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_panel(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
     """Orders are aggregated per (customer, month) before the customer join,
     so the join sees the smaller side; AQE picks broadcast or sort-merge by
-    the measured size of each side."""
+    the measured size of each side.  ``with_customer=False`` skips the join
+    for work that uses no customer column (Spark cannot drop a left join by
+    itself, as it does not know the customer key is unique)."""
     o = read_table(spark, sf_dir, "orders")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     per = (o.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
            .agg(F.count(F.lit(1)).cast("int").alias("order_count"),
                 F.sum("o_totalprice").alias("total_spent"),
                 F.min("o_orderpriority").alias("top_priority"),
                 F.max((F.col("o_orderstatus") == F.lit("F")).cast("int")).alias("fulfilled")))
+    if not with_customer:
+        return per.select("o_custkey", "order_month", "order_count", "total_spent",
+                          "top_priority", "fulfilled")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     return (per.join(c, per["o_custkey"] == c["c_custkey"], "left")
             .select("o_custkey", "order_month", "order_count", "total_spent", "c_acctbal",
                     "top_priority", "c_mktsegment", "fulfilled"))
