@@ -104,3 +104,21 @@ def test_stream_equals_batch_and_quarantine(spark):
     assert got == [(1.0, 0.1), (2.0, 0.2)]
     q = sorted(r.errors[0] for r in read_quarantine(spark, out).collect())
     assert q == ["s: value not allowed", "x: must be >= 0"]
+
+
+def test_load_csv_months_period_from_file_name(spark):
+    from pyspark.sql import types as T
+    d = tempfile.mkdtemp(prefix="pw-csv-")
+    for m, rows in (("2024-01", ["a,1.5,0", "b,2.5,1"]), ("2024-02", ["a,3.0,0"])):
+        with open(os.path.join(d, f"{m}.csv"), "w") as f:
+            f.write("customer_id,x,churn\n" + "\n".join(rows) + "\n")
+    schema = T.StructType([T.StructField("customer_id", T.StringType()),
+                           T.StructField("x", T.DoubleType()),
+                           T.StructField("churn", T.IntegerType())])
+    spec = PanelSpec(period="snapshot_month", id="customer_id", target="churn", numeric=("x",),
+                     categorical=())
+    df = IO.load_csv_months(spark, d, schema, spec, ["2024-02"])
+    assert [(r.customer_id, r.snapshot_month) for r in df.collect()] == [("a", "2024-02")]
+    with pytest.raises(IO.MissingPeriodsError):
+        IO.load_csv_months(spark, d, schema, spec, ["2024-03"])
+    assert IO.load_csv_months(spark, d, schema, spec).count() == 3
