@@ -15,6 +15,7 @@ from pyspark.sql.window import Window as W
 
 from panelwatch.functions.scalar import regime_label, safe_corr
 from panelwatch.operators.quantiles import exact_quantiles
+from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
 
@@ -128,10 +129,12 @@ def category_domain(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def category_frequency(df: DataFrame, column: str) -> DataFrame:
-    """Relative frequency per value, ascending.  The total is a learned
-    scalar, so no window gathers the value table into one task."""
-    total = df.count()
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    """Relative frequency per value, ascending.  The per-value table is
+    computed once (one pass over the rows); the total is summed from it, not
+    from a second pass over the rows."""
+    counts, _ = materialize(df.groupBy(F.col(column).alias("value"))
+                            .agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.withColumn("share", F.col("n") / F.lit(float(max(total, 1)))).orderBy(
         "share", "value")
 
@@ -213,13 +216,15 @@ def density_histogram(df: DataFrame, column: str, group: str, lo: float, hi: flo
 
 # ---------------------------------------------------------------- D14-D17
 def category_target_rate(df: DataFrame, spec: PanelSpec, column: str) -> DataFrame:
-    """Target rate per value and whether it is above the global rate
-    (a learned scalar)."""
-    glob = df.agg(F.avg(_t(spec)).alias("g")).first()["g"]
-    per = df.groupBy(F.col(column).alias("value")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(_t(spec)).alias("target_rate"))
+    """Target rate per value and whether it is above the global rate.
+    The global rate is summed from the per-value table (one pass over rows)."""
+    per, _ = materialize(df.groupBy(F.col(column).alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_t(spec)).alias("__pos")))
+    tot = per.agg(F.sum("__pos").alias("p"), F.sum("n").alias("n")).first()
+    glob = (tot["p"] / tot["n"]) if tot["n"] else None
     g = F.lit(glob).cast("double")
-    return (per.withColumn("global_rate", g)
+    return (per.select("value", "n", (F.col("__pos") / F.col("n")).alias("target_rate"))
+            .withColumn("global_rate", g)
             .withColumn("above_global", F.col("target_rate") > g)
             .orderBy("target_rate", "value"))
 

@@ -100,11 +100,13 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
     state = zt.groupBy(*group_cols).agg((F.sum("__tsum") / F.sum("__n")).alias("__t")).select(
         *group_cols, "__t", F.lit(lo).alias("__lo"), F.lit(hi).alias("__hi"),
         F.lit((lo + hi) / 2).alias("__b"), F.lit(None).cast("double").alias("__err"))
-    state, _ = materialize(state, checkpoint_rows=0)
+    state, n_groups = materialize(state, checkpoint_rows=0)
+    # the per-group state is broadcast only while its size is known to be small
+    small_state = n_groups <= 1_000_000
     rounds_used = 0
     for _ in range(max_rounds):
         s = sigmoid(F.col("__z") + F.col("__b"))
-        j = zt.join(F.broadcast(state), group_cols)  # state: one row per group
+        j = zt.join(F.broadcast(state) if small_state else state, group_cols)
         ev = j.groupBy(*group_cols, "__t", "__lo", "__hi", "__b").agg(
             (F.sum(F.col("__n") * s) / F.sum("__n")).alias("__m"),
             (F.sum(F.col("__n") * s * (1 - s)) / F.sum("__n")).alias("__d"))
