@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from panelwatch.functions.scalar import regime_label, safe_corr
-from panelwatch.operators.quantiles import exact_quantiles
+from panelwatch.operators.quantiles import exact_quantiles, quantiles_from_counts, value_counts
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
@@ -105,16 +105,35 @@ def duplicate_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D7, D8, D9
+def _count_moments(counts: DataFrame, group_cols: list[str]) -> DataFrame:
+    """count, mean, sample sd, min, max per group from a value-count table
+    (two steps on the small table: mean first, then squared deviations)."""
+    m = counts.groupBy(*group_cols).agg(
+        F.sum("__c").alias("count"),
+        (F.sum(F.col("__c") * F.col("__v")) / F.sum("__c")).alias("mean"),
+        F.min("__v").alias("min"), F.max("__v").alias("max"))
+    dev = counts.join(m.select(*group_cols, F.col("mean").alias("__mean")), group_cols)
+    ss = dev.groupBy(*group_cols).agg(
+        F.sum(F.col("__c") * (F.col("__v") - F.col("__mean")) ** 2).alias("__ss"))
+    return m.join(ss, group_cols).withColumn(
+        "std", F.sqrt(F.try_divide(F.col("__ss"), (F.col("count") - 1).cast("double")))
+    ).drop("__ss")
+
+
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std (n-1), min, p25, p50, p75, max per numeric column.
 
-    Moments in one wide pass; exact quantiles on the long form."""
+    Moments come from Spark's own aggregates over the rows (``avg``,
+    ``stddev_samp``), so means agree with other engines to the last digit;
+    exact quantiles come from per-column value counts."""
     long = unpivot_numeric(df, columns)
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    counts, n = materialize(value_counts(long, ["column"], "value"))
+    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
+                              known_rows=n)
     return moments.join(q, "column").select("column", "count", "mean", "std", "min",
                                             "p25", "p50", "p75", "max")
 
@@ -142,36 +161,38 @@ def category_frequency(df: DataFrame, column: str) -> DataFrame:
 # ---------------------------------------------------------------- D10, D11
 def outlier_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """p50, p99, max, max/p99 (denominator floor 1e-9) and the share of
-    rows strictly above ``Q3 + 1.5 IQR`` (upper side only)."""
-    long = unpivot_numeric(df, columns).where(F.col("value").isNotNull())
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75, 0.99],
-                        ["q1", "p50", "q3", "p99"])
+    rows strictly above ``Q3 + 1.5 IQR`` (upper side only).  One pass over
+    the rows; everything else runs on the per-column value counts."""
+    counts, n = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
+    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75, 0.99],
+                              ["q1", "p50", "q3", "p99"], known_rows=n)
     fence = q.select("column", "p50", "p99",
                      (F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
     # limits table has one row per column: a proven-small broadcast
-    joined = long.join(F.broadcast(fence), "column")
+    joined = counts.join(F.broadcast(fence), "column")
+    above = F.when(F.col("__v") > F.col("upper_fence"), F.col("__c")).otherwise(F.lit(0))
     return joined.groupBy("column").agg(
-        F.first("p50").alias("p50"), F.first("p99").alias("p99"), F.max("value").alias("max"),
-        (F.max("value") / F.greatest(F.first("p99"), F.lit(1e-9))).alias("max_over_p99"),
-        (F.avg((F.col("value") > F.col("upper_fence")).cast("double")) * 100).alias(
-            "pct_above_fence"))
+        F.first("p50").alias("p50"), F.first("p99").alias("p99"), F.max("__v").alias("max"),
+        (F.max("__v") / F.greatest(F.first("p99"), F.lit(1e-9))).alias("max_over_p99"),
+        (F.sum(above) / F.sum("__c") * 100).alias("pct_above_fence"))
 
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q1, median, Q3, whiskers at the furthest data inside 1.5 IQR, and
-    the count of points outside on both sides."""
-    long = unpivot_numeric(df, columns).where(F.col("value").isNotNull())
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    the count of points outside on both sides (one pass over the rows)."""
+    counts, n = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
+    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["q1", "median", "q3"],
+                              known_rows=n)
     lim = q.select("column", "q1", "median", "q3",
                    (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_f"),
                    (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_f"))
-    v = F.col("value")
+    v = F.col("__v")
     inside = (v >= F.col("lo_f")) & (v <= F.col("hi_f"))
-    return long.join(F.broadcast(lim), "column").groupBy("column").agg(
+    return counts.join(F.broadcast(lim), "column").groupBy("column").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, v)).alias("lower_whisker"),
         F.max(F.when(inside, v)).alias("upper_whisker"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(~inside, F.col("__c")).otherwise(F.lit(0))).alias("n_outliers"))
 
 
 # ---------------------------------------------------------------- D12, D13
@@ -230,11 +251,11 @@ def category_target_rate(df: DataFrame, spec: PanelSpec, column: str) -> DataFra
 
 
 def period_moments(df: DataFrame, spec: PanelSpec, column: str) -> DataFrame:
-    """Per period mean, exact median, std (n-1) and the mean +/- std band."""
-    v = F.col(column).cast("double")
-    m = df.groupBy(spec.period).agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
-    med = exact_quantiles(df.select(spec.period, v.alias("__x")), [spec.period], "__x",
-                          [0.5], ["median"])
+    """Per period mean, exact median, std (n-1) and the mean +/- std
+    band, all from one pass (per-period value counts)."""
+    counts, n = materialize(value_counts(df, [spec.period], column))
+    m = _count_moments(counts, [spec.period])
+    med = quantiles_from_counts(counts, [spec.period], [0.5], ["median"], known_rows=n)
     return m.join(med, spec.period).select(
         spec.period, "mean", "median", "std",
         (F.col("mean") - F.col("std")).alias("band_lo"),

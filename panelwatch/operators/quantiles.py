@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.operators.scan import DEFAULT_ROWS_PER_BUCKET, Scan, ordered_scan
+from panelwatch.session import materialize
 
 
 def _clean(col: str, dtype) -> F.Column:
@@ -24,22 +25,25 @@ def _clean(col: str, dtype) -> F.Column:
     return ok
 
 
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """One row per group with one double column per probability.
+def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """``(group..., __v, __c)``: count per distinct non-null, non-NaN value,
+    one pass over the rows with map-side partial aggregation."""
+    dtype = df.schema[value_col].dataType
+    return (df.where(_clean(value_col, dtype))
+            .groupBy(*group_cols, F.col(value_col).cast("double").alias("__v"))
+            .agg(F.count(F.lit(1)).alias("__c")))
 
-    Nulls and NaN are ignored (``np.nanquantile``).  A group with no values
-    gives nulls.
-    """
+
+def quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
+                          names: Sequence[str] | None = None,
+                          rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                          known_rows: int | None = None) -> DataFrame:
+    """Exact quantiles from a ``value_counts`` table (one row per group)."""
     group_cols = list(group_cols)
     names = list(names or [f"q{int(round(p * 1000)):03d}" for p in probs])
-    dtype = df.schema[value_col].dataType
-    counts = (df.where(_clean(value_col, dtype))
-              .groupBy(*group_cols, F.col(value_col).cast("double").alias("__v"))
-              .agg(F.count(F.lit(1)).alias("__c")))
     ranked = ordered_scan(counts, group_cols, ["__v"], [Scan("__cum", "sum", "__c")],
-                          totals={"__n": "__c"}, rows_per_bucket=rows_per_bucket)
+                          totals={"__n": "__c"}, rows_per_bucket=rows_per_bucket,
+                          known_rows=known_rows)
     lo_rank = F.col("__cum") - F.col("__c")  # first 0-based rank held by this value
     hi_rank = F.col("__cum") - 1
     keep = F.lit(False)
@@ -61,7 +65,20 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     res = g.agg(*aggs)
     out = [F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))
            for i in range(len(probs))]
-    res = res.select(*group_cols, *[o.alias(n) for o, n in zip(out, names)])
+    return res.select(*group_cols, *[o.alias(n) for o, n in zip(out, names)])
+
+
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                    probs: Sequence[float], names: Sequence[str] | None = None,
+                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """One row per group with one double column per probability.
+
+    Nulls and NaN are ignored (``np.nanquantile``).  A group with no values
+    gives nulls.
+    """
+    group_cols = list(group_cols)
+    counts, n = materialize(value_counts(df, group_cols, value_col))
+    res = quantiles_from_counts(counts, group_cols, probs, names, rows_per_bucket, known_rows=n)
     if group_cols:
         # groups whose values are all null still get a row (of nulls)
         keys = df.select(*group_cols).distinct()
