@@ -27,7 +27,8 @@ CDF reaches ``k``.  Before the first point the term is ``J(a_1)``; after the
 last it is ``mean_ref - a_K + J(a_K)``.  ``F``, ``S`` (at every point) and
 ``q_k`` come from three ordered scans (``scan.py``) over the union of the
 distinct reference values and the distinct (period, value) points, so the
-work is linear in their number and no group is gathered into one task.
+work is linear in their number and no task holds more than
+``rows_per_bucket`` points of one column or period.
 
 Jensen-Shannon needs only the values present on both sides:
 ``JS^2 = 1/2 sum_both [p ln(2p/(p+q)) + q ln(2q/(p+q))]

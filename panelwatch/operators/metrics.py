@@ -2,8 +2,8 @@
 
 Rows are first reduced to one row per (group, distinct score) with the
 positive and negative counts (map-side partial aggregation).  Ranks come
-from :func:`ordered_scan`, so a group (a month, a split) is never gathered
-into one task:
+from :func:`ordered_scan`, so no task holds more than ``rows_per_bucket``
+distinct scores of one group (a month, a split):
 
 * ROC AUC (ties count half) = sum(pos * (neg_below + neg / 2)) / (P * N)
 * average precision = sum over thresholds of (pos / P) * precision, with

@@ -7,8 +7,9 @@ and one month may hold a third of all rows.  Here a big group is cut into
 value ranges ("buckets") whose bounds come from ``percentile_approx``; each
 bucket is scanned by an ordinary window, and the totals of the earlier
 buckets of the same group are carried in by a small second window over the
-per-bucket totals.  No task ever holds more than about ``rows_per_bucket``
-rows of one group, and the result is exact (bounds only decide where to cut).
+per-bucket totals.  No task holds more than about ``rows_per_bucket`` rows
+of one group (a group that small is scanned whole), and the result is exact
+(the bounds only decide where to cut).
 
 The bounds are collected once to the driver; their count is bounded by
 ``max_bounds`` and checked, so the broadcast they feed has a proven size.
