@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from panelwatch.functions.scalar import regime_label, safe_corr
-from panelwatch.operators.quantiles import exact_quantiles, quantiles_from_counts, value_counts
+from panelwatch.operators.quantiles import quantiles_from_counts, value_counts
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 

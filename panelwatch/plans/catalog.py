@@ -772,7 +772,6 @@ def row_validation_lineitem(spark, sf):
 
 # ================================================================== drift monitoring
 from panelwatch.operators import drift as D  # noqa: E402
-from panelwatch.operators import timeline as TL2  # noqa: E402,F811
 
 _LI_REF = LINEITEM_SPEC.train_periods
 _LI_REF_SQL = ", ".join(f"'{m}'" for m in _LI_REF)

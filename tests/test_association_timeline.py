@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelwatch.functions.stats import chi2_sf, t_two_sided
 from panelwatch.operators import association as A

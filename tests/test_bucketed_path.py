@@ -2,7 +2,6 @@
 records as the single-bucket path, on the real lineitem panel."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelwatch.operators import drift as D
 from panelwatch.operators import metrics as M

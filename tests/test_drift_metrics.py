@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from panelwatch.operators.drift import jensen_shannon_by_period, wasserstein_by_period
 from panelwatch.operators.metrics import evaluate, ranking_metrics

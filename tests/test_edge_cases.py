@@ -5,7 +5,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from panelwatch.functions.scalar import clip
 from panelwatch.operators import drift as D

@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from panelwatch.operators import features as FE
 from panelwatch.operators import scoring as S
