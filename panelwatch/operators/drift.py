@@ -221,6 +221,12 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     Shares, AUC and delta are rounded only in the output; the status uses
     the unrounded values (T5, T8)."""
     per = spec.period
+    # The scored panel is read by four passes below (numeric counts,
+    # categorical counts, score table, row counts); compute the needed
+    # columns once
+    needed = list(dict.fromkeys([per, spec.target, *spec.numeric, *spec.categorical,
+                                 cfg.prediction, *([cfg.rank_score] if cfg.rank_score else [])]))
+    df, _ = materialize(df.select(*needed))
     is_ref = F.col(per).isin(list(reference))
     if periods is None:
         cur = df.where(~is_ref)
