@@ -182,6 +182,9 @@ def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """``(period, column, method, score, threshold, drifted)`` for
     every column and period, one plan."""
+    if numeric and categorical:
+        # numeric and categorical counts are two passes: compute the columns once
+        df, _ = materialize(df.select(period, *numeric, *categorical))
     parts = []
     if numeric:
         w = wasserstein_by_period(unpivot_numeric(df, numeric, keep=[period]), period, reference,
