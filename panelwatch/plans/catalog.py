@@ -851,37 +851,40 @@ def column_drift_lineitem(spark, sf):
                                        .otherwise(F.col("column")))
 
 
-def _monthly_sql() -> str:
-    feats = _LI_FEATS
+def monthly_sql(drift_cte: str, period: str, target: str, feats, reference, regime: str,
+                month_alias: str = "month") -> str:
+    """Oracle for ``drift.monthly_drift`` on top of a ``drift_sql`` CTE chain
+    (needs columns ``z`` and ``prediction`` in ``sc``)."""
+    ref_sql = ", ".join(f"'{m}'" for m in reference)
     order = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(feats))
     return (
-        _drift_sql()
-        + f", fa AS (SELECT ship_month, CAST(count_if(drifted) AS INTEGER) AS dc, "
+        drift_cte
+        + f", fa AS (SELECT {period}, CAST(count_if(drifted) AS INTEGER) AS dc, "
         f"string_agg(CASE WHEN drifted THEN \"column\" END, ', ' ORDER BY CASE \"column\" {order} "
         f"END) AS dl FROM cd WHERE \"column\" <> 'prediction' GROUP BY 1), "
-        f"pd AS (SELECT ship_month, score AS pscore, drifted AS pdet FROM cd WHERE \"column\" = "
+        f"pd AS (SELECT {period}, score AS pscore, drifted AS pdet FROM cd WHERE \"column\" = "
         f"'prediction'), "
-        f"st AS (SELECT ship_month, z, count_if(returned = 1) AS pos, count_if(returned = 0) AS neg"
+        f"st AS (SELECT {period}, z, count_if({target} = 1) AS pos, count_if({target} = 0) AS neg"
         f" FROM sc GROUP BY 1, 2), "
         f"rr AS (SELECT *, sum(neg) OVER w AS neg_le, sum(pos) OVER pm AS pp, sum(neg) OVER pm AS nn"
-        f" FROM st WINDOW w AS (PARTITION BY ship_month ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING"
-        f" AND CURRENT ROW), pm AS (PARTITION BY ship_month)), "
-        f"auc AS (SELECT ship_month, CASE WHEN any_value(pp) > 0 AND any_value(nn) > 0 THEN "
+        f" FROM st WINDOW w AS (PARTITION BY {period} ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW), pm AS (PARTITION BY {period})), "
+        f"auc AS (SELECT {period}, CASE WHEN any_value(pp) > 0 AND any_value(nn) > 0 THEN "
         f"sum(pos * ((neg_le - neg) + 0.5 * neg)) / (any_value(pp) * any_value(nn)) END AS auc "
         f"FROM rr GROUP BY 1), "
-        f"rst AS (SELECT z, count_if(returned = 1) AS pos, count_if(returned = 0) AS neg FROM sc "
-        f"WHERE ship_month IN ({_LI_REF_SQL}) GROUP BY 1), "
+        f"rst AS (SELECT z, count_if({target} = 1) AS pos, count_if({target} = 0) AS neg FROM sc "
+        f"WHERE {period} IN ({ref_sql}) GROUP BY 1), "
         f"rrr AS (SELECT *, sum(neg) OVER (ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT "
         f"ROW) AS neg_le, sum(pos) OVER () AS pp, sum(neg) OVER () AS nn FROM rst), "
         f"rauc AS (SELECT sum(pos * ((neg_le - neg) + 0.5 * neg)) / (any_value(pp) * any_value(nn))"
         f" AS ra FROM rrr), "
-        f"cnt AS (SELECT ship_month, count(*) AS n_rows FROM sc WHERE ship_month NOT IN "
-        f"({_LI_REF_SQL}) GROUP BY 1), "
-        f"rec AS (SELECT c.ship_month, c.n_rows, coalesce(fa.dc, 0) AS dc, fa.dl, pd.pscore, "
+        f"cnt AS (SELECT {period}, count(*) AS n_rows FROM sc WHERE {period} NOT IN "
+        f"({ref_sql}) GROUP BY 1), "
+        f"rec AS (SELECT c.{period}, c.n_rows, coalesce(fa.dc, 0) AS dc, fa.dl, pd.pscore, "
         f"pd.pdet, auc.auc, rauc.ra, coalesce(fa.dc, 0) / {float(len(feats))!r} AS share, "
-        f"auc.auc - rauc.ra AS delta FROM cnt c LEFT JOIN fa USING (ship_month) LEFT JOIN pd "
-        f"USING (ship_month) LEFT JOIN auc USING (ship_month) CROSS JOIN rauc) "
-        f"SELECT ship_month AS month, {LI_REG} AS regime, n_rows, dc AS drifted_columns_count, "
+        f"auc.auc - rauc.ra AS delta FROM cnt c LEFT JOIN fa USING ({period}) LEFT JOIN pd "
+        f"USING ({period}) LEFT JOIN auc USING ({period}) CROSS JOIN rauc) "
+        f"SELECT {period} AS {month_alias}, {regime} AS regime, n_rows, dc AS drifted_columns_count, "
         f"round(share, 4) AS drifted_columns_share, coalesce(dl, '') AS drifted_columns, "
         f"round(pscore, 4) AS prediction_drift_score, coalesce(pdet, false) AS "
         f"prediction_drift_detected, round(auc, 4) AS roc_auc, round(delta, 4) AS auc_delta, "
@@ -889,6 +892,10 @@ def _monthly_sql() -> str:
         f"'VIGILAR' ELSE 'OK' END AS status, round(ra, 4) AS reference_roc_auc FROM rec")
 
 
+def _monthly_sql() -> str:
+    return monthly_sql(_drift_sql(), "ship_month", "returned", _LI_FEATS, _LI_REF, LI_REG)
+
+
 def monthly_drift_lineitem(spark, sf):
     """Library result (array of drifted columns kept as an array)."""
     return D.monthly_drift(_scored_li(spark, sf), LINEITEM_SPEC, _LI_REF, LINEITEM_REGIMES,
@@ -1121,3 +1128,26 @@ def drift_history_roundtrip_lineitem(spark, sf):
     IO.write_drift_history(doc, path)
     back = IO.read_drift_history(spark, path)
     return back.select("month", "status", "drifted_columns_count", "roc_auc")
+
+
+# A fixed scorecard for the events panel (value and the JSON field k).
+EVENTS_CARD = S.Scorecard(intercept=-1.4, numeric={"value": (10.0, 6.0, 0.3),
+                                                   "prop_k": (50.0, 29.0, -0.2)})
+_EV_REG = regime_sql("event_day", EVENTS_REGIMES)
+
+
+@register("daily_drift_status_events",
+          monthly_sql(drift_sql(EV, "ev", "event_day", EVENTS_SPEC.train_periods,
+                                EVENTS_SPEC.numeric + ("prediction",), (),
+                                f"{prob_sql(EVENTS_CARD)} AS prediction, "
+                                f"{card_sql(EVENTS_CARD)} AS z"),
+                      "event_day", "is_error", EVENTS_SPEC.numeric, EVENTS_SPEC.train_periods,
+                      _EV_REG),
+          ("drifted_columns_share", "prediction_drift_score", "roc_auc", "auc_delta",
+           "reference_roc_auc"))
+def daily_drift_status_events(spark, sf):
+    """R3-R10 on the daily events panel: every day after the first week
+    against that week, with a stated scorecard as the model."""
+    ev = S.linear_score(events_panel(spark, sf), EVENTS_CARD, "score", z_out="z")
+    rec = D.monthly_drift(ev, EVENTS_SPEC, EVENTS_SPEC.train_periods, EVENTS_REGIMES, cfg=_MCFG)
+    return rec.withColumn("drifted_columns", F.array_join("drifted_columns", ", "))
