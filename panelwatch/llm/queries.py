@@ -24,8 +24,8 @@ _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 OP4_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
+         list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
   FROM documents),
 win AS (
   SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS g
@@ -35,11 +35,11 @@ cover AS (
   SELECT rid, sum(least(8, coalesce(nxt - i, 8))) AS n
   FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM twice) GROUP BY rid),
 f AS (
-  SELECT d.rid, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT d.rid, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(cover.n, 0)::BIGINT AS n_repeat_words,
-         len(l) AS n_lines, len(list_filter(w, x -> lower(x) IN ({_STOPS}))) AS n_stop,
+         len(l) AS n_lines, len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop,
          length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper
   FROM d LEFT JOIN cover USING (rid)),
 g AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
