@@ -3,11 +3,44 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import quality
+from panelwatch.llm import decontaminate, hilbert, quality, sentencepiece_codec, token_cache, url_filter
 from panelwatch.llm.common import table
 
+#: rules of the URL query: host, path, verdict (fixed values)
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+#: hosts that the filter's own list blocks where no rule fits
+URL_BLOCKED = (("spam-farm.example.org", "/"), ("cheap-pills.example.com", "/"))
+
+
+def op1_decontamination(spark, sf_dir):
+    """Verbatim benchmark matches in every document."""
+    out = decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op2_sentencepiece(spark, sf_dir):
+    """Every document's ids, and whether decoding them gives the text back
+    (with U+2581, the space mark itself, read as a space)."""
+    docs = table(spark, sf_dir, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_codec.round_trip(docs, model)
+
+
+def op3_url_filter(spark, sf_dir):
+    """Verdict of the URL filter for every page."""
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, URL_BLOCKED)
+
 
 def op4_quality_rules(spark, sf_dir):
     """Figures and verdicts of the quality rules for every document."""
@@ -15,10 +48,70 @@ def op4_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_sharding(spark, sf_dir):
+    """Eight shards of all documents in Hilbert order."""
+    return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), 8)
+
+
+def op10_token_counts(spark, sf_dir):
+    """Token counts of every document, through a cache that starts empty."""
+    return token_cache.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    token_cache.cache_path(spark, uuid.uuid4().hex))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op8_sharding": op8_sharding,
+    "op10_token_counts": op10_token_counts,
 }
 
+OP1_SQL = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, s AS size, array_to_string(w[i:i + s - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 13) AS s, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+dw AS (
+  SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+hits AS (SELECT rid, item_id, i, dw.size FROM dw JOIN win ON dw.size = win.size AND dw.g = win.g),
+words AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM hits) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n, sha256(string_agg(name, ',' ORDER BY name)) AS s
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS name FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       coalesce(items.s, sha256('')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+OP3_SQL = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+listed(host, path) AS (VALUES ('spam-farm.example.org', '/'), ('cheap-pills.example.com', '/')),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fit AS (
+  SELECT rid, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY rid),
+own AS (
+  SELECT DISTINCT rid FROM p JOIN listed r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN own.rid IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN fit USING (rid) LEFT JOIN own ON own.rid = p.rid
+"""
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 
 OP4_SQL = rf"""
@@ -51,5 +144,7 @@ FROM g
 """
 
 ORACLE = {
+    "op1_decontamination": OP1_SQL,
+    "op3_url_filter": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
 }
