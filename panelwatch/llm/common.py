@@ -122,15 +122,16 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit polynomial hash of each word's bytes, mixed."""
+    def hashes(self, *heads: int):
+        """A 64-bit polynomial hash of each word's bytes, mixed; with ``heads``
+        a list: that, and the hashes of the words' first so many bytes."""
         n = len(self.data)
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        up, down = powers(n)
         total = np.zeros(n + 1, np.uint64)
+        up, down = powers(n)
         np.cumsum(_BYTE[self.data] * up[:n], out=total[1:])
-        return mixed((total[self.ends] - total[self.starts]) * down[self.starts])
+        made = [mixed((total[end] - total[self.starts]) * down[self.starts])
+                for end in (self.ends, *[np.minimum(self.ends, self.starts + k) for k in heads])] if len(self.starts) else [np.zeros(0, np.uint64)] * (1 + len(heads))
+        return made if heads else made[0]
 
     def owner(self) -> np.ndarray:
         """The text that each word is in."""

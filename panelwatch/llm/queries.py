@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontaminate, hilbert, quality, sentencepiece_codec, token_cache, url_filter
+from panelwatch.llm import decontaminate, hilbert, html_extract, near_dedup, quality, sentencepiece_codec, token_cache, toxicity, url_filter
 from panelwatch.llm.common import table
 
 #: rules of the URL query: host, path, verdict (fixed values)
@@ -48,6 +48,29 @@ def op4_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_near_duplicates(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def held_out(key, folds: int, fold: int):
+    """Whether a row lies in the given fold by the checksum of its id."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")), F.lit(0)) % folds == fold
+
+
+def op7_toxicity(spark, sf_dir):
+    """Toxicity score of every document; labels of fold 1 of 3 are never learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train_if=lambda key: ~held_out(key, 3, 1))
+    return toxicity.toxicity_scores(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_sharding(spark, sf_dir):
     """Eight shards of all documents in Hilbert order."""
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), 8)
@@ -64,7 +87,10 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
+    "op9_html_extraction": op9_html_extraction,
     "op10_token_counts": op10_token_counts,
 }
 
