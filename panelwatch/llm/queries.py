@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontaminate, hilbert, html_extract, near_dedup, quality, sentencepiece_codec, token_cache, toxicity, url_filter
+from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, token_cache, toxicity, url_filter
 from panelwatch.llm.common import table
 
 #: rules of the URL query: host, path, verdict (fixed values)
@@ -48,6 +48,11 @@ def op4_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_lm_scoring(spark, sf_dir):
+    """Model and base scores of every document; fold 2 of 7 is never learnt from."""
+    return maxent_lm.lm_scores(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
 def op6_near_duplicates(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -87,6 +92,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
