@@ -35,7 +35,8 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects where ``low <= value <= high`` does not hold (None: no bound)."""
+    """Rejects where ``low <= value <= high`` does not hold (None: no bound).  ``value`` is
+    the ratio of two figures, written ``a / b``; a ratio over 0 is rejected."""
 
     name: str
     value: str
@@ -43,7 +44,7 @@ class Rule:
     high: float | None = None
 
 
-#: the threshold table; values are SQL expressions over the figures
+#: the threshold table
 RULES = (
     Rule("mean_word_length", "word_chars / n_words", 1.5, 25.0),
     Rule("symbols_per_word", "n_symbols / n_words", None, 0.5),
@@ -102,13 +103,12 @@ def repeated_words(words: Column, size: int = WINDOW) -> Column:
         _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(exact)))
 
 
-def quality_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and the figures that the rules use."""
+def _figures(base: DataFrame, key: str) -> DataFrame:
+    """``key`` and the figures of the text in column ``text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("text")).select(
-        id_col, text.alias("text"), _words(text).alias("words"), _lines(text).alias("lines"))
+    base = base.select(key, text.alias("text"), _words(text).alias("words"), _lines(text).alias("lines"))
     return base.select(
-        id_col,
+        key,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", WHITE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -120,22 +120,31 @@ def quality_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES, min_words: int = 20,
-                  max_repeat_percent: int = 30) -> DataFrame:
-    """One row per input row: figures, base verdict, the rules that reject it
-    (``failed_rules``) and ``kept``."""
-    figures = quality_figures(docs, id_col, text_col)
+def _verdicts(figures: DataFrame, rules, min_words: int, max_repeat_percent: int) -> DataFrame:
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     failed = []
     for r in rules:
         a, _, b = r.value.partition(" / ")
-        value = F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")) if b else F.expr(r.value)
+        value = F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
         bad = F.lit(False)
         if r.low is not None:
             bad = bad | F.coalesce(value < r.low, F.lit(True))
         if r.high is not None:
             bad = bad | F.coalesce(value > r.high, F.lit(True))
         failed.append(F.when(bad, F.lit(r.name)))
-    out = figures.withColumn("base_failed", base).withColumn(
-        "failed_rules", F.concat_ws(",", *failed) if failed else F.lit(""))
+    out = figures.withColumn("base_failed", base).withColumn("failed_rules", F.concat_ws(",", *failed) if failed else F.lit(""))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES, min_words: int = 20,
+                  max_repeat_percent: int = 30) -> DataFrame:
+    """One row per input row: figures, base verdict, the rules that reject it
+    (``failed_rules``) and ``kept``."""
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _verdicts(_figures(base, "id"), rules, min_words, max_repeat_percent).withColumnRenamed("id", id_col)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", rules=RULES, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
+    """The rows that the rules keep, all columns as they are (the row rides along, no join)."""
+    base = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    return _verdicts(_figures(base, "row"), rules, min_words, max_repeat_percent).where("kept").select("row.*")
