@@ -22,6 +22,9 @@ from panelwatch.session import scratch_path
 #: bytes of text handled at once inside a task; one longer text is a piece alone
 PIECE_BYTES = 2 << 20
 
+#: bytes hashed at once
+STEP_BYTES = 1 << 19
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -59,8 +62,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the hash base and of its inverse, modulo 2^64."""
-    if len(_powers.get("up", ())) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+    if len(_powers.get("up", ())) < max(n, 1):
+        size = 1 << max(16, int(n).bit_length())
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
@@ -124,14 +127,24 @@ class Words:
 
     def hashes(self, *heads: int):
         """A 64-bit polynomial hash of each word's bytes, mixed; with ``heads``
-        a list: that, and the hashes of the words' first so many bytes."""
-        n = len(self.data)
-        total = np.zeros(n + 1, np.uint64)
-        up, down = powers(n)
-        np.cumsum(_BYTE[self.data] * up[:n], out=total[1:])
-        made = [mixed((total[end] - total[self.starts]) * down[self.starts])
-                for end in (self.ends, *[np.minimum(self.ends, self.starts + k) for k in heads])] if len(self.starts) else [np.zeros(0, np.uint64)] * (1 + len(heads))
-        return made if heads else made[0]
+        a list: that, and the hashes of the words' first so many bytes.
+
+        Works through the bytes in steps, so the working memory does not
+        grow with the run (a longer word is a step alone)."""
+        out = [np.empty(len(self.starts), np.uint64) for _ in range(1 + len(heads))]
+        a = 0
+        while a < len(self.starts):
+            lo = self.starts[a]
+            b = max(a + 1, int(np.searchsorted(self.ends, lo + STEP_BYTES, side="right")))
+            starts, ends = self.starts[a:b] - lo, self.ends[a:b] - lo
+            n = int(ends[-1])
+            up, down = powers(n)
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTE[self.data[lo:lo + n]] * up[:n], out=total[1:])
+            for made, end in zip(out, (ends, *[np.minimum(ends, starts + k) for k in heads])):
+                made[a:b] = mixed((total[end] - total[starts]) * down[starts])
+            a = b
+        return out if heads else out[0]
 
     def owner(self) -> np.ndarray:
         """The text that each word is in."""

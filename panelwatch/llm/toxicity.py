@@ -72,13 +72,14 @@ def word_rows(words: Words, buckets: int) -> np.ndarray:
     return np.stack([(x % np.uint64(buckets)).astype(np.int32) for x in (h, h >> np.uint64(32), *heads)], axis=1)
 
 
-def padded(rows: np.ndarray, counts: np.ndarray, pad: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Texts one after the other, each followed by ``pad`` padding rows; where each begins."""
-    first = np.concatenate([[0], np.cumsum(counts + pad)])
-    out = np.full((first[-1] + pad, TABLES), buckets, np.int32)
-    at = np.arange(len(rows)) + np.repeat(np.arange(len(counts)) * pad, counts)
-    out[at] = rows
-    return out, first[:-1]
+def padded(rows: np.ndarray, counts: np.ndarray, pad: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts one after the other, each followed by ``pad`` padding rows (one more for a text
+    without words); the first and the end of the positions where filters start in each."""
+    size = np.maximum(counts, 1)
+    first = np.concatenate([[0], np.cumsum(size + pad)])
+    out = np.full((first[-1], TABLES), buckets, np.int32)
+    out[np.arange(len(rows)) + np.repeat(first[:-1] - np.cumsum(counts) + counts, counts)] = rows
+    return out, first[:-1], first[:-1] + size
 
 
 def _responses(model: Model, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +117,8 @@ def scores(model: Model, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if not model.tables:
         return np.full(len(counts), 1 / (1 + np.exp(-model.base)))
     pad = max(len(f) for f in model.filters) - 1
-    seq, first = padded(rows, counts, pad, len(model.tables[0]) - 1)
+    seq, first, last = padded(rows, counts, pad, len(model.tables[0]) - 1)
     _, r = _responses(model, seq)
-    last = np.append(first[1:], len(r))
     cols = np.tile(np.arange(r.shape[1]), len(RANKS))
     top = np.maximum(r[_pooled_at(r, first, last), cols] + model.bias, 0)
     return 1 / (1 + np.exp(-(top.astype(np.float64) @ model.out + model.base)))
@@ -157,16 +157,16 @@ def train(texts: list[np.ndarray], labels: np.ndarray, share: float, s: Settings
         order = rng.permutation(len(texts))
         for a in range(0, len(order), s.batch):
             pick = order[a:a + s.batch]
-            seq, first = padded(np.concatenate([texts[i] for i in pick]), counts[pick], pad, s.buckets)
-            _step(m, grown, seq, first, labels[pick], s)
+            seq, first, last = padded(np.concatenate([texts[i] for i in pick]), counts[pick], pad, s.buckets)
+            _step(m, grown, seq, first, last, labels[pick], s)
     m.base += float(odds - np.log(pos / (1 - pos)))
     return m
 
 
-def _step(m: Model, grown, seq: np.ndarray, first: np.ndarray, y: np.ndarray, s: Settings) -> None:
+def _step(m: Model, grown, seq: np.ndarray, first: np.ndarray, last: np.ndarray, y: np.ndarray, s: Settings) -> None:
     x, r = _responses(m, seq)
     n = r.shape[1]
-    best = _pooled_at(r, first, np.append(first[1:], len(r)))  # text x (rank, filter)
+    best = _pooled_at(r, first, last)  # text x (rank, filter)
     top = r[best, np.tile(np.arange(n), len(RANKS))] + m.bias
     pooled = np.maximum(top, 0)
     p = 1 / (1 + np.exp(-(pooled @ m.out + m.base)))
