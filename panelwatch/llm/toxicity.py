@@ -40,7 +40,7 @@ RANKS = (1, 3)
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of the model and bounds of its training sample."""
+    """Sizes of the model (``buckets``: a power of two) and bounds of its training sample."""
 
     buckets: int = 1 << 16
     width: int = 8
@@ -69,7 +69,8 @@ class Model:
 def word_rows(words: Words, buckets: int) -> np.ndarray:
     """The table rows of each word, ``buckets`` standing for padding."""
     h, *heads = words.hashes(*HEADS)
-    return np.stack([(x % np.uint64(buckets)).astype(np.int32) for x in (h, h >> np.uint64(32), *heads)], axis=1)
+    low = np.uint64(buckets - 1)
+    return np.stack([(x & low).astype(np.int32) for x in (h, h >> np.uint64(32), *heads)], axis=1)
 
 
 def padded(rows: np.ndarray, counts: np.ndarray, pad: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -211,10 +211,11 @@ def test_lm_probabilities_sum_to_one(spark):
     counts = maxent_lm.count(blocks, 3, s)
     m = maxent_lm.train(blocks, counts, s)
     assert m.tokens == 15 and m.kinds == 5
-    p = np.exp(maxent_lm._class_log(m, maxent_lm.features(np.array([1, 2, 3], np.uint64), np.array([3]), 64)))
-    assert p.sum(axis=1) == pytest.approx(1)
-    inside = (m.tail_words + m.tail_kinds + 1) / (m.tail_words + m.tail_kinds + 1)  # words of a class and one unseen
-    assert inside == pytest.approx(1)
+    known, sizes = np.array([7, 8, 9], np.uint64), np.array([2, 1])
+    f = maxent_lm.features(known, np.array([0, 2, 2]), sizes, 64)
+    assert (f[:, 0] == f[:, 2]).all() and (f[:, 0] != f[:, 1]).any()  # both begin a text
+    z, e = maxent_lm._class_odds(m, f)
+    assert (e / e.sum(axis=1, keepdims=True)).sum(axis=1) == pytest.approx(1)
     # a second text after the first sees the start again, not the first's words
     one = {r.doc_id: r.score for r in maxent_lm.score(blocks, counts, m, "doc_id", s).collect()}
     assert one[3] == one[4]
