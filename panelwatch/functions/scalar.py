@@ -53,11 +53,6 @@ def clip(x: str | Column, lo: float | Column | None = None,
         out.cast("double"))
 
 
-def round_to(x: str | Column, digits: int) -> Column:
-    """H4: round half away from zero (Spark ``round``), applied only at output."""
-    return F.round(col(x), digits)
-
-
 def month_labels(spark: SparkSession, start: str, n: int, name: str = "period") -> DataFrame:
     """H5: ``n`` consecutive ``yyyy-MM`` labels from ``start``."""
     first = F.to_date(F.lit(start + "-01"))
@@ -77,8 +72,8 @@ def period_from_path(path: str | Column) -> Column:
 
 
 def relative_change(new: str | Column, base: str | Column) -> Column:
-    """H8: ``new / base - 1``."""
-    return col(new) / col(base) - F.lit(1.0)
+    """H8: ``new / base - 1``, null on a zero base."""
+    return F.try_divide(col(new).cast("double"), col(base).cast("double")) - F.lit(1.0)
 
 
 def signed_percent_text(x: str | Column) -> Column:
@@ -86,11 +81,6 @@ def signed_percent_text(x: str | Column) -> Column:
     return F.format_string("%+.1f%%", col(x) * F.lit(100.0))
 
 
-def join_list(arr: str | Column, sep: str = ", ") -> Column:
-    """H9: join an array of strings into text."""
-    return F.array_join(col(arr), sep)
-
-
 def decision(p: str | Column, threshold: float = DECISION_THRESHOLD) -> Column:
     """Class from the unrounded probability, ``p >= threshold``."""
     return (col(p) >= F.lit(float(threshold))).cast("int")
@@ -116,11 +106,6 @@ def drift_status(share: str | Column, auc_delta: str | Column,
             .otherwise(F.lit(STATUS_OK)))
 
 
-def floor_denominator(x: str | Column, floor: float = 1e-9) -> Column:
-    """``max(x, floor)``."""
-    return F.greatest(col(x), F.lit(floor))
-
-
 def safe_ratio(a: str | Column, b: str | Column) -> Column:
     """``a / b`` with 0 on a zero denominator (``zero_division=0``)."""
     return F.coalesce(F.try_divide(col(a).cast("double"), col(b).cast("double")), F.lit(0.0))
@@ -151,13 +136,10 @@ def regime_label(period: str | Column, regimes: RegimeSpec) -> Column:
     return expr.otherwise(F.lit(None).cast("string"))
 
 
-def in_periods(period: str | Column, periods: Sequence[str]) -> Column:
-    """Keep a list of periods (a partition filter on partitioned data)."""
-    return col(period).isin(list(periods))
-
-
 def safe_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson correlation that is null (not an error under ANSI mode) when
-    either side has zero variance or fewer than two rows."""
+    """Pearson correlation over the rows where both sides are present; null (not
+    an error under ANSI mode) when either has zero variance there or fewer
+    than two such rows."""
     xc, yc = col(x).cast("double"), col(y).cast("double")
-    return F.try_divide(F.covar_samp(xc, yc), F.stddev_samp(xc) * F.stddev_samp(yc))
+    xb, yb = F.when(yc.isNotNull(), xc), F.when(xc.isNotNull(), yc)
+    return F.try_divide(F.covar_samp(xb, yb), F.stddev_samp(xb) * F.stddev_samp(yb))

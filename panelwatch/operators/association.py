@@ -12,11 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from panelwatch.functions.scalar import regime_label, safe_corr
+from panelwatch.functions.scalar import (
+    regime_label, relative_change, safe_corr, signed_percent_text,
+)
 from panelwatch.functions.stats import chi2_pvalue, correlation_pvalue
 from panelwatch.operators.profile import period_category_rate, unpivot_categorical
+from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
 
@@ -101,11 +103,11 @@ def chi_square(df: DataFrame, spec: PanelSpec, columns: Sequence[str],
     long = unpivot_categorical(df, columns, keep=[spec.target]).where(F.col("value").isNotNull())
     cells = long.groupBy("column", "value").agg(F.count_if(t == 0).alias("o0"),
                                                 F.count_if(t == 1).alias("o1"))
-    per = W.partitionBy("column")  # one row per distinct value of the column
-    tab = cells.select(
-        "column", "o0", "o1", (F.col("o0") + F.col("o1")).alias("r"),
-        F.sum("o0").over(per).alias("c0"), F.sum("o1").over(per).alias("c1"),
-        F.count(F.lit(1)).over(per).alias("n_values"))
+    cells = materialize(cells)  # one row per distinct value; read twice
+    per = cells.groupBy("column").agg(  # one row per tested column
+        F.sum("o0").alias("c0"), F.sum("o1").alias("c1"), F.count(F.lit(1)).alias("n_values"))
+    tab = cells.join(F.broadcast(per), "column").select(
+        "column", "o0", "o1", (F.col("o0") + F.col("o1")).alias("r"), "c0", "c1", "n_values")
     n = F.col("c0") + F.col("c1")
     n_cls = (F.col("c0") > 0).cast("int") + (F.col("c1") > 0).cast("int")
     dof = (F.col("n_values") - 1) * (n_cls - 1)
@@ -129,7 +131,7 @@ def chi_square(df: DataFrame, spec: PanelSpec, columns: Sequence[str],
     if with_pvalue:
         out = (out.withColumn("p_value", chi2_pvalue(F.col("chi2"), F.col("dof").cast("double")))
                .withColumn("significant", F.col("p_value") < F.lit(0.05)))
-    return out
+    return out.orderBy(F.col("cramers_v").desc_nulls_last(), "column")
 
 
 # ---------------------------------------------------------------- D27
@@ -152,7 +154,8 @@ def point_biserial(df: DataFrame, spec: PanelSpec, columns: Sequence[str],
                  F.col(f"{c}__m0").alias("mean_negative"),
                  F.col(f"{c}__n").alias("n")) for c in columns]))
     out = wide.select(rows).withColumn(
-        "relative_diff", F.col("mean_positive") / F.col("mean_negative") - F.lit(1.0))
+        "relative_diff", relative_change("mean_positive", "mean_negative")).withColumn(
+        "relative_diff_text", signed_percent_text("relative_diff"))
     if with_pvalue:
         out = out.withColumn("p_value", correlation_pvalue(F.col("r"), F.col("n")))
     return out.orderBy(F.abs("r").desc_nulls_last(), "column")

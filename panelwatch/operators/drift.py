@@ -27,8 +27,10 @@ CDF reaches ``k``.  Before the first point the term is ``J(a_1)``; after the
 last it is ``mean_ref - a_K + J(a_K)``.  ``F``, ``S`` (at every point) and
 ``q_k`` come from three ordered scans (``scan.py``) over the union of the
 distinct reference values and the distinct (period, value) points, so the
-work is linear in their number and no task holds more than
-``rows_per_bucket`` points of one column or period.
+work is linear in their number and no task holds a whole column or period.
+
+Nothing stores raw rows: every role (numeric values, categorical values, scores,
+row counts) is one aggregate straight from the pruned scan.
 
 Jensen-Shannon needs only the values present on both sides:
 ``JS^2 = 1/2 sum_both [p ln(2p/(p+q)) + q ln(2q/(p+q))]
@@ -43,14 +45,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from panelwatch.functions.scalar import (
     AUC_DROP_THRESHOLD, DRIFT_SHARE_THRESHOLD, drift_status, regime_label,
 )
 from panelwatch.operators.metrics import ranking_metrics
 from panelwatch.operators.profile import unpivot_categorical, unpivot_numeric
-from panelwatch.operators.scan import DEFAULT_ROWS_PER_BUCKET, Scan, ordered_scan
+from panelwatch.operators.scan import Scan, ordered_scan
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
@@ -63,24 +64,24 @@ def _clean_numeric(long: DataFrame) -> DataFrame:
 
 
 def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str],
-                          periods: Sequence[str] | None = None,
-                          rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                          periods: Sequence[str] | None = None) -> DataFrame:
     """``(period, column, w1, sd_ref, score)`` from a long numeric table
-    ``(period, column, value)``."""
-    # one pass over the rows: counts per (period, column, distinct value)
-    counts = (_clean_numeric(long).groupBy(period, "column", "value")
-              .agg(F.count(F.lit(1)).alias("n")))
-    counts, n_counts = materialize(counts)
-    cached = [counts]
+    ``(period, column, value)``, for the given periods (default: all that
+    are not in the reference)."""
     is_ref = F.col(period).isin(list(reference))
+    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
+    # one pass over the rows: counts per (period, column, distinct value)
+    counts = materialize(_clean_numeric(long).where(is_ref | analysed).groupBy(period, "column", "value")
+                         .agg(F.count(F.lit(1)).alias("n")))
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("n").alias("n"))
     mom = ref.groupBy("column").agg(F.sum("n").alias("n_ref"),
                                     (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean_ref"))
-    var = (ref.join(mom, "column")
+    var = (ref.join(F.broadcast(mom), "column")
            .groupBy("column").agg((F.sum(F.col("n") * (F.col("value") - F.col("mean_ref")) ** 2)
                                    / F.first("n_ref")).alias("var_ref")))
-    ref_stats = mom.join(var, "column").withColumn("sd_ref", F.sqrt("var_ref"))
-    cur = counts if periods is None else counts.where(F.col(period).isin(list(periods)))
+    # one row per column: a broadcast of proven size
+    ref_stats = F.broadcast(materialize(mom.join(var, "column").withColumn("sd_ref", F.sqrt("var_ref"))))
+    cur = counts.where(analysed)
 
     # ---- scan A: reference CDF F and S at every reference and period point
     stream = (ref.select("column", "value", F.lit(0).alias("kind"),
@@ -92,9 +93,7 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     stream = stream.join(ref_stats.select("column", "n_ref", "mean_ref"), "column")
     a = ordered_scan(stream, ["column"], ["value", "kind", period],
                      [Scan("cnt_ref", "sum", "nr"),
-                      Scan("sum_ref", "sum", F.col("nr") * F.col("value"))],
-                     rows_per_bucket=rows_per_bucket, materialize_output=True,
-                     known_rows=2 * n_counts)
+                      Scan("sum_ref", "sum", F.col("nr") * F.col("value"))])
     a = (a.withColumn("F", F.col("cnt_ref") / F.col("n_ref"))
          .withColumn("J", F.col("value") * F.col("F") - F.col("sum_ref") / F.col("n_ref")))
     ref_pts = a.where(F.col("kind") == 0).select(
@@ -107,8 +106,7 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     cur_pts = cur_pts.withColumn("vj", F.struct(F.col("value").alias("v"), F.col("J").alias("j")))
     b = ordered_scan(cur_pts, [period, "column"], ["value"],
                      [Scan("cnt_ge", "sum", "nc"), Scan("nxt", "min", "vj", inclusive=False)],
-                     ascending=False, totals={"n_cur": "nc"}, rows_per_bucket=rows_per_bucket,
-                     materialize_output=True, known_rows=n_counts)
+                     ascending=False, totals={"n_cur": "nc"})
     b = (b.withColumn("k", (F.col("n_cur") - F.col("cnt_ge") + F.col("nc")) / F.col("n_cur"))
          .withColumn("next_v", F.col("nxt.v")).withColumn("Jb", F.col("nxt.j"))
          .drop("vj", "nxt"))
@@ -123,8 +121,7 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     pt_side = b.select("column", F.col("k").alias("level"), F.lit(0).alias("kind"), period,
                        *pt_cols, F.lit(None).cast(ref_side.schema["uj"].dataType).alias("uj"))
     c = ordered_scan(ref_side.unionByName(pt_side), ["column"], ["level", "kind", period, "value"],
-                     [Scan("quj", "min", "uj")], ascending=False, rows_per_bucket=rows_per_bucket,
-                     known_rows=2 * n_counts)
+                     [Scan("quj", "min", "uj")], ascending=False)
     t = c.where(F.col("kind") == 0).withColumn("q", F.col("quj.u")).withColumn("Jq", F.col("quj.ju"))
 
     av, bv, k = F.col("value"), F.col("next_v"), F.col("k")
@@ -139,37 +136,33 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     w1 = w1.join(ref_stats.select("column", "sd_ref"), "column")
     score = (F.when(F.col("sd_ref") > 0, F.col("w1") / F.col("sd_ref"))
              .when(F.abs(F.col("w1")) < F.lit(1e-12), F.lit(0.0)))
-    out = w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
-                    "sd_ref", score.alias("score"))
-    # the result has one row per (period, column): compute it, then release
-    # the cached intermediates of this operator
-    out, _ = materialize(out)
-    for f in cached + [a, b]:
-        f.unpersist()
-    return out
+    return w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
+                     "sd_ref", score.alias("score"))
 
 
 def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[str],
                              periods: Sequence[str] | None = None) -> DataFrame:
     """``(period, column, score)`` Jensen-Shannon distance (natural log)
     between the value shares of each period and of the reference."""
-    vals = long.where(F.col("value").isNotNull())
-    ref = vals.where(F.col(period).isin(list(reference))).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("nr"))
-    # per-column total over the distinct categories of that column
-    ref = ref.withColumn("tot_r", F.sum("nr").over(Window.partitionBy("column")))
-    cur_rows = vals if periods is None else vals.where(F.col(period).isin(list(periods)))
-    cur = (cur_rows.groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("nc"))
-           .withColumn("tot_c", F.sum("nc").over(Window.partitionBy(period, "column"))))
-    tot = cur.select(period, "column").distinct()
-    both = cur.join(ref, ["column", "value"])
+    is_ref = F.col(period).isin(list(reference))
+    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
+    # one pass over the rows; everything below runs on the distinct values
+    counts = materialize(long.where(F.col("value").isNotNull() & (is_ref | analysed))
+                         .groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("nc")))
+    ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("nc").alias("nr"))
+    # totals have one row per column, or per (period, column): broadcasts of proven size
+    ref_total = ref.groupBy("column").agg(F.sum("nr").alias("tot_r"))
+    cur = counts.where(analysed)
+    tot = cur.groupBy(period, "column").agg(F.sum("nc").alias("tot_c"))
+    both = (cur.join(ref, ["column", "value"]).join(F.broadcast(ref_total), "column")
+            .join(F.broadcast(tot), [period, "column"]))
     p = F.col("nr") / F.col("tot_r")
     qq = F.col("nc") / F.col("tot_c")
     m = (p + qq) / 2
     agg = both.groupBy(period, "column").agg(
         F.sum(p * F.log(p / m) + qq * F.log(qq / m)).alias("kl"),
         F.sum(p).alias("sp"), F.sum(qq).alias("sq"))
-    out = tot.join(agg, [period, "column"], "left")
+    out = tot.select(period, "column").join(agg, [period, "column"], "left")
     js2 = (F.lit(0.5) * F.coalesce("kl", F.lit(0.0))
            + F.lit(0.5 * math.log(2.0)) * (F.lit(2.0) - F.coalesce("sp", F.lit(0.0))
                                            - F.coalesce("sq", F.lit(0.0))))
@@ -178,17 +171,13 @@ def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[s
 
 def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
                  categorical: Sequence[str], reference: Sequence[str],
-                 periods: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                 periods: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """``(period, column, method, score, threshold, drifted)`` for
-    every column and period, one plan."""
-    if numeric and categorical:
-        # numeric and categorical counts are two passes: compute the columns once
-        df, _ = materialize(df.select(period, *numeric, *categorical))
+    every column and analysed period (default: all that are not in the reference)."""
     parts = []
     if numeric:
         w = wasserstein_by_period(unpivot_numeric(df, numeric, keep=[period]), period, reference,
-                                  periods, rows_per_bucket)
+                                  periods)
         parts.append(w.select(period, "column", F.lit("wasserstein").alias("method"), "score"))
     if categorical:
         j = jensen_shannon_by_period(unpivot_categorical(df, categorical, keep=[period]), period,
@@ -215,8 +204,7 @@ class MonitorConfig:
 
 def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
                   regimes: RegimeSpec, periods: Sequence[str] | None = None,
-                  cfg: MonitorConfig = MonitorConfig(),
-                  rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                  cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
     """One record per analysed period.
 
     ``df`` is the scored panel (R1: scored once, so reference and periods
@@ -224,26 +212,13 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     Shares, AUC and delta are rounded only in the output; the status uses
     the unrounded values (T5, T8)."""
     per = spec.period
-    # The scored panel is read by four passes below (numeric counts,
-    # categorical counts, score table, row counts); compute the needed
-    # columns once
-    needed = list(dict.fromkeys([per, spec.target, *spec.numeric, *spec.categorical,
-                                 cfg.prediction, *([cfg.rank_score] if cfg.rank_score else [])]))
-    df, _ = materialize(df.select(*needed))
     is_ref = F.col(per).isin(list(reference))
-    if periods is None:
-        cur = df.where(~is_ref)
-        base = df
-    else:
-        cur = df.where(F.col(per).isin(list(periods)))
-        base = df.where(is_ref | F.col(per).isin(list(periods)))
+    cur = df.where(~is_ref if periods is None else F.col(per).isin(list(periods)))
     feats = list(spec.numeric) + list(spec.categorical)
-    drift = column_drift(base, per, list(spec.numeric) + [cfg.prediction], spec.categorical,
-                         reference, None, cfg.drift_threshold, rows_per_bucket)
-    # rows per analysed period (one pass), also the list of analysed periods
-    counts, _ = materialize(cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows")))
-    drift = drift.join(counts.select(per), per, "left_semi")
-    drift, _ = materialize(drift)  # periods x columns rows, read by two branches
+    drift = column_drift(df, per, list(spec.numeric) + [cfg.prediction], spec.categorical,
+                         reference, periods, cfg.drift_threshold)
+    drift = materialize(drift)  # periods x columns rows, read by two branches
+    counts = cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows"))  # rows per analysed period
     order = F.create_map(*[x for i, c in enumerate(feats) for x in (F.lit(c), F.lit(i))])
     fd = drift.where(F.col("column") != cfg.prediction)
     feat_agg = fd.groupBy(per).agg(
@@ -259,8 +234,8 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     sliced = (cur.select(F.col(per).alias("__slice"), rank, spec.target)
               .unionByName(df.where(is_ref).select(F.lit(ref_key).alias("__slice"), rank,
                                                    spec.target)))
-    aucs = ranking_metrics(sliced, ["__slice"], rank, spec.target, rows_per_bucket)
-    aucs = materialize(aucs.select("__slice", "roc_auc"))[0]  # one row per month
+    aucs = ranking_metrics(sliced, ["__slice"], rank, spec.target)
+    aucs = materialize(aucs.select("__slice", "roc_auc"))  # one row per month
     auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),
                                                            F.col("roc_auc").alias("__auc"))
     ref_auc = aucs.where(F.col("__slice") == ref_key).first()

@@ -2,8 +2,8 @@
 
 Rows are first reduced to one row per (group, distinct score) with the
 positive and negative counts (map-side partial aggregation).  Ranks come
-from :func:`ordered_scan`, so no task holds more than ``rows_per_bucket``
-distinct scores of one group (a month, a split):
+from :func:`ordered_scan`, which cuts a large group (a month, a split) over
+many tasks:
 
 * ROC AUC (ties count half) = sum(pos * (neg_below + neg / 2)) / (P * N)
 * average precision = sum over thresholds of (pos / P) * precision, with
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.functions.scalar import safe_ratio
-from panelwatch.operators.scan import DEFAULT_ROWS_PER_BUCKET, Scan, ordered_scan
+from panelwatch.operators.scan import Scan, ordered_scan
 
 
 _ALL = "__all"
@@ -41,19 +41,18 @@ def score_table(df: DataFrame, group_cols: Sequence[str], score: str, label: str
             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
-def _ranked(df, group_cols, score, label, rows_per_bucket):
+def _ranked(df, group_cols, score, label):
     st = score_table(df, group_cols, score, label)
     return ordered_scan(st, list(group_cols), ["score"],
                         [Scan("pos_le", "sum", "pos"), Scan("neg_le", "sum", "neg")],
-                        totals={"P": "pos", "N": "neg"}, rows_per_bucket=rows_per_bucket)
+                        totals={"P": "pos", "N": "neg"})
 
 
-def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label: str) -> DataFrame:
     """M15 + M16 per group: ``n_pos, n_neg, roc_auc, pr_auc``.  AUC is null
     unless both classes are present (B14); AP is null without positives."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    r = _ranked(df, group_cols, score, label, rows_per_bucket)
+    r = _ranked(df, group_cols, score, label)
     neg_below = F.col("neg_le") - F.col("neg")
     tp = F.col("P") - F.col("pos_le") + F.col("pos")  # positives scored >= this score
     fp = F.col("N") - F.col("neg_le") + F.col("neg")
@@ -91,8 +90,7 @@ def threshold_metrics(df: DataFrame, group_cols: Sequence[str], score: str, labe
 
 
 def evaluate(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
-             threshold: float = 0.5, rank_score: str | None = None,
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+             threshold: float = 0.5, rank_score: str | None = None) -> DataFrame:
     """The seven metrics per group (split, model, month ...) in one table.
 
     ``rank_score`` (optional) is any strictly increasing transform of
@@ -100,7 +98,7 @@ def evaluate(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
     metrics only depend on order, and the untransformed value keeps ties
     that the logistic function would merge in floating point."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    rk = ranking_metrics(df, group_cols, rank_score or score, label, rows_per_bucket)
+    rk = ranking_metrics(df, group_cols, rank_score or score, label)
     th = threshold_metrics(df, group_cols, score, label, threshold)
     # stack the two one-row-per-group tables and collapse them per group: a
     # grouped aggregate instead of a join (no join on a constant key)
@@ -111,14 +109,13 @@ def evaluate(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
 
 
 def roc_points(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
-               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                threshold_of=None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score (all points
     kept), plus the (0, 0) start with a null threshold.  ``threshold_of``
     maps the ranked score to the reported threshold (e.g. a sigmoid when
     ranking on a linear predictor)."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    r = _ranked(df, group_cols, score, label, rows_per_bucket)
+    r = _ranked(df, group_cols, score, label)
     tp = F.col("P") - F.col("pos_le") + F.col("pos")
     fp = F.col("N") - F.col("neg_le") + F.col("neg")
     thr = threshold_of(F.col("score")) if threshold_of else F.col("score")
@@ -131,12 +128,11 @@ def roc_points(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
 
 
 def pr_points(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
               threshold_of=None) -> DataFrame:
     """``(threshold, recall, precision)`` at every distinct score plus
     the (recall 0, precision 1) end point, and the base rate per group."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    r = _ranked(df, group_cols, score, label, rows_per_bucket)
+    r = _ranked(df, group_cols, score, label)
     tp = F.col("P") - F.col("pos_le") + F.col("pos")
     fp = F.col("N") - F.col("neg_le") + F.col("neg")
     base = (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate")

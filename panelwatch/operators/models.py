@@ -105,11 +105,10 @@ def metrics_long(metrics: DataFrame) -> DataFrame:
 
 
 def choose_champion(metrics: DataFrame, digits: int = 4) -> DataFrame:
-    """Highest validation AUC wins; ties broken by model name."""
-    v = metrics.where(F.col("split") == "validation")
-    return (v.select("model", F.round("roc_auc", digits).alias("roc_auc"),
-                     F.round("pr_auc", digits).alias("pr_auc"), F.round("f1", digits).alias("f1"))
-            .orderBy(F.col("roc_auc").desc(), "model").limit(1))
+    """Highest validation AUC wins (before rounding); ties broken by model name."""
+    best = (metrics.where(F.col("split") == "validation")
+            .orderBy(F.col("roc_auc").desc_nulls_last(), "model").limit(1))
+    return best.select("model", *[F.round(c, digits).alias(c) for c in ("roc_auc", "pr_auc", "f1")])
 
 
 def top_features(model: PipelineModel, spec: PanelSpec, k: int = 15) -> DataFrame:

@@ -67,7 +67,7 @@ def dataset_overview(df: DataFrame, spec: PanelSpec) -> DataFrame:
             .withColumn("n_columns", F.lit(len(df.columns)))
             .withColumn("n_negative", F.col("n_rows") - F.col("n_positive"))
             .withColumn("imbalance_ratio",
-                        (F.lit(1.0) - F.col("target_rate")) / F.col("target_rate")))
+                        F.try_divide(F.lit(1.0) - F.col("target_rate"), F.col("target_rate"))))
 
 
 def class_balance(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -78,8 +78,8 @@ def class_balance(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return agg.select(
         "n_positive", "n_negative",
         (F.col("n_negative") / F.greatest(F.col("n_positive"), F.lit(1))).alias("neg_pos_ratio"),
-        (n / (F.lit(2.0) * F.col("n_positive"))).alias("weight_positive"),
-        (n / (F.lit(2.0) * F.col("n_negative"))).alias("weight_negative"))
+        F.try_divide(n, F.lit(2.0) * F.col("n_positive")).alias("weight_positive"),
+        F.try_divide(n, F.lit(2.0) * F.col("n_negative")).alias("weight_negative"))
 
 
 # ---------------------------------------------------------------- D3-D6
@@ -97,8 +97,10 @@ def duplicate_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
     duplicates map-side, so a key holding many rows does not skew a task."""
     extra = F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint")
     full = df.groupBy(*df.columns).count().agg(extra.alias("n"))
-    keys = df.groupBy(spec.id, spec.period).count().agg(extra.alias("n"))
-    ids = df.groupBy(spec.id).count().agg(F.count_if(F.col("count") > 1).alias("n"))
+    by_key = materialize(df.groupBy(spec.id, spec.period).count())  # ids follow from the keys
+    keys = by_key.agg(extra.alias("n"))
+    ids = by_key.groupBy(spec.id).agg(F.sum("count").alias("count")).agg(
+        F.count_if(F.col("count") > 1).alias("n"))
     return (full.select(F.lit("duplicate_rows").alias("check"), "n")
             .unionByName(keys.select(F.lit("duplicate_keys").alias("check"), "n"))
             .unionByName(ids.select(F.lit("repeated_ids").alias("check"), "n")))
@@ -131,28 +133,26 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    counts, n = materialize(value_counts(long, ["column"], "value"))
-    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
-                              known_rows=n)
+    counts = materialize(value_counts(long, ["column"], "value"))
+    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return moments.join(q, "column").select("column", "count", "mean", "std", "min",
                                             "p25", "p50", "p75", "max")
 
 
 def category_domain(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cardinality and sorted domain per categorical column (distinct
-    values are found first, so each group only ever holds its domain)."""
-    long = unpivot_categorical(df, columns).where(F.col("value").isNotNull()).distinct()
-    return long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("cardinality"),
-        F.sort_array(F.collect_list("value")).alias("domain"))
+    """The domain of each categorical column as rows ``(column, value,
+    cardinality)``; a domain is never gathered into one row."""
+    long = materialize(unpivot_categorical(df, columns).where(F.col("value").isNotNull()).distinct())
+    size = long.groupBy("column").agg(F.count(F.lit(1)).alias("cardinality"))  # one row per column
+    return long.join(F.broadcast(size), "column").select("column", "value", "cardinality")
 
 
 def category_frequency(df: DataFrame, column: str) -> DataFrame:
     """Relative frequency per value, ascending.  The per-value table is
     computed once (one pass over the rows); the total is summed from it, not
     from a second pass over the rows."""
-    counts, _ = materialize(df.groupBy(F.col(column).alias("value"))
-                            .agg(F.count(F.lit(1)).alias("n")))
+    counts = materialize(df.groupBy(F.col(column).alias("value"))
+                         .agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.withColumn("share", F.col("n") / F.lit(float(max(total, 1)))).orderBy(
         "share", "value")
@@ -163,9 +163,9 @@ def outlier_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """p50, p99, max, max/p99 (denominator floor 1e-9) and the share of
     rows strictly above ``Q3 + 1.5 IQR`` (upper side only).  One pass over
     the rows; everything else runs on the per-column value counts."""
-    counts, n = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
+    counts = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
     q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75, 0.99],
-                              ["q1", "p50", "q3", "p99"], known_rows=n)
+                              ["q1", "p50", "q3", "p99"])
     fence = q.select("column", "p50", "p99",
                      (F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
     # limits table has one row per column: a proven-small broadcast
@@ -180,9 +180,8 @@ def outlier_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q1, median, Q3, whiskers at the furthest data inside 1.5 IQR, and
     the count of points outside on both sides (one pass over the rows)."""
-    counts, n = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
-    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["q1", "median", "q3"],
-                              known_rows=n)
+    counts = materialize(value_counts(unpivot_numeric(df, columns), ["column"], "value"))
+    q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     lim = q.select("column", "q1", "median", "q3",
                    (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_f"),
                    (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_f"))
@@ -239,7 +238,7 @@ def density_histogram(df: DataFrame, column: str, group: str, lo: float, hi: flo
 def category_target_rate(df: DataFrame, spec: PanelSpec, column: str) -> DataFrame:
     """Target rate per value and whether it is above the global rate.
     The global rate is summed from the per-value table (one pass over rows)."""
-    per, _ = materialize(df.groupBy(F.col(column).alias("value")).agg(
+    per = materialize(df.groupBy(F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(_t(spec)).alias("__pos")))
     tot = per.agg(F.sum("__pos").alias("p"), F.sum("n").alias("n")).first()
     glob = (tot["p"] / tot["n"]) if tot["n"] else None
@@ -253,9 +252,9 @@ def category_target_rate(df: DataFrame, spec: PanelSpec, column: str) -> DataFra
 def period_moments(df: DataFrame, spec: PanelSpec, column: str) -> DataFrame:
     """Per period mean, exact median, std (n-1) and the mean +/- std
     band, all from one pass (per-period value counts)."""
-    counts, n = materialize(value_counts(df, [spec.period], column))
+    counts = materialize(value_counts(df, [spec.period], column))
     m = _count_moments(counts, [spec.period])
-    med = quantiles_from_counts(counts, [spec.period], [0.5], ["median"], known_rows=n)
+    med = quantiles_from_counts(counts, [spec.period], [0.5], ["median"])
     return m.join(med, spec.period).select(
         spec.period, "mean", "median", "std",
         (F.col("mean") - F.col("std")).alias("band_lo"),
@@ -272,8 +271,8 @@ def period_category_share(df: DataFrame, spec: PanelSpec, column: str,
     row-normalised).  Values are passed, so the pivot runs no extra job."""
     piv = df.groupBy(spec.period).pivot(column, list(values)).count().na.fill(0)
     total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return piv.select(spec.period, *[(F.col(f"`{v}`") / total).alias(f"share_{_safe(v)}")
-                                     for v in values])
+    return piv.select(spec.period, *[F.try_divide(F.col(f"`{v}`").cast("double"), total.cast("double"))
+                                     .alias(f"share_{_safe(v)}") for v in values])
 
 
 def period_category_rate(df: DataFrame, spec: PanelSpec, column: str,
@@ -324,11 +323,6 @@ def split_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"), F.avg(_t(spec)).alias("target_rate")))
 
 
-def share_where(df: DataFrame, cond: Column, name: str = "share") -> DataFrame:
-    """Share of rows satisfying a predicate."""
-    return df.agg(F.avg(cond.cast("double")).alias(name))
-
-
 def schema_listing(df: DataFrame) -> DataFrame:
     """Column names and types (metadata only, no job)."""
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
@@ -339,7 +333,10 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     ``(side, n)``: rows only in ``a`` and rows only in ``b`` (duplicates
     counted, nulls equal).  Both zero means the tables are equal."""
     cols = a.columns
-    left = a.select(*cols).exceptAll(b.select(*cols)).agg(F.count(F.lit(1)).alias("n"))
-    right = b.select(*cols).exceptAll(a.select(*cols)).agg(F.count(F.lit(1)).alias("n"))
-    return (left.select(F.lit("only_left").alias("side"), "n")
-            .unionByName(right.select(F.lit("only_right").alias("side"), "n")))
+    # one signed count per distinct row: what is left over on either side
+    both = (a.select(*cols, F.lit(1).alias("__s")).unionByName(b.select(*cols, F.lit(-1).alias("__s")))
+            .groupBy(*cols).agg(F.sum("__s").alias("__s")))
+    over = both.agg(F.sum(F.greatest("__s", F.lit(0))).alias("l"), F.sum(F.greatest(-F.col("__s"), F.lit(0))).alias("r"))
+    return over.select(F.inline(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("n"))
+        for side, c in (("only_left", "l"), ("only_right", "r"))])))

@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.operators.scan import DEFAULT_ROWS_PER_BUCKET, Scan, ordered_scan
-from panelwatch.session import materialize
+from panelwatch.operators.scan import Scan, ordered_scan
 
 
 def _clean(col: str, dtype) -> F.Column:
@@ -35,15 +34,12 @@ def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> Da
 
 
 def quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: Sequence[float],
-                          names: Sequence[str] | None = None,
-                          rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                          known_rows: int | None = None) -> DataFrame:
+                          names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles from a ``value_counts`` table (one row per group)."""
     group_cols = list(group_cols)
     names = list(names or [f"q{int(round(p * 1000)):03d}" for p in probs])
     ranked = ordered_scan(counts, group_cols, ["__v"], [Scan("__cum", "sum", "__c")],
-                          totals={"__n": "__c"}, rows_per_bucket=rows_per_bucket,
-                          known_rows=known_rows)
+                          totals={"__n": "__c"})
     lo_rank = F.col("__cum") - F.col("__c")  # first 0-based rank held by this value
     hi_rank = F.col("__cum") - 1
     keep = F.lit(False)
@@ -69,20 +65,22 @@ def quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: S
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str] | None = None,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """One row per group with one double column per probability.
 
     Nulls and NaN are ignored (``np.nanquantile``).  A group with no values
     gives nulls.
     """
     group_cols = list(group_cols)
-    counts, n = materialize(value_counts(df, group_cols, value_col))
-    res = quantiles_from_counts(counts, group_cols, probs, names, rows_per_bucket, known_rows=n)
+    res = quantiles_from_counts(value_counts(df, group_cols, value_col), group_cols, probs, names)
     if group_cols:
         # groups whose values are all null still get a row (of nulls)
         keys = df.select(*group_cols).distinct()
-        res = keys.join(res, group_cols, "left")
+        same = F.lit(True)
+        for g in group_cols:
+            same = same & keys[g].eqNullSafe(res[g])
+        res = keys.join(res, same, "left").select(*[keys[g] for g in group_cols],
+                                                  *[c for c in res.columns if c not in group_cols])
     return res
 
 

@@ -3,37 +3,27 @@
 Exact rank metrics, exact quantiles and the Wasserstein distance all need a
 running aggregate in value order inside a group (a month, a column).  A plain
 ``Window.partitionBy(group).orderBy(value)`` sends a whole group to one task,
-and one month may hold a third of all rows.  Here a big group is cut into
-value ranges ("buckets") whose bounds come from ``percentile_approx``; each
-bucket is scanned by an ordinary window, and the totals of the earlier
-buckets of the same group are carried in by a small second window over the
-per-bucket totals.  No task holds more than about ``rows_per_bucket`` rows
-of one group (a group that small is scanned whole), and the result is exact
-(the bounds only decide where to cut).
-
-The bounds are collected once to the driver; their count is bounded by
-``max_bounds`` and checked, so the broadcast they feed has a proven size.
+and one month may hold a third of all rows.  Here, at every size, the rows are
+range-partitioned on (group, value): a group of any size is cut into runs that
+lie in consecutive partitions.  Each run is scanned by an ordinary
+window, and the totals of a group's earlier runs are carried in from a table with one
+row per (group, run).  The result is exact; the range bounds only decide where to cut.
+
+A task holds about one partition's share of all rows, however the groups are
+sized; a group has at most as many runs as there are partitions.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from panelwatch.session import materialize
 
-_BUCKET = "__scanbucket"
-_BOUNDS = "__scanbounds"
-
-DEFAULT_ROWS_PER_BUCKET = 1 << 21
-MIN_ROWS_PER_BUCKET = 20_000
-MAX_BUCKETS_PER_GROUP = 2048
-MAX_BOUNDS = 4_000_000
+_RUN = "__scanrun"
 
 
 @dataclass(frozen=True)
@@ -56,125 +46,49 @@ def _combine(func: str, local: Column, carry: Column) -> Column:
     return F.least(local, carry) if func == "min" else F.greatest(local, carry)
 
 
-def _bucketize(df: DataFrame, group_cols: list[str], first: str,
-               rows_per_bucket: int, total_rows: int | None = None) -> DataFrame:
-    """Attach a bucket number that is monotone in ``first`` inside each group.
-
-    When the whole input has at most ``rows_per_bucket`` rows no group can
-    be too big, and no sizing job is needed."""
-    spark = df.sparkSession
-    if total_rows is not None and total_rows <= rows_per_bucket:
-        return df.withColumn(_BUCKET, F.lit(0))
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n")) if group_cols \
-        else df.agg(F.count(F.lit(1)).alias("__n"))
-    big = sizes.where(F.col("__n") > rows_per_bucket)
-    stats = big.agg(F.count(F.lit(1)).alias("groups"), F.max("__n").alias("maxn")).first()
-    n_big, max_n = stats["groups"], stats["maxn"]
-    if not n_big:
-        return df.withColumn(_BUCKET, F.lit(0))
-    k = min(MAX_BUCKETS_PER_GROUP, max(2, math.ceil(max_n / rows_per_bucket)))
-    k = max(2, min(k, MAX_BOUNDS // max(n_big, 1)))
-    probs = [i / k for i in range(1, k)]
-    accuracy = max(10_000, 4 * k)
-    src = df.join(big.select(*group_cols), group_cols, "left_semi") if group_cols else df
-    agg = src.groupBy(*group_cols) if group_cols else src
-    bounds = agg.agg(F.array_distinct(
-        F.percentile_approx(F.col(first), probs, accuracy)).alias(_BOUNDS))
-    rows = bounds.collect()  # at most n_big rows of k-1 values, checked above
-    btype = bounds.schema[_BOUNDS].dataType
-    if group_cols:
-        schema = T.StructType([df.schema[g] for g in group_cols]
-                              + [T.StructField(_BOUNDS, btype)])
-        bdf = spark.createDataFrame([tuple(r) for r in rows], schema)
-        out = df.join(F.broadcast(bdf), group_cols, "left")
-    else:  # a single array of at most MAX_BUCKETS_PER_GROUP values
-        vals = rows[0][_BOUNDS] or []
-        out = df.withColumn(_BOUNDS, F.array(*[F.lit(v) for v in vals]).cast(btype))
-    bucket = F.when(F.col(_BOUNDS).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(F.col(_BOUNDS), lambda b: b <= F.col(first))))
-    return out.withColumn(_BUCKET, bucket).drop(_BOUNDS)
-
-
-def _effective_bucket(df: DataFrame, rows_per_bucket: int, total: int) -> int:
-    """Buckets small enough to keep every core busy when there are few
-    groups (a handful of columns or months), never above the caller's cap
-    (which bounds the rows one task holds on a cluster)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return min(rows_per_bucket, max(MIN_ROWS_PER_BUCKET, math.ceil(total / (2 * par))))
-
-
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  scans: list[Scan], *, ascending: bool = True,
-                 totals: dict[str, str] | None = None,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                 materialize_input: bool = True,
-                 materialize_output: bool = False,
-                 known_rows: int | None = None) -> DataFrame:
+                 totals: dict[str, str] | None = None, ranges: int | None = None) -> DataFrame:
     """Add running aggregates in ``order_cols`` order inside ``group_cols``.
 
-    ``(group_cols, order_cols)`` must be unique per row (aggregate first), and
-    ``order_cols[0]`` must be numeric, date or timestamp.  ``totals`` maps an
-    output name to a column whose per-group sum is attached as well.
-    Group keys must be non-null.
-
-    The input is read three times (sizing, local scan, bucket totals), so by
-    default it is materialized once (checkpoint); ``materialize_output``
-    does the same for a result that several later branches read.
-    ``known_rows`` is an upper bound on the input rows that the caller
-    already knows (e.g. from a materialized count upstream); when it is at
-    most ``rows_per_bucket`` nothing needs materializing or sizing.
-    """
-    first = order_cols[0]
+    ``(group_cols, order_cols)`` must be unique per row (aggregate first).
+    ``totals`` maps an output name to a column whose per-group sum is attached as
+    well.  Null group keys form a group like any other.  ``ranges`` is the
+    number of range partitions (default: the session's shuffle partitions).
+
+    The partitioned rows are read twice (local scan, run totals), so they are
+    materialized once."""
     cols = {}
     for s in scans:
         cols[f"__scansv_{s.out}"] = F.col(s.col) if isinstance(s.col, str) else s.col
     for name, c in (totals or {}).items():
         cols[f"__scanst_{name}"] = F.col(c) if isinstance(c, str) else c
-    base = df.withColumns(cols) if cols else df
-    total = known_rows
-    small = known_rows is not None and known_rows <= rows_per_bucket
-    if materialize_input and not small:
-        base, total = materialize(base)
-    b = _bucketize(base, group_cols, first, rows_per_bucket, total)
-
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc() if ascending else F.col(c).desc() for c in order_cols]
-    if total is not None and total <= rows_per_bucket:
-        # every group fits one bucket (<= rows_per_bucket rows): no carry
-        gpart = (W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0)))
-        gpart = gpart.orderBy(*order)
-        out = base
-        for s in scans:
-            frame = gpart.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
-            out = out.withColumn(s.out, _AGG[s.func](f"__scansv_{s.out}").over(frame))
-            if s.func == "sum":
-                out = out.withColumn(s.out, F.coalesce(F.col(s.out), F.lit(0)))
-        gw0 = W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0))
-        for n in (totals or {}):
-            out = out.withColumn(n, F.sum(f"__scanst_{n}").over(gw0))
-        out = out.drop(*[c for c in out.columns if c.startswith("__scan")])
-        return materialize(out)[0] if (materialize_output and not small) else out
-    part = W.partitionBy(*group_cols, _BUCKET).orderBy(*order)
-    local = b
+    placed = df.withColumns(cols).repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
+    placed = materialize(placed.withColumn(_RUN, F.spark_partition_id()))
+
+    part = W.partitionBy(*group_cols, _RUN).orderBy(*order)
+    local = placed
     for s in scans:
         frame = part.rowsBetween(W.unboundedPreceding, 0 if s.inclusive else -1)
         local = local.withColumn(f"__scansl_{s.out}", _AGG[s.func](f"__scansv_{s.out}").over(frame))
 
-    # per-bucket totals, then totals of all earlier buckets of the same group
+    # totals of each run, then of all earlier runs of the same group
     aggs = [_AGG[s.func](f"__scansv_{s.out}").alias(f"__scansp_{s.out}") for s in scans]
-    aggs += [F.sum(f"__scanst_{n}").alias(f"__scanspt_{n}") for n in (totals or {})]
-    partial = b.groupBy(*group_cols, _BUCKET).agg(*aggs)
-    border = F.col(_BUCKET).asc() if ascending else F.col(_BUCKET).desc()
-    gw = W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0))
-    before = gw.orderBy(border).rowsBetween(W.unboundedPreceding, -1)
-    carry_cols = [_AGG[s.func](f"__scansp_{s.out}").over(before).alias(f"__scansc_{s.out}")
-                  for s in scans]
-    carry_cols += [F.sum(f"__scanspt_{n}").over(gw).alias(n) for n in (totals or {})]
-    carry = partial.select(*group_cols, _BUCKET, *carry_cols)
-
-    out = local.join(carry, [*group_cols, _BUCKET], "left")
+    aggs += [F.sum(f"__scanst_{t}").alias(f"__scanspt_{t}") for t in (totals or {})]
+    partial = placed.groupBy(*group_cols, _RUN).agg(*aggs)
+    group = W.partitionBy(*group_cols) if group_cols else W.partitionBy()  # at most ``n`` rows
+    before = group.orderBy(_RUN).rowsBetween(W.unboundedPreceding, -1)
+    carry = partial.select(
+        *[F.col(g).alias(f"__scang_{g}") for g in group_cols], F.col(_RUN).alias("__scangrun"),
+        *[_AGG[s.func](f"__scansp_{s.out}").over(before).alias(f"__scansc_{s.out}") for s in scans],
+        *[F.sum(f"__scanspt_{t}").over(group).alias(t) for t in (totals or {})])
+    same = F.col(_RUN) == F.col("__scangrun")
+    for g in group_cols:
+        same = same & F.col(g).eqNullSafe(F.col(f"__scang_{g}"))
+    out = local.join(carry, same, "left")
     for s in scans:
         out = out.withColumn(s.out, _combine(s.func, F.col(f"__scansl_{s.out}"),
                                              F.col(f"__scansc_{s.out}")))
-    drop = [c for c in out.columns if c.startswith("__scan") or c == _BUCKET]
-    out = out.drop(*drop)
-    return materialize(out)[0] if materialize_output else out
+    return out.drop(*[c for c in out.columns if c.startswith("__scan")])

@@ -96,17 +96,16 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
         F.col(target_rate).cast("double")
     zt = (df.groupBy(*group_cols, zc.alias("__z"))
           .agg(F.count(F.lit(1)).alias("__n"), F.sum(tgt).alias("__tsum")))
-    zt, _ = materialize(zt)  # reused by every round
+    zt = materialize(zt)  # reused by every round
     state = zt.groupBy(*group_cols).agg((F.sum("__tsum") / F.sum("__n")).alias("__t")).select(
         *group_cols, "__t", F.lit(lo).alias("__lo"), F.lit(hi).alias("__hi"),
         F.lit((lo + hi) / 2).alias("__b"), F.lit(None).cast("double").alias("__err"))
-    state, n_groups = materialize(state, checkpoint_rows=0)
-    # the per-group state is broadcast only while its size is known to be small
-    small_state = n_groups <= 1_000_000
-    rounds_used = 0
+    state = materialize(state)
     for _ in range(max_rounds):
         s = sigmoid(F.col("__z") + F.col("__b"))
-        j = zt.join(F.broadcast(state) if small_state else state, group_cols)
+        # one state row per group: Spark broadcasts it below its size threshold and else
+        # joins by group, splitting a hot one
+        j = zt.join(state, group_cols)
         ev = j.groupBy(*group_cols, "__t", "__lo", "__hi", "__b").agg(
             (F.sum(F.col("__n") * s) / F.sum("__n")).alias("__m"),
             (F.sum(F.col("__n") * s * (1 - s)) / F.sum("__n")).alias("__d"))
@@ -118,18 +117,16 @@ def calibrate_intercept(df: DataFrame, group_cols: Sequence[str], z: str,
         nxt = ev.select(*group_cols, "__t", nlo.alias("__lo"), nhi.alias("__hi"),
                         F.when(ok, newton).otherwise((nlo + nhi) / 2).alias("__b"),
                         F.abs(F.col("__m") - F.col("__t")).alias("__err"))
-        old = state
         # one small row per group; a reliable checkpoint cuts the lineage so
         # every round plans from scratch (the plan does not grow with rounds)
-        state, _ = materialize(nxt, checkpoint_rows=0)
-        old.unpersist()
+        state = materialize(nxt)
         worst = state.agg(F.max(F.least("__err", F.col("__hi") - F.col("__lo")))).first()[0]
-        rounds_used += 1
         if worst is None or worst < tol:
             break
+    else:
+        raise RuntimeError(f"not converged after {max_rounds} rounds: |mean - target| is {worst}")
     return state.select(*group_cols, F.col("__t").alias("target_rate"),
-                        F.col("__b").alias("intercept"),
-                        F.lit(rounds_used).alias("rounds")).drop("__all")
+                        F.col("__b").alias("intercept")).drop("__all")
 
 
 # ---------------------------------------------------------------- M23, M24

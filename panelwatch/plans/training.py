@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ def train_candidates(panel: DataFrame, spec: PanelSpec,
     where ``metrics`` has one row per (model, split)."""
     cols = list(spec.features) + [spec.target, spec.period]
     train, valid = temporal_split(panel.select(*cols), spec)
-    train, _ = materialize(train)
-    valid, _ = materialize(valid)
+    # every fit iterates over the train rows: kept by the executors while fitting
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     models, tables = {}, []
     for cand in candidates or default_candidates():
         model, m = train_one(train, valid, spec, cand)
@@ -35,7 +36,8 @@ def train_candidates(panel: DataFrame, spec: PanelSpec,
     metrics = tables[0]
     for t in tables[1:]:
         metrics = metrics.unionByName(t)
-    metrics, _ = materialize(metrics)
+    metrics = materialize(metrics)  # one row per (model, split)
+    train.unpersist()
     return models, metrics
 
 
@@ -70,6 +72,5 @@ def monitor_panel(panel: DataFrame, spec: PanelSpec, model, regimes: RegimeSpec,
     T2), and compute the monthly drift records (R3-R10) in one plan."""
     reference = list(reference or spec.train_periods)
     cols = list(spec.features) + [spec.target, spec.period]
-    scored = score_panel(panel.select(*cols), model, cfg.prediction)
-    scored, _ = materialize(scored.select(*cols, cfg.prediction))
+    scored = score_panel(panel.select(*cols), model, cfg.prediction).select(*cols, cfg.prediction)
     return D.monthly_drift(scored, spec, reference, regimes, periods, cfg)

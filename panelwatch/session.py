@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app_name: str = "panelwatch",
@@ -27,6 +30,7 @@ def get_session(master: str | None = None, app_name: str = "panelwatch",
          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -41,15 +45,21 @@ def get_session(master: str | None = None, app_name: str = "panelwatch",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private scratch folder."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local master may run without it; a private folder is then made
+    and deleted when the process ends.  On a cluster a machine-local folder would
+    lose data with its machine, so a missing setting is an error there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="panelwatch-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -60,39 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-class Scratch:
-    """Collects frames cached by :func:`materialize` inside one operator so
-    they can be released once the operator's (small) result is computed."""
-
-    def __init__(self):
-        self.frames = []
-
-    def keep(self, pair):
-        self.frames.append(pair[0])
-        return pair
-
-    def release(self):
-        for f in self.frames:
-            f.unpersist()
-        self.frames = []
-
-
-def materialize(df, checkpoint_rows: int = 1_000_000):
-    """Compute ``df`` once; return ``(frame, row_count)``.
-
-    The frame is persisted (memory, spilling to disk) and counted in one job.
-    Above ``checkpoint_rows`` rows it is also written as a reliable
-    checkpoint in the shared checkpoint folder and the cache is released,
-    which cuts the lineage: a lost executor then re-reads the checkpoint
-    instead of recomputing upstream stages.  Small results stay cached;
-    losing them only recomputes a short, cheap lineage."""
-    from pyspark import StorageLevel
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into a reliable checkpoint, whatever its size.
 
+    This cuts the lineage (a lost executor re-reads files instead of recomputing
+    upstream stages) and holds no executor memory.  The files go when the frame is no
+    longer referenced (``spark.cleaner.referenceTracking.cleanCheckpoints``, set by
+    :func:`get_session`)."""
     ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    if n > checkpoint_rows:
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out, n
-    return cached, n
+    return df.checkpoint(eager=True)

@@ -9,6 +9,7 @@ from the file name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +28,23 @@ class MissingPeriodsError(FileNotFoundError):
 
 
 def write_panel(df: DataFrame, path: str, spec: PanelSpec) -> None:
-    """A3: one folder per period; rewriting a period replaces only it."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """A3: one folder per period; rewriting a period replaces only it.
+
+    Rows are dealt by period first, so a period is a few files instead of one per
+    task; Spark's rebalance splits a period that is too large for one."""
+    (df.hint("rebalance", spec.period).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(spec.period).parquet(path))
 
 
-def _check_periods(df: DataFrame, spec: PanelSpec, periods: Sequence[str]) -> None:
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(p,) for p in periods], T.StructType(
-        [T.StructField(spec.period, T.StringType())]))
-    # distinct periods: one small aggregate over the partition column only
-    have = df.select(spec.period).distinct()
-    missing = sorted(r[0] for r in wanted.join(have, spec.period, "left_anti").collect())
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, from the file system (no file is opened)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def _check_periods(have, periods: Sequence[str]) -> None:
+    missing = sorted(set(periods) - set(have))
     if missing:
         raise MissingPeriodsError(missing)
 
@@ -50,26 +56,33 @@ def load_panel(spark: SparkSession, path: str, spec: PanelSpec,
     df = spark.read.option("basePath", path).parquet(path)
     df = df.withColumn(spec.period, F.col(spec.period).cast("string"))
     if periods is not None:
-        sel = df.where(F.col(spec.period).isin(list(periods)))  # PartitionFilters
         if check:
-            _check_periods(sel, spec, periods)
-        return sel
+            head = f"{spec.period}="
+            _check_periods([unquote(n[len(head):]) for n in _names(spark, path) if n.startswith(head)], periods)
+        return df.where(F.col(spec.period).isin(list(periods)))  # PartitionFilters
     return df
 
 
 def load_csv_months(spark: SparkSession, directory: str, schema: T.StructType, spec: PanelSpec,
                     periods: Sequence[str] | None = None) -> DataFrame:
     """A1 for monthly CSV files ``yyyy-MM.csv`` with a header; the period
-    comes from the file name (H7), so a period filter skips whole files."""
-    df = (spark.read.schema(schema).option("header", True).csv(f"{directory.rstrip('/')}/*.csv")
-          .withColumn(spec.period, period_from_path(F.col("_metadata.file_path"))))
+    comes from the file name (H7), and only the files of the wanted periods
+    are opened.  Columns go by the names in the header, in any order; files of
+    one folder share their header."""
+    root = directory.rstrip("/")
+    months = sorted(n[:-4] for n in _names(spark, root) if n.endswith(".csv"))
     if periods is not None:
-        df = df.where(F.col(spec.period).isin(list(periods)))
-        _check_periods(df, spec, periods)
-    return df
+        _check_periods(months, periods)
+        months = [m for m in months if m in set(periods)]
+    files = [f"{root}/{m}.csv" for m in months]
+    # read as text under the header's names, then cast by name to the schema
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(files)
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                      period_from_path(F.col("_metadata.file_path")).alias(spec.period))
 
 
 # ------------------------------------------------------------------ drift history
+# Names and order of the history document's fields.
 HISTORY_RECORD = T.StructType([
     T.StructField("month", T.StringType()), T.StructField("regime", T.StringType()),
     T.StructField("n_rows", T.LongType()), T.StructField("drifted_columns_count", T.IntegerType()),

@@ -37,17 +37,20 @@ def score_stream(spark: SparkSession, source: str, schema: T.StructType,
     quarantine_dir = os.path.join(out_dir, "quarantine")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        valid, bad = split_valid(validate_rows(batch, rules))
+        checked = validate_rows(batch, rules).persist()  # read once for the two writes
+        valid, bad = split_valid(checked)
         scorer(valid).write.mode("overwrite").parquet(os.path.join(scored_dir,
                                                                    f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(quarantine_dir, f"batch_id={batch_id}"))
+        checked.unpersist()
 
     w = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", os.path.join(out_dir, "_checkpoint")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start()
-    if available_now:
-        q.awaitTermination(timeout_s)
+    if available_now and not q.awaitTermination(timeout_s) and timeout_s is not None:
+        q.stop()
+        raise TimeoutError(f"the stream had not read all its input after {timeout_s} s")
     return q
 
 

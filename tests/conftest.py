@@ -19,3 +19,12 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(params=[1, 16])
+def ranges(spark, request):
+    """Number of range partitions that ordered scans cut their rows into."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", old)

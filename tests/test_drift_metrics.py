@@ -16,19 +16,17 @@ def _w1_brute(a, b):
     return sum(abs(fa(x) - fb(x)) * (y - x) for x, y in zip(pts, pts[1:]))
 
 
-@pytest.mark.parametrize("rpb", [2, 1 << 20])
-def test_w1_fixture(spark, rpb):
+def test_w1_fixture(spark, ranges):
     rows = [("ref", "x", v) for v in (0.0, 1.0, 3.0)] + [("m1", "x", v) for v in (0.0, 2.0, 2.0, 4.0)]
     df = spark.createDataFrame(rows, "period string, column string, value double")
-    r = wasserstein_by_period(df, "period", ["ref"], ["m1"], rows_per_bucket=rpb).collect()
+    r = wasserstein_by_period(df, "period", ["ref"], ["m1"]).collect()
     assert len(r) == 1
     assert r[0].w1 == pytest.approx(0.833333, abs=1e-6)
     assert r[0].sd_ref == pytest.approx(1.247219, abs=1e-6)
     assert r[0].score == pytest.approx(0.668153, abs=1e-6)
 
 
-@pytest.mark.parametrize("rpb", [3, 1 << 20])
-def test_w1_random_against_brute_force(spark, rpb):
+def test_w1_random_against_brute_force(spark, ranges):
     rng = np.random.default_rng(11)
     ref = np.round(rng.normal(0, 1, 60), 1)
     months = {f"m{i}": np.round(rng.normal(i * 0.3, 1 + 0.2 * i, 40 + 5 * i), 1) for i in range(4)}
@@ -37,7 +35,7 @@ def test_w1_random_against_brute_force(spark, rpb):
     rows += [("ref", "y", float(v)) for v in ref * 2] + [("m2", "y", 5.0)]
     df = spark.createDataFrame(rows, "period string, column string, value double")
     got = {(r.period, r.column): r.w1 for r in
-           wasserstein_by_period(df, "period", ["ref"], None, rows_per_bucket=rpb).collect()}
+           wasserstein_by_period(df, "period", ["ref"]).collect()}
     for m, arr in months.items():
         assert got[(m, "x")] == pytest.approx(_w1_brute(list(ref), list(arr)), abs=1e-9)
     assert got[("m2", "y")] == pytest.approx(_w1_brute(list(ref * 2), [5.0]), abs=1e-9)
@@ -57,10 +55,9 @@ def test_js_disjoint_support(spark):
     assert r[0].score == pytest.approx(math.sqrt(math.log(2)), abs=1e-12)
 
 
-@pytest.mark.parametrize("rpb", [1, 1 << 20])
-def test_auc_ap_fixture(spark, rpb):
+def test_auc_ap_fixture(spark, ranges):
     df = spark.createDataFrame([(0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1)], "p double, y int")
-    r = ranking_metrics(df, [], "p", "y", rows_per_bucket=rpb).first()
+    r = ranking_metrics(df, [], "p", "y").first()
     assert r.roc_auc == pytest.approx(0.75)
     assert r.pr_auc == pytest.approx(0.833333, abs=1e-6)
 

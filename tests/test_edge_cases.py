@@ -81,3 +81,37 @@ def test_status_policy_table(spark):
     df = spark.createDataFrame(cases, "share double, delta double, want string")
     got = df.select(drift_status("share", "delta").alias("s"), "want").collect()
     assert all(r.s == r.want for r in got)
+
+
+def test_champion_is_chosen_before_rounding(spark):
+    from panelwatch.operators.models import choose_champion
+
+    m = spark.createDataFrame([("a", "validation", 0.86411, 0.5, 0.5), ("b", "validation", 0.86414, 0.5, 0.5),
+                               ("b", "train", 0.1, 0.1, 0.1)], "model string, split string, roc_auc double, pr_auc double, f1 double")
+    best = choose_champion(m).first()
+    assert best.model == "b" and best.roc_auc == 0.8641
+
+
+def test_one_class_and_empty_month_give_nulls(spark):
+    from panelwatch.operators import association as A
+    from panelwatch.operators import profile as P
+    from panelwatch.spec import PanelSpec
+
+    spec = PanelSpec(period="m", id="i", target="t", numeric=("x",), categorical=("c",))
+    df = spark.createDataFrame([("a", 1, 0, 0.0, "u"), ("b", 2, 0, 0.0, "v")], "m string, i int, t int, x double, c string")
+    assert P.dataset_overview(df, spec).first().imbalance_ratio is None
+    assert P.class_balance(df, spec).first().weight_positive is None
+    assert {r.m: r.share_u for r in P.period_category_share(df, spec, "c", ["u"]).collect()} == {"a": 1.0, "b": None}
+    ones = df.unionByName(df.withColumn("t", df.t + 1))
+    assert A.point_biserial(ones, spec, ["x"]).first().relative_diff is None
+
+
+def test_correlation_with_nulls_uses_complete_rows(spark):
+    from panelwatch.functions.scalar import safe_corr
+
+    rows = [(1.0, 2.0), (2.0, 3.0), (3.0, 5.5), (None, 99.0), (50.0, None), (4.0, 5.0)]
+    got = spark.createDataFrame(rows, "x double, y double").agg(safe_corr("x", "y").alias("r")).first().r
+    full = [r for r in rows if None not in r]
+    import numpy as np
+
+    assert abs(got - np.corrcoef(*zip(*full))[0, 1]) < 1e-12

@@ -12,7 +12,7 @@ CHEAP = ["month_summary_lineitem", "numeric_summary_lineitem", "chi_square_order
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert "status" in df.columns
 
 
@@ -20,7 +20,6 @@ def test_every_query_has_callable_and_oracles_subset():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(o) >= 50
-    assert not any(k.startswith("op") or "pipeline" in k for k in q)
 
 
 @pytest.mark.parametrize("name", CHEAP)

@@ -122,3 +122,12 @@ def test_load_csv_months_period_from_file_name(spark):
     with pytest.raises(IO.MissingPeriodsError):
         IO.load_csv_months(spark, d, schema, spec, ["2024-03"])
     assert IO.load_csv_months(spark, d, schema, spec).count() == 3
+
+
+def test_load_csv_months_goes_by_header_names(spark, tmp_path):
+    from pyspark.sql import types as T
+    (tmp_path / "2024-01.csv").write_text("b,a\n1,2\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    spec = PanelSpec(period="month", id="a", target="b", numeric=(), categorical=())
+    r = IO.load_csv_months(spark, str(tmp_path), schema, spec).first()
+    assert (r.a, r.b, r.month) == (2, 1, "2024-01")

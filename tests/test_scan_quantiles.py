@@ -9,8 +9,7 @@ from panelwatch.operators.quantiles import exact_quantiles
 from panelwatch.operators.scan import Scan, ordered_scan
 
 
-@pytest.mark.parametrize("rows_per_bucket", [7, 1 << 20])
-def test_scan_matches_window(spark, rows_per_bucket):
+def test_scan_matches_window(spark, ranges):
     rng = np.random.default_rng(3)
     rows = [(int(g), float(v), float(w)) for g, v, w in
             zip(rng.integers(0, 3, 400), rng.permutation(400), rng.normal(size=400))]
@@ -19,7 +18,7 @@ def test_scan_matches_window(spark, rows_per_bucket):
                                           Scan("cx", "sum", "w", inclusive=False),
                                           Scan("mn", "min", "w"),
                                           Scan("mx", "max", "w", inclusive=False)],
-                       totals={"tot": "w"}, rows_per_bucket=rows_per_bucket)
+                       totals={"tot": "w"})
     w = W.partitionBy("g").orderBy("v")
     ref = df.select("g", "v",
                     F.sum("w").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("cs"),
@@ -39,24 +38,34 @@ def test_scan_matches_window(spark, rows_per_bucket):
             assert a[k].mx == pytest.approx(b[k].mx)
 
 
+def test_scan_null_group_key(spark, ranges):
+    df = spark.createDataFrame([(g, float(i), 1) for g in (None, 1) for i in range(40)], "g int, v double, c int")
+    out = ordered_scan(df, ["g"], ["v"], [Scan("n", "sum", "c")], totals={"tot": "c"}).collect()
+    assert len(out) == 80 and all(r.n == r.v + 1 and r.tot == 40 for r in out)
+
+
+def test_scan_without_groups_or_rows(spark, ranges):
+    df = spark.createDataFrame([(float(i), 1) for i in range(30)], "v double, c int")
+    out = ordered_scan(df, [], ["v"], [Scan("n", "sum", "c")], totals={"tot": "c"})
+    assert all(r.n == r.v + 1 and r.tot == 30 for r in out.collect())
+    assert ordered_scan(df.limit(0), [], ["v"], [Scan("n", "sum", "c")]).count() == 0
+
+
 def test_scan_descending(spark):
     df = spark.createDataFrame([(1, float(i), 1) for i in range(50)], "g int, v double, c int")
-    out = ordered_scan(df, ["g"], ["v"], [Scan("ge", "sum", "c")], ascending=False,
-                       rows_per_bucket=6)
+    out = ordered_scan(df, ["g"], ["v"], [Scan("ge", "sum", "c")], ascending=False, ranges=6)
     got = {r.v: r.ge for r in out.collect()}
     assert all(got[float(i)] == 50 - i for i in range(50))
 
 
-@pytest.mark.parametrize("rows_per_bucket", [5, 1 << 20])
-def test_exact_quantiles(spark, rows_per_bucket):
+def test_exact_quantiles(spark, ranges):
     rng = np.random.default_rng(7)
     vals = {0: rng.normal(size=301), 1: rng.integers(0, 5, 200).astype(float),
             2: np.array([1.0, 2.0, 10.0, 20.0])}
     rows = [(g, float(v)) for g, arr in vals.items() for v in arr] + [(3, None)]
     df = spark.createDataFrame(rows, "g int, v double")
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
-    out = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs,
-                                           rows_per_bucket=rows_per_bucket).collect()}
+    out = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     for g, arr in vals.items():
         for p, name in zip(probs, ["q010", "q250", "q500", "q750", "q990"]):
             assert out[g][name] == pytest.approx(float(np.quantile(arr, p)), abs=1e-12)
