@@ -49,13 +49,16 @@ from pyspark.sql import functions as F
 from panelwatch.functions.scalar import (
     AUC_DROP_THRESHOLD, DRIFT_SHARE_THRESHOLD, drift_status, regime_label,
 )
+from panelwatch.functions.stats import chi2_pvalue
 from panelwatch.operators.metrics import ranking_metrics
 from panelwatch.operators.profile import unpivot_categorical, unpivot_numeric
 from panelwatch.operators.scan import Scan, ordered_scan
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
-DRIFT_THRESHOLD = 0.1  # fallback threshold of the reference, used for both methods
+DRIFT_THRESHOLD = 0.1  # fallback threshold of the reference, used for both distances
+P_VALUE_THRESHOLD = 0.05
+LOW_MEANS_DRIFT = ("chi_square",)
 
 
 def _clean_numeric(long: DataFrame) -> DataFrame:
@@ -169,26 +172,64 @@ def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[s
     return out.select(period, "column", F.sqrt(F.greatest(js2, F.lit(0.0))).alias("score"))
 
 
+def chi_square_by_period(long: DataFrame, period: str, reference: Sequence[str],
+                         periods: Sequence[str] | None = None) -> DataFrame:
+    """``(period, column, statistic, dof, score)``: p-value (``score``) of the
+    chi-square test that a period's values have the reference's shares (table of two
+    rows, values of either side; null with fewer than two values)."""
+    is_ref = F.col(period).isin(list(reference))
+    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
+    counts = materialize(long.where(F.col("value").isNotNull() & (is_ref | analysed))
+                         .groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("nc")))
+    ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("nc").alias("nr"))
+    ref_total = ref.groupBy("column").agg(F.sum("nr").alias("tot_r"), F.count(F.lit(1)).alias("kinds"))
+    cur = counts.where(analysed)
+    tot = cur.groupBy(period, "column").agg(F.sum("nc").alias("tot_c"))
+    # values on either side: those of the period with the reference's count, and what the
+    # reference has beyond them, which enters through its total only
+    both = (cur.join(ref, ["column", "value"], "left").join(F.broadcast(ref_total), "column")
+            .join(F.broadcast(tot), [period, "column"]).na.fill(0, ["nr"]))
+    n, r = F.col("tot_r") + F.col("tot_c"), F.col("nr") + F.col("nc")
+    er, ec = r * F.col("tot_r") / n, r * F.col("tot_c") / n
+    stat = both.groupBy(period, "column").agg(
+        F.sum((F.col("nr") - er) ** 2 / er + (F.col("nc") - ec) ** 2 / ec).alias("seen"),
+        F.sum("nr").alias("nr"), F.count(F.lit(1)).alias("own"), F.count_if(F.col("nr") > 0).alias("shared"),
+        F.first("tot_r").alias("tot_r"), F.first("tot_c").alias("tot_c"), F.first("kinds").alias("kinds"))
+    # a value only in the reference with count m adds (m - m a)^2 / (m a) + m b, where a and b are the
+    # sides' shares of all rows: m b / a * b + m b = m b / a
+    rest = (F.col("tot_r") - F.col("nr")) * F.col("tot_c") / F.col("tot_r")
+    dof = F.col("own") + F.col("kinds") - F.col("shared") - 1
+    out = stat.select(period, "column", (F.col("seen") + rest).alias("statistic"), dof.cast("int").alias("dof"))
+    return out.withColumn("score", F.when(F.col("dof") > 0, chi2_pvalue(F.col("statistic"), F.col("dof").cast("double"))))
+
+
 def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
                  categorical: Sequence[str], reference: Sequence[str],
-                 periods: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    """``(period, column, method, score, threshold, drifted)`` for
-    every column and analysed period (default: all that are not in the reference)."""
+                 periods: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD,
+                 categorical_method: str = "jensenshannon") -> DataFrame:
+    """``(period, column, method, score, threshold, direction, drifted)`` for
+    every column and analysed period (default: all that are not in the reference).
+
+    ``direction`` tells which scores mean drift: ``higher`` than the threshold for
+    distances, ``lower`` for p-values (``categorical_method="chi_square"``, threshold
+    0.05).  A score that cannot be computed counts as drift."""
     parts = []
     if numeric:
         w = wasserstein_by_period(unpivot_numeric(df, numeric, keep=[period]), period, reference,
                                   periods)
         parts.append(w.select(period, "column", F.lit("wasserstein").alias("method"), "score"))
     if categorical:
-        j = jensen_shannon_by_period(unpivot_categorical(df, categorical, keep=[period]), period,
-                                     reference, periods)
-        parts.append(j.select(period, "column", F.lit("jensenshannon").alias("method"), "score"))
+        by = {"jensenshannon": jensen_shannon_by_period, "chi_square": chi_square_by_period}[categorical_method]
+        j = by(unpivot_categorical(df, categorical, keep=[period]), period, reference, periods)
+        parts.append(j.select(period, "column", F.lit(categorical_method).alias("method"), "score"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(period, "column", "method", "score",
-                      F.lit(float(threshold)).alias("threshold"),
-                      F.coalesce(F.col("score") > F.lit(float(threshold)), F.lit(True))
+    low = F.col("method").isin(*LOW_MEANS_DRIFT)
+    limit = F.when(low, F.lit(P_VALUE_THRESHOLD)).otherwise(F.lit(float(threshold)))
+    return out.select(period, "column", "method", "score", limit.alias("threshold"),
+                      F.when(low, F.lit("lower")).otherwise(F.lit("higher")).alias("direction"),
+                      F.coalesce(F.when(low, F.col("score") < limit).otherwise(F.col("score") > limit), F.lit(True))
                       .alias("drifted"))
 
 

@@ -886,7 +886,7 @@ def drift_sql(panel_cte: str, src: str, period: str, reference, numeric, categor
         f"wd AS (SELECT {period}, \"column\", 'wasserstein' AS method, CASE WHEN sd > 0 THEN "
         f"w1 / sd WHEN abs(w1) < 1e-12 THEN 0.0 END AS score FROM w1 JOIN refsd USING (\"column\"))"
         f"{js}, cd AS (SELECT {period}, \"column\", method, score, CAST(0.1 AS DOUBLE) AS "
-        f"threshold, coalesce(score > 0.1, true) AS drifted FROM ({union}))")
+        f"threshold, 'higher' AS direction, coalesce(score > 0.1, true) AS drifted FROM ({union}))")
 
 
 def _drift_sql() -> str:
@@ -1076,10 +1076,10 @@ def registry_champion_orders(spark, sf):
     move the champion alias, and describe the served model."""
     reg = Registry(spark, scratch_path(spark, f"registry-{_uuid.uuid4().hex}"))
     TR.train_and_register(orders_panel(spark, sf), ORDERS_SPEC, reg, "orders-model")
-    info = reg.model_info("orders-model")
+    info = reg.model_info("orders-model", features=ORDERS_SPEC.features)
     return info.select("name", "version", "algorithm",
                        F.map_keys("metrics").alias("metric_keys"),
-                       F.col("metrics")["validation_roc_auc"].alias("validation_roc_auc"))
+                       "validation_roc_auc", "description", "features", "threshold")
 
 
 @register("stream_scoring_lineitem",
@@ -1144,6 +1144,13 @@ def column_drift_orders(spark, sf):
                           ORDERS_SPEC.categorical, ORDERS_SPEC.train_periods)
 
 
+@register("column_drift_chi_square_orders")
+def column_drift_chi_square_orders(spark, sf):
+    """Categorical drift by p-values, where a low value means drift."""
+    return D.column_drift(orders_panel(spark, sf), "order_month", [], ORDERS_SPEC.categorical,
+                          ORDERS_SPEC.train_periods, categorical_method="chi_square")
+
+
 @register("panel_roundtrip_equality_lineitem",
           f"WITH {LI} SELECT 'only_left' AS side, (SELECT count(*) FROM (SELECT * FROM li "
           f"EXCEPT ALL SELECT * FROM li)) AS n UNION ALL SELECT 'only_right', (SELECT count(*) "
@@ -1218,6 +1225,36 @@ def drift_history_roundtrip_lineitem(spark, sf):
         "drifted_columns", F.array_join("drifted_columns", ", "))
 
 
+@register("drift_snapshot_extraction_orders",
+          f"WITH {OP}, m AS (SELECT order_month AS period, avg(order_count) - 1 AS a, avg(total_spent) / 1e6 AS b, "
+          f"count(*) % 2 = 0 AS even FROM op GROUP BY 1) "
+          f"SELECT period, 'order_count' AS \"column\", round(a, 4) AS score, a > 0.1 AS drifted FROM m UNION ALL "
+          f"SELECT period, 'total_spent', round(b, 4), CASE WHEN even THEN true ELSE b > 0.1 END FROM m", ("score",))
+def drift_snapshot_extraction_orders(spark, sf):
+    """B13 + C3: snapshots written as JSON (one per month, some metrics untested, of another
+    kind or without a number) and their verdicts extracted."""
+    m = orders_panel(spark, sf, with_customer=False).groupBy("order_month").agg(
+        (F.avg("order_count") - 1).alias("a"), (F.avg("total_spent") / 1e6).alias("b"), F.count(F.lit(1)).alias("n"))
+
+    def metric(name, kind, column, value):
+        return F.struct(F.lit(name).alias("id"), F.struct(F.lit(kind).alias("type"), F.lit(column).alias("column"))
+                        .alias("config"), value.alias("value"))
+
+    def test(name, status):
+        return F.struct(F.struct(F.lit(name).alias("metric_id")).alias("metric_config"), status.alias("status"))
+
+    docs = m.select(F.col("order_month").alias("period"), F.array(
+        metric("m1", "x:ValueDrift", "order_count", F.col("a").cast("string")),
+        metric("m2", "x:ValueDrift", "total_spent", F.col("b").cast("string")),
+        metric("m3", "x:DriftedColumnsCount", "total_spent", F.lit("3")),
+        metric("m4", "x:ValueDrift", "c_acctbal", F.lit("n/a"))).alias("metrics"),
+        F.when(F.col("n") % 2 == 0, F.array(test("m2", F.lit("FAIL")), test("m9", F.lit("FAIL")))).otherwise(
+            F.array(test("m9", F.lit("SUCCESS")))).alias("tests"))
+    path = scratch_path(spark, f"snapshots-{_uuid.uuid4().hex}")
+    docs.write.json(path)
+    return IO.snapshot_column_drift(IO.read_drift_snapshots(spark, path))
+
+
 # A fixed scorecard for the events panel (value and the JSON field k).
 EVENTS_CARD = S.Scorecard(intercept=-1.4, numeric={"value": (10.0, 6.0, 0.3),
                                                    "prop_k": (50.0, 29.0, -0.2)})

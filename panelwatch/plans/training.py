@@ -13,6 +13,7 @@ from panelwatch.operators import drift as D
 from panelwatch.operators.models import (
     Candidate, choose_champion, default_candidates, metrics_long, temporal_split, train_one,
 )
+from panelwatch.operators.profile import split_summary
 from panelwatch.operators.scoring import probability_column
 from panelwatch.session import materialize
 from panelwatch.sources.registry import Registry
@@ -48,13 +49,25 @@ def train_and_register(panel: DataFrame, spec: PanelSpec, registry: Registry, na
     (``register=False`` stops before registering)."""
     models, metrics = train_candidates(panel, spec, candidates)
     long = metrics_long(metrics)
+    split = {r["split"]: r for r in split_summary(panel, spec).collect()}  # two rows
+    params = {"train_periods": ",".join(spec.train_periods),
+              "validation_periods": ",".join(spec.validation_periods),
+              "n_train": split["train"]["n_rows"] if "train" in split else 0,
+              "n_validation": split["validation"]["n_rows"] if "validation" in split else 0,
+              "train_target_rate": round(split["train"]["target_rate"], 4) if "train" in split else None,
+              "split_strategy": "temporal"}
     runs = {}
     for cand_name, model in models.items():
+        est = model.stages[-1]
+        own = {f"model__{p.name}": v for p, v in est.extractParamMap().items() if v is not None}
         runs[cand_name] = registry.log_run(cand_name, long.where(F.col("model") == cand_name),
-                                           model=model)
+                                           params={"algorithm": cand_name, **params, **own}, model=model)
     best = choose_champion(metrics).first()
     if register and best is not None:
-        version = registry.register(name, runs[best["model"]], best["model"])
+        text = (f"{best['model']} trained on {spec.train_periods[0]}..{spec.train_periods[-1]}, "
+                f"validated on {spec.validation_periods[0]}..{spec.validation_periods[-1]}, "
+                f"validation AUC {best['roc_auc']:.4f}")
+        version = registry.register(name, runs[best["model"]], best["model"], best["roc_auc"], text)
         registry.promote(name, version)
     return metrics, best
 

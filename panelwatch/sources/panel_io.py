@@ -138,3 +138,35 @@ def read_request_batch(spark: SparkSession, path: str, schema: T.StructType) ->
     batch = raw.where(F.col("customers").isNotNull()).select(F.inline("customers"))
     single = raw.where(F.col("customers").isNull()).select(*[f.name for f in schema.fields])
     return batch.unionByName(single)
+
+
+# ------------------------------------------------------------------ drift snapshots
+_METRIC = "struct<id: string, config: struct<type: string, column: string>, value: string>"
+_TEST = "struct<metric_config: struct<metric_id: string>, status: string>"
+SNAPSHOT_SCHEMA = f"period string, metrics array<{_METRIC}>, tests array<{_TEST}>"
+
+
+def read_drift_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Drift snapshots (one JSON document per line): period, metrics, tests."""
+    return spark.read.schema(SNAPSHOT_SCHEMA).json(path)
+
+
+def snapshot_column_drift(snapshots: DataFrame, fallback: float = 0.1) -> DataFrame:
+    """B13 + C3: ``(period, column, score, drifted)`` of the snapshots.
+
+    Only metrics whose type ends in ``ValueDrift``, with a column and a numeric
+    value, count.  The verdict is that of the metric's test (anything but
+    SUCCESS is drift, since methods differ in direction); without a test it is
+    ``value > fallback``."""
+    m = snapshots.select("period", F.explode("metrics").alias("m")).select(
+        "period", F.col("m.id").alias("id"), F.col("m.config.type").alias("type"),
+        F.col("m.config.column").alias("column"), F.expr("try_cast(m.value AS double)").alias("value"))
+    m = m.where(F.col("type").endswith("ValueDrift") & F.col("column").isNotNull() & F.col("value").isNotNull())
+    t = snapshots.select("period", F.explode("tests").alias("t")).select(
+        "period", F.col("t.metric_config.metric_id").alias("id"), F.col("t.status").alias("status"))
+    # a metric tested twice: the last verdict would depend on order, so any failure counts
+    t = t.where(F.col("id").isNotNull()).groupBy("period", "id").agg(
+        F.max(F.coalesce(F.col("status") != "SUCCESS", F.lit(True))).alias("failed"))
+    return m.join(t, ["period", "id"], "left").select(
+        "period", "column", F.round("value", 4).alias("score"),
+        F.coalesce("failed", F.col("value") > F.lit(fallback)).alias("drifted"))

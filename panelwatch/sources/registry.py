@@ -2,7 +2,7 @@
 
 Three append-only tables under one root (by default inside the shared
 checkpoint folder): ``runs`` (run id, algorithm, time), ``run_metrics``
-(run id, kind, key, value) and ``model_events`` (register / alias events).
+(run id, kind, key, number or text) and ``model_events`` (register / alias events).
 Versions and aliases are resolved with aggregates over the events, so the
 history is kept.  Appends are not atomic across writers: one writer at a
 time (a table format with transactions would lift that).
@@ -13,18 +13,20 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from panelwatch.functions.scalar import DECISION_THRESHOLD
 from panelwatch.session import scratch_path
 
 RUN_SCHEMA = "run_id string, algorithm string, created_at long"
-METRIC_SCHEMA = "run_id string, kind string, key string, value double"
+METRIC_SCHEMA = "run_id string, kind string, key string, value double, text string"
 EVENT_SCHEMA = ("name string, event string, version int, alias string, run_id string, "
-                "algorithm string, created_at long, event_seq long")
+                "algorithm string, created_at long, event_seq long, validation_roc_auc string, "
+                "description string")
 
 
 class Registry:
@@ -48,21 +50,22 @@ class Registry:
     def log_run(self, algorithm: str, metrics: DataFrame | dict[str, float],
                 params: dict[str, object] | None = None, model: PipelineModel | None = None,
                 run_id: str | None = None) -> str:
-        """One run with params (as text metrics of kind ``param``) and
-        metrics ``(key, value)``; A9: the fitted pipeline saved as one unit."""
+        """One run with params (rows of kind ``param`` with a text value)
+        and metrics ``(key, value)``; A9: the fitted pipeline saved as one unit."""
         run_id = run_id or uuid.uuid4().hex
         now = int(time.time())
         self.spark.createDataFrame([(run_id, algorithm, now)], RUN_SCHEMA).write.mode(
             "append").parquet(self._path("runs"))
         if isinstance(metrics, dict):
             mdf = self.spark.createDataFrame(
-                [(run_id, "metric", k, float(v)) for k, v in metrics.items()], METRIC_SCHEMA)
+                [(run_id, "metric", k, float(v), None) for k, v in metrics.items()], METRIC_SCHEMA)
         else:
             mdf = metrics.select(F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"),
-                                 F.col("key").cast("string"), F.col("value").cast("double"))
+                                 F.col("key").cast("string"), F.col("value").cast("double"),
+                                 F.lit(None).cast("string").alias("text"))
         if params:
             pdf = self.spark.createDataFrame(
-                [(run_id, "param", f"{k}={v}", None) for k, v in params.items()], METRIC_SCHEMA)
+                [(run_id, "param", k, None, str(v)) for k, v in params.items()], METRIC_SCHEMA)
             mdf = mdf.unionByName(pdf)
         mdf.write.mode("append").parquet(self._path("run_metrics"))
         if model is not None:
@@ -81,25 +84,33 @@ class Registry:
         r = self._read("model_events", EVENT_SCHEMA).agg(F.max("event_seq")).first()[0]
         return (r or 0) + 1
 
-    def register(self, name: str, run_id: str, algorithm: str) -> int:
-        """A10: new version = last version of this name + 1."""
+    def params(self, run_id: str) -> DataFrame:
+        """``(key, text)`` of a run's params."""
+        rows = self._read("run_metrics", METRIC_SCHEMA)
+        return rows.where((F.col("run_id") == run_id) & (F.col("kind") == "param")).select("key", "text")
+
+    def register(self, name: str, run_id: str, algorithm: str,
+                 validation_roc_auc: float | None = None, description: str | None = None) -> int:
+        """A10: new version = last version of this name + 1, tagged with the
+        algorithm and the validation AUC (4 decimals) and described."""
         ev = self._read("model_events", EVENT_SCHEMA)
         last = ev.where((F.col("name") == name) & (F.col("event") == "register")).agg(
             F.coalesce(F.max("version"), F.lit(0))).first()[0]
         version = int(last) + 1
+        auc = None if validation_roc_auc is None else f"{validation_roc_auc:.4f}"
         self._append_event((name, "register", version, None, run_id, algorithm,
-                            int(time.time()), self._next_seq()))
+                            int(time.time()), self._next_seq(), auc, description))
         return version
 
     def promote(self, name: str, version: int, alias: str = "champion") -> None:
         """Move the alias to ``version`` (latest alias event wins)."""
         self._append_event((name, "alias", int(version), alias, None, None, int(time.time()),
-                            self._next_seq()))
+                            self._next_seq(), None, None))
 
     def versions(self, name: str) -> DataFrame:
         ev = self._read("model_events", EVENT_SCHEMA)
         return ev.where((F.col("name") == name) & (F.col("event") == "register")).select(
-            "name", "version", "run_id", "algorithm", "created_at")
+            "name", "version", "run_id", "algorithm", "created_at", "validation_roc_auc", "description")
 
     def resolve(self, name: str, alias: str = "champion") -> DataFrame:
         """``(name, alias, version)`` from the latest alias event."""
@@ -108,25 +119,25 @@ class Registry:
                          & (F.col("alias") == alias))
                 .groupBy("name", "alias").agg(F.max_by("version", "event_seq").alias("version")))
 
-    def model_info(self, name: str, alias: str = "champion") -> DataFrame:
+    def model_info(self, name: str, alias: str = "champion", features: Sequence[str] = (),
+                   threshold: float = DECISION_THRESHOLD) -> DataFrame:
         """Alias -> version -> run, with the run's metrics as a map
-        (``train_`` metrics dropped, B11)."""
+        (``train_`` metrics dropped, B11; 4 decimals), the input features and the
+        decision threshold."""
         cur = self.resolve(name, alias)
         ver = self.versions(name)
         mets = (self._read("run_metrics", METRIC_SCHEMA)
                 .where((F.col("kind") == "metric") & ~F.col("key").startswith("train_"))
                 .groupBy("run_id").agg(F.map_from_entries(F.collect_list(
-                    F.struct("key", "value"))).alias("metrics")))
+                    F.struct("key", F.round("value", 4).alias("value")))).alias("metrics")))
         return (cur.join(ver, ["name", "version"]).join(mets, "run_id", "left")
                 .select("name", F.col("version").cast("string").alias("version"), "run_id",
-                        "algorithm", "created_at", "metrics"))
+                        "algorithm", "created_at", "validation_roc_auc", "description", "metrics",
+                        F.array(*[F.lit(f) for f in features]).cast("array<string>").alias("features"),
+                        F.lit(float(threshold)).alias("threshold")))
 
     def load_champion(self, name: str, alias: str = "champion") -> tuple[PipelineModel, dict]:
         info = self.model_info(name, alias).first()
         if info is None:
             raise LookupError(f"no model with alias {alias!r} for {name!r}")
         return self.load_model(info["run_id"]), info.asDict()
-
-
-def metrics_map_type() -> T.MapType:
-    return T.MapType(T.StringType(), T.DoubleType())

@@ -69,3 +69,19 @@ def test_auc_ties_and_one_class(spark):
     assert got["a"].roc_auc == pytest.approx(0.75)  # tie counts half
     assert got["b"].roc_auc is None  # one class: undefined (B14)
     assert got["a"].precision == pytest.approx(0.5) and got["a"].recall == pytest.approx(1.0)
+
+
+def test_chi_square_drift_against_table(spark):
+    from panelwatch.operators.drift import chi_square_by_period, column_drift
+
+    ref, cur = {"a": 30, "b": 50, "c": 20}, {"a": 10, "b": 10, "d": 5}
+    rows = [("ref", "k", v) for v, n in ref.items() for _ in range(n)] + [("m", "k", v) for v, n in cur.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "period string, column string, value string")
+    r = chi_square_by_period(df, "period", ["ref"]).first()
+    table = np.array([[ref.get(v, 0), cur.get(v, 0)] for v in "abcd"], float)
+    want = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / table.sum()
+    assert r.statistic == pytest.approx(((table - want) ** 2 / want).sum()) and r.dof == 3
+    assert r.score == pytest.approx(math.erfc(math.sqrt(r.statistic / 2)) + math.sqrt(2 * r.statistic / math.pi) * math.exp(-r.statistic / 2))
+    wide = df.select("period", df["value"].alias("k"))
+    d = column_drift(wide, "period", [], ["k"], ["ref"], categorical_method="chi_square").first()
+    assert (d.direction, d.threshold, d.drifted) == ("lower", 0.05, True)
