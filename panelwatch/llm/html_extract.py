@@ -13,9 +13,9 @@ Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and
 comments are left out wherever they stand (by tag, role, and words of class and id).
 Blocks come in page order, white space within one becomes a space, character references are decoded.
 
-Votes are pre-aggregated before the shuffle; the winners have one row per host and
-join the pages by host, where Spark broadcasts them if they measure small, and otherwise
-splits a hot host.
+Votes are pre-aggregated before the shuffle.  The winners have one row per host and are staged, so
+Spark knows their size: below its broadcast threshold the pages are not moved, above it they
+join by host and Spark splits a hot host.
 
 Edge cases: null or empty html gives an empty text; null urls, and those without a host,
 form one host of their own; unclosed and stray tags are tolerated; repeated rows are read
@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwatch.llm.common import stage
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|iframe|object|math)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I)
@@ -239,7 +241,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, main text and its number of code points."""
-    winners = winning_paths(pages, url_col, html_col).select("host", "path")
+    winners = stage(winning_paths(pages, url_col, html_col).select("host", "path"), "host-paths")  # its size is then known
     kept = pages.select(F.col(id_col).alias(id_col), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     joined = kept.join(winners, "host", "left").select(id_col, "url", "html", "path")
 
