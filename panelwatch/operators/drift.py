@@ -326,15 +326,17 @@ def history_document(records: DataFrame, model: dict, reference: Sequence[str],
 STATUS_LABELS = {"OK": "Estable", "VIGILAR": "Vigilar", "CRITICO": "Requiere reentrenamiento"}
 
 
-def latest_headline(records: DataFrame, labels: dict | None = None) -> DataFrame:
+def latest_headline(records: DataFrame, labels: dict | None = None, model: dict | None = None) -> DataFrame:
     """Latest month's status with its label (lookup with the
-    status itself as default), AUC and delta."""
+    status itself as default), AUC and delta, and the model's version and algorithm."""
+    model = model or {}
     labels = labels or STATUS_LABELS
     last = records.agg(F.max_by(F.struct(*records.columns), "month").alias("r")).select("r.*")
     lab = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
     return last.select("month", "status",
                        F.coalesce(lab[F.col("status")], F.col("status")).alias("status_label"),
-                       "roc_auc", "auc_delta")
+                       "roc_auc", "auc_delta",
+                       *[F.lit(model.get(k)).cast("string").alias(f"model_{k}") for k in ("version", "algorithm")])
 
 
 def month_detail(records: DataFrame, month: str, n_features: int) -> DataFrame:

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions.scalar import clip
 from panelwatch.operators.profile import unpivot_categorical, unpivot_numeric
-from panelwatch.operators.quantiles import exact_quantiles
+from panelwatch.operators.quantiles import quantiles_from_counts
+from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec
 
 
@@ -55,20 +56,28 @@ class NumericPrep(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
     def _fit(self, df: DataFrame) -> "NumericPrepModel":
         cols = list(self.getInputCols())
         lo, hi = self.getOrDefault(self.lower), self.getOrDefault(self.upper)
-        long = unpivot_numeric(df, cols)
-        med = {r["column"]: r["median"] for r in
-               exact_quantiles(long, ["column"], "value", [0.5], ["median"]).collect()}
-        imputed = long.withColumn("value", F.when(
-            F.col("value").isNull() | F.isnan("value"),
-            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(med.get(c)))])[F.col("column")]
-        ).otherwise(F.col("value")))
-        qs = {r["column"]: (r["lo"], r["hi"]) for r in
-              exact_quantiles(imputed, ["column"], "value", [lo, hi], ["lo", "hi"]).collect()}
-        clipped = imputed.withColumn("value", F.least(F.greatest(
-            "value", F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(qs[c][0]))])[F.col("column")]),
-            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(qs[c][1]))])[F.col("column")]))
-        mom = {r["column"]: (r["mean"], r["sd"]) for r in clipped.groupBy("column").agg(
-            F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")).collect()}
+        # one pass over the rows: everything is learned from the value counts
+        v = F.col("value")
+        counts = materialize(unpivot_numeric(df, cols).groupBy(
+            "column", F.when(~F.isnan(v), v).alias("__v")).agg(F.count(F.lit(1)).alias("__c")))
+        med = {r["column"]: r["median"] for r in quantiles_from_counts(
+            counts.where("__v IS NOT NULL"), ["column"], [0.5], ["median"]).collect()}
+        fill = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(med.get(c)).cast("double"))])
+        imputed = materialize(counts.groupBy(
+            "column", F.coalesce("__v", fill[F.col("column")]).alias("__v")).agg(F.sum("__c").alias("__c"))
+            .where("__v IS NOT NULL"))
+        limits = quantiles_from_counts(imputed, ["column"], [lo, hi], ["lo", "hi"])
+        qs = {r["column"]: (r["lo"], r["hi"]) for r in limits.collect()}
+        qs = {c: qs.get(c, (None, None)) for c in cols}
+        x = F.least(F.greatest("__v", F.create_map(*[y for c in cols for y in (F.lit(c), F.lit(qs[c][0]).cast("double"))])[F.col("column")]),
+                    F.create_map(*[y for c in cols for y in (F.lit(c), F.lit(qs[c][1]).cast("double"))])[F.col("column")])
+        clipped = imputed.withColumn("__x", x)
+        mean = clipped.groupBy("column").agg((F.sum(F.col("__c") * F.col("__x")) / F.sum("__c")).alias("mean"))
+        dev = clipped.join(F.broadcast(mean), "column")  # one row per column
+        mom = {r["column"]: (r["mean"], r["sd"]) for r in dev.groupBy("column").agg(
+            F.first("mean").alias("mean"), F.sqrt(F.sum(F.col("__c") * (F.col("__x") - F.col("mean")) ** 2)
+                                                 / F.sum("__c")).alias("sd")).collect()}
+        mom = {c: mom.get(c, (None, None)) for c in cols}
         stats = {c: {"median": med.get(c), "lo": qs[c][0], "hi": qs[c][1], "mean": mom[c][0],
                      "sd": mom[c][1] if mom[c][1] else 1.0} for c in cols}
         m = NumericPrepModel(inputCols=cols, outputCols=list(self.getOutputCols()),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions.scalar import safe_ratio
 from panelwatch.operators.scan import Scan, ordered_scan
+from panelwatch.session import materialize
 
 
 _ALL = "__all"
@@ -41,23 +42,22 @@ def score_table(df: DataFrame, group_cols: Sequence[str], score: str, label: str
             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
-def _ranked(df, group_cols, score, label):
-    st = score_table(df, group_cols, score, label)
+def _rank_table(st: DataFrame, group_cols) -> DataFrame:
     return ordered_scan(st, list(group_cols), ["score"],
                         [Scan("pos_le", "sum", "pos"), Scan("neg_le", "sum", "neg")],
                         totals={"P": "pos", "N": "neg"})
 
 
-def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label: str) -> DataFrame:
-    """M15 + M16 per group: ``n_pos, n_neg, roc_auc, pr_auc``.  AUC is null
-    unless both classes are present (B14); AP is null without positives."""
-    df, group_cols, __drop = _keyed(df, group_cols)
-    r = _ranked(df, group_cols, score, label)
+def _ranked(df, group_cols, score, label):
+    return _rank_table(score_table(df, group_cols, score, label), group_cols)
+
+
+def _ranking(r: DataFrame, group_cols) -> DataFrame:
+    """AUC and AP from a ranked score table."""
     neg_below = F.col("neg_le") - F.col("neg")
     tp = F.col("P") - F.col("pos_le") + F.col("pos")  # positives scored >= this score
     fp = F.col("N") - F.col("neg_le") + F.col("neg")
-    g = r.groupBy(*group_cols)
-    agg = g.agg(
+    agg = r.groupBy(*group_cols).agg(
         F.sum(F.col("pos") * (neg_below + 0.5 * F.col("neg"))).alias("__num"),
         F.sum(F.when(F.col("pos") > 0, F.col("pos") * tp / (tp + fp))).alias("__ap"),
         F.first("P").alias("n_pos"), F.first("N").alias("n_neg"))
@@ -65,7 +65,38 @@ def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label:
     return agg.select(
         *group_cols, "n_pos", "n_neg",
         F.when(both, F.col("__num") / (F.col("n_pos") * F.col("n_neg"))).alias("roc_auc"),
-        F.when(F.col("n_pos") > 0, F.col("__ap") / F.col("n_pos")).alias("pr_auc")).drop(*__drop)
+        F.when(F.col("n_pos") > 0, F.col("__ap") / F.col("n_pos")).alias("pr_auc"))
+
+
+def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label: str) -> DataFrame:
+    """M15 + M16 per group: ``n_pos, n_neg, roc_auc, pr_auc``.  AUC is null
+    unless both classes are present (B14); AP is null without positives."""
+    df, group_cols, __drop = _keyed(df, group_cols)
+    return _ranking(_ranked(df, group_cols, score, label), group_cols).drop(*__drop)
+
+
+def _thresholded(st: DataFrame, group_cols, threshold: float) -> DataFrame:
+    """Threshold metrics from counts per distinct probability ``__p``."""
+    p, pos, neg = F.col("__p"), F.col("pos"), F.col("neg")
+    hit = p >= F.lit(threshold)
+    agg = st.groupBy(*group_cols).agg(
+        F.sum(pos + neg).alias("n"), F.sum(F.when(hit, pos).otherwise(0)).cast("double").alias("tp"),
+        F.sum(F.when(hit, neg).otherwise(0)).cast("double").alias("fp"),
+        F.sum(F.when(~hit, pos).otherwise(0)).cast("double").alias("fn"),
+        F.try_divide(F.sum(pos * (p - 1) * (p - 1) + neg * p * p), F.sum(pos + neg).cast("double")).alias("brier"),
+        F.try_divide(F.sum(F.when(hit, pos + neg).otherwise(0)).cast("double"), F.sum(pos + neg).cast("double"))
+        .alias("positive_rate"))
+    prec = safe_ratio("tp", F.col("tp") + F.col("fp"))
+    rec = safe_ratio("tp", F.col("tp") + F.col("fn"))
+    return agg.select(*group_cols, "n", prec.alias("precision"), rec.alias("recall"),
+                      safe_ratio(2 * prec * rec, prec + rec).alias("f1"), "brier", "positive_rate")
+
+
+def _probability_table(df, group_cols, rank: str, score: str, label: str) -> DataFrame:
+    p, y = F.col(score).cast("double"), F.col(label)
+    return (df.where(p.isNotNull() & y.isNotNull())
+            .groupBy(*group_cols, F.col(rank).cast("double").alias("score"), p.alias("__p"))
+            .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
 def threshold_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
@@ -73,33 +104,24 @@ def threshold_metrics(df: DataFrame, group_cols: Sequence[str], score: str, labe
     """M14 (threshold part): precision, recall, F1 (0 on zero division),
     Brier score and positive rate at ``score >= threshold``."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    p = F.col(score).cast("double")
-    y = F.col(label).cast("double")
-    pred = (p >= F.lit(threshold)).cast("double")
-    g = df.where(p.isNotNull() & y.isNotNull())
-    g = g.groupBy(*group_cols)
-    agg = g.agg(F.count(F.lit(1)).alias("n"),
-                F.sum(pred * y).alias("tp"), F.sum(pred * (1 - y)).alias("fp"),
-                F.sum((1 - pred) * y).alias("fn"),
-                F.avg((p - y) * (p - y)).alias("brier"), F.avg(pred).alias("positive_rate"))
-    prec = safe_ratio("tp", F.col("tp") + F.col("fp"))
-    rec = safe_ratio("tp", F.col("tp") + F.col("fn"))
-    return agg.select(*group_cols, "n", prec.alias("precision"), rec.alias("recall"),
-                      safe_ratio(2 * prec * rec, prec + rec).alias("f1"), "brier",
-                      "positive_rate").drop(*__drop)
+    return _thresholded(_probability_table(df, group_cols, score, score, label), group_cols, threshold).drop(*__drop)
 
 
 def evaluate(df: DataFrame, group_cols: Sequence[str], score: str, label: str,
              threshold: float = 0.5, rank_score: str | None = None) -> DataFrame:
-    """The seven metrics per group (split, model, month ...) in one table.
+    """The seven metrics per group (split, model, month ...) in one table,
+    from one pass over the rows (counts per distinct score).
 
     ``rank_score`` (optional) is any strictly increasing transform of
     ``score`` (e.g. the linear predictor of a logistic score); ranking
     metrics only depend on order, and the untransformed value keeps ties
     that the logistic function would merge in floating point."""
     df, group_cols, __drop = _keyed(df, group_cols)
-    rk = ranking_metrics(df, group_cols, rank_score or score, label)
-    th = threshold_metrics(df, group_cols, score, label, threshold)
+    st = materialize(_probability_table(df, group_cols, rank_score or score, score, label))
+    by_rank = st.where(F.col("score").isNotNull()).groupBy(*group_cols, "score").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    rk = _ranking(_rank_table(by_rank, group_cols), group_cols)
+    th = _thresholded(st, group_cols, threshold)
     # stack the two one-row-per-group tables and collapse them per group: a
     # grouped aggregate instead of a join (no join on a constant key)
     metrics = ["n", "roc_auc", "pr_auc", "precision", "recall", "f1", "brier", "positive_rate"]

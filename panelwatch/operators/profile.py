@@ -126,14 +126,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std (n-1), min, p25, p50, p75, max per numeric column.
 
     Moments come from Spark's own aggregates over the rows (``avg``,
-    ``stddev_samp``), so means agree with other engines to the last digit;
+    ``stddev_samp``), so means agree with other engines to the last digit (sums over
+    value counts differ in it, which shows where a mean lies on a rounding edge);
     exact quantiles come from per-column value counts."""
     long = unpivot_numeric(df, columns)
     moments = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    counts = materialize(value_counts(long, ["column"], "value"))
+    counts = value_counts(long, ["column"], "value")
     q = quantiles_from_counts(counts, ["column"], [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return moments.join(q, "column").select("column", "count", "mean", "std", "min",
                                             "p25", "p50", "p75", "max")

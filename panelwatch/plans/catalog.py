@@ -997,9 +997,9 @@ def status_runs_lineitem(spark, sf):
           f"status, CASE arg_max(status, month) WHEN 'OK' THEN 'Estable' WHEN 'VIGILAR' THEN "
           f"'Vigilar' WHEN 'CRITICO' THEN 'Requiere reentrenamiento' ELSE arg_max(status, month) "
           f"END AS status_label, arg_max(roc_auc, month) AS roc_auc, arg_max(auc_delta, month) AS "
-          f"auc_delta FROM h", ("roc_auc", "auc_delta"))
+          f"auc_delta, '1' AS model_version, 'scorecard' AS model_algorithm FROM h", ("roc_auc", "auc_delta"))
 def latest_headline_lineitem(spark, sf):
-    return D.latest_headline(monthly_drift_lineitem(spark, sf))
+    return D.latest_headline(monthly_drift_lineitem(spark, sf), model={"version": "1", "algorithm": "scorecard"})
 
 
 _DETAIL_MONTH = "1998-12"
