@@ -180,11 +180,3 @@ def feature_names(model: PipelineModel, spec: PanelSpec) -> list[str]:
 def split_features_target(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """B1: keep the declared features and the target (drops id and period)."""
     return df.select(*spec.features, spec.target)
-
-
-def prepared_numeric(df: DataFrame, spec: PanelSpec, train: DataFrame,
-                     columns: Sequence[str] | None = None) -> DataFrame:
-    """Fit ``NumericPrep`` on ``train`` and apply it to ``df`` (M1-M3)."""
-    cols = list(columns or spec.numeric)
-    model = NumericPrep(inputCols=cols, outputCols=[f"{c}_prep" for c in cols]).fit(train)
-    return model.transform(df)

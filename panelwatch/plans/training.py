@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.operators import drift as D
+from panelwatch.operators.features import split_features_target
 from panelwatch.operators.models import (
     Candidate, choose_champion, default_candidates, metrics_long, temporal_split, train_one,
 )
@@ -25,8 +26,7 @@ def train_candidates(panel: DataFrame, spec: PanelSpec,
     """Fit every candidate on the train periods and evaluate train and
     validation in one grouped job each.  Returns ``(models, metrics)``
     where ``metrics`` has one row per (model, split)."""
-    cols = list(spec.features) + [spec.target, spec.period]
-    train, valid = temporal_split(panel.select(*cols), spec)
+    train, valid = (split_features_target(part, spec) for part in temporal_split(panel, spec))
     # every fit iterates over the train rows: kept by the executors while fitting
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     models, tables = {}, []

@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelwatch.functions.scalar import clip
 from panelwatch.operators import drift as D
@@ -115,3 +116,18 @@ def test_correlation_with_nulls_uses_complete_rows(spark):
     import numpy as np
 
     assert abs(got - np.corrcoef(*zip(*full))[0, 1]) < 1e-12
+
+
+def test_small_helpers(spark, tmp_path):
+    from panelwatch.functions import scalar as H
+    from panelwatch.operators import profile as P
+    from panelwatch.sources import panel_io as IO
+
+    assert [r.period for r in H.month_labels(spark, "2024-11", 3).collect()] == ["2024-11", "2024-12", "2025-01"]
+    df = spark.createDataFrame([("2024-01", "x", 0.25), ("2024-02", "x", 0.5)], "month string, column string, score double")
+    assert df.select(H.padded_id(F.lit(42)).alias("i")).first().i == "CUST-000042"
+    assert {(r.column, r.type) for r in P.schema_listing(df).collect()} == {("month", "string"), ("column", "string"), ("score", "double")}
+    path = str(tmp_path / "detail")
+    IO.write_drift_detail(df, path)
+    IO.write_drift_detail(df.where("month = '2024-02'").withColumn("score", F.lit(0.75)), path)  # replaces one month
+    assert {(r.month, r.score) for r in spark.read.json(path).collect()} == {("2024-01", 0.25), ("2024-02", 0.75)}
