@@ -30,7 +30,7 @@ from panelwatch.session import scratch_path
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 #: counts of distinct words kept in a worker
-WORD_CACHE = 300_000
+WORD_CACHE = 800_000
 #: a single space between two other characters that are no white space always
 #: starts a new pre-token (pre-tokens hold white space at their start or alone), so
 #: a text may be cut there and the parts encoded one by one
