@@ -15,8 +15,10 @@ expanded.  Then:
    one.  A block's whole texts come together once, and its components under the exact rule
    (intersection and union of the full shingle sets) are found with an inverted index: a
    document is compared with all others unless it already lies in the largest
-   component.  Blocks of more than ``BLOCK`` shingles are cut into groups, and every pair
-   of groups is a task, so memory is bounded and no link is lost.
+   component.  A block of more than ``BLOCK`` shingles is dealt into groups, ``ROUNDS`` times
+   anew; then every document outside the block's largest component so far is compared with all of
+   the block, in pairs of groups.  A link that is still missing has an end outside that component, so
+   none is lost; tasks are bounded, and a block of near copies costs in proportion to its size.
 3. The components of the links give each document the smallest id it reaches.
 
 Components come from alternating star steps over staged edge tables; nothing is collected.
@@ -50,6 +52,8 @@ NODE, LEAF = 4096, 64
 DEPTH, INNER_DEPTH = 4, 12
 #: shingles of the documents compared in one task
 BLOCK = 3_000_000
+#: times that a larger block is dealt anew
+ROUNDS = 3
 
 _rng = np.random.default_rng(99)
 _A = _rng.integers(1, 2**63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -319,17 +323,38 @@ def _confirm(batches):
 
 
 def confirmed_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links of the exact rule that connect each block's components; staged."""
+    """Links of the exact rule that connect each block's components."""
     inside = nodes.select("key", "id", "n").join(blocks.select("key", F.col("root").alias("block")), "key")
     groups = F.ceil(2 * F.col("total") / BLOCK).cast("int")
     weight = inside.groupBy("block").agg(F.sum("n").alias("total")).select(
         "block", F.when(F.col("total") <= BLOCK, F.lit(1)).otherwise(groups).alias("groups"))
-    inside = inside.join(weight, "block").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("groups")).cast("int"))
-    tasks = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
-        F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "key", "id")
+    inside = stage(inside.join(weight, "block"), "members")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    dealt = tasks.join(texts, "id").select("task", "key", "text").repartition("task").sortWithinPartitions("task")
-    return stage(dealt.mapInArrow(_confirm, "a long, b long").distinct(), "links")
+
+    def compared(tasks: DataFrame, name: str) -> DataFrame:
+        dealt = tasks.join(texts, "id").select("task", "key", "text").repartition("task").sortWithinPartitions("task")
+        return stage(dealt.mapInArrow(_confirm, "a long, b long").distinct(), name)
+
+    def group(salt: int, count: str):
+        return F.pmod(F.xxhash64("key", F.lit(salt)), F.col(count)).cast("int")
+
+    large = inside.where("groups > 1")
+    tasks = inside.where("groups = 1").select(F.xxhash64("block").alias("task"), "key", "id")
+    for salt in range(ROUNDS):
+        tasks = tasks.unionByName(large.select(F.xxhash64("block", F.lit(salt), group(salt, "groups")).alias("task"), "key", "id"))
+    links = compared(tasks, "links")
+    if large.isEmpty():
+        return links
+    placed = large.join(components(links), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    main = placed.groupBy("block", "root").agg(F.sum("n").alias("size")).groupBy("block").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"))
+    strays = placed.join(main, "block").where("root <> main").drop("main")
+    some = strays.groupBy("block").agg(F.ceil(2 * F.sum("n") / BLOCK).cast("int").alias("sets"))
+    strays, members = strays.join(some, "block"), large.join(some, "block")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    pairs = strays.withColumn("i", group(ROUNDS, "sets")).withColumn("j", every("groups")).select("block", "i", "j", "key", "id").unionByName(
+        members.withColumn("j", group(ROUNDS, "groups")).withColumn("i", every("sets")).select("block", "i", "j", "key", "id"))
+    return links.unionByName(compared(pairs.select(F.xxhash64("block", "i", "j").alias("task"), "key", "id").distinct(), "stray-links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
