@@ -5,8 +5,6 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

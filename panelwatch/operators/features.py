@@ -16,8 +16,6 @@ unseen or null level becomes the all-zero vector.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
