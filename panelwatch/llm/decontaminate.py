@@ -3,8 +3,8 @@
 Each task turns its shard of training text into word hashes and builds a suffix
 array of it.  Every suffix of the test texts is binary-searched in that array;
 the range found holds all places where the suffix's window (13 words, or the
-whole item if shorter) occurs verbatim, and comparing on from there gives the
-longest verbatim match.  Affected documents are then judged and can be removed.
+whole item if shorter) occurs verbatim.  The longest verbatim match at such a place is
+found the other way round, by a search of the place's suffix in the block's own suffix array.  Affected documents are then judged and can be removed.
 
 The array is sparse: it leaves out training suffixes whose first words (as many
 as the shortest window has, three at most) start no test window.  Such a suffix
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from panelwatch.llm.common import ALNUM_WORDS, Words, by_text, mixed, pieces
 
 WINDOW = 13
-#: words of test text in one block (8 bytes each, sent to every executor)
-BLOCK_WORDS = 4_000_000
+#: words of test text in one block (about 150 bytes of driver memory each while it is built,
+#: 8 on every executor)
+BLOCK_WORDS = 400_000
 _LEAD = 3
 _BITS = 20
 
@@ -44,10 +45,11 @@ class TestBlock:
     """Word hashes of some test items and their distinct windows.
 
     ``words`` ends with a 0 after each item, so that no comparison runs on into
-    the next one.  Window ``k`` is ``words[at[k]:at[k] + length[k]]``; the
+    the next one; ``order`` is the suffix array of all its words.  Window ``k`` is ``words[at[k]:at[k] + length[k]]``; the
     items holding it are ``items[first[k]:first[k + 1]]``."""
 
     words: np.ndarray
+    order: np.ndarray
     at: np.ndarray
     length: np.ndarray
     items: np.ndarray
@@ -61,6 +63,26 @@ def _rows(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return padded[at[:, None] + np.arange(depth)]
 
 
+def _suffix_order(words: np.ndarray) -> np.ndarray:
+    """Suffix array of ``words`` by prefix doubling, without the suffixes that begin with an
+    end mark (0).  End marks come before all words and differ from each other, so an
+    item's suffix never runs on into the next item."""
+    mark = words == 0
+    rank = np.unique(words, return_inverse=True)[1].ravel() + mark.sum()
+    rank[mark] = np.arange(mark.sum())
+    k = 1
+    while True:
+        after = np.full(len(words), -1)
+        after[:-k] = rank[k:]
+        order = np.lexsort((after, rank))
+        step = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(step)])
+        if step.all() or k >= len(words):
+            return order[~mark[order]]
+        k *= 2
+
+
 def build_block(names: list, texts: list[str], window: int = WINDOW) -> TestBlock:
     parts, at, length, item = [], [], [], []
     base = 0
@@ -81,13 +103,13 @@ def build_block(names: list, texts: list[str], window: int = WINDOW) -> TestBloc
             base += int(n) + 1
     if not parts:
         z = np.zeros(0, np.int64)
-        return TestBlock(np.zeros(0, np.uint64), z, z, z, np.zeros(1, np.int64), np.array(names, dtype=object))
+        return TestBlock(np.zeros(0, np.uint64), z, z, z, z, np.zeros(1, np.int64), np.array(names, dtype=object))
     words, at, length, item = np.concatenate(parts), np.concatenate(at), np.concatenate(length), np.concatenate(item)
     rows = _rows(words, at, window)
     rows[np.arange(window) >= length[:, None]] = 0
     _, lead, which = np.unique(np.column_stack([rows, length.astype(np.uint64)]), axis=0, return_index=True, return_inverse=True)
     pairs = np.unique(np.column_stack([which.ravel(), item]), axis=0)
-    return TestBlock(words, at[lead], length[lead], pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(lead) + 1)),
+    return TestBlock(words, _suffix_order(words), at[lead], length[lead], pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(lead) + 1)),
                      np.array(names, dtype=object))
 
 
@@ -150,19 +172,38 @@ class SuffixArray:
         return which, self.at[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
 
 
-def _longest(words: np.ndarray, ends: np.ndarray, test: np.ndarray, p: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """How far the match of ``n`` words at training place ``p`` and test place ``q`` goes on."""
-    n, live = n.copy(), np.arange(len(p))
+def _common(words: np.ndarray, ends: np.ndarray, test: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Words that the training suffixes ``p`` and the test suffixes ``q`` have in common."""
+    n, live = np.zeros(len(p), np.int64), np.arange(len(p))
     while len(live):
         x, y = p[live] + n[live], q[live] + n[live]
-        on = (x < ends[p[live]]) & (y < len(test))
+        on = x < ends[p[live]]
         live, x, y = live[on], x[on], y[on]
-        same = words[x] == test[y]
-        live = live[same]
+        live = live[words[x] == test[y]]  # an end mark equals no word
         n[live] += 1
     return n
 
 
+def _longest(words: np.ndarray, ends: np.ndarray, block: TestBlock, p: np.ndarray) -> np.ndarray:
+    """Longest verbatim match of each training place with any test text: binary search
+    in the test suffix array, and the better of the two neighbours."""
+    lo, hi = np.zeros(len(p), np.int64), np.full(len(p), len(block.order))
+    while True:
+        live = np.flatnonzero(lo < hi)
+        if not len(live):
+            break
+        mid = (lo[live] + hi[live]) // 2
+        q = block.order[mid]
+        n = _common(words, ends, block.words, p[live], q)
+        x, y = p[live] + n, q + n
+        over = x < ends[p[live]]
+        up = over & (words[np.minimum(x, len(words) - 1)] > block.words[y])
+        lo[live] = np.where(up, mid + 1, lo[live])
+        hi[live] = np.where(up, hi[live], mid)
+    sides = [_common(words, ends, block.words, p, block.order[np.clip(lo + d, 0, len(block.order) - 1)]) for d in (-1, 0)]
+    return np.maximum(*sides)
+
+
 def _leads(block: TestBlock, window: int):
     """What a training suffix must start with to hold a window: a bit table
     over the hash of its first words, and how many words that hash takes."""
@@ -194,7 +235,8 @@ def search(words: Words, block: TestBlock, window: int = WINDOW, leads=None):
     array = SuffixArray(h, ends, at, window)
     tests = _rows(block.words, block.at, window)
     which, place = array.find(tests, block.length)
-    return which, place, _longest(h, ends, block.words, place, block.at[which], block.length[which])
+    places, back = np.unique(place, return_inverse=True)
+    return which, place, _longest(h, ends, block, places)[back]
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
