@@ -11,7 +11,10 @@ texts), with the class shares put back into the bias afterwards.  Scoring is
 one pass over the table; the model (about 4 MB) is broadcast.
 
 Scores use the text only.  ``thresholds`` holds, for each language with enough labelled rows
-of both classes, the cut that separates the sample best; others use ``DEFAULT_CUT``.
+of both classes, the cut of best F1 over all its labelled rows: after training, one more pass scores the table
+and counts labelled rows by language, label and score.  Where a language has enough rows of both classes outside
+the training sample, its scores come from these alone, weighted up to the full count of each class.
+Other languages use ``DEFAULT_CUT``.
 
 Edge cases: null and empty texts are scored as texts without words; ids with
 contradicting labels, null labels and labels without a document are left out of
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from panelwatch.llm.common import ALNUM_WORDS, Words, pieces
 
 DEFAULT_CUT = 0.7
+#: cuts that a language may have
+CUTS = np.arange(300, 951) / 1000
 #: bytes of a word's beginnings that have embeddings of their own
 HEADS = (5, 7)
 TABLES = 2 + len(HEADS)
@@ -204,27 +209,29 @@ def _step(m: Model, grown, seq: np.ndarray, first: np.ndarray, last: np.ndarray,
         t[rows] -= s.rate * g / np.sqrt(grown["t"][k][rows])
 
 
-def cut(score: np.ndarray, y: np.ndarray) -> float:
-    """The cut of best F1 on the sample, the nearest to the default among equals."""
-    edges = np.unique(score)
-    tries = np.unique(np.concatenate([[DEFAULT_CUT], (edges[1:] + edges[:-1]) / 2]))
-    tries = tries[(tries >= 0.3) & (tries <= 0.95)]
-    hit = np.array([((score >= t) & (y == 1)).sum() for t in tries])
-    f1 = 2 * hit / np.maximum(np.array([(score >= t).sum() for t in tries]) + (y == 1).sum(), 1)
-    near = np.flatnonzero(f1 == f1.max())
-    return float(tries[near[np.argmin(np.abs(tries[near] - DEFAULT_CUT))]])
+def cut(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut of best F1, the nearest to the default among equals; entry k of either
+    class holds the weight of the scores that reach exactly the first k of ``CUTS``."""
+    hit, wrong = (np.cumsum(x[::-1])[::-1][1:] for x in (toxic, clean))
+    f1 = 2 * hit / np.maximum(hit + wrong + toxic.sum(), 1e-9)
+    near = np.flatnonzero(f1 >= f1.max() - 1e-12)
+    return float(CUTS[near[np.argmin(np.abs(CUTS[near] - DEFAULT_CUT))]])
 
 
-def sample(docs: DataFrame, labels: DataFrame, s: Settings, train_if, id_col: str, text_col: str, lang_col: str, label_col: str):
-    """Labelled texts for training: word rows, labels, languages, share of label 1."""
+def judged(labels: DataFrame, train_if, id_col: str, label_col: str) -> DataFrame:
+    """id and label (y) of the ids whose labels agree and for which ``train_if(id)`` holds."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("z")).where("y = z").select("id", "y"))
-    known = known.where(train_if(F.col("id")))
+    return known.where(train_if(F.col("id")))
+
+
+def sample(docs: DataFrame, known: DataFrame, s: Settings, id_col: str, text_col: str):
+    """Labelled texts for training: word rows, labels, hashes of the ids, share of label 1."""
     by = {int(r.y): r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("id")
     few = [known.where(F.col("y") == c).orderBy(order, "id").limit(s.rows) for c in (0, 1)]
     ids = F.broadcast(few[0].unionByName(few[1]))  # at most 2 * rows ids
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(ids, "id")
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
 
     def rows(batches):
         for batch in batches:
@@ -232,43 +239,72 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings, train_if, id_col: st
                 w = Words(data, offsets, ALNUM_WORDS)
                 r = word_rows(w, s.buckets)
                 part = [r[w.first[i]:w.first[i + 1]].tobytes() for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), batch.column(3).slice(a, b - a),
-                                                  pa.array(part, pa.binary())], names=["id", "lang", "y", "rows"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(part, pa.binary())],
+                                                 names=["id", "y", "rows"])
 
     kind = kept.schema["id"].dataType.simpleString()
-    coded = kept.select("id", "text", "lang", "y").mapInArrow(rows, f"id {kind}, lang string, y int, rows binary")
-    texts, ys, langs, size = [], [], [], 0
-    for r in coded.orderBy(F.xxhash64("id"), "id").toLocalIterator():
+    coded = kept.select("id", "text", F.col("y").cast("int")).mapInArrow(rows, f"id {kind}, y int, rows binary").withColumn("h", F.xxhash64("id"))
+    texts, ys, used, size = [], [], [], 0
+    for r in coded.orderBy("h", "id").toLocalIterator():
         if size + len(r.rows) // (4 * TABLES) > s.words:
             continue
         size += len(r.rows) // (4 * TABLES)
         texts.append(np.frombuffer(r.rows, np.int32).reshape(-1, TABLES))
         ys.append(r.y)
-        langs.append(r.lang)
+        used.append(r.h)
     total = sum(by.values())
-    return texts, np.array(ys, np.float64), langs, (by.get(1, 0) / total if total else 0.5)
+    return texts, np.array(ys, np.float64), np.array(used, np.int64), (by.get(1, 0) / total if total else 0.5)
 
 
 def everything(_) -> F.Column:
     return F.lit(True)
 
 
+def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), train_if=everything, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "toxic") -> tuple[Model, np.ndarray]:
+    """A model without cuts, trained on the labelled rows for which ``train_if(id)`` holds, and the hashes of the ids of its sample."""
+    texts, y, used, share = sample(docs, judged(labels, train_if, id_col, label_col), settings, id_col, text_col)
+    return train(texts, y, share, settings), used
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), train_if=everything, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> Model:
-    """Train on the labelled rows for which ``train_if(id)`` holds, and set each language's cut."""
-    texts, y, langs, share = sample(docs, labels, settings, train_if, id_col, text_col, lang_col, label_col)
-    model = train(texts, y, share, settings)
+    """Train on the labelled rows for which ``train_if(id)`` holds, and set each language's cut by all of them."""
+    model, used = learn(docs, labels, settings, train_if, id_col, text_col, label_col)
     if model.tables:
-        got = np.concatenate([scores(model, np.concatenate(texts[a:a + 256]), np.array([len(t) for t in texts[a:a + 256]]))
-                              for a in range(0, len(texts), 256)])
-        langs = np.array([x or "" for x in langs])
-        for lang in np.unique(langs):
-            on = langs == lang
-            if min((y[on] == 1).sum(), (y[on] == 0).sum()) >= settings.per_language:
-                model.thresholds[str(lang)] = cut(got[on], y[on])
+        model.thresholds = cuts(docs, judged(labels, train_if, id_col, label_col), model, used, settings, id_col, text_col, lang_col)
     return model
 
 
+def cuts(docs: DataFrame, known: DataFrame, model: Model, used: np.ndarray, s: Settings, id_col: str, text_col: str, lang_col: str) -> dict[str, float]:
+    """Each language's cut, from the scores of all rows with a label in ``known`` (id, y).
+
+    Texts are scored where they lie; only id, language and score meet the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, np.sort(used)))
+    kept = docs.select(F.col(id_col).alias("id"), F.coalesce(lang_col, F.lit("")).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
+
+    def run(batches):
+        m, seen = shared.value
+        for batch in batches:
+            for a, b, data, offsets in pieces(batch.column(3)):
+                level = np.searchsorted(CUTS, _scored(data, offsets, m), side="right").astype(np.int32)
+                fresh = ~np.isin(np.asarray(batch.column(2).slice(a, b - a)), seen)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(level), pa.array(fresh)],
+                                                 names=["id", "lang", "level", "fresh"])
+
+    levels = kept.where("id IS NOT NULL").mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, lang string, level int, fresh boolean")
+    by: dict[str, np.ndarray] = {}  # language -> fresh x label x level
+    for r in levels.join(known.where("y IN (0, 1)"), "id").groupBy("lang", "level", "fresh", F.col("y").cast("int").alias("y")).agg(F.count("*").alias("n")).collect():
+        by.setdefault(r.lang, np.zeros((2, 2, len(CUTS) + 1)))[int(r.fresh), r.y, r.level] += r.n
+    out = {}
+    for lang, n in sorted(by.items()):
+        full, fresh = n.sum(axis=(0, 2)), n[1].sum(axis=1)
+        if full.min() >= s.per_language:
+            weights = n[1] * (full / fresh)[:, None] if fresh.min() >= s.per_language else n.sum(axis=0)
+            out[lang] = cut(*weights)
+    return out
+
+
 def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id and score (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

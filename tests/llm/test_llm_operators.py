@@ -325,6 +325,32 @@ def test_toxicity_cases(spark):
     assert toxicity.toxicity_scores(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_cuts_cover_all_labelled_rows(spark):
+    """Cuts follow the counts of the whole table, not the shares of the training sample."""
+    rng = random.Random(4)
+    mild, hard = ["sun", "tree", "house", "river", "stone"], ["idiot", "fool", "hate"]
+    text = lambda bad: " ".join(rng.choices(mild + hard, [8] * 5 + [rng.choice([1, 2, 3]) if bad else rng.choice([0, 0, 1])] * 3, k=25))
+    rows = [(i, text(i % 10 == 0), "xx" if i < 600 else "yy" if i < 630 else "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    s = toxicity.Settings(rows=40, per_language=20)
+    _, used = toxicity.learn(docs, labels, s)
+    model = toxicity.fit(docs, labels, s)
+    assert len(used) == 80 and set(model.thresholds) == {"en", "xx"}  # 60 toxic rows of xx, at most a few in the sample
+    inside = {r.doc_id for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect() if r.h in set(used.tolist())}
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, model).collect()}
+    for lang, mine in model.thresholds.items():
+        ids = [i for i, _, x in rows if x == lang]
+        out = [i for i in ids if i not in inside]
+        weight = {c: sum((i % 10 == 0) == c for i in ids) / sum((i % 10 == 0) == c for i in out) for c in (True, False)}
+
+        def f1(t):
+            hit, wrong = (sum(weight[c] for i in out if (i % 10 == 0) == c and got[i] >= t) for c in (True, False))
+            return 2 * hit / (hit + wrong + weight[True] * sum(i % 10 == 0 for i in out))
+
+        assert f1(mine) == pytest.approx(max(map(f1, toxicity.CUTS)))
+
+
 # 8 -----------------------------------------------------------------------------------------
 
 def test_hilbert_neighbours_and_law(spark):
