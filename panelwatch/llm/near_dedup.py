@@ -28,7 +28,8 @@ the first branching is already small); links above, or through further documents
 
 Edge cases: documents without words (null, empty, blank) have an empty set, are linked with nothing and kept;
 repeated rows are exact copies (all rows with the smallest id are marked kept; :func:`deduplicate` keeps one);
-rows that share an id but not the text are judged by their text; an empty table gives an empty table; columns
+rows that share an id but not the text, or have no id, are judged by their text: rows are told apart by id and a
+digest of the text, and a null id counts as greater than any other; an empty table gives an empty table; columns
 other than id and text are ignored.
 """
 
@@ -107,8 +108,8 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, set size, key of the set, signature and first branches of every row."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """id, digest of the text, set size, key of the set, signature and first branches of every row."""
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("digest"))
 
     def run(batches):
         for batch in batches:
@@ -116,10 +117,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 h, first = _sets(data, offsets)
                 sig, branch = _signatures(h, first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(first).astype(np.int64)), pa.array(_keys(h, first).view(np.int64)),
-                     _fixed(sig), _lists(branch)], names=["id", "n", "key", "sig", "branch"])
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(np.diff(first).astype(np.int64)),
+                     pa.array(_keys(h, first).view(np.int64)), _fixed(sig), _lists(branch)], names=["id", "digest", "n", "key", "sig", "branch"])
 
-    return kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, n long, key long, sig binary, branch array<long>")
+    return kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, digest long, n long, key long, sig binary, branch array<long>")
 
 
 def _choices(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,7 +312,7 @@ def _confirm(batches):
             parts, sizes, own = [], [], []
             for a, b, data, offsets in pieces(text.slice(lo, hi - lo)):
                 h, first = _sets(data, offsets)
-                same = _keys(h, first) == key[lo + a:lo + b].view(np.uint64)  # an id may have further texts
+                same = _keys(h, first) == key[lo + a:lo + b].view(np.uint64)  # digests may clash
                 size = np.diff(first)
                 parts.append(h[np.repeat(same, size)])
                 sizes.append(size[same])
@@ -324,24 +325,25 @@ def _confirm(batches):
 
 def confirmed_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Links of the exact rule that connect each block's components."""
-    inside = nodes.select("key", "id", "n").join(blocks.select("key", F.col("root").alias("block")), "key")
+    inside = nodes.select("key", "id", "digest", "n").join(blocks.select("key", F.col("root").alias("block")), "key")
     groups = F.ceil(2 * F.col("total") / BLOCK).cast("int")
     weight = inside.groupBy("block").agg(F.sum("n").alias("total")).select(
         "block", F.when(F.col("total") <= BLOCK, F.lit(1)).otherwise(groups).alias("groups"))
     inside = stage(inside.join(weight, "block"), "members")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_digest"))
+    own = F.col("id").eqNullSafe(F.col("text_id")) & (F.col("digest") == F.col("text_digest"))
 
     def compared(tasks: DataFrame, name: str) -> DataFrame:
-        dealt = tasks.join(texts, "id").select("task", "key", "text").repartition("task").sortWithinPartitions("task")
+        dealt = tasks.join(texts, own).select("task", "key", "text").repartition("task").sortWithinPartitions("task")
         return stage(dealt.mapInArrow(_confirm, "a long, b long").distinct(), name)
 
     def group(salt: int, count: str):
         return F.pmod(F.xxhash64("key", F.lit(salt)), F.col(count)).cast("int")
 
     large = inside.where("groups > 1")
-    tasks = inside.where("groups = 1").select(F.xxhash64("block").alias("task"), "key", "id")
+    tasks = inside.where("groups = 1").select(F.xxhash64("block").alias("task"), "key", "id", "digest")
     for salt in range(ROUNDS):
-        tasks = tasks.unionByName(large.select(F.xxhash64("block", F.lit(salt), group(salt, "groups")).alias("task"), "key", "id"))
+        tasks = tasks.unionByName(large.select(F.xxhash64("block", F.lit(salt), group(salt, "groups")).alias("task"), "key", "id", "digest"))
     links = compared(tasks, "links")
     if large.isEmpty():
         return links
@@ -352,19 +354,25 @@ def confirmed_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, id_col
     some = strays.groupBy("block").agg(F.ceil(2 * F.sum("n") / BLOCK).cast("int").alias("sets"))
     strays, members = strays.join(some, "block"), large.join(some, "block")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    pairs = strays.withColumn("i", group(ROUNDS, "sets")).withColumn("j", every("groups")).select("block", "i", "j", "key", "id").unionByName(
-        members.withColumn("j", group(ROUNDS, "groups")).withColumn("i", every("sets")).select("block", "i", "j", "key", "id"))
-    return links.unionByName(compared(pairs.select(F.xxhash64("block", "i", "j").alias("task"), "key", "id").distinct(), "stray-links"))
+    pairs = strays.withColumn("i", group(ROUNDS, "sets")).withColumn("j", every("groups")).select("block", "i", "j", "key", "id", "digest").unionByName(
+        members.withColumn("j", group(ROUNDS, "groups")).withColumn("i", every("sets")).select("block", "i", "j", "key", "id", "digest"))
+    return links.unionByName(compared(pairs.select(F.xxhash64("block", "i", "j").alias("task"), "key", "id", "digest").distinct(), "stray-links"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, set size, ``component_id`` and ``kept``."""
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' signatures, the nodes (key; id and digest of one row with the node's smallest id), and the root of each linked node."""
     rows = stage(signatures(docs, id_col, text_col), "signatures")
     full = rows.where("n > 0")
-    nodes = stage(full.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n")), "sets")
-    described = full.select("key", "id", "sig", "branch").join(nodes.select("key", "id"), ["key", "id"]).dropDuplicates(["key"])
-    blocks = stage(components(candidate_edges(stage(described.select("key", "sig", "branch"), "nodes"))), "blocks")
-    parts = stage(components(confirmed_edges(docs, nodes, blocks, id_col, text_col)), "parts")
+    least = stage(full.groupBy("key").agg(F.min("id").alias("least")), "sets")
+    first = full.join(least.withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("least")))
+    nodes = stage(first.select("key", "id", "digest", "n", "sig", "branch").dropDuplicates(["key"]), "nodes")
+    blocks = stage(components(candidate_edges(nodes)), "blocks")
+    return rows, nodes, stage(components(confirmed_edges(docs, nodes, blocks, id_col, text_col)), "parts")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, set size, ``component_id`` and ``kept``."""
+    rows, nodes, parts = _judged(docs, id_col, text_col)
     least = parts.join(nodes.select("key", "id"), "key").groupBy("root").agg(F.min("id").alias("component"))
     named = nodes.select("key", F.col("id").alias("own")).join(parts.join(least, "root").select("key", "component"), "key", "left").select(
         "key", F.coalesce("component", "own").alias("component"))
@@ -374,6 +382,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component (that with the smallest id), all columns kept."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col)).distinct()
-    return docs.join(kept, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    """One row of each component (that with the smallest id), and of each id and text without words; all columns kept."""
+    rows, nodes, parts = _judged(docs, id_col, text_col)
+    placed = nodes.select("key", "id", "digest").join(parts, "key", "left")
+    first = placed.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("x"))
+    kept = first.select("x.id", "x.digest").unionByName(rows.where("n = 0").select("id", "digest").distinct())
+    kept = kept.select(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
+    own = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
+    return docs.withColumn("_digest", F.xxhash64(text_col)).join(kept, own, "left_semi").dropDuplicates([id_col, "_digest"]).select(*docs.columns)

@@ -284,6 +284,23 @@ def test_near_duplicates_of_hard_groups(spark, monkeypatch, settings):
         assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == sorted({v[1] for v in want.values()})
 
 
+def test_deduplicate_with_null_and_repeated_ids(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    near = lambda t: t + " more"
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, d), (3, near(d)), (None, e), (None, near(e)), (None, f), (4, near(f)), (None, g), (None, g),
+            (5, ""), (5, ""), (5, None), (None, None), (6, b.upper())]
+    docs = frame(spark, rows)
+    got = [tuple(r) for r in near_dedup.deduplicate(docs).collect()]
+    for x in [(1, a), (2, b), (3, c), (4, near(f)), (None, g), (5, ""), (5, None), (None, None)]:
+        assert got.count(x) == 1
+    assert len(got) == 10 and len({(3, d), (3, near(d))} & set(got)) == 1 and len({(None, e), (None, near(e))} & set(got)) == 1
+    marks = near_dedup.near_duplicates(docs)
+    assert marks.count() == len(rows) and marks.where("doc_id IS NULL AND component_id = 4 AND NOT kept").count() == 1
+    assert marks.where("doc_id IS NULL AND kept").count() == 5
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).count() == 0
     got = near_dedup.near_duplicates(frame(spark, [(1, None), (2, ""), (3, " ")])).collect()
