@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, token_cache, toxicity, url_filter
+from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, source_audit, token_cache, toxicity, url_filter
 from panelwatch.llm.common import table
 
 #: rules of the URL query: host, path, verdict (fixed values)
@@ -87,6 +87,11 @@ def op10_token_counts(spark, sf_dir):
                                     token_cache.cache_path(spark, uuid.uuid4().hex))
 
 
+def op11_source_audit(spark, sf_dir):
+    """Divergence of every source from the other sources and from its language."""
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_counts": op10_token_counts,
+    "op11_source_audit": op11_source_audit,
 }
 
 OP1_SQL = r"""
@@ -175,8 +181,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM g
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+cnt AS (
+  SELECT lang, source, term, coalesce(n.n, 0) AS n, v.v, sum(coalesce(n.n, 0)) OVER (PARTITION BY lang, source) AS total
+  FROM grp JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, (1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v))::HUGEINT AS p FROM cnt),
+q AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v))::HUGEINT AS q
+  FROM (SELECT lang, term, v, sum(n) AS n FROM cnt GROUP BY lang, term, v)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE = {
     "op1_decontamination": OP1_SQL,
     "op3_url_filter": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
+    "op11_source_audit": OP11_SQL,
 }
