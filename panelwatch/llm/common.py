@@ -46,12 +46,12 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) below the shared checkpoint folder and read it
     back.  This cuts the lineage, and survives the loss of executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
