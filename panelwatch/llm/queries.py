@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, source_audit, token_cache, toxicity, url_filter
+from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, source_audit, token_cache, toxicity, url_filter, whitening
 from panelwatch.llm.common import table
 
 #: rules of the URL query: host, path, verdict (fixed values)
@@ -92,6 +92,11 @@ def op11_source_audit(spark, sf_dir):
     return source_audit.source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    """Whitened leading components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -104,6 +109,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_token_counts": op10_token_counts,
     "op11_source_audit": op11_source_audit,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 OP1_SQL = r"""
