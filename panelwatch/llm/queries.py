@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, source_audit, token_cache, toxicity, url_filter, whitening
+from panelwatch.llm import compression_quality, decontaminate, hilbert, html_extract, maxent_lm, near_dedup, quality, sentencepiece_codec, source_audit, token_cache, toxicity, url_filter, whitening
 from panelwatch.llm.common import table
 
 #: rules of the URL query: host, path, verdict (fixed values)
@@ -97,6 +97,14 @@ def op12_embedding_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality_classifier(spark, sf_dir):
+    """Quality score of every document; labels of fold 0 of 5 are never learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = compression_quality.fit(docs, table(spark, sf_dir, "labels"), train_if=lambda key: ~held_out(key, 5, 0))
+    return compression_quality.quality_scores(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentencepiece": op2_sentencepiece,
@@ -110,6 +118,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_source_audit": op11_source_audit,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 OP1_SQL = r"""
