@@ -92,21 +92,6 @@ class Compressors:
         return out / (np.diff(offsets) + self.smooth)[:, None]
 
 
-def _differences(docs: DataFrame, model: Model, extra: list, schema: str) -> DataFrame:
-    """``extra`` columns, then the differences (a, b), of every row of ``docs`` (text first)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        sizes = Compressors(shared.value)
-        for batch in batches:
-            for a, b, data, offsets in pieces(batch.column(0)):
-                d = sizes.differences(data, offsets)
-                rest = [batch.column(k + 1).slice(a, b - a) for k in range(len(extra))]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(d[:, 0]), pa.array(d[:, 1])], names=[*extra, "a", "b"])
-
-    return docs.mapInArrow(run, f"{schema}, a double, b double")
-
-
 def _sample(docs: DataFrame, known: DataFrame, label: int, s: Settings) -> list[bytes]:
     """Whole texts of one class in checksum order, while they fit into the bound (the first one at least)."""
     few = known.where(F.col("y") == label).orderBy(F.xxhash64("id"), "id").limit(s.sample_rows)
@@ -147,32 +132,52 @@ def _curve(rows: DataFrame, s: Settings) -> np.ndarray | None:
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), train_if=everything, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "quality") -> Model:
-    """Dictionaries and curve from the labelled rows for which ``train_if(id)`` holds."""
+        text_col: str = "text", label_col: str = "quality") -> tuple[Model, DataFrame]:
+    """Dictionaries and curve from the labelled rows for which ``train_if(id)`` holds, and the staged differences (id, a, b)
+    of all rows of ``docs``: texts are compressed once, where they lie, and only numbers meet the labels."""
     known = judged(labels, train_if, id_col, label_col).where("y IN (0, 1)")
     by = {int(r.y): r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(by.values())
-    blank = Model([], [], np.zeros(3), by.get(1, 0) / total if total else 0.5, settings)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    model = Model([], [], np.zeros(3), by.get(1, 0) / total if total else 0.5, settings)
+    texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     half = F.pmod(F.xxhash64(F.lit("dictionary"), F.col("id")), F.lit(2)) == 0
-    bad, good = (_sample(texts, known.where(half), label, settings) for label in (0, 1))
+    bad, good = (_sample(texts.where("id IS NOT NULL"), known.where(half), label, settings) for label in (0, 1))
     if not bad or not good:
-        return blank
+        return model, texts.select("id", F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
     made = [[dictionary([t.translate(SHAPE) if v else t for t in part], settings.dictionary_bytes) for part in (bad, good)] for v in (0, 1)]
-    model = Model([(x[0][0], x[1][0]) for x in made], [(x[0][1], x[1][1]) for x in made], np.zeros(3), blank.base, settings)
-    rest = texts.join(known.where(~half), "id").select("text", F.col("y").cast("double").alias("y"))
-    weights = _curve(stage(_differences(rest, model, ["y"], "y double"), "quality-curve"), settings)
+    model.dictionaries, model.kinds = [(x[0][0], x[1][0]) for x in made], [(x[0][1], x[1][1]) for x in made]
+    rows = stage(differences(docs, model, id_col, text_col), "quality-differences")
+    weights = _curve(stage(rows.join(known.where(~half), "id").select("a", "b", F.col("y").cast("double").alias("y")), "quality-curve"), settings)
     if weights is None:
-        return blank
-    model.weights = weights
-    return model
+        model.dictionaries = []
+    else:
+        model.weights = weights
+    return model, rows
 
 
-def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id and score (0 to 1)."""
+def differences(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and differences (a, b) of every row."""
     kept = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    if not model.dictionaries:
-        return kept.select(F.col("id").alias(id_col), F.lit(float(model.base)).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        sizes = Compressors(shared.value)
+        for batch in batches:
+            for a, b, data, offsets in pieces(batch.column(0)):
+                d = sizes.differences(data, offsets)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array(d[:, 0]), pa.array(d[:, 1])], names=["id", "a", "b"])
+
+    return kept.mapInArrow(run, f"id {kept.schema['id'].dataType.simpleString()}, a double, b double")
+
+
+def scored(rows: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
+    """id and score (0 to 1) from differences."""
     a, b, c = (float(x) for x in model.weights)
-    rows = _differences(kept, model, ["id"], f"id {kept.schema['id'].dataType.simpleString()}")
-    return rows.select(F.col("id").alias(id_col), (F.lit(1.0) / (1 + F.exp(-(F.col("a") * a + F.col("b") * b + c)))).alias("score"))
+    curve = F.lit(1.0) / (1 + F.exp(-(F.col("a") * a + F.col("b") * b + c)))
+    return rows.select(F.col("id").alias(id_col), (curve if model.dictionaries else F.lit(float(model.base))).alias("score"))
+
+
+def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id and score (0 to 1)."""
+    rows = differences(docs, model, id_col, text_col) if model.dictionaries else docs.select(F.col(id_col).alias("id"), F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
+    return scored(rows, model, id_col)

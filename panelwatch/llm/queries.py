@@ -100,8 +100,8 @@ def op12_embedding_whitening(spark, sf_dir):
 def op13_quality_classifier(spark, sf_dir):
     """Quality score of every document; labels of fold 0 of 5 are never learnt from."""
     docs = table(spark, sf_dir, "documents")
-    model = compression_quality.fit(docs, table(spark, sf_dir, "labels"), train_if=lambda key: ~held_out(key, 5, 0))
-    return compression_quality.quality_scores(docs, model).select(
+    model, rows = compression_quality.fit(docs, table(spark, sf_dir, "labels"), train_if=lambda key: ~held_out(key, 5, 0))
+    return compression_quality.scored(rows, model).select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
