@@ -343,9 +343,9 @@ def term_counts(index: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def _share(count, total, terms):
-    """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), exact at any size."""
+    """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), exact at any size; without terms nothing is summed."""
     big = "decimal(19,0)"
-    return F.expr(f"1L + (cast({SCALE} as decimal(10,0)) * cast({count} + 2 as {big})) div cast({total} + 2 * {terms} as {big})")
+    return F.expr(f"1L + (cast({SCALE} as decimal(10,0)) * cast({count} + 2 as {big})) div cast(greatest({total} + 2 * {terms}, 1L) as {big})")
 
 
 def _pair_sums(rows: pa.Table) -> pa.Table:
