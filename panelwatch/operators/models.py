@@ -1,20 +1,25 @@
 """Temporal split, classifiers, training runs and champion choice (M9-M13,
 M20-M22).
 
-The learners are ``pyspark.ml`` estimators: the gradient of logistic
-regression and the split statistics of the trees are computed on the
-executors; only coefficients come back to the driver.
+Logistic regression is the ``pyspark.ml`` estimator; boosted trees are fitted from histograms
+(``boosting.py``).  Gradients and split statistics are computed on the
+executors; only coefficients and merged histograms come back to the driver.
+All candidates share one fitted preparation, boosted candidates share their aggregates,
+and one pass over the scored rows evaluates every candidate on every split.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwatch.operators.boosting import BoostedTrees, fit_together
 from panelwatch.operators.features import build_pipeline, feature_names
 from panelwatch.operators.metrics import evaluate
 from panelwatch.operators.scoring import probability_column
@@ -71,24 +76,39 @@ def make_estimator(cand: Candidate, spec: PanelSpec, weight_sum: float):
         return LogisticRegression(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
                                   maxIter=cand.max_iter, regParam=1.0 / (cand.c * weight_sum),
                                   elasticNetParam=0.0, standardization=False)
-    return GBTClassifier(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
-                         maxIter=cand.max_iter, maxDepth=cand.depth, stepSize=cand.step,
-                         subsamplingRate=cand.subsample,
-                         featureSubsetStrategy=str(cand.col_sample), seed=42)
-
-
-def train_one(train: DataFrame, valid: DataFrame, spec: PanelSpec, cand: Candidate,
-              ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on train, score both splits once, evaluate grouped by split;
-    returns the model and a metrics table with the overfit gap (M21)."""
-    tw, wsum = with_balanced_weights(train, spec)
-    model = build_pipeline(spec, make_estimator(cand, spec, wsum)).fit(tw)
+    return BoostedTrees(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
+                        maxIter=cand.max_iter, maxDepth=cand.depth, stepSize=cand.step,
+                        subsamplingRate=cand.subsample, colSample=cand.col_sample, seed=42)
+
+
+def fit_candidates(train: DataFrame, spec: PanelSpec, candidates: Sequence[Candidate]) -> dict[str, PipelineModel]:
+    """One preparation, then every candidate on its features; each model is a whole pipeline (M8)."""
+    weighted, total = with_balanced_weights(train, spec)
+    prepared = build_pipeline(spec).fit(weighted)
+    # every fit iterates over these rows: kept by the executors while fitting
+    rows = prepared.transform(weighted).select("features", spec.target, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    estimators = {c.name: make_estimator(c, spec, total) for c in candidates}
+    boosted = {k: e for k, e in estimators.items() if isinstance(e, BoostedTrees)}
+    try:
+        fitted = dict(zip(boosted, fit_together(rows, list(boosted.values())))) if boosted else {}
+        fitted |= {k: e.fit(rows) for k, e in estimators.items() if k not in boosted}
+    finally:
+        rows.unpersist()
+    return {k: PipelineModel(prepared.stages + [fitted[k]]) for k in estimators}
+
+
+def evaluate_candidates(train: DataFrame, valid: DataFrame, spec: PanelSpec, models: dict[str, PipelineModel]) -> DataFrame:
+    """Metrics of every (model, split), from one pass over the rows of both splits."""
     both = (train.withColumn("split", F.lit("train"))
             .unionByName(valid.withColumn("split", F.lit("validation"))))
-    scored = probability_column(model.transform(both), out="p")
-    m = evaluate(scored, ["split"], "p", spec.target)
-    m = m.withColumn("model", F.lit(cand.name))
-    return model, m
+    names = list(models)
+    scored = PipelineModel(models[names[0]].stages[:-1]).transform(both)
+    for i, name in enumerate(names):
+        scored = probability_column(models[name].stages[-1].transform(scored), out=f"__p{i}").drop(
+            "rawPrediction", "probability", "prediction")
+    rows = scored.select("split", spec.target, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(f"__p{i}").alias("p")) for i, name in enumerate(names)])))
+    return evaluate(rows, ["split", "model"], "p", spec.target)
 
 
 def metrics_long(metrics: DataFrame) -> DataFrame:

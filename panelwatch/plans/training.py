@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.operators import drift as D
+from panelwatch.operators.boosting import BoostedTreesModel
 from panelwatch.operators.features import split_features_target
 from panelwatch.operators.models import (
-    Candidate, choose_champion, default_candidates, metrics_long, temporal_split, train_one,
+    Candidate, choose_champion, default_candidates, evaluate_candidates, fit_candidates, metrics_long, temporal_split,
 )
 from panelwatch.operators.profile import split_summary
 from panelwatch.operators.scoring import probability_column
@@ -23,23 +23,12 @@ from panelwatch.spec import PanelSpec, RegimeSpec
 
 def train_candidates(panel: DataFrame, spec: PanelSpec,
                      candidates: Sequence[Candidate] | None = None):
-    """Fit every candidate on the train periods and evaluate train and
-    validation in one grouped job each.  Returns ``(models, metrics)``
+    """Fit every candidate on the train periods and evaluate all of them on train and
+    validation rows in one pass.  Returns ``(models, metrics)``
     where ``metrics`` has one row per (model, split)."""
     train, valid = (split_features_target(part, spec) for part in temporal_split(panel, spec))
-    # every fit iterates over the train rows: kept by the executors while fitting
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    models, tables = {}, []
-    for cand in candidates or default_candidates():
-        model, m = train_one(train, valid, spec, cand)
-        models[cand.name] = model
-        tables.append(m)
-    metrics = tables[0]
-    for t in tables[1:]:
-        metrics = metrics.unionByName(t)
-    metrics = materialize(metrics)  # one row per (model, split)
-    train.unpersist()
-    return models, metrics
+    models = fit_candidates(train, spec, list(candidates or default_candidates()))
+    return models, materialize(evaluate_candidates(train, valid, spec, models))  # one row per (model, split)
 
 
 def train_and_register(panel: DataFrame, spec: PanelSpec, registry: Registry, name: str,
@@ -59,7 +48,8 @@ def train_and_register(panel: DataFrame, spec: PanelSpec, registry: Registry, na
     runs = {}
     for cand_name, model in models.items():
         est = model.stages[-1]
-        own = {f"model__{p.name}": v for p, v in est.extractParamMap().items() if v is not None}
+        own = est.description() if isinstance(est, BoostedTreesModel) else {p.name: v for p, v in est.extractParamMap().items()}
+        own = {f"model__{k}": v for k, v in own.items() if v is not None}
         runs[cand_name] = registry.log_run(cand_name, long.where(F.col("model") == cand_name),
                                            params={"algorithm": cand_name, **params, **own}, model=model)
     best = choose_champion(metrics).first()
