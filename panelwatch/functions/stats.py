@@ -1,134 +1,115 @@
-"""Tail probabilities for test statistics (chi-square, Student t).
+"""Tail probabilities for test statistics (chi-square, Student t) as column expressions.
 
-Spark SQL has no distribution functions, so p-values are computed by an
-Arrow-batched pandas UDF.  It only ever runs on result tables (one row per
-tested column), never on panel rows.  The special functions are the
-textbook series / continued-fraction expansions of the regularized
-incomplete gamma and beta functions.
+Spark SQL has no distribution functions.  The regularized incomplete gamma and beta functions are written with ``aggregate``
+over a sequence of steps: a power series where it converges fast, a continued fraction elsewhere.  The number of steps follows the
+parameters (both need about the square root of the larger one).  A null, NaN or impossible argument gives null.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-_EPS = 1e-15
-_ITMAX = 500
-
-
-def _gamma_q(a: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(a, x)."""
-    if x < 0 or a <= 0 or math.isnan(x):
-        return float("nan")
-    if x == 0:
-        return 1.0
-    lg = a * math.log(x) - x - math.lgamma(a)
-    if x < a + 1:  # series for P, then Q = 1 - P
-        term = s = 1.0 / a
-        ap = a
-        for _ in range(_ITMAX):
-            ap += 1
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(lg))
-    # continued fraction for Q (modified Lentz)
-    b = x + 1 - a
-    c = 1 / 1e-300
-    d = 1 / b
-    h = d
-    for i in range(1, _ITMAX):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < _EPS:
-            break
-    return math.exp(lg) * h
-
-
-def _beta_cf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1, a - 1
-    c, d = 1.0, 1 - qab * x / qap
-    d = 1e-300 if abs(d) < 1e-300 else d
-    d = 1 / d
-    h = d
-    for m in range(1, _ITMAX):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1 + aa * d
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = 1 + aa / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1 + aa * d
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = 1 + aa / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < _EPS:
-            break
-    return h
-
-
-def _beta_inc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return math.exp(lbt) * _beta_cf(a, b, x) / a
-    return 1 - math.exp(lbt) * _beta_cf(b, a, 1 - x) / b
-
-
-def chi2_sf(stat: float, dof: float) -> float:
-    """P(X >= stat) for a chi-square variable with ``dof`` degrees of freedom."""
-    if stat is None or dof is None or math.isnan(stat) or dof <= 0:
-        return float("nan")
-    return _gamma_q(dof / 2.0, stat / 2.0)
 
+#: Coefficients of the Lanczos approximation of the gamma function (g = 7, nine terms).
+LANCZOS_G = 7.0
+LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
+           12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
+_TINY = 1e-300
 
-def t_two_sided(t: float, df: float) -> float:
-    """Two-sided p-value of a Student t statistic."""
-    if t is None or df is None or math.isnan(t) or df <= 0:
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return _beta_inc(df / 2.0, 0.5, df / (df + t * t))
 
+def log_gamma(x: Column) -> Column:
+    """ln Gamma(x) for x > 0."""
+    z = x - 1
+    series = F.lit(LANCZOS[0])
+    for i, c in enumerate(LANCZOS[1:], 1):
+        series = series + F.lit(c) / (z + i)
+    t = z + F.lit(LANCZOS_G + 0.5)
+    return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.log(t) - t + F.log(series)
+
+
+def _steps(largest: Column) -> Column:
+    """Step numbers 1..n, enough for parameters up to ``largest``."""
+    return F.sequence(F.lit(1), (F.lit(60) + F.ceil(12 * F.sqrt(largest))).cast("int"))
+
+
+def _bounded(x: Column) -> Column:
+    """Away from zero, as a divisor."""
+    return F.when(F.abs(x) < _TINY, F.lit(_TINY)).otherwise(x)
+
+
+def _state(**fields: Column) -> Column:
+    return F.struct(*[c.cast("double").alias(k) for k, c in fields.items()])
+
+
+def gamma_q(a: Column, x: Column) -> Column:
+    """Regularized upper incomplete gamma function Q(a, x), for a > 0 and x > 0."""
+    front = F.exp(a * F.log(x) - x - log_gamma(a))
+
+    def grow(s, i):
+        term = s["term"] * x / (a + i)
+        return _state(term=term, total=s["total"] + term)
+
+    series = F.aggregate(_steps(a), _state(term=1 / a, total=1 / a), grow, lambda s: s["total"])
 
-@F.pandas_udf(DoubleType())
-def chi2_pvalue(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(float(s), float(d)) if pd.notna(s) and pd.notna(d) else np.nan
-                      for s, d in zip(stat, dof)])
+    def lentz(s, i):
+        an = i * (a - i)
+        b = s["b"] + 2
+        d = 1 / _bounded(an * s["d"] + b)
+        c = _bounded(b + an / s["c"])
+        return _state(b=b, c=c, d=d, h=s["h"] * d * c)
 
+    b0 = _bounded(x + 1 - a)
+    fraction = F.aggregate(_steps(a), _state(b=x + 1 - a, c=F.lit(1 / _TINY), d=1 / b0, h=1 / b0), lentz, lambda s: s["h"])
+    return F.greatest(F.lit(0.0), F.when(x < a + 1, 1 - series * front).otherwise(fraction * front))
 
-@F.pandas_udf(DoubleType())
-def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided(float(a), float(b)) if pd.notna(a) and pd.notna(b) else np.nan
-                      for a, b in zip(t, df)])
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function."""
+    def lentz(s, i):
+        even = i * (b - i) * x / ((a + 2 * i - 1) * (a + 2 * i))
+        d = 1 / _bounded(1 + even * s["d"])
+        c = _bounded(1 + even / s["c"])
+        odd = -(a + i) * (a + b + i) * x / ((a + 2 * i) * (a + 2 * i + 1))
+        d2 = 1 / _bounded(1 + odd * d)
+        c2 = _bounded(1 + odd / c)
+        return _state(c=c2, d=d2, h=s["h"] * d * c * d2 * c2)
+
+    d0 = 1 / _bounded(1 - (a + b) * x / (a + 1))
+    return F.aggregate(_steps(F.greatest(a, b)), _state(c=F.lit(1.0), d=d0, h=d0), lentz, lambda s: s["h"])
+
+
+def beta_inc(a: Column, b: Column, x: Column, rest: Column) -> Column:
+    """Regularized incomplete beta function I_x(a, b) for 0 < x < 1; ``rest`` is 1 - x, given apart so that nothing is lost near 1."""
+    front = F.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(rest))
+    return (F.when(x < (a + 1) / (a + b + 2), front * _beta_fraction(a, b, x) / a)
+            .otherwise(1 - front * _beta_fraction(b, a, rest) / b))
+
+
+def _real(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x)
+
+
+def chi2_pvalue(stat: Column, dof: Column) -> Column:
+    """P(X >= stat) for a chi-square variable with ``dof`` degrees of freedom."""
+    stat, dof = stat.cast("double"), dof.cast("double")
+    return (F.when(~_real(stat) | ~_real(dof) | (dof <= 0) | (stat < 0), F.lit(None).cast("double"))
+            .when(stat == 0, F.lit(1.0)).when(stat == F.lit(float("inf")), F.lit(0.0))
+            .otherwise(gamma_q(dof / 2, stat / 2)))
+
+
+def t_pvalue(t: Column, df: Column) -> Column:
+    """Two-sided p-value of a Student t statistic."""
+    t, df = t.cast("double"), df.cast("double")
+    square = t * t
+    return (F.when(~_real(t) | ~_real(df) | (df <= 0), F.lit(None).cast("double"))
+            .when(t == 0, F.lit(1.0)).when(square == F.lit(float("inf")), F.lit(0.0))
+            .otherwise(beta_inc(df / 2, F.lit(0.5), df / (df + square), square / (df + square))))
 
 
 def correlation_pvalue(r: Column, n: Column) -> Column:
     """Two-sided p-value of a Pearson / point-biserial r on ``n`` rows."""
     df = n.cast("double") - 2
-    t = r * F.sqrt(df / F.greatest(F.lit(1e-300), 1 - r * r))
+    t = r * F.sqrt(F.greatest(df, F.lit(0.0)) / F.greatest(F.lit(1e-300), 1 - r * r))
     return t_pvalue(t, df)

@@ -29,8 +29,14 @@ last it is ``mean_ref - a_K + J(a_K)``.  ``F``, ``S`` (at every point) and
 distinct reference values and the distinct (period, value) points, so the
 work is linear in their number and no task holds a whole column or period.
 
-Nothing stores raw rows: every role (numeric values, categorical values, scores,
-row counts) is one aggregate straight from the pruned scan.
+Nothing stores raw rows.  One scan expands each row into cells ``(role, column, value)``, one
+for each column and one for the row itself (its score and label), and one aggregate counts equal cells
+(:func:`panel_counts`).  Distances, row counts and AUC all come from this table, so a model in front of it
+scores each row once.  The table is mergeable: kept by period (``sources/profile_store.py``), a new period adds its own counts
+and no earlier row is read again.
+
+Every analysed period has a row for every column: where a column is empty in the period or in the reference its
+score is null and counts as drift.
 
 Jensen-Shannon needs only the values present on both sides:
 ``JS^2 = 1/2 sum_both [p ln(2p/(p+q)) + q ln(2q/(p+q))]
@@ -50,8 +56,7 @@ from panelwatch.functions.scalar import (
     AUC_DROP_THRESHOLD, DRIFT_SHARE_THRESHOLD, drift_status, regime_label,
 )
 from panelwatch.functions.stats import chi2_pvalue
-from panelwatch.operators.metrics import ranking_metrics
-from panelwatch.operators.profile import unpivot_categorical, unpivot_numeric
+from panelwatch.operators.metrics import ranking_from_counts
 from panelwatch.operators.scan import Scan, ordered_scan
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
@@ -61,21 +66,53 @@ P_VALUE_THRESHOLD = 0.05
 LOW_MEANS_DRIFT = ("chi_square",)
 
 
-def _clean_numeric(long: DataFrame) -> DataFrame:
+#: what a cell of ``panel_counts`` tells about: a numeric or categorical column, or the row itself
+NUMERIC, CATEGORICAL, ROWS = "numeric", "categorical", "rows"
+
+
+def panel_counts(df: DataFrame, period: str, numeric: Sequence[str], categorical: Sequence[str],
+                 rank: str | None = None, target: str | None = None) -> DataFrame:
+    """``(period, role, column, num, text, label, n)``: how often each value occurs in each period, from one
+    pass over the rows.  ``num`` holds numeric values (null where missing or NaN), ``text`` categorical ones; the
+    cells of role ``rows`` hold the ranking score and the target."""
+    def cell(role: str, column: str, num=None, text=None, label=None):
+        null = F.lit(None)
+        num = null.cast("double") if num is None else F.when(~F.isnan(F.col(num).cast("double")), F.col(num).cast("double"))
+        return F.struct(F.lit(role).alias("role"), F.lit(column).alias("column"), num.alias("num"),
+                        (null if text is None else F.col(text)).cast("string").alias("text"),
+                        (null if label is None else F.col(label)).cast("int").alias("label"))
+
+    cells = [cell(NUMERIC, c, num=c) for c in numeric] + [cell(CATEGORICAL, c, text=c) for c in categorical]
+    cells.append(cell(ROWS, "", num=rank, label=target))
+    return df.select(period, F.inline(F.array(*cells))).groupBy(period, "role", "column", "num", "text", "label").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _sides(period: str, reference: Sequence[str], periods: Sequence[str] | None):
+    """Conditions for the reference and for the analysed periods (default: all others)."""
+    is_ref = F.col(period).isin(list(reference))
+    return is_ref, (~is_ref if periods is None else F.col(period).isin(list(periods)))
+
+
+def _counted(long: DataFrame, period: str, reference, periods, numeric: bool) -> DataFrame:
+    """Counts per (period, column, value) of a long table."""
+    is_ref, analysed = _sides(period, reference, periods)
     v = F.col("value")
-    return long.where(v.isNotNull() & ~F.isnan(v))
+    known = v.isNotNull() & ~F.isnan(v) if numeric else v.isNotNull()
+    return materialize(long.where(known & (is_ref | analysed)).groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str],
                           periods: Sequence[str] | None = None) -> DataFrame:
-    """``(period, column, w1, sd_ref, score)`` from a long numeric table
-    ``(period, column, value)``, for the given periods (default: all that
-    are not in the reference)."""
-    is_ref = F.col(period).isin(list(reference))
-    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
-    # one pass over the rows: counts per (period, column, distinct value)
-    counts = materialize(_clean_numeric(long).where(is_ref | analysed).groupBy(period, "column", "value")
-                         .agg(F.count(F.lit(1)).alias("n")))
+    """R4 on a long numeric table ``(period, column, value)``."""
+    return wasserstein_from_counts(_counted(long, period, reference, periods, True), period, reference, periods)
+
+
+def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
+                            periods: Sequence[str] | None = None) -> DataFrame:
+    """``(period, column, w1, sd_ref, score)`` from counts ``(period, column, value, n)``, for the given
+    periods (default: all that are not in the reference)."""
+    is_ref, analysed = _sides(period, reference, periods)
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("n").alias("n"))
     mom = ref.groupBy("column").agg(F.sum("n").alias("n_ref"),
                                     (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean_ref"))
@@ -145,13 +182,16 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
 
 def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[str],
                              periods: Sequence[str] | None = None) -> DataFrame:
+    """R5 on a long table ``(period, column, value)``."""
+    return jensen_shannon_from_counts(_counted(long, period, reference, periods, False), period, reference, periods)
+
+
+def jensen_shannon_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
+                               periods: Sequence[str] | None = None) -> DataFrame:
     """``(period, column, score)`` Jensen-Shannon distance (natural log)
-    between the value shares of each period and of the reference."""
-    is_ref = F.col(period).isin(list(reference))
-    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
-    # one pass over the rows; everything below runs on the distinct values
-    counts = materialize(long.where(F.col("value").isNotNull() & (is_ref | analysed))
-                         .groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("nc")))
+    between the value shares of each period and of the reference; null where the reference has no value."""
+    is_ref, analysed = _sides(period, reference, periods)
+    counts = counts.withColumnRenamed("n", "nc")
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("nc").alias("nr"))
     # totals have one row per column, or per (period, column): broadcasts of proven size
     ref_total = ref.groupBy("column").agg(F.sum("nr").alias("tot_r"))
@@ -165,7 +205,8 @@ def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[s
     agg = both.groupBy(period, "column").agg(
         F.sum(p * F.log(p / m) + qq * F.log(qq / m)).alias("kl"),
         F.sum(p).alias("sp"), F.sum(qq).alias("sq"))
-    out = tot.select(period, "column").join(agg, [period, "column"], "left")
+    out = (tot.select(period, "column").join(F.broadcast(ref_total.select("column")), "column")
+           .join(agg, [period, "column"], "left"))
     js2 = (F.lit(0.5) * F.coalesce("kl", F.lit(0.0))
            + F.lit(0.5 * math.log(2.0)) * (F.lit(2.0) - F.coalesce("sp", F.lit(0.0))
                                            - F.coalesce("sq", F.lit(0.0))))
@@ -174,13 +215,17 @@ def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[s
 
 def chi_square_by_period(long: DataFrame, period: str, reference: Sequence[str],
                          periods: Sequence[str] | None = None) -> DataFrame:
+    """R6 on a long table ``(period, column, value)``."""
+    return chi_square_from_counts(_counted(long, period, reference, periods, False), period, reference, periods)
+
+
+def chi_square_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
+                           periods: Sequence[str] | None = None) -> DataFrame:
     """``(period, column, statistic, dof, score)``: p-value (``score``) of the
     chi-square test that a period's values have the reference's shares (table of two
     rows, values of either side; null with fewer than two values)."""
-    is_ref = F.col(period).isin(list(reference))
-    analysed = ~is_ref if periods is None else F.col(period).isin(list(periods))
-    counts = materialize(long.where(F.col("value").isNotNull() & (is_ref | analysed))
-                         .groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("nc")))
+    is_ref, analysed = _sides(period, reference, periods)
+    counts = counts.withColumnRenamed("n", "nc")
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("nc").alias("nr"))
     ref_total = ref.groupBy("column").agg(F.sum("nr").alias("tot_r"), F.count(F.lit(1)).alias("kinds"))
     cur = counts.where(analysed)
@@ -207,24 +252,38 @@ def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
                  categorical: Sequence[str], reference: Sequence[str],
                  periods: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD,
                  categorical_method: str = "jensenshannon") -> DataFrame:
+    """R3/R6 from rows: one scan, then :func:`drift_from_counts`."""
+    is_ref, analysed = _sides(period, reference, periods)
+    counts = materialize(panel_counts(df.where(is_ref | analysed), period, numeric, categorical))
+    roles = [r for r, c in ((NUMERIC, numeric), (CATEGORICAL, categorical)) if c]
+    return drift_from_counts(counts, period, reference, periods, threshold, categorical_method, roles)
+
+
+def drift_from_counts(counts: DataFrame, period: str, reference: Sequence[str], periods: Sequence[str] | None = None,
+                      threshold: float = DRIFT_THRESHOLD, categorical_method: str = "jensenshannon",
+                      roles: Sequence[str] = (NUMERIC, CATEGORICAL)) -> DataFrame:
     """``(period, column, method, score, threshold, direction, drifted)`` for
     every column and analysed period (default: all that are not in the reference).
 
     ``direction`` tells which scores mean drift: ``higher`` than the threshold for
     distances, ``lower`` for p-values (``categorical_method="chi_square"``, threshold
-    0.05).  A score that cannot be computed counts as drift."""
-    parts = []
-    if numeric:
-        w = wasserstein_by_period(unpivot_numeric(df, numeric, keep=[period]), period, reference,
-                                  periods)
-        parts.append(w.select(period, "column", F.lit("wasserstein").alias("method"), "score"))
-    if categorical:
-        by = {"jensenshannon": jensen_shannon_by_period, "chi_square": chi_square_by_period}[categorical_method]
-        j = by(unpivot_categorical(df, categorical, keep=[period]), period, reference, periods)
-        parts.append(j.select(period, "column", F.lit(categorical_method).alias("method"), "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    0.05).  A score that cannot be computed (an empty column on either side) is null and counts as drift."""
+    _, analysed = _sides(period, reference, periods)
+    by = {"jensenshannon": jensen_shannon_from_counts, "chi_square": chi_square_from_counts}[categorical_method]
+    scores = []
+    if NUMERIC in roles:
+        values = counts.where((F.col("role") == NUMERIC) & F.col("num").isNotNull()).select(period, "column", F.col("num").alias("value"), "n")
+        scores.append(wasserstein_from_counts(values, period, reference, periods).select(
+            period, "column", F.lit(NUMERIC).alias("role"), "score"))
+    if CATEGORICAL in roles:
+        values = counts.where((F.col("role") == CATEGORICAL) & F.col("text").isNotNull()).select(period, "column", F.col("text").alias("value"), "n")
+        scores.append(by(values, period, reference, periods).select(period, "column", F.lit(CATEGORICAL).alias("role"), "score"))
+    found = scores[0]
+    for more in scores[1:]:
+        found = found.unionByName(more)
+    grid = counts.where(analysed & F.col("role").isin(list(roles))).select(period, "column", "role").distinct()
+    out = grid.join(found, [period, "column", "role"], "left").withColumn(
+        "method", F.when(F.col("role") == NUMERIC, F.lit("wasserstein")).otherwise(F.lit(categorical_method)))
     low = F.col("method").isin(*LOW_MEANS_DRIFT)
     limit = F.when(low, F.lit(P_VALUE_THRESHOLD)).otherwise(F.lit(float(threshold)))
     return out.select(period, "column", "method", "score", limit.alias("threshold"),
@@ -246,20 +305,30 @@ class MonitorConfig:
 def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
                   regimes: RegimeSpec, periods: Sequence[str] | None = None,
                   cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
-    """One record per analysed period.
+    """One record per analysed period, from one pass over the rows.
 
     ``df`` is the scored panel (R1: scored once, so reference and periods
-    are comparable).  Periods default to those not in the reference (B4).
+    are comparable).  Periods default to those not in the reference (B4)."""
+    per = spec.period
+    is_ref, analysed = _sides(per, reference, periods)
+    counts = panel_counts(df.where(is_ref | analysed), per, list(spec.numeric) + [cfg.prediction], spec.categorical,
+                          cfg.rank_score or cfg.prediction, spec.target)
+    return monthly_from_counts(materialize(counts), spec, reference, regimes, periods, cfg)
+
+
+def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[str],
+                        regimes: RegimeSpec, periods: Sequence[str] | None = None,
+                        cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
+    """R3-R10 from ``panel_counts`` cells (just made, or read from a profile store).
     Shares, AUC and delta are rounded only in the output; the status uses
     the unrounded values (T5, T8)."""
     per = spec.period
-    is_ref = F.col(per).isin(list(reference))
-    cur = df.where(~is_ref if periods is None else F.col(per).isin(list(periods)))
+    is_ref, analysed = _sides(per, reference, periods)
     feats = list(spec.numeric) + list(spec.categorical)
-    drift = column_drift(df, per, list(spec.numeric) + [cfg.prediction], spec.categorical,
-                         reference, periods, cfg.drift_threshold)
-    drift = materialize(drift)  # periods x columns rows, read by two branches
-    counts = cur.groupBy(per).agg(F.count(F.lit(1)).alias("n_rows"))  # rows per analysed period
+    roles = [NUMERIC] + ([CATEGORICAL] if spec.categorical else [])
+    drift = materialize(drift_from_counts(cells, per, reference, periods, cfg.drift_threshold, roles=roles))  # periods x columns rows, read by two branches
+    rows = cells.where(F.col("role") == ROWS)
+    counts = rows.where(analysed).groupBy(per).agg(F.sum("n").alias("n_rows"))  # rows per analysed period
     order = F.create_map(*[x for i, c in enumerate(feats) for x in (F.lit(c), F.lit(i))])
     fd = drift.where(F.col("column") != cfg.prediction)
     feat_agg = fd.groupBy(per).agg(
@@ -269,13 +338,12 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     pred = drift.where(F.col("column") == cfg.prediction).select(
         per, F.col("score").alias("prediction_drift_score"),
         F.col("drifted").alias("prediction_drift_detected"))
-    rank = cfg.rank_score or cfg.prediction
     # months and the reference slice ranked in one grouped pass
     ref_key = "__reference__"
-    sliced = (cur.select(F.col(per).alias("__slice"), rank, spec.target)
-              .unionByName(df.where(is_ref).select(F.lit(ref_key).alias("__slice"), rank,
-                                                   spec.target)))
-    aucs = ranking_metrics(sliced, ["__slice"], rank, spec.target)
+    ranked = rows.where(F.col("num").isNotNull() & F.col("label").isNotNull())
+    sliced = (ranked.where(analysed).select(F.col(per).alias("__slice"), "num", "label", "n")
+              .unionByName(ranked.where(is_ref).select(F.lit(ref_key).alias("__slice"), "num", "label", "n")))
+    aucs = ranking_from_counts(sliced, ["__slice"], "num", "label", "n")
     aucs = materialize(aucs.select("__slice", "roc_auc"))  # one row per month
     auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),
                                                            F.col("roc_auc").alias("__auc"))

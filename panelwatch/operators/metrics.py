@@ -75,6 +75,14 @@ def ranking_metrics(df: DataFrame, group_cols: Sequence[str], score: str, label:
     return _ranking(_ranked(df, group_cols, score, label), group_cols).drop(*__drop)
 
 
+def ranking_from_counts(counts: DataFrame, group_cols: Sequence[str], score: str, label: str, n: str) -> DataFrame:
+    """M15 + M16 from counted rows: ``n`` rows of each (group, score, label)."""
+    y, c = F.col(label), F.col(n)
+    st = counts.groupBy(*group_cols, F.col(score).cast("double").alias("score")).agg(
+        F.sum(F.when(y == 1, c).otherwise(0)).alias("pos"), F.sum(F.when(y == 0, c).otherwise(0)).alias("neg"))
+    return _ranking(_rank_table(st, group_cols), list(group_cols))
+
+
 def _thresholded(st: DataFrame, group_cols, threshold: float) -> DataFrame:
     """Threshold metrics from counts per distinct probability ``__p``."""
     p, pos, neg = F.col("__p"), F.col("pos"), F.col("neg")

@@ -491,7 +491,24 @@ def chi_square_lineitem(spark, sf):
     return A.chi_square(lineitem_panel(spark, sf), LINEITEM_SPEC, ("l_linestatus",))
 
 
-@register("chi_square_pvalues_orders")
+def tail_sql(inner: str, keys: str, density: str, width: str, steps: int = 20_000) -> str:
+    """Oracle for tail probabilities: Simpson's rule over a density of ``x``, from column ``x0`` of
+    ``inner`` over ``width`` (a different way than the library's series and fractions)."""
+    return (f"SELECT {keys}, sum(w * {density}) * any_value(h) / 3 AS p FROM (SELECT *, x0 + i * h AS x, CASE WHEN i IN (0, {steps}) THEN 1 "
+            f"WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM (SELECT *, ({width}) / {steps} AS h FROM ({inner}) AS t0) AS t1, "
+            f"range(0, {steps + 1}) AS r(i)) AS t2 GROUP BY ALL")
+
+
+CHI2_DENSITY = "exp((dof / 2.0 - 1) * ln(x) - x / 2 - dof / 2.0 * ln(2) - lgamma(dof / 2.0))"
+CHI2_WIDTH = "80 + 20 * sqrt(2.0 * dof)"
+T_DENSITY = "exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0) - 0.5 * ln(pi() * df) - (df + 1) / 2.0 * ln(1 + x * x / df))"
+
+
+@register("chi_square_pvalues_orders",
+          f"WITH base AS ({chi_sql(OP, 'op', 'fulfilled', ORDERS_SPEC.categorical)}), "
+          "tail AS (" + tail_sql('SELECT "column", dof, chi2 AS x0 FROM base WHERE dof > 0', '"column"', CHI2_DENSITY, CHI2_WIDTH) + ") "
+          'SELECT base.*, p AS p_value, p < 0.05 AS significant FROM base LEFT JOIN tail USING ("column")',
+          ("chi2", "cramers_v", "p_value"))
 def chi_square_pvalues_orders(spark, sf):
     return A.chi_square(orders_panel(spark, sf), ORDERS_SPEC, ORDERS_SPEC.categorical,
                         with_pvalue=True)
@@ -509,7 +526,18 @@ def point_biserial_lineitem(spark, sf):
     return A.point_biserial(lineitem_panel(spark, sf), LINEITEM_SPEC, LI_NUM).drop("relative_diff_text")
 
 
-@register("point_biserial_pvalues_orders")
+@register("point_biserial_pvalues_orders",
+          f"WITH {OP}, base AS (" + " UNION ALL ".join(
+              f"SELECT '{c}' AS \"column\", {corr_sql(c, 'fulfilled::DOUBLE')} AS r, "
+              f"avg(CASE WHEN fulfilled = 1 THEN {c} END) AS mean_positive, "
+              f"avg(CASE WHEN fulfilled = 0 THEN {c} END) AS mean_negative, count({c}) AS n, "
+              f"avg(CASE WHEN fulfilled = 1 THEN {c} END) / avg(CASE WHEN fulfilled = 0 THEN {c} END)"
+              f" - 1.0 AS relative_diff FROM op" for c in ORDERS_SPEC.numeric) + "), tail AS ("
+          + tail_sql('SELECT "column", n - 2 AS df, abs(r) * sqrt((n - 2) / (1 - r * r)) AS x0 FROM base', '"column"', T_DENSITY, "14.0")
+          + ") SELECT \"column\", r, mean_positive, mean_negative, n, relative_diff, 2 * p AS p_value, "
+          "CASE WHEN relative_diff IS NOT NULL THEN printf('%+.1f%%', 100 * relative_diff) END AS relative_diff_text "
+          "FROM base JOIN tail USING (\"column\")",
+          ("r", "mean_positive", "mean_negative", "relative_diff", "p_value"))
 def point_biserial_pvalues_orders(spark, sf):
     return A.point_biserial(orders_panel(spark, sf), ORDERS_SPEC, ORDERS_SPEC.numeric,
                             with_pvalue=True)
@@ -1144,7 +1172,28 @@ def column_drift_orders(spark, sf):
                           ORDERS_SPEC.categorical, ORDERS_SPEC.train_periods)
 
 
-@register("column_drift_chi_square_orders")
+def chi_drift_sql(panel_cte: str, src: str, period: str, reference, categorical) -> str:
+    """Oracle for R6: each period's counts and the reference's as a table of two rows over all values of either."""
+    ref_sql = ", ".join(f"'{m}'" for m in reference)
+    cat = " UNION ALL ".join(f"SELECT {period}, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM {src} WHERE {c} IS NOT NULL" for c in categorical)
+    return (
+        f"WITH {panel_cte}, cat AS ({cat}), "
+        f"refc AS (SELECT \"column\", value, count(*) AS n FROM cat WHERE {period} IN ({ref_sql}) GROUP BY 1, 2), "
+        f"curc AS (SELECT {period}, \"column\", value, count(*) AS n FROM cat WHERE {period} NOT IN ({ref_sql}) GROUP BY 1, 2, 3), "
+        f"grid AS (SELECT * FROM (SELECT DISTINCT {period}, \"column\" FROM curc) JOIN (SELECT DISTINCT \"column\", value FROM cat) USING (\"column\")), "
+        f"o AS (SELECT g.{period}, g.\"column\", coalesce(r.n, 0) AS nr, coalesce(c.n, 0) AS nc FROM grid g LEFT JOIN refc r ON r.\"column\" = g.\"column\" "
+        f"AND r.value = g.value LEFT JOIN curc c ON c.{period} = g.{period} AND c.\"column\" = g.\"column\" AND c.value = g.value "
+        f"WHERE r.n IS NOT NULL OR c.n IS NOT NULL), "
+        f"e AS (SELECT *, (nr + nc) * sum(nr) OVER k / sum(nr + nc) OVER k AS er, (nr + nc) * sum(nc) OVER k / sum(nr + nc) OVER k AS ec "
+        f"FROM o WINDOW k AS (PARTITION BY {period}, \"column\")), "
+        f"st AS (SELECT {period}, \"column\", sum((nr - er) ** 2 / er + (nc - ec) ** 2 / ec) AS x0, count(*) - 1 AS dof FROM e GROUP BY 1, 2), "
+        "tail AS (" + tail_sql("SELECT * FROM st WHERE dof > 0", f'{period}, "column"', CHI2_DENSITY, CHI2_WIDTH, 4_000) + ") "
+        f"SELECT {period}, \"column\", 'chi_square' AS method, p AS score, CAST(0.05 AS DOUBLE) AS threshold, 'lower' AS direction, "
+        f"coalesce(p < 0.05, true) AS drifted FROM st LEFT JOIN tail USING ({period}, \"column\")")
+
+
+@register("column_drift_chi_square_orders",
+          chi_drift_sql(OP, "op", "order_month", ORDERS_SPEC.train_periods, ORDERS_SPEC.categorical), ("score", "threshold"))
 def column_drift_chi_square_orders(spark, sf):
     """Categorical drift by p-values, where a low value means drift."""
     return D.column_drift(orders_panel(spark, sf), "order_month", [], ORDERS_SPEC.categorical,
@@ -1276,3 +1325,59 @@ def daily_drift_status_events(spark, sf):
     ev = S.linear_score(events_panel(spark, sf), EVENTS_CARD, "score", z_out="z")
     rec = D.monthly_drift(ev, EVENTS_SPEC, EVENTS_SPEC.train_periods, EVENTS_REGIMES, cfg=_MCFG)
     return rec.withColumn("drifted_columns", F.array_join("drifted_columns", ", "))
+
+
+# ================================================================== stored profiles, empty columns
+from panelwatch.sources import profile_store as PS  # noqa: E402
+
+_LAST_MONTHS = ("1998-10", "1998-11")
+
+
+@register("column_drift_from_profiles_lineitem", _drift_sql() + " SELECT * FROM cd", ("score", "threshold"))
+def column_drift_from_profiles_lineitem(spark, sf):
+    """The profiles of the reference months are stored first, all others later; the stored counts
+    give the same drift as the rows."""
+    scored = _scored_li(spark, sf).withColumnRenamed("score", "prediction")
+    cfg = D.MonitorConfig(rank_score="z")
+    path = scratch_path(spark, f"profiles-{_uuid.uuid4().hex}")
+    PS.store_profiles(scored, LINEITEM_SPEC, path, _LI_REF, cfg)
+    PS.store_profiles(scored.where(~F.col("ship_month").isin(list(_LI_REF))), LINEITEM_SPEC, path, cfg=cfg)
+    return D.drift_from_counts(PS.read_profiles(spark, LINEITEM_SPEC, path), "ship_month", _LI_REF)
+
+
+@register("monitor_new_months_lineitem",
+          f"SELECT * FROM ({_monthly_sql()}) AS m WHERE month IN ('1998-10', '1998-11')",
+          ("drifted_columns_share", "prediction_drift_score", "roc_auc", "auc_delta", "reference_roc_auc"))
+def monitor_new_months_lineitem(spark, sf):
+    """R2-R10 for two new months against stored profiles of the reference months: one month after the
+    other is counted from its own rows only."""
+    scored = _scored_li(spark, sf).withColumnRenamed("score", "prediction")
+    cfg = D.MonitorConfig(rank_score="z")
+    path = scratch_path(spark, f"profiles-{_uuid.uuid4().hex}")
+    PS.store_profiles(scored, LINEITEM_SPEC, path, _LI_REF, cfg)
+    first = PS.monitor_new_periods(scored, LINEITEM_SPEC, path, _LAST_MONTHS[:1], _LI_REF, LINEITEM_REGIMES, cfg)
+    second = PS.monitor_new_periods(scored, LINEITEM_SPEC, path, _LAST_MONTHS[1:], _LI_REF, LINEITEM_REGIMES, cfg)
+    return first.unionByName(second).withColumn("drifted_columns", F.array_join("drifted_columns", ", "))
+
+
+# Fixed values of this example: columns that are empty in a month, or in the reference.
+_GAPS = {"l_discount": ("1998-03",), "l_linestatus": ("1998-04",), "l_tax": _LI_REF}
+_GAP_SQL = ", ".join("CASE WHEN ship_month IN ({}) THEN NULL ELSE {} END AS {}".format(", ".join(f"'{m}'" for m in ms), c, c)
+                     for c, ms in _GAPS.items())
+
+
+@register("column_drift_gaps_lineitem",
+          drift_sql(f"{LI}, lg AS (SELECT * REPLACE ({_GAP_SQL}) FROM li)", "lg", "ship_month", _LI_REF, LI_NUM, ("l_linestatus",), "1 AS one")
+          + ", every AS (SELECT DISTINCT ship_month FROM li WHERE ship_month NOT IN ("
+          + ", ".join(f"'{m}'" for m in _LI_REF) + ")), cols(\"column\", method) AS (VALUES "
+          + ", ".join(f"('{c}', '{'jensenshannon' if c == 'l_linestatus' else 'wasserstein'}')" for c in (*LI_NUM, "l_linestatus"))
+          + ") SELECT ship_month, \"column\", method, score, CAST(0.1 AS DOUBLE) AS threshold, 'higher' AS direction, "
+          "coalesce(drifted, true) AS drifted FROM (SELECT * FROM every CROSS JOIN cols) AS g LEFT JOIN cd USING (ship_month, \"column\", method)",
+          ("score", "threshold"))
+def column_drift_gaps_lineitem(spark, sf):
+    """R3-R5 with empty columns: a month without any discount, a month without line status and a reference without
+    tax keep their rows, with a null score that counts as drift."""
+    li = lineitem_panel(spark, sf)
+    for c, months in _GAPS.items():
+        li = li.withColumn(c, F.when(~F.col("ship_month").isin(list(months)), F.col(c)))
+    return D.column_drift(li, "ship_month", LI_NUM, ["l_linestatus"], _LI_REF)

@@ -72,7 +72,8 @@ def monitor_panel(panel: DataFrame, spec: PanelSpec, model, regimes: RegimeSpec,
                   reference: Sequence[str] | None = None, periods: Sequence[str] | None = None,
                   cfg: D.MonitorConfig = D.MonitorConfig()) -> DataFrame:
     """K6: score all rows (R1), take the train periods as reference (R2,
-    T2), and compute the monthly drift records (R3-R10) in one plan."""
+    T2), and compute the monthly drift records (R3-R10).  The scored rows feed one
+    aggregate, so the panel is scanned and the model applied once."""
     reference = list(reference or spec.train_periods)
     cols = list(spec.features) + [spec.target, spec.period]
     scored = score_panel(panel.select(*cols), model, cfg.prediction).select(*cols, cfg.prediction)

@@ -3,8 +3,9 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
-from panelwatch.functions.stats import chi2_sf, t_two_sided
+from panelwatch.functions.stats import chi2_pvalue, correlation_pvalue, t_pvalue
 from panelwatch.operators import association as A
 from panelwatch.operators import timeline as TL
 from panelwatch.spec import PanelSpec, RegimeSpec
@@ -28,11 +29,43 @@ def test_chi_square_yates_and_cramers_v(spark):
     assert r.cramers_v == pytest.approx(math.sqrt(6.949931 / 85), abs=1e-6)
 
 
-def test_special_functions():
-    assert chi2_sf(6.949931, 1) == pytest.approx(0.008382, abs=1e-6)
-    assert chi2_sf(3.841459, 1) == pytest.approx(0.05, abs=1e-6)
-    assert chi2_sf(11.070498, 5) == pytest.approx(0.05, abs=1e-6)
-    assert t_two_sided(2.228139, 10) == pytest.approx(0.05, abs=1e-6)
+def _even_chi2(x, dof):
+    """Closed form for an even number of degrees of freedom."""
+    total = term = 1.0
+    for k in range(1, dof // 2):
+        term *= x / 2 / k
+        total += term
+    return math.exp(-x / 2) * total
+
+
+def test_special_functions(spark):
+    chi = [(x, d) for d in (2, 4, 10, 60, 400) for x in (.01, .9, 3.0, 12.0, 55.0, 380.0, 420.0, 1300.0)]
+    rows = spark.createDataFrame([(float(x), float(d)) for x, d in chi], "x double, d double").select(chi2_pvalue(F.col("x"), F.col("d")).alias("p")).collect()
+    for (x, d), r in zip(chi, rows):
+        assert r.p == pytest.approx(_even_chi2(x, d), rel=1e-9, abs=1e-15), (x, d)
+    one = [.001, .5, 3.841459, 30.0]
+    rows = spark.createDataFrame([(x,) for x in one], "x double").select(chi2_pvalue(F.col("x"), F.lit(1)).alias("p")).collect()
+    assert [r.p for r in rows] == pytest.approx([math.erfc(math.sqrt(x / 2)) for x in one], rel=1e-9)
+    ts = [.001, .3, 1.0, 2.228139, 12.0, -7.0, 4000.0]
+    rows = spark.createDataFrame([(t,) for t in ts], "t double").select(
+        t_pvalue(F.col("t"), F.lit(1)).alias("a"), t_pvalue(F.col("t"), F.lit(2)).alias("b"), t_pvalue(F.col("t"), F.lit(10)).alias("c"),
+        t_pvalue(F.col("t"), F.lit(10_000_000)).alias("d")).collect()
+    assert [r.a for r in rows] == pytest.approx([2 / math.pi * math.atan2(1, abs(t)) for t in ts], rel=1e-9)
+    # two degrees of freedom: 1 - t / sqrt(2 + t^2), written without cancellation
+    assert [r.b for r in rows] == pytest.approx([2 / (2 + t * t) / (1 + abs(t) / math.sqrt(2 + t * t)) for t in ts], rel=1e-9)
+    assert rows[3].c == pytest.approx(.05, abs=1e-6)
+    assert [r.d for r in rows[:4]] == pytest.approx([math.erfc(abs(t) / math.sqrt(2)) for t in ts[:4]], rel=1e-5)
+
+
+def test_special_functions_without_an_answer(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(None, 1.0), (nan, 1.0), (3.0, None), (3.0, 0.0), (-1.0, 2.0), (0.0, 2.0), (inf, 2.0)]
+    got = spark.createDataFrame(rows, "x double, d double").select(
+        chi2_pvalue(F.col("x"), F.col("d")).alias("c"), t_pvalue(F.col("x"), F.col("d")).alias("t"),
+        correlation_pvalue(F.lit(0.5), F.col("d")).alias("r")).collect()
+    assert [r.c for r in got] == [None, None, None, None, None, 1.0, 0.0]
+    assert [r.t is None for r in got] == [True, True, True, True, False, False, False] and got[5].t == 1.0 and got[6].t == 0.0
+    assert all(r.r is None for r in got)
 
 
 def test_point_biserial_order_and_relative_diff(spark):
