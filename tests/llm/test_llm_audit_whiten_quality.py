@@ -255,3 +255,24 @@ def test_quality_without_both_classes(spark):
     empty = docs.where("false")
     model, kept = quality.fit(empty, spark.createDataFrame(marks, "doc_id long, quality int"))
     assert quality.scored(kept, model).count() == 0
+
+
+# 10 -----------------------------------------------------------------------------------------
+
+def test_token_counts_of_odd_texts_equal_the_library():
+    """Cutting at single spaces changes no count, whatever white space or marks stand around them."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from panelwatch.llm import token_cache
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.no_truncation()
+    t.no_padding()
+    token_cache._loaded["odd"] = (t, {}, token_cache._is_cuttable(t))
+    rng = random.Random(0)
+    chars = ["a", "b", "\u00e9", "\u00df", " ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\u1680", "\x85", "\x1c", "1", "!", "'s", "<|endoftext|>",
+             "\u4e2d", "\U0001f600", "\u00f1", "\u0301", "\x00", "\u200b", "\ufeff"]
+    texts = ["", " ", "a b"] + ["".join(rng.choice(chars) for _ in range(rng.randrange(30))) for _ in range(3000)] + ["word " * 50_000]
+    assert token_cache.count_tokens(texts, "odd") == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert token_cache.count_tokens([], "odd") == []
