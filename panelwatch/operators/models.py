@@ -1,7 +1,7 @@
 """Temporal split, classifiers, training runs and champion choice (M9-M13,
 M20-M22).
 
-Logistic regression is the ``pyspark.ml`` estimator; boosted trees are fitted from histograms
+Logistic regression takes Newton steps (``logistic.py``); boosted trees are fitted from histograms
 (``boosting.py``).  Gradients and split statistics are computed on the
 executors; only coefficients and merged histograms come back to the driver.
 All candidates share one fitted preparation, boosted candidates share their aggregates,
@@ -15,12 +15,12 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.operators.boosting import BoostedTrees, fit_together
 from panelwatch.operators.features import build_pipeline, feature_names
+from panelwatch.operators.logistic import NewtonLogistic
 from panelwatch.operators.metrics import evaluate
 from panelwatch.operators.scoring import probability_column
 from panelwatch.spec import PanelSpec
@@ -68,14 +68,10 @@ def default_candidates(n_trees: int = 400) -> list[Candidate]:
             Candidate("boosted_trees_d6", "gbt", max_iter=n_trees, depth=6)]
 
 
-def make_estimator(cand: Candidate, spec: PanelSpec, weight_sum: float):
-    """M10-M12.  Logistic: sklearn's C-penalised objective divided by
-    C * sum(w) gives Spark's regParam = 1 / (C * sum(w)), no internal
-    standardisation (features are already scaled)."""
+def make_estimator(cand: Candidate, spec: PanelSpec):
+    """The unfitted stage of a candidate."""
     if cand.kind == "logistic":
-        return LogisticRegression(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
-                                  maxIter=cand.max_iter, regParam=1.0 / (cand.c * weight_sum),
-                                  elasticNetParam=0.0, standardization=False)
+        return NewtonLogistic(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT, maxIter=cand.max_iter, c=cand.c)
     return BoostedTrees(featuresCol="features", labelCol=spec.target, weightCol=WEIGHT,
                         maxIter=cand.max_iter, maxDepth=cand.depth, stepSize=cand.step,
                         subsamplingRate=cand.subsample, colSample=cand.col_sample, seed=42)
@@ -83,11 +79,11 @@ def make_estimator(cand: Candidate, spec: PanelSpec, weight_sum: float):
 
 def fit_candidates(train: DataFrame, spec: PanelSpec, candidates: Sequence[Candidate]) -> dict[str, PipelineModel]:
     """One preparation, then every candidate on its features; each model is a whole pipeline (M8)."""
-    weighted, total = with_balanced_weights(train, spec)
+    weighted, _ = with_balanced_weights(train, spec)
     prepared = build_pipeline(spec).fit(weighted)
     # every fit iterates over these rows: kept by the executors while fitting
     rows = prepared.transform(weighted).select("features", spec.target, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
-    estimators = {c.name: make_estimator(c, spec, total) for c in candidates}
+    estimators = {c.name: make_estimator(c, spec) for c in candidates}
     boosted = {k: e for k, e in estimators.items() if isinstance(e, BoostedTrees)}
     try:
         fitted = dict(zip(boosted, fit_together(rows, list(boosted.values())))) if boosted else {}

@@ -1055,6 +1055,43 @@ from panelwatch.sources import panel_io as IO  # noqa: E402
 from panelwatch.sources.registry import Registry  # noqa: E402
 from panelwatch.streaming.score_stream import read_scored, score_stream  # noqa: E402
 
+# The levels of the categorical columns (one-hot columns in sorted order).
+_LEVELS = {"l_linestatus": ("F", "O"), "top_priority": ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+           "c_mktsegment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
+
+
+def logistic_sql(panel_cte: str, src: str, spec, steps: int = 7) -> str:
+    """Oracle for the prepared and fitted logistic model: CTEs ending in ``xs`` (all rows, feature list ``x``, the
+    constant last) and ``fitted`` (one row, weights ``b``).  Newton steps are unrolled, each with a Gauss-Jordan elimination
+    on a list of lists."""
+    names = list(spec.numeric) + [f"{c}_{v}" for c in spec.categorical for v in _LEVELS[c]]
+    k = len(names) + 1
+    train = ", ".join(f"'{m}'" for m in spec.train_periods)
+    ctes = [panel_cte, f"tr AS MATERIALIZED (SELECT * FROM {src} WHERE {spec.period} IN ({train}))"]
+    for c in spec.numeric:
+        ctes.append(f"prep_{c} AS MATERIALIZED (SELECT any_value(m) AS m, any_value(lo) AS lo, any_value(hi) AS hi, avg(least(greatest(v, lo), hi)) AS mean, "
+                    f"stddev_pop(least(greatest(v, lo), hi)) AS sd FROM (SELECT *, quantile_cont(v, 0.01) OVER () AS lo, quantile_cont(v, 0.99) OVER () AS hi "
+                    f"FROM (SELECT coalesce({c}::DOUBLE, m) AS v, m FROM tr, (SELECT median({c}::DOUBLE) AS m FROM tr))))")
+    parts = [f"(least(greatest(coalesce({c}::DOUBLE, prep_{c}.m), prep_{c}.lo), prep_{c}.hi) - prep_{c}.mean) / prep_{c}.sd" for c in spec.numeric]
+    parts += [f"CAST({c} = '{v}' AS DOUBLE)" for c in spec.categorical for v in _LEVELS[c]] + ["1.0::DOUBLE"]
+    ctes.append(f"xs AS MATERIALIZED (SELECT {src}.*, [{', '.join(parts)}] AS x FROM {src}, " + ", ".join(f"prep_{c}" for c in spec.numeric) + ")")
+    ctes.append(f"xt AS MATERIALIZED (SELECT x, {spec.target}::DOUBLE AS y, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY {spec.target})) AS w "
+                f"FROM xs WHERE {spec.period} IN ({train}))")
+    ctes.append(f"b0 AS MATERIALIZED (SELECT [{', '.join(['0.0::DOUBLE'] * k)}] AS b)")
+    at = range(1, k + 1)
+    for s in range(1, steps + 1):
+        rows = ", ".join("[" + ", ".join([f"sum(w * p * (1 - p) * x[{r}] * x[{c}])" + (" + 1.0" if r == c < k else "") for c in at]
+                                         + [f"sum(w * (y - p) * x[{r}])" + (f" - any_value(b)[{r}]" if r < k else "")]) + "]" for r in at)
+        ctes.append(f"p{s} AS MATERIALIZED (SELECT x, y, w, b, 1 / (1 + exp(-list_dot_product(x, b))) AS p FROM xt, b{s - 1})")
+        ctes.append(f"m{s}_0 AS MATERIALIZED (SELECT [{rows}] AS m FROM p{s})")
+        for i in at:
+            ctes.append(f"m{s}_{i} AS MATERIALIZED (SELECT list_transform(range(1, {k + 1}), lambda r: CASE WHEN r = {i} THEN list_transform(m[{i}], lambda v: v / m[{i}][{i}]) "
+                        f"ELSE list_transform(range(1, {k + 2}), lambda c: m[r][c] - m[r][{i}] * m[{i}][c] / m[{i}][{i}]) END) AS m FROM m{s}_{i - 1})")
+        ctes.append(f"b{s} AS MATERIALIZED (SELECT list_transform(range(1, {k + 1}), lambda r: b[r] + m[r][{k + 1}]) AS b FROM b{s - 1}, m{s}_{k})")
+    ctes.append(f"fitted AS MATERIALIZED (SELECT b, [{', '.join(repr(n) for n in names)}] AS names FROM b{steps})")
+    return ", ".join(ctes)
+
+
 @register("model_comparison_lineitem")
 def model_comparison_lineitem(spark, sf):
     """Logistic and two boosted-tree candidates on the
@@ -1065,7 +1102,8 @@ def model_comparison_lineitem(spark, sf):
             .withColumn("is_champion", F.col("__best").isNotNull()).drop("__best"))
 
 
-@register("top_features_lineitem")
+@register("top_features_lineitem",
+          f"WITH {logistic_sql(LI, 'li', LINEITEM_SPEC)} SELECT names[i] AS feature, b[i] AS weight FROM fitted, range(1, 7) AS r(i)", ("weight",))
 def top_features_lineitem(spark, sf):
     """Signed logistic coefficients with names, top 15 by |w|."""
     models, _ = TR.train_candidates(lineitem_panel(spark, sf), LINEITEM_SPEC,
@@ -1073,7 +1111,11 @@ def top_features_lineitem(spark, sf):
     return MD.top_features(models["logistic_regression"], LINEITEM_SPEC, 15)
 
 
-@register("batch_scoring_lineitem")
+@register("batch_scoring_lineitem",
+          f"WITH {logistic_sql(LI, 'li', LINEITEM_SPEC)}, sc AS (SELECT ship_month, 1 / (1 + exp(-list_dot_product(x, b))) AS p FROM xs, fitted) "
+          "SELECT ship_month, CASE WHEN p < 0.35 THEN 'bajo' WHEN p < 0.65 THEN 'medio' ELSE 'alto' END AS risk_band, '1' AS model_version, "
+          "CAST(0.5 AS DOUBLE) AS threshold, count(*) AS n, CAST(sum(CAST(p >= 0.5 AS INTEGER)) AS BIGINT) AS n_positive_class, "
+          "avg(round(p, 4)) AS mean_probability FROM sc GROUP BY 1, 2", ("mean_probability",))
 def batch_scoring_lineitem(spark, sf):
     """Score every lineitem row with the fitted logistic pipeline;
     probability (4 decimals), class from the unrounded probability, band."""
@@ -1087,7 +1129,16 @@ def batch_scoring_lineitem(spark, sf):
         F.avg("return_probability").alias("mean_probability"))
 
 
-@register("monitor_panel_orders")
+def _orders_monitor_sql() -> str:
+    fitted = f"{logistic_sql(OP, 'op', ORDERS_SPEC)}, scored AS MATERIALIZED (SELECT xs.*, 1 / (1 + exp(-list_dot_product(x, b))) AS prediction FROM xs, fitted)"
+    feats = ORDERS_SPEC.numeric + ORDERS_SPEC.categorical
+    drift = drift_sql(fitted, "scored", "order_month", ORDERS_SPEC.train_periods, ORDERS_SPEC.numeric + ("prediction",), ORDERS_SPEC.categorical,
+                      "prediction AS z")
+    return monthly_sql(drift, "order_month", "fulfilled", feats, ORDERS_SPEC.train_periods, regime_sql("order_month", ORDERS_REGIMES))
+
+
+@register("monitor_panel_orders", _orders_monitor_sql(),
+          ("drifted_columns_share", "prediction_drift_score", "roc_auc", "auc_delta", "reference_roc_auc"))
 def monitor_panel_orders(spark, sf):
     """K6: train on the orders panel's train months, score all rows once and
     compare every later month with the reference."""

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.operators import drift as D
-from panelwatch.operators.boosting import BoostedTreesModel
 from panelwatch.operators.features import split_features_target
 from panelwatch.operators.models import (
     Candidate, choose_champion, default_candidates, evaluate_candidates, fit_candidates, metrics_long, temporal_split,
@@ -48,8 +47,7 @@ def train_and_register(panel: DataFrame, spec: PanelSpec, registry: Registry, na
     runs = {}
     for cand_name, model in models.items():
         est = model.stages[-1]
-        own = est.description() if isinstance(est, BoostedTreesModel) else {p.name: v for p, v in est.extractParamMap().items()}
-        own = {f"model__{k}": v for k, v in own.items() if v is not None}
+        own = {f"model__{k}": v for k, v in est.description().items()}
         runs[cand_name] = registry.log_run(cand_name, long.where(F.col("model") == cand_name),
                                            params={"algorithm": cand_name, **params, **own}, model=model)
     best = choose_champion(metrics).first()
