@@ -2,14 +2,16 @@
 
 Everything is a grouped aggregate over the panel; the statistics (chi-square
 with Yates' correction, Cramer's V, point-biserial r) are closed-form
-expressions over those aggregates.  Only p-values use a pandas UDF, on the
-one-row-per-column result.
+expressions over those aggregates, and p-values are column expressions too.  The correlation matrix multiplies blocks in numpy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from panelwatch.functions.scalar import (
     regime_label, relative_change, safe_corr, signed_percent_text,
 )
 from panelwatch.functions.stats import chi2_pvalue, correlation_pvalue
-from panelwatch.operators.profile import period_category_rate, unpivot_categorical
+from panelwatch.operators.profile import period_category_rate, unpivot_categorical, unpivot_numeric
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
@@ -68,15 +70,65 @@ def pooled_correlation(df: DataFrame, spec: PanelSpec, columns: Sequence[str],
 
 
 # ---------------------------------------------------------------- D22, D23
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair ``a < b`` in column order, one pass."""
-    cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[safe_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    stack = F.inline(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{i}`").alias("r"))
-        for i, (a, b) in enumerate(pairs)]))
-    return wide.select(stack)
+#: columns of a tile of the correlation matrix
+TILE = 128
+#: a variance below this part of its scale is rounding: no correlation
+FLAT = 1e-13
+
+
+def _tile_sums(x: np.ndarray, known: np.ndarray, a: slice, b: slice) -> np.ndarray:
+    """Sums over the rows where both columns are known, for all pairs of two tiles: n, x, y, xx, yy, xy."""
+    xa, xb, ka, kb = x[:, a], x[:, b], known[:, a], known[:, b]
+    return np.stack([ka.T @ kb, xa.T @ kb, ka.T @ xb, (xa * xa).T @ kb, ka.T @ (xb * xb), xa.T @ xb])
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str], tile: int | None = None) -> DataFrame:
+    """Pearson r for every pair ``a < b`` in column order, over the rows where both are known (null where
+    one of them does not vary there).
+
+    A task multiplies blocks of rows tile by tile (``TILE`` columns each) and sends six sums of each pair; sums of a
+    pair of tiles are added in one group, which also turns them into r.  Values are centred at the columns' means first, so large
+    levels lose no digits.  Work grows with the square of the columns as a matrix product, not as that many aggregates."""
+    cols, size = list(columns), tile or TILE
+    spark = df.sparkSession
+    if len(cols) < 2:
+        return spark.createDataFrame([], "col_a string, col_b string, r double")
+    means = dict(unpivot_numeric(df, cols).where(~F.isnan("value")).groupBy("column").agg(F.avg("value")).collect())  # one row a column
+    centre = np.array([means.get(c) or 0.0 for c in cols])
+    cuts = [slice(i, min(i + size, len(cols))) for i in range(0, len(cols), size)]
+    pairs = [(i, j) for i in range(len(cuts)) for j in range(i, len(cuts))]
+    wide = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+
+    def add(batches):
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                x = np.asarray(batch.column(0).slice(at, 4096).flatten().fill_null(np.nan)).reshape(-1, len(cols)) - centre
+                known = (~np.isnan(x)).astype(np.float64)
+                x = np.where(known > 0, x, 0.0)
+                for p in pairs:
+                    s = _tile_sums(x, known, cuts[p[0]], cuts[p[1]])
+                    sums[p] = sums[p] + s if p in sums else s
+        task = TaskContext.get().partitionId()
+        for (i, j), s in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([task], pa.int32()),
+                                              pa.array([s.tobytes()], pa.binary())], names=["i", "j", "task", "s"])
+
+    def finish(rows: pa.Table) -> pa.Table:
+        parts = sorted(rows.to_pylist(), key=lambda r: r["task"])
+        a, b = cuts[parts[0]["i"]], cuts[parts[0]["j"]]
+        n, sx, sy, sxx, syy, sxy = np.sum([np.frombuffer(r["s"]) for r in parts], axis=0).reshape(6, a.stop - a.start, b.stop - b.start)
+        vx, vy, ca, cb = n * sxx - sx * sx, n * syy - sy * sy, centre[a, None], centre[None, b]
+        with np.errstate(all="ignore"):
+            r = (n * sxy - sx * sy) / np.sqrt(vx * vy)
+            flat = (vx <= FLAT * n * sxx) | (vy <= FLAT * n * syy) | (vx <= (n * FLAT * ca) ** 2) | (vy <= (n * FLAT * cb) ** 2)
+        r = np.where(flat | ~np.isfinite(r), np.nan, np.clip(r, -1, 1))
+        at = [(p, q) for p in range(a.start, a.stop) for q in range(b.start, b.stop) if p < q]
+        return pa.table({"col_a": [cols[p] for p, _ in at], "col_b": [cols[q] for _, q in at],
+                         "r": pa.array([None if np.isnan(v := r[p - a.start, q - b.start]) else float(v) for p, q in at], pa.float64())},
+                        schema=pa.schema([("col_a", pa.string()), ("col_b", pa.string()), ("r", pa.float64())]))
+
+    return wide.mapInArrow(add, "i int, j int, task int, s binary").groupBy("i", "j").applyInArrow(finish, "col_a string, col_b string, r double")
 
 
 def strong_pairs(matrix: DataFrame, threshold: float = 0.30) -> DataFrame:
