@@ -1432,3 +1432,65 @@ def column_drift_gaps_lineitem(spark, sf):
     for c, months in _GAPS.items():
         li = li.withColumn(c, F.when(~F.col("ship_month").isin(list(months)), F.col(c)))
     return D.column_drift(li, "ship_month", LI_NUM, ["l_linestatus"], _LI_REF)
+
+
+# ================================================================== opt-in binned mode
+from panelwatch.operators import binned as BN  # noqa: E402
+from panelwatch.operators.quantiles import value_counts  # noqa: E402
+from panelwatch.operators.scan import Scan, ordered_scan  # noqa: E402
+from panelwatch.session import materialize  # noqa: E402
+
+_BOUND_PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+
+
+def _binned_li(spark, sf):
+    scored = _scored_li(spark, sf).withColumnRenamed("score", "prediction")
+    edges = BN.reference_edges(scored.where(F.col("ship_month").isin(list(_LI_REF))), [*LI_NUM, "z"], 32)
+    return scored, BN.binned_counts(scored, "ship_month", edges, "returned")
+
+
+def _holds(lower: str, value: str, upper: str):
+    return ((F.col(value) >= F.col(lower) - 1e-9) & (F.col(value) <= F.col(upper) + 1e-9)).alias("holds")
+
+
+@register("binned_drift_bounds_lineitem",
+          drift_sql(LI, "li", "ship_month", _LI_REF, LI_NUM, (), "1 AS one")
+          + ' SELECT ship_month, "column", w1, true AS holds FROM w1', ("w1",))
+def binned_drift_bounds_lineitem(spark, sf):
+    """R4 in binned mode: the exact W1 of every month and column lies between the bounds from 32 bins."""
+    scored, table = _binned_li(spark, sf)
+    bounds = BN.wasserstein_bounds(materialize(table.where("column <> 'z'")), "ship_month", _LI_REF)
+    exact = D.wasserstein_by_period(P.unpivot_numeric(scored, LI_NUM, keep=["ship_month"]), "ship_month", _LI_REF)
+    return exact.join(bounds, ["ship_month", "column"]).select("ship_month", "column", "w1", _holds("lower", "w1", "upper"))
+
+
+@register("binned_auc_bounds_lineitem",
+          f"SELECT ship_month, roc_auc, CASE WHEN roc_auc IS NOT NULL THEN true END AS holds FROM ({_eval_sql('ship_month')}) AS e", ("roc_auc",))
+def binned_auc_bounds_lineitem(spark, sf):
+    """M15 in binned mode: every month's exact AUC lies between the bounds from 32 score bins."""
+    scored, table = _binned_li(spark, sf)
+    bounds = BN.auc_bounds(table.where("column = 'z'"), ["ship_month"]).drop("column")
+    exact = M.ranking_metrics(scored, ["ship_month"], "z", "returned")
+    return exact.join(bounds, "ship_month").select("ship_month", "roc_auc", _holds("lower", "roc_auc", "upper"))
+
+
+@register("binned_quantile_bounds_lineitem",
+          f"WITH {LI}, {LI_LONG}, v AS (SELECT \"column\", value, row_number() OVER (PARTITION BY \"column\" ORDER BY value) - 1 AS r, "
+          f"count(*) OVER (PARTITION BY \"column\") AS n FROM li_long WHERE value IS NOT NULL) "
+          f"SELECT \"column\", p AS prob, n, value, true AS holds, true AS within_rank_error FROM v, "
+          f"(VALUES {', '.join(f'({p!r}::DOUBLE)' for p in _BOUND_PROBS)}) AS q(p) WHERE r = floor(p * (n - 1))", ("prob", "value"))
+def binned_quantile_bounds_lineitem(spark, sf):
+    """D7/M2 in binned mode: monthly tables merged over all months; the exact value at each rank lies between the bounds,
+    and both bounds' ranks lie within the stated error of it."""
+    scored, table = _binned_li(spark, sf)
+    bounds = materialize(BN.quantile_bounds(table.where("column <> 'z'"), [], _BOUND_PROBS))
+    counts = materialize(value_counts(P.unpivot_numeric(scored, LI_NUM), ["column"], "value"))
+    rank = F.floor(F.col("prob") * (F.col("n") - 1))
+    at = counts.join(bounds, "column").groupBy("column", "prob", "n", "lower", "upper", "rank_error").agg(
+        F.sum(F.when(F.col("__v") < F.col("lower"), F.col("__c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("__v") <= F.col("upper"), F.col("__c")).otherwise(0)).alias("upto"))
+    near = (rank - F.col("below") <= F.col("rank_error") * F.col("n")) | (F.col("rank_error") == 0)
+    near = near & ((F.col("upto") - 1 - rank <= F.col("rank_error") * F.col("n")) | (F.col("rank_error") == 0))
+    scan = ordered_scan(counts, ["column"], ["__v"], [Scan("cum", "sum", "__c")])
+    value = scan.join(at, "column").where((rank < F.col("cum")) & (rank >= F.col("cum") - F.col("__c")))
+    return value.select("column", "prob", "n", F.col("__v").alias("value"), _holds("lower", "__v", "upper"), near.alias("within_rank_error"))
