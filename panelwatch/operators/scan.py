@@ -54,7 +54,8 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
     ``(group_cols, order_cols)`` must be unique per row (aggregate first).
     ``totals`` maps an output name to a column whose per-group sum is attached as
     well.  Null group keys form a group like any other.  ``ranges`` is the
-    number of range partitions (default: the session's shuffle partitions).
+    number of range partitions (default: the session's shuffle partitions, neighbouring ones merged by their measured
+    sizes, so a small table is one or a few runs).
 
     The partitioned rows are read twice (local scan, run totals), so they are
     materialized once."""
@@ -63,9 +64,9 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
         cols[f"__scansv_{s.out}"] = F.col(s.col) if isinstance(s.col, str) else s.col
     for name, c in (totals or {}).items():
         cols[f"__scanst_{name}"] = F.col(c) if isinstance(c, str) else c
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc() if ascending else F.col(c).desc() for c in order_cols]
-    placed = df.withColumns(cols).repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
+    by = [*[F.col(g) for g in group_cols], *order]
+    placed = df.withColumns(cols).repartitionByRange(*([ranges] if ranges else []), *by)
     placed = materialize(placed.withColumn(_RUN, F.spark_partition_id()))
 
     part = W.partitionBy(*group_cols, _RUN).orderBy(*order)

@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -24,7 +25,17 @@ def spark():
 @pytest.fixture(params=[1, 16])
 def ranges(spark, request):
     """Number of range partitions that ordered scans cut their rows into."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", request.param)
-    yield request.param
-    spark.conf.set("spark.sql.shuffle.partitions", old)
+    with as_many_ranges(spark, request.param):
+        yield request.param
+
+
+@contextlib.contextmanager
+def as_many_ranges(spark, n):
+    """Ordered scans cut their rows into ``n`` ranges: small neighbours are not merged."""
+    new = {"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)

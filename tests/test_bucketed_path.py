@@ -2,6 +2,8 @@
 
 import pytest
 
+from conftest import as_many_ranges
+
 from panelwatch.operators import drift as D
 from panelwatch.operators import metrics as M
 from panelwatch.operators.quantiles import exact_quantiles
@@ -15,12 +17,8 @@ def _rows(df, key):
 
 
 def _with(spark, ranges, made):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", ranges)
-    try:
+    with as_many_ranges(spark, ranges):
         return made()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_monthly_drift(spark):
