@@ -9,12 +9,14 @@ character view.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwatch.session import scratch_path
@@ -44,17 +46,34 @@ _MIX = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1
 _BASE = 0x9E3779B97F4A7C15 - 2  # odd
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
+_staged: list[tuple[SparkSession, str]] = []
 
 
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet (with the writer's ``options``) below the shared checkpoint folder and read it
-    back.  This cuts the lineage, and survives the loss of executors."""
+    back.  This cuts the lineage, and survives the loss of executors.  The files go with :func:`drop_stages`."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    if not _staged:
+        atexit.register(drop_stages)
+    _staged.append((spark, path))
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stages() -> None:
+    """Delete all tables staged so far; called when the driver's process ends, and by a long-lived driver once
+    the results that read them are written."""
+    while _staged:
+        spark, path = _staged.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except (Py4JError, AttributeError, OSError):  # the session ended before: nothing can be deleted through it
+            return
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

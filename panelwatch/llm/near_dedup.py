@@ -323,14 +323,16 @@ def _confirm(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
 
-def confirmed_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links of the exact rule that connect each block's components."""
+def confirmed_edges(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, id_col: str, text_col: str, repeated: bool = False) -> DataFrame:
+    """Links of the exact rule that connect each block's components; ``repeated``: some rows have the same id and text."""
     inside = nodes.select("key", "id", "digest", "n").join(blocks.select("key", F.col("root").alias("block")), "key")
     groups = F.ceil(2 * F.col("total") / BLOCK).cast("int")
     weight = inside.groupBy("block").agg(F.sum("n").alias("total")).select(
         "block", F.when(F.col("total") <= BLOCK, F.lit(1)).otherwise(groups).alias("groups"))
     inside = stage(inside.join(weight, "block"), "members")
-    texts = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_digest"))
+    texts = docs.select(F.col(id_col).alias("text_id"), F.xxhash64(text_col).alias("text_digest"), F.col(text_col).alias("text"))
+    if repeated:  # one text of each id and digest, reduced before the shuffle too: repeated rows send one text a task
+        texts = texts.groupBy("text_id", "text_digest").agg(F.first("text").alias("text"))
     own = F.col("id").eqNullSafe(F.col("text_id")) & (F.col("digest") == F.col("text_digest"))
 
     def compared(tasks: DataFrame, name: str) -> DataFrame:
@@ -367,7 +369,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     first = full.join(least.withColumnRenamed("key", "of"), (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("least")))
     nodes = stage(first.select("key", "id", "digest", "n", "sig", "branch").dropDuplicates(["key"]), "nodes")
     blocks = stage(components(candidate_edges(nodes)), "blocks")
-    return rows, nodes, stage(components(confirmed_edges(docs, nodes, blocks, id_col, text_col)), "parts")
+    repeated = not rows.groupBy("id", "digest").count().where("count > 1").isEmpty()
+    return rows, nodes, stage(components(confirmed_edges(docs, nodes, blocks, id_col, text_col, repeated)), "parts")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -388,5 +391,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = placed.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("x"))
     kept = first.select("x.id", "x.digest").unionByName(rows.where("n = 0").select("id", "digest").distinct())
     kept = kept.select(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
-    own = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    return docs.withColumn("_digest", F.xxhash64(text_col)).join(kept, own, "left_semi").dropDuplicates([id_col, "_digest"]).select(*docs.columns)
+    digest = "_digest"
+    while digest in docs.columns or digest in ("_kept_id", "_kept_digest"):
+        digest += "_"
+    own = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col(digest) == F.col("_kept_digest"))
+    return docs.withColumn(digest, F.xxhash64(text_col)).join(kept, own, "left_semi").dropDuplicates([id_col, digest]).select(*docs.columns)

@@ -276,3 +276,42 @@ def test_token_counts_of_odd_texts_equal_the_library():
     texts = ["", " ", "a b"] + ["".join(rng.choice(chars) for _ in range(rng.randrange(30))) for _ in range(3000)] + ["word " * 50_000]
     assert token_cache.count_tokens(texts, "odd") == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
     assert token_cache.count_tokens([], "odd") == []
+
+
+# 6 and shared helpers -----------------------------------------------------------------------
+
+def test_repeated_rows_send_one_text_to_a_comparison(spark, monkeypatch):
+    """Fifty copies of one row and a near copy: two texts are compared, and a column named like the digest survives."""
+    from panelwatch.llm import near_dedup
+
+    words = [f"w{i}" for i in range(80)]
+    rows = [(1, " ".join(words), "mine")] * 50 + [(2, " ".join([*words[:-1], "other"]), "mine"), (None, " ".join(words), "mine"), (3, None, "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _digest string").repartition(4)
+    seen = spark.sparkContext.accumulator(0)
+    confirm = near_dedup._confirm
+
+    def counted(batches):
+        def each():
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        yield from confirm(each())
+
+    monkeypatch.setattr(near_dedup, "_confirm", counted)
+    got = near_dedup.near_duplicates(docs).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got if r.doc_id != 3} == {1}
+    assert seen.value <= 2
+    left = near_dedup.deduplicate(docs).collect()
+    assert sorted(r.doc_id for r in left) == [1, 3] and {r._digest for r in left} == {"mine"}
+
+
+def test_staged_tables_are_deleted(spark):
+    import os
+
+    from panelwatch.llm import common
+
+    df = common.stage(spark.range(3), "gone")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert df.count() == 3 and os.path.isdir(path)
+    common.drop_stages()
+    assert not os.path.exists(path)
