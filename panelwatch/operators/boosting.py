@@ -2,8 +2,8 @@
 
 The features are binned once into one byte each, at exact quantiles.  Every level of a tree is one distributed
 aggregate: a task adds the gradients and Hessians of its rows to a histogram over (node, feature, bin),
-histograms are merged in groups on the executors, and the driver picks each node's best split from the merged one (its size depends
-on nodes, features and bins, not on rows).  The split gain is second order,
+histograms are merged in groups on the executors, and the task that holds the merged one picks each node's best split; the driver reads
+the splits, a few numbers a node.  The split gain is second order,
 ``GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)``, and a leaf is worth ``-rate * G / (H + l)``.  Rows and columns are sampled per tree by hash.
 Several estimators over the same features are fitted in step: one aggregate serves all of them.
 
@@ -259,37 +259,42 @@ class Fit:
 
         return _merged(each())
 
-    def grow(self, numbers, chunks: list[list], recent: list[list[Tree]], merged) -> None:
-        """Add the trees with these numbers to ``recent``; ``merged`` gives the histograms of open levels over all rows."""
+    def splits(self, histograms: list[np.ndarray], growing: list[Growing]) -> list[list[tuple]]:
+        """The best splits of all estimators' open nodes, from their merged histograms: a few numbers a node."""
+        return [list(best_splits(h, self.step, g.params["l2"], g.params["min_child"])) for g, h in zip(growing, histograms)]
+
+    def grow(self, numbers, chunks: list[list], recent: list[list[Tree]], best) -> None:
+        """Add the trees with these numbers to ``recent``; ``best`` gives the best splits of open levels over all rows."""
         for number in numbers:
             growing = [Growing(s, self.base, sent, list(trees), Tree.empty(s["depth"]), 0, _columns(s, number, self.n_features))
                        for s, sent, trees in zip(self.settings, chunks, recent) if number < s["trees"]]
             while open_ := [g for g in growing if g.level < g.params["depth"] and _is_open(g)]:
-                for g, hist in zip(open_, merged(open_)):
-                    _split(g, hist, self.step)
+                for g, found in zip(open_, best(open_)):
+                    _split(g, found)
             for g in growing:
                 recent[g.params["model"]].append(g.tree)
 
 
-def _over_all(blocks, fit: Fit, growing: list[Growing]) -> list[np.ndarray]:
-    """One distributed aggregate: the histograms over all blocks, merged on executors, so that the driver reads at most ``MERGE``."""
+def _over_all(blocks, fit: Fit, growing: list[Growing]) -> list[list[tuple]]:
+    """One distributed aggregate: the histograms over all blocks, merged on executors in rounds of ``MERGE``; the last
+    round's task picks the splits, so the driver reads no histogram."""
     def run(rows):
         total = fit.histograms(rows, growing)
         return [] if total is None else [total]
 
     parts, n = blocks.mapPartitions(run), blocks.getNumPartitions()
-    while n > MERGE:
+    while n > 1:
         n = math.ceil(n / MERGE)
         parts = (parts.mapPartitionsWithIndex(lambda i, it, n=n: ((i % n, h) for h in it))
                  .reduceByKey(lambda a, b: [p + q for p, q in zip(a, b)], n).values())
-    return _merged(parts.collect())
+    return parts.map(lambda merged: fit.splits(merged, growing)).collect()[0]
 
 
 def _in_one_task(blocks, fit: Fit, numbers, chunks: list[list]) -> list[list[Tree]]:
     """The same trees where one partition holds all rows: its histograms are the merged ones, so its task goes on by itself."""
     def run(rows):
         held, recent = list(rows), [[] for _ in fit.settings]
-        fit.grow(numbers, chunks, recent, lambda growing: fit.histograms(held, growing))
+        fit.grow(numbers, chunks, recent, lambda growing: fit.splits(fit.histograms(held, growing), growing))
         return [recent]
 
     return blocks.mapPartitions(run).collect()[0]
@@ -310,9 +315,9 @@ def best_splits(hist: np.ndarray, step: float, l2: float, min_child: float):
     for k, a in enumerate(at):
         if flat.shape[1] and flat[k, a] > 1e-12:
             c, b = divmod(int(a), gain.shape[2])
-            yield float(flat[k, a]), c, b, gl[k, c, b], hl[k, c, b], G[k], H[k]
+            yield float(flat[k, a]), c, b, float(gl[k, c, b]), float(hl[k, c, b]), float(G[k]), float(H[k])
         else:
-            yield 0.0, 0, 0, 0.0, 0.0, G[k], H[k]
+            yield 0.0, 0, 0, 0.0, 0.0, float(G[k]), float(H[k])
 
 
 def _columns(params: dict, number: int, n_features: int) -> np.ndarray:
@@ -387,10 +392,10 @@ def _is_open(g: Growing) -> bool:
     return bool((g.tree.feature[parents] != LEAF).any())
 
 
-def _split(g: Growing, hist: np.ndarray, step: float) -> None:
-    """Split the level's nodes and give the children their values."""
+def _split(g: Growing, found: list[tuple]) -> None:
+    """Split the level's nodes where that helps and give the children their values."""
     l2, rate, first = g.params["l2"], g.params["rate"], 1 << g.level
-    for k, (gain, c, b, gl, hl, G, H) in enumerate(best_splits(hist, step, l2, g.params["min_child"])):
+    for k, (gain, c, b, gl, hl, G, H) in enumerate(found):
         node = first + k
         if g.level == 0:
             g.tree.value[node] = -rate * G / (H + l2) if H + l2 > 0 else 0.0

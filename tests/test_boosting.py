@@ -1,6 +1,7 @@
 """Boosted trees against hand computation, a plain version, and themselves under another layout."""
 
 import math
+import pickle
 import random
 
 import numpy as np
@@ -118,6 +119,21 @@ def test_layout_and_company_do_not_change_trees(spark, monkeypatch):
     assert all((a.feature == b.feature).all() and (a.value == b.value).all() for a, b in zip(few, full))
 
 
+def test_driver_reads_splits_not_histograms(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 60)
+    over_all, sizes = boosting._over_all, []
+
+    def measured(*args):
+        found = over_all(*args)
+        sizes.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(boosting, "_over_all", measured)
+    booster(maxIter=1, maxDepth=4).fit(frame(spark, noisy(500, 3)).repartition(7))
+    # a level of 8 nodes: 2 x 8 x 3 x 64 whole numbers in its histogram, 7 in the split of a node
+    assert len(sizes) == 4 and max(sizes) < 8 * 7 * 16
+
+
 def test_saved_model_predicts_the_same(spark, tmp_path):
     df = frame(spark, noisy(200, 5))
     model = PipelineModel([booster(maxIter=4, maxDepth=2).fit(df)])
