@@ -14,20 +14,15 @@ Both use threshold 0.1 (higher = drift).  The monthly record then counts
 drifted features, adds the AUC and its delta against the reference AUC, and
 applies the status policy.
 
-**Exact W1 without copying the reference per period.**  With
-``F`` / ``S`` the reference CDF and running sum of ``w * u`` (weights are
-reference shares), ``J(x) = x F(x) - S(x)`` is the integral of ``F`` up to
-``x``.  Between two consecutive points ``a < b`` of a period, its own CDF is
-the constant ``k``, so
+**Exact W1 without copying the reference per period.**  With ``F`` the reference CDF and ``J`` its integral from some
+start on, a period's own CDF is the constant ``k`` between two consecutive points ``a < b``, so
 
     int_a^b |F - k| = J(b) - J(a) - k (b - a) + 2 (k (c - a) - (J(c) - J(a)))
 
-with ``c = clamp(q_k, a, b)`` and ``q_k`` the first reference value whose
-CDF reaches ``k``.  Before the first point the term is ``J(a_1)``; after the
-last it is ``mean_ref - a_K + J(a_K)``.  ``F``, ``S`` (at every point) and
-``q_k`` come from three ordered scans (``scan.py``) over the union of the
-distinct reference values and the distinct (period, value) points, so the
-work is linear in their number and no task holds a whole column or period.
+with ``c = clamp(q_k, a, b)`` and ``q_k`` the first reference value whose CDF reaches ``k``.  The points of all periods and of the
+reference are range-partitioned by (column, value) once.  A task integrates over its own range for every period, from what comes
+before the range: one row per (range, column, period), added up beforehand.  The sums over ranges are exact, the work is linear in
+the number of points, and no task holds a whole column or period.
 
 Nothing stores raw rows.  One scan expands each row into cells ``(role, column, value)``, one
 for each column and one for the row itself (its score and label), and one aggregate counts equal cells
@@ -49,15 +44,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from panelwatch.functions.scalar import (
     AUC_DROP_THRESHOLD, DRIFT_SHARE_THRESHOLD, drift_status, regime_label,
 )
 from panelwatch.functions.stats import chi2_pvalue
 from panelwatch.operators.metrics import ranking_from_counts
-from panelwatch.operators.scan import Scan, ordered_scan
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
@@ -75,17 +72,21 @@ def panel_counts(df: DataFrame, period: str, numeric: Sequence[str], categorical
     """``(period, role, column, num, text, label, n)``: how often each value occurs in each period, from one
     pass over the rows.  ``num`` holds numeric values (null where missing or NaN), ``text`` categorical ones; the
     cells of role ``rows`` hold the ranking score and the target."""
-    def cell(role: str, column: str, num=None, text=None, label=None):
-        null = F.lit(None)
+    null = F.lit(None)
+
+    def cell(number: int, num=None, text=None, label=None):
         num = null.cast("double") if num is None else F.when(~F.isnan(F.col(num).cast("double")), F.col(num).cast("double"))
-        return F.struct(F.lit(role).alias("role"), F.lit(column).alias("column"), num.alias("num"),
+        return F.struct(F.lit(number).alias("__cell"), num.alias("num"),
                         (null if text is None else F.col(text)).cast("string").alias("text"),
                         (null if label is None else F.col(label)).cast("int").alias("label"))
 
-    cells = [cell(NUMERIC, c, num=c) for c in numeric] + [cell(CATEGORICAL, c, text=c) for c in categorical]
-    cells.append(cell(ROWS, "", num=rank, label=target))
-    return df.select(period, F.inline(F.array(*cells))).groupBy(period, "role", "column", "num", "text", "label").agg(
-        F.count(F.lit(1)).alias("n"))
+    kinds = [(NUMERIC, c, {"num": c}) for c in numeric] + [(CATEGORICAL, c, {"text": c}) for c in categorical]
+    kinds.append((ROWS, "", {"num": rank, "label": target}))
+    cells = [cell(i, **use) for i, (_, _, use) in enumerate(kinds)]
+    # keys travel with the number of their cell, and get its names when they are counted
+    counted = df.select(period, F.inline(F.array(*cells))).groupBy(period, "__cell", "num", "text", "label").agg(F.count(F.lit(1)).alias("n"))
+    role, column = (F.array(*[F.lit(k[i]) for k in kinds])[F.col("__cell")] for i in (0, 1))
+    return counted.select(period, role.alias("role"), column.alias("column"), "num", "text", "label", "n")
 
 
 def _sides(period: str, reference: Sequence[str], periods: Sequence[str] | None):
@@ -108,78 +109,133 @@ def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str]
     return wasserstein_from_counts(_counted(long, period, reference, periods, True), period, reference, periods)
 
 
+#: points that a task of the W1 scan holds about
+RANGE_POINTS = 1 << 20
+
+
+def _area_terms(a, b, k, start, base, u, f):
+    """Integral of ``|F - k|`` over each ``[a, b]``; ``F`` is ``base`` from ``start`` on and ``f`` from each ``u`` on."""
+    u, f = np.concatenate([[start], u]), np.concatenate([[base], f])
+    j = np.concatenate([[0.0], np.cumsum(f[:-1] * np.diff(u))])
+
+    def area(x):
+        at = np.searchsorted(u, x, side="right") - 1
+        return j[at] + f[at] * (x - u[at])
+
+    q = np.searchsorted(f, k, side="left")  # the first reference value whose CDF reaches k
+    c = np.clip(np.where(q < len(u), u[np.minimum(q, len(u) - 1)], b), a, b)
+    ja = area(a)
+    return (area(b) - ja) - k * (b - a) + 2 * (k * (c - a) - (area(c) - ja))
+
+
+def _run_totals(placed: DataFrame, period: str):
+    """What comes before each run of each column: ``{column: (n_ref, mean_ref, periods, n, {run: (start, end, ref before, n before)})}``.
+
+    Made from one row per (run, column, period), which is all that the driver reads."""
+    ref = F.when(F.col("__ref"), F.col("n")).otherwise(0)
+    ref_value = F.when(F.col("__ref"), F.col("value"))
+    rows = placed.groupBy("__run", "column", period).agg(
+        F.sum(F.when(F.col("__cur"), F.col("n")).otherwise(0)).alias("n"), F.sum(ref).alias("nr"), F.sum(ref * F.col("value")).alias("sr"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.min(ref_value).alias("rlo"), F.max(ref_value).alias("rhi")).collect()
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r["column"], []).append(r)
+    out = {}
+    for column, rows in by.items():
+        n_ref = sum(r["nr"] for r in rows)
+        periods = sorted({r[period] for r in rows if r["n"]})
+        if column is None or not n_ref or not periods:
+            continue
+        low, high = min(r["rlo"] for r in rows if r["rlo"] is not None), max(r["rhi"] for r in rows if r["rhi"] is not None)
+        mean = low if low == high else math.fsum(r["sr"] for r in rows) / n_ref
+        number = {p: i for i, p in enumerate(periods)}
+        runs = sorted({r["__run"] for r in rows})
+        place = {run: i for i, run in enumerate(runs)}
+        own, refs = np.zeros((len(runs) + 1, len(periods)), np.int64), np.zeros(len(runs) + 1, np.int64)
+        start, end = np.full(len(runs), np.inf), np.full(len(runs), -np.inf)
+        for r in rows:
+            i = place[r["__run"]]
+            refs[i + 1] += r["nr"]
+            start[i], end[i] = min(start[i], r["lo"]), max(end[i], r["hi"])
+            if r["n"]:
+                own[i + 1, number[r[period]]] += r["n"]
+        own, refs = own.cumsum(axis=0), refs.cumsum()
+        end[:-1] = start[1:]  # a run ends where the next one begins
+        out[column] = (n_ref, mean, periods, own[-1], {run: (start[i], end[i], int(refs[i]), own[i]) for run, i in place.items()})
+    return out
+
+
 def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
                             periods: Sequence[str] | None = None) -> DataFrame:
     """``(period, column, w1, sd_ref, score)`` from counts ``(period, column, value, n)``, for the given
     periods (default: all that are not in the reference)."""
     is_ref, analysed = _sides(period, reference, periods)
-    ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("n").alias("n"))
-    mom = ref.groupBy("column").agg(F.sum("n").alias("n_ref"),
-                                    (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean_ref"))
-    var = (ref.join(F.broadcast(mom), "column")
-           .groupBy("column").agg((F.sum(F.col("n") * (F.col("value") - F.col("mean_ref")) ** 2)
-                                   / F.first("n_ref")).alias("var_ref")))
-    # one row per column: a broadcast of proven size
-    ref_stats = F.broadcast(materialize(mom.join(var, "column").withColumn("sd_ref", F.sqrt("var_ref"))))
-    cur = counts.where(analysed)
-
-    # ---- scan A: reference CDF F and S at every reference and period point
-    stream = (ref.select("column", "value", F.lit(0).alias("kind"),
-                         F.lit(None).cast("string").alias(period), F.col("n").alias("nr"),
-                         F.lit(0).cast("bigint").alias("nc"))
-              .unionByName(cur.select("column", "value", F.lit(1).alias("kind"), period,
-                                      F.lit(0).cast("bigint").alias("nr"),
-                                      F.col("n").alias("nc"))))
-    stream = stream.join(ref_stats.select("column", "n_ref", "mean_ref"), "column")
-    a = ordered_scan(stream, ["column"], ["value", "kind", period],
-                     [Scan("cnt_ref", "sum", "nr"),
-                      Scan("sum_ref", "sum", F.col("nr") * F.col("value"))])
-    a = (a.withColumn("F", F.col("cnt_ref") / F.col("n_ref"))
-         .withColumn("J", F.col("value") * F.col("F") - F.col("sum_ref") / F.col("n_ref")))
-    ref_pts = a.where(F.col("kind") == 0).select(
-        "column", F.col("value").alias("u"), F.col("F").alias("level"), F.col("J").alias("Ju"))
-    cur_pts = a.where(F.col("kind") == 1).select(period, "column", "value", "nc", "J", "mean_ref")
-
-    # ---- scan B: per (period, column), own CDF level and the next point;
-    # the next point's J comes with it (min of struct(value, J) over the
-    # points after this one), so no join is needed
-    cur_pts = cur_pts.withColumn("vj", F.struct(F.col("value").alias("v"), F.col("J").alias("j")))
-    b = ordered_scan(cur_pts, [period, "column"], ["value"],
-                     [Scan("cnt_ge", "sum", "nc"), Scan("nxt", "min", "vj", inclusive=False)],
-                     ascending=False, totals={"n_cur": "nc"})
-    b = (b.withColumn("k", (F.col("n_cur") - F.col("cnt_ge") + F.col("nc")) / F.col("n_cur"))
-         .withColumn("next_v", F.col("nxt.v")).withColumn("Jb", F.col("nxt.j"))
-         .drop("vj", "nxt"))
-
-    # ---- scan C: q_k = first reference value whose CDF reaches k, with J(q);
-    # every period point travels through the scan with its own columns
-    pt_cols = ["value", "next_v", "k", "J", "Jb", "cnt_ge", "n_cur", "mean_ref"]
-    ref_side = ref_pts.select(
-        "column", "level", F.lit(1).alias("kind"), F.lit(None).cast("string").alias(period),
-        *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in pt_cols],
-        F.struct(F.col("u").alias("u"), F.col("Ju").alias("ju")).alias("uj"))
-    pt_side = b.select("column", F.col("k").alias("level"), F.lit(0).alias("kind"), period,
-                       *pt_cols, F.lit(None).cast(ref_side.schema["uj"].dataType).alias("uj"))
-    c = ordered_scan(ref_side.unionByName(pt_side), ["column"], ["level", "kind", period, "value"],
-                     [Scan("quj", "min", "uj")], ascending=False)
-    t = c.where(F.col("kind") == 0).withColumn("q", F.col("quj.u")).withColumn("Jq", F.col("quj.ju"))
-
-    av, bv, k = F.col("value"), F.col("next_v"), F.col("k")
-    ja, jb = F.col("J"), F.col("Jb")
-    cpos = F.least(F.greatest(F.col("q"), av), bv)
-    jc = F.when(F.col("q") <= av, ja).when(F.col("q") >= bv, jb).otherwise(F.col("Jq"))
-    middle = (jb - ja) - k * (bv - av) + 2 * (k * (cpos - av) - (jc - ja))
-    head = F.when(F.col("cnt_ge") == F.col("n_cur"), ja).otherwise(F.lit(0.0))
-    tail = F.when(bv.isNull(), F.col("mean_ref") - av + ja).otherwise(F.lit(0.0))
-    term = head + F.coalesce(middle, F.lit(0.0)) + tail
-    w1 = t.groupBy(period, "column").agg(F.sum(term).alias("w1"))
-    w1 = w1.join(ref_stats.select("column", "sd_ref"), "column")
+    points = counts.where(is_ref | analysed).select(period, "column", "value", "n", F.coalesce(is_ref, F.lit(False)).alias("__ref"),
+                                                    F.coalesce(analysed, F.lit(False)).alias("__cur"))
+    # neighbouring ranges are merged by measured size, unless a range would hold too many points
+    ranges = -(-points.count() // RANGE_POINTS)
+    usual = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = points.repartitionByRange(*([ranges] if ranges > usual else []), "column", "value")
+    placed = materialize(placed.withColumn("__run", F.spark_partition_id()))
+    known = _run_totals(placed, period)
+    shared = counts.sparkSession.sparkContext.broadcast(known)
+    kind = counts.schema[period].dataType
+    arrow_kind = to_arrow_type(kind)
+
+    def run(batches):
+        # a task holds one run, of one column or (few points) of several
+        held = pa.Table.from_batches([x for x in batches if x.num_rows] or [_none(arrow_kind)]).combine_chunks()
+        if not held.num_rows:
+            return
+        number = held.column("__run")[0].as_py()
+        codes = held.column("column").combine_chunks().dictionary_encode()
+        names = codes.dictionary.to_pylist()
+        which = codes.indices.to_numpy(zero_copy_only=False)
+        times = held.column(period).combine_chunks().dictionary_encode()
+        labels, at = times.dictionary.to_pylist(), times.indices.to_numpy(zero_copy_only=False)
+        value, n = held.column("value").to_numpy(), held.column("n").to_numpy()
+        ref, cur = (held.column(c).to_numpy(zero_copy_only=False) for c in ("__ref", "__cur"))
+        for i, name in enumerate(names):
+            if name not in shared.value:
+                continue
+            n_ref, mean, seen, total, runs = shared.value[name]
+            start, end, ref_before, before = runs[number]
+            mine = which == i
+            r = np.flatnonzero(mine & ref)
+            r = r[np.argsort(value[r], kind="stable")]
+            u, f = value[r], (ref_before + np.cumsum(n[r])) / n_ref
+            spread = float((n[r] * (u - mean) ** 2).sum())
+            place = {p: k for k, p in enumerate(seen)}
+            slot = np.array([place.get(p, -1) for p in labels], np.int64)
+            c = np.flatnonzero(mine & cur)
+            c = c[np.lexsort((value[c], slot[at[c]]))]
+            s, v, w = slot[at[c]], value[c], n[c]
+            first, last = (np.searchsorted(s, np.arange(len(seen)), side=x) for x in ("left", "right"))
+            upto = np.cumsum(w)
+            upto = upto - np.concatenate([[0], upto])[first][s] + before[s]
+            # of each period: from the run's start to its first point, between its points, and on to the run's end
+            level = np.insert(upto, first, before) / np.insert(total[s], first, total)
+            terms = _area_terms(np.insert(v, first, start), np.insert(v, last, end), level, start, ref_before / n_ref, u, f)
+            w1 = np.bincount(np.insert(s, first, np.arange(len(seen))), terms, len(seen))
+            yield pa.RecordBatch.from_arrays([pa.array([name] * (len(seen) + 1)), pa.array([*seen, None], arrow_kind), pa.array([*w1, None], pa.float64()),
+                                              pa.array([None] * len(seen) + [spread], pa.float64())], names=["column", period, "w1", "spread"])
+
+    parts = placed.mapInArrow(run, f"`column` string, `{period}` {kind.simpleString()}, w1 double, spread double")
+    sums = materialize(parts.groupBy("column", period).agg(F.sum("w1").alias("w1"), F.sum("spread").alias("spread")))  # one row per (period, column)
+    shared.unpersist()
+    size = F.create_map(*[x for c, k in known.items() for x in (F.lit(c), F.lit(k[0]))]) if known else F.lit(None).cast("map<string, bigint>")
+    sd = sums.where(F.col("spread").isNotNull()).select("column", F.sqrt(F.col("spread") / size[F.col("column")]).alias("sd_ref"))
+    w1 = sums.where(F.col("w1").isNotNull()).select(period, "column", "w1").join(F.broadcast(sd), "column")  # one row per column
     score = (F.when(F.col("sd_ref") > 0, F.col("w1") / F.col("sd_ref"))
              .when(F.abs(F.col("w1")) < F.lit(1e-12), F.lit(0.0)))
     return w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
                      "sd_ref", score.alias("score"))
 
 
+def _none(kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], kind)], names=["none"])
+
+
 def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[str],
                              periods: Sequence[str] | None = None) -> DataFrame:
     """R5 on a long table ``(period, column, value)``."""

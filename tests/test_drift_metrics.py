@@ -41,6 +41,32 @@ def test_w1_random_against_brute_force(spark, ranges):
     assert got[("m2", "y")] == pytest.approx(_w1_brute(list(ref * 2), [5.0]), abs=1e-9)
 
 
+def test_w1_places_its_points_once(spark, monkeypatch):
+    from panelwatch.operators import drift, scan
+
+    rng = np.random.default_rng(5)
+    months = {m: np.round(rng.normal(k, 1, 50), 1) for k, m in enumerate(("ref", "m1", "m2"))}
+    rows = [(m, "x", float(v)) for m, arr in months.items() for v in arr]
+    # few points of a column in many runs, a constant reference, a column without reference, a period beyond it
+    rows += [("ref", "c", 0.1)] * 3 + [("m1", "c", 0.1)] * 7 + [("m2", "c", 0.3), ("m1", "no_ref", 1.0), ("m2", "far", 9.0), ("ref", "far", 1.0)]
+    counts = drift._counted(spark.createDataFrame(rows, "period string, column string, value double"), "period", ["ref"], None, True)
+    kept, calls = drift.materialize, []
+    for module in (drift, scan):
+        monkeypatch.setattr(module, "materialize", lambda df: (calls.append(1), kept(df))[1])
+    monkeypatch.setattr(drift, "RANGE_POINTS", 9)
+    got = {(r.period, r.column): r for r in drift.wasserstein_from_counts(counts, "period", ["ref"]).collect()}
+    assert len(calls) == 2  # the points and one row per (period, column)
+    assert set(got) == {("m1", "x"), ("m2", "x"), ("m1", "c"), ("m2", "c"), ("m2", "far")}
+    for m in ("m1", "m2"):
+        assert got[(m, "x")].w1 == pytest.approx(_w1_brute(list(months["ref"]), list(months[m])), abs=1e-9)
+    assert got[("m1", "x")].sd_ref == pytest.approx(months["ref"].std(), abs=1e-9)
+    assert (got[("m1", "c")].w1, got[("m1", "c")].score) == (0.0, 0.0)
+    assert got[("m2", "c")].w1 == pytest.approx(0.2) and got[("m2", "c")].score is None
+    assert got[("m2", "far")].w1 == pytest.approx(8.0)
+    both = {r.period: r.w1 for r in drift.wasserstein_from_counts(counts.where("column = 'x'"), "period", ["ref"], ["ref", "m1"]).collect()}
+    assert both["ref"] == pytest.approx(0, abs=1e-12) and both["m1"] == pytest.approx(got[("m1", "x")].w1)
+
+
 def test_js_fixture(spark):
     rows = [("ref", "c", "a")] * 5 + [("ref", "c", "b")] * 5 + [("m", "c", "a")] * 9 + [("m", "c", "b")]
     df = spark.createDataFrame(rows, "period string, column string, value string")
