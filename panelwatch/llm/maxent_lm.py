@@ -39,13 +39,15 @@ END, BEGIN = np.uint64(0x5E5E5E5E5E5E5E5E), np.uint64(0x0B0B0B0B0B0B0B0B)
 #: bytes of text in one block, and text bytes for each bin of the word hash
 BLOCK_BYTES, BIN_BYTES = 4 << 20, 4 << 20
 _CHUNK = 1 << 14
+#: blocks that a training task takes at least where there are many, buckets summed as one value, and the share of held-out texts
+TASK_BLOCKS, ROWS_EACH, HELD = 32, 128, 255
 _SALTS = np.array([0x1111111111111111, 0x2222222222222222, 0x3333333333333333], np.uint64)
 
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 13
-    singles: int = 16
+    buckets: int = 1 << 16
+    singles: int = 32
     tails: int = 16
     updates: int = 3
     smooth: float = 30.0
@@ -80,13 +82,14 @@ def _buffers(*arrays: np.ndarray) -> list[bytes]:
 
 
 def encode(docs: DataFrame, held: F.Column, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """Blocks: ids, sizes, held-out flags, local dictionary and token numbers."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held"))
+    """Blocks: ids, sizes, shares (the update that learns from a text, by its id; ``HELD``: none), local dictionary and token numbers."""
+    share = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(s.updates))
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.when(held, F.lit(HELD)).otherwise(share).cast("int").alias("held"))
 
     def run(batches):
         made = 0
         for batch in batches:
-            flags = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)
+            shares = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
             for a, b, data, offsets in pieces(batch.column(1), BLOCK_BYTES):
                 w = Words(data, offsets, SPACE_WORDS)
                 n = w.counts + 1
@@ -96,18 +99,18 @@ def encode(docs: DataFrame, held: F.Column, id_col: str, text_col: str, s: Setti
                 if len(w):
                     h[at], tail[at] = w.hashes(), _tails(w, s.tails)
                 known, lead, number = np.unique(h, return_index=True, return_inverse=True)
-                train = np.bincount(number[~np.repeat(flags[a:b], n)], minlength=len(known))
+                train = np.bincount(number[np.repeat(shares[a:b] != HELD, n)], minlength=len(known))
                 number = number.astype(np.uint32)
                 block = (TaskContext.get().partitionId() << 32) + made
                 made += 1
-                row = _buffers(n.astype(np.int32), flags[a:b], known, tail[lead], train.astype(np.uint32), number)
+                row = _buffers(n.astype(np.int32), shares[a:b], known, tail[lead], train.astype(np.uint32), number)
                 ids = batch.column(0).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids), *[pa.array([x], pa.binary()) for x in row]],
                     names=["block", "ids", "sizes", "held", "known", "tail", "train", "number"])
 
     kind = kept.schema["id"].dataType.simpleString()
-    return stage(kept.mapInArrow(run, f"block long, ids array<{kind}>, sizes binary, held binary, known binary, tail binary, train binary, number binary"), "lm-blocks")
+    return stage(kept.mapInArrow(run, f"block long, ids array<{kind}>, sizes binary, held binary, known binary, tail binary, train binary, number binary"), "lm-blocks", compression="zstd")
 
 
 def _each(batches):
@@ -170,7 +173,7 @@ def count(blocks: DataFrame, bins: int, s: Settings) -> DataFrame:
     dealt = blocks.select("block", "known", "train", "tail").mapInArrow(deal, "bin long, block long, known binary, train binary, tail binary")
     dealt = dealt.repartition("bin").sortWithinPartitions("bin", "block")
     return stage(dealt.mapInArrow(add, "block long, bin long, counts binary, tail_words array<long>, tail_kinds array<long>, "
-                                       "top array<struct<h: long, c: long, t: int>>"), "lm-counts")
+                                       "top array<struct<h: long, c: long, t: int>>"), "lm-counts", compression="zstd")
 
 
 def _start(counts: DataFrame, s: Settings) -> Model:
@@ -245,47 +248,39 @@ def _update(blocks: DataFrame, m: Model, number: int, s: Settings) -> np.ndarray
     """One distributed update of the weights from a share of the training texts."""
     sc = blocks.sparkSession.sparkContext
     shared = sc.broadcast(m)
-    rows_each = 128
 
-    def gather(batches):
+    def gather(rows):
         m = shared.value
-        seen, due = np.zeros(s.buckets * s.classes), np.zeros((s.buckets, s.classes), np.float32)
-        for r in _each(batches):
+        seen, due = np.zeros((s.buckets * s.classes), np.float32), np.zeros((s.buckets, s.classes), np.float32)
+        for r in rows:
             sizes = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
-            use = ~np.frombuffer(r["held"], bool) & (np.arange(len(sizes)) % s.updates == number)
+            use = np.frombuffer(r["held"], np.uint8) == number
             known = np.frombuffer(r["known"], np.uint64)
             picked = np.frombuffer(r["number"], np.uint32)[np.repeat(use, sizes)]
             if not len(picked):
                 continue
             k = _class_of(m, known, np.frombuffer(r["tail"], np.uint8), s)[picked]
             f = features(known, picked, sizes[use], s.buckets)
-            for x in f:
-                seen += np.bincount(x.astype(np.int64) * s.classes + k, minlength=len(seen))
             for a in range(0, len(picked), _CHUNK):
                 part = f[:, a:a + _CHUNK]
+                cells, often = np.unique(part.astype(np.int64) * s.classes + k[a:a + _CHUNK], return_counts=True)
+                seen[cells] += often
                 _, p = _class_odds(m, part)
                 p /= p.sum(axis=1, keepdims=True)
                 for x in part:
                     _add_rows(due, x, p)
-        seen = seen.reshape(s.buckets, s.classes).astype(np.float32)
-        at = range(0, s.buckets, rows_each)
-        yield pa.RecordBatch.from_arrays([pa.array(list(at), pa.int32()), pa.array([seen[a:a + rows_each].tobytes() for a in at], pa.binary()),
-                                          pa.array([due[a:a + rows_each].tobytes() for a in at], pa.binary())], names=["at", "seen", "due"])
-
-    def add(batches):
-        for at, rows in _rows(batches):
-            both = [np.sum([np.frombuffer(r[c], np.float32).astype(np.float64) for r in rows], axis=0).astype(np.float32).tobytes() for c in ("seen", "due")]
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *[pa.array([x], pa.binary()) for x in both]], names=["at", "seen", "due"])
-
-    schema = "at int, seen binary, due binary"
-    # a task sends the whole gradient (about 2 MB), so tasks take several blocks each
-    tasks = max(2 * sc.defaultParallelism, -(-blocks.count() // 8))
-    few = blocks.select("sizes", "held", "known", "tail", "number").coalesce(tasks)
-    sums = few.mapInArrow(gather, schema).repartition("at").sortWithinPartitions("at").mapInArrow(add, schema)
+        seen = seen.reshape(s.buckets, s.classes)
+        for a in range(0, s.buckets, ROWS_EACH):
+            if seen[a:a + ROWS_EACH].any():  # buckets without a token have no expectation either
+                yield a, np.stack([seen[a:a + ROWS_EACH], due[a:a + ROWS_EACH]])
+
+    # a task sends the whole gradient, so tasks take many blocks each; an RDD, as an Arrow batch would hold all of a task's blocks
+    tasks = max(sc.defaultParallelism, -(-blocks.count() // TASK_BLOCKS))
+    few = blocks.select("sizes", "held", "known", "tail", "number").coalesce(tasks).rdd
+    sums = few.mapPartitions(gather).reduceByKey(lambda a, b: a.astype(np.float64) + b, sc.defaultParallelism)
     seen, due = np.zeros_like(m.weights), np.zeros_like(m.weights)
-    for r in sums.toLocalIterator():
-        seen[r["at"]:r["at"] + rows_each] = np.frombuffer(r["seen"], np.float32).reshape(-1, s.classes)
-        due[r["at"]:r["at"] + rows_each] = np.frombuffer(r["due"], np.float32).reshape(-1, s.classes)
+    for at, both in sums.collect():
+        seen[at:at + ROWS_EACH], due[at:at + ROWS_EACH] = both
     shared.destroy()
     prior = s.smooth * np.exp(m.bias)
     return m.weights + np.float32(s.rate) * np.log((seen + prior) / (due + prior))
@@ -333,7 +328,7 @@ def score(blocks: DataFrame, counts: DataFrame, model: Model, id_col: str, s: Se
             n, known, base, model = _score_block(shared.value, s, sizes, np.frombuffer(r["known"], np.uint64), np.frombuffer(r["tail"], np.uint8),
                                                  np.frombuffer(r["number"], np.uint32), got)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r["ids"], id_type), pa.array(np.frombuffer(r["held"], bool)), pa.array(n), pa.array(known), pa.array(np.full(len(n), shared.value.tokens)),
+                [pa.array(r["ids"], id_type), pa.array(np.frombuffer(r["held"], np.uint8) == HELD), pa.array(n), pa.array(known), pa.array(np.full(len(n), shared.value.tokens)),
                  pa.array(base), pa.array(model)], names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     from pyspark.sql.pandas.types import to_arrow_type

@@ -229,6 +229,15 @@ def test_lm_base_matches_brute_force_and_model_is_better(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_scores_do_not_depend_on_the_layout(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 23}" for j in range(5 + i % 40))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    s = maxent_lm.Settings(buckets=256, singles=6, tails=4)
+    scores = [{r.doc_id: r.score for r in maxent_lm.lm_scores(docs.repartition(n, "doc_id"), F.col("doc_id") % 5 == 0, settings=s).collect()} for n in (1, 7)]
+    assert len(scores[0]) == 120 and scores[1] == pytest.approx(scores[0], abs=1e-3)
+    assert maxent_lm.Settings().singles >= 32 and maxent_lm.Settings().buckets >= 1 << 16
+
+
 def test_lm_probabilities_sum_to_one(spark):
     s = maxent_lm.Settings(buckets=64, singles=3, tails=2, updates=2)
     rows = [(i, t) for i, t in enumerate(["a b c a b", "b c", "a a d", None, ""])]
