@@ -1486,11 +1486,12 @@ def binned_quantile_bounds_lineitem(spark, sf):
     bounds = materialize(BN.quantile_bounds(table.where("column <> 'z'"), [], _BOUND_PROBS))
     counts = materialize(value_counts(P.unpivot_numeric(scored, LI_NUM), ["column"], "value"))
     rank = F.floor(F.col("prob") * (F.col("n") - 1))
-    at = counts.join(bounds, "column").groupBy("column", "prob", "n", "lower", "upper", "rank_error").agg(
+    # one row per (column, prob) on the small side: counted rows stay where they are, no column in one task
+    at = counts.join(F.broadcast(bounds), "column").groupBy("column", "prob", "n", "lower", "upper", "rank_error").agg(
         F.sum(F.when(F.col("__v") < F.col("lower"), F.col("__c")).otherwise(0)).alias("below"),
         F.sum(F.when(F.col("__v") <= F.col("upper"), F.col("__c")).otherwise(0)).alias("upto"))
     near = (rank - F.col("below") <= F.col("rank_error") * F.col("n")) | (F.col("rank_error") == 0)
     near = near & ((F.col("upto") - 1 - rank <= F.col("rank_error") * F.col("n")) | (F.col("rank_error") == 0))
     scan = ordered_scan(counts, ["column"], ["__v"], [Scan("cum", "sum", "__c")])
-    value = scan.join(at, "column").where((rank < F.col("cum")) & (rank >= F.col("cum") - F.col("__c")))
+    value = scan.join(F.broadcast(at), "column").where((rank < F.col("cum")) & (rank >= F.col("cum") - F.col("__c")))
     return value.select("column", "prob", "n", F.col("__v").alias("value"), _holds("lower", "__v", "upper"), near.alias("within_rank_error"))

@@ -74,3 +74,31 @@ def test_empty_input(spark):
     assert edges == {"x": []}
     table = B.binned_counts(none, "m", edges, "y")
     assert table.count() == 0 and B.quantile_bounds(table, [], [.5]).count() == 0 and B.auc_bounds(table, ["m"]).count() == 0
+
+
+def test_rank_query_moves_no_column_into_one_task(spark, tmp_path):
+    """The counted values meet the bounds where they are, also where nothing is small enough to be broadcast by size."""
+    import datetime as dt
+
+    from panelwatch.plans import catalog
+
+    draw = random.Random(4)
+    rows = [(k, 1, dt.datetime(1995, 1 + k % 9, 3), float(draw.randint(1, 50)), draw.random() * 1000, draw.randint(0, 10) / 100, draw.randint(0, 8) / 100,
+             "O", draw.choice("RNA")) for k in range(300)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_shipdate timestamp, l_quantity double, l_extendedprice double, l_discount double, "
+                                "l_tax double, l_linestatus string, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    new = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    try:
+        out = catalog.QUERIES["binned_quantile_bounds_lineitem"](spark, str(tmp_path))
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in new:
+            spark.conf.unset(k)
+    assert "SortMergeJoin [column#" not in plan and plan.count("BroadcastHashJoin [column#") >= 2
+    prices = sorted(r[4] for r in rows)
+    want = {p: prices[int(p * 299)] for p in catalog._BOUND_PROBS}
+    assert {r.prob: r.value for r in got if r.column == "l_extendedprice"} == pytest.approx({p: v for p, v in want.items()}, abs=1e-6)
+    assert len(got) == 28 and all(r.holds and r.within_rank_error for r in got)
