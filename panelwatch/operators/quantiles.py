@@ -42,16 +42,19 @@ def quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], probs: S
                           totals={"__n": "__c"})
     lo_rank = F.col("__cum") - F.col("__c")  # first 0-based rank held by this value
     hi_rank = F.col("__cum") - 1
-    keep = F.lit(False)
-    picks = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("__n") - 1)
+
+    def held(p):
+        pos = p * (F.col("__n") - 1)
         lo, hi = F.floor(pos), F.ceil(pos)
-        has_lo = (lo_rank <= lo) & (lo <= hi_rank)
-        has_hi = (lo_rank <= hi) & (hi <= hi_rank)
-        keep = keep | has_lo | has_hi
-        picks.append((i, pos, lo, has_lo, has_hi))
-    small = ranked.where(keep)
+        return pos, lo, (lo_rank <= lo) & (lo <= hi_rank), (lo_rank <= hi) & (hi <= hi_rank)
+
+    def wanted(p):
+        _, _, has_lo, has_hi = held(p)
+        return has_lo | has_hi
+
+    picks = [(i, *held(F.lit(float(p)))) for i, p in enumerate(probs)]
+    # one test for all positions: written out for each, many positions make a method too long to be compiled
+    small = ranked.where(F.exists(F.array(*[F.lit(float(p)) for p in probs]), wanted))
     aggs = []
     for i, pos, lo, has_lo, has_hi in picks:
         aggs += [F.max(F.when(has_lo, F.col("__v"))).alias(f"__lo{i}"),

@@ -71,3 +71,16 @@ def test_exact_quantiles(spark, ranges):
             assert out[g][name] == pytest.approx(float(np.quantile(arr, p)), abs=1e-12)
     assert out[2]["q500"] == 6.0
     assert out[3]["q500"] is None
+
+
+def test_many_positions_are_one_test(spark):
+    from panelwatch.operators.quantiles import quantiles_from_counts, value_counts
+
+    vals = np.random.default_rng(9).integers(0, 40, 500).astype(float)
+    df = spark.createDataFrame([("a", float(v)) for v in vals], "g string, v double")
+    probs = [k / 64 for k in range(65)]
+    out = quantiles_from_counts(value_counts(df, ["g"], "v"), ["g"], probs, [f"q{i}" for i in range(65)])
+    filters = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "FLOOR" in x]
+    assert len(filters) == 1 and filters[0].count("FLOOR") <= 2  # not one or two for each position
+    got = out.first()
+    assert [got[f"q{i}"] for i in range(65)] == pytest.approx([float(np.quantile(vals, p)) for p in probs], abs=1e-12)
