@@ -103,6 +103,16 @@ def _counted(long: DataFrame, period: str, reference, periods, numeric: bool) ->
     return materialize(long.where(known & (is_ref | analysed)).groupBy(period, "column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
+def cell_sizes(cells: DataFrame, period: str) -> DataFrame:
+    """``(period, role, column, n, values, known)`` of ``panel_counts`` cells: rows, cells with a value and rows with a value.
+
+    One pass over the cells gives everything that needs only sums of them: the grid of columns, row counts, totals of
+    shares and the number of points to place.  One row per (period, column)."""
+    has = F.when(F.col("role") == NUMERIC, F.col("num").isNotNull()).otherwise(F.col("text").isNotNull())
+    return materialize(cells.groupBy(period, "role", "column").agg(
+        F.sum("n").alias("n"), F.count_if(has).alias("values"), F.sum(F.when(has, F.col("n")).otherwise(0)).alias("known")))
+
+
 def wasserstein_by_period(long: DataFrame, period: str, reference: Sequence[str],
                           periods: Sequence[str] | None = None) -> DataFrame:
     """R4 on a long numeric table ``(period, column, value)``."""
@@ -166,14 +176,14 @@ def _run_totals(placed: DataFrame, period: str):
 
 
 def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
-                            periods: Sequence[str] | None = None) -> DataFrame:
+                            periods: Sequence[str] | None = None, size: int | None = None) -> DataFrame:
     """``(period, column, w1, sd_ref, score)`` from counts ``(period, column, value, n)``, for the given
-    periods (default: all that are not in the reference)."""
+    periods (default: all that are not in the reference).  ``size`` is the number of their points, where it is known already."""
     is_ref, analysed = _sides(period, reference, periods)
     points = counts.where(is_ref | analysed).select(period, "column", "value", "n", F.coalesce(is_ref, F.lit(False)).alias("__ref"),
                                                     F.coalesce(analysed, F.lit(False)).alias("__cur"))
     # neighbouring ranges are merged by measured size, unless a range would hold too many points
-    ranges = -(-points.count() // RANGE_POINTS)
+    ranges = -(-(points.count() if size is None else size) // RANGE_POINTS)
     usual = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = points.repartitionByRange(*([ranges] if ranges > usual else []), "column", "value")
     placed = materialize(placed.withColumn("__run", F.spark_partition_id()))
@@ -243,16 +253,19 @@ def jensen_shannon_by_period(long: DataFrame, period: str, reference: Sequence[s
 
 
 def jensen_shannon_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
-                               periods: Sequence[str] | None = None) -> DataFrame:
+                               periods: Sequence[str] | None = None, totals: DataFrame | None = None) -> DataFrame:
     """``(period, column, score)`` Jensen-Shannon distance (natural log)
-    between the value shares of each period and of the reference; null where the reference has no value."""
+    between the value shares of each period and of the reference; null where the reference has no value.
+    ``totals`` holds the sums of ``n`` per (period, column), where they are known already."""
     is_ref, analysed = _sides(period, reference, periods)
+    if totals is None:
+        totals = counts.groupBy(period, "column").agg(F.sum("n").alias("n"))
     counts = counts.withColumnRenamed("n", "nc")
     ref = counts.where(is_ref).groupBy("column", "value").agg(F.sum("nc").alias("nr"))
     # totals have one row per column, or per (period, column): broadcasts of proven size
-    ref_total = ref.groupBy("column").agg(F.sum("nr").alias("tot_r"))
+    ref_total = totals.where(is_ref).groupBy("column").agg(F.sum("n").alias("tot_r"))
     cur = counts.where(analysed)
-    tot = cur.groupBy(period, "column").agg(F.sum("nc").alias("tot_c"))
+    tot = totals.where(analysed).select(period, "column", F.col("n").alias("tot_c"))
     both = (cur.join(ref, ["column", "value"]).join(F.broadcast(ref_total), "column")
             .join(F.broadcast(tot), [period, "column"]))
     p = F.col("nr") / F.col("tot_r")
@@ -317,27 +330,33 @@ def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
 
 def drift_from_counts(counts: DataFrame, period: str, reference: Sequence[str], periods: Sequence[str] | None = None,
                       threshold: float = DRIFT_THRESHOLD, categorical_method: str = "jensenshannon",
-                      roles: Sequence[str] = (NUMERIC, CATEGORICAL)) -> DataFrame:
+                      roles: Sequence[str] = (NUMERIC, CATEGORICAL), sizes: DataFrame | None = None) -> DataFrame:
     """``(period, column, method, score, threshold, direction, drifted)`` for
     every column and analysed period (default: all that are not in the reference).
 
     ``direction`` tells which scores mean drift: ``higher`` than the threshold for
     distances, ``lower`` for p-values (``categorical_method="chi_square"``, threshold
-    0.05).  A score that cannot be computed (an empty column on either side) is null and counts as drift."""
-    _, analysed = _sides(period, reference, periods)
-    by = {"jensenshannon": jensen_shannon_from_counts, "chi_square": chi_square_from_counts}[categorical_method]
+    0.05).  A score that cannot be computed (an empty column on either side) is null and counts as drift.
+    ``sizes`` is :func:`cell_sizes` of the counts, where it is known already."""
+    is_ref, analysed = _sides(period, reference, periods)
+    sizes = cell_sizes(counts, period) if sizes is None else sizes
+    filled = sizes.where(F.col("values") > 0)
     scores = []
     if NUMERIC in roles:
         values = counts.where((F.col("role") == NUMERIC) & F.col("num").isNotNull()).select(period, "column", F.col("num").alias("value"), "n")
-        scores.append(wasserstein_from_counts(values, period, reference, periods).select(
+        size = filled.where((F.col("role") == NUMERIC) & (is_ref | analysed)).agg(F.sum("values")).first()[0] or 0
+        scores.append(wasserstein_from_counts(values, period, reference, periods, size).select(
             period, "column", F.lit(NUMERIC).alias("role"), "score"))
     if CATEGORICAL in roles:
         values = counts.where((F.col("role") == CATEGORICAL) & F.col("text").isNotNull()).select(period, "column", F.col("text").alias("value"), "n")
-        scores.append(by(values, period, reference, periods).select(period, "column", F.lit(CATEGORICAL).alias("role"), "score"))
+        totals = filled.where(F.col("role") == CATEGORICAL).select(period, "column", F.col("known").alias("n"))
+        by = {"jensenshannon": lambda: jensen_shannon_from_counts(values, period, reference, periods, totals),
+              "chi_square": lambda: chi_square_from_counts(values, period, reference, periods)}[categorical_method]
+        scores.append(by().select(period, "column", F.lit(CATEGORICAL).alias("role"), "score"))
     found = scores[0]
     for more in scores[1:]:
         found = found.unionByName(more)
-    grid = counts.where(analysed & F.col("role").isin(list(roles))).select(period, "column", "role").distinct()
+    grid = sizes.where(analysed & F.col("role").isin(list(roles))).select(period, "column", "role")
     out = grid.join(found, [period, "column", "role"], "left").withColumn(
         "method", F.when(F.col("role") == NUMERIC, F.lit("wasserstein")).otherwise(F.lit(categorical_method)))
     low = F.col("method").isin(*LOW_MEANS_DRIFT)
@@ -382,9 +401,9 @@ def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[s
     is_ref, analysed = _sides(per, reference, periods)
     feats = list(spec.numeric) + list(spec.categorical)
     roles = [NUMERIC] + ([CATEGORICAL] if spec.categorical else [])
-    drift = materialize(drift_from_counts(cells, per, reference, periods, cfg.drift_threshold, roles=roles))  # periods x columns rows, read by two branches
-    rows = cells.where(F.col("role") == ROWS)
-    counts = rows.where(analysed).groupBy(per).agg(F.sum("n").alias("n_rows"))  # rows per analysed period
+    sizes = cell_sizes(cells, per)
+    drift = materialize(drift_from_counts(cells, per, reference, periods, cfg.drift_threshold, roles=roles, sizes=sizes))  # periods x columns rows, read by two branches
+    counts = sizes.where(analysed & (F.col("role") == ROWS)).select(per, F.col("n").alias("n_rows"))  # rows per analysed period
     order = F.create_map(*[x for i, c in enumerate(feats) for x in (F.lit(c), F.lit(i))])
     fd = drift.where(F.col("column") != cfg.prediction)
     feat_agg = fd.groupBy(per).agg(
@@ -394,11 +413,11 @@ def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[s
     pred = drift.where(F.col("column") == cfg.prediction).select(
         per, F.col("score").alias("prediction_drift_score"),
         F.col("drifted").alias("prediction_drift_detected"))
-    # months and the reference slice ranked in one grouped pass
+    # months and the reference slice ranked in one grouped pass; a month may be in both
     ref_key = "__reference__"
-    ranked = rows.where(F.col("num").isNotNull() & F.col("label").isNotNull())
-    sliced = (ranked.where(analysed).select(F.col(per).alias("__slice"), "num", "label", "n")
-              .unionByName(ranked.where(is_ref).select(F.lit(ref_key).alias("__slice"), "num", "label", "n")))
+    ranked = cells.where((F.col("role") == ROWS) & F.col("num").isNotNull() & F.col("label").isNotNull())
+    slices = F.array_compact(F.array(F.when(analysed, F.col(per)), F.when(is_ref, F.lit(ref_key))))
+    sliced = ranked.select(F.explode(slices).alias("__slice"), "num", "label", "n")
     aucs = ranking_from_counts(sliced, ["__slice"], "num", "label", "n")
     aucs = materialize(aucs.select("__slice", "roc_auc"))  # one row per month
     auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),

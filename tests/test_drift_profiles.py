@@ -114,3 +114,24 @@ def test_a_new_month_reads_its_own_partition(spark, tmp_path):
     got = profile_store.monitor_new_periods(scored, spec, path, ["1998-01"], spec.train_periods, LINEITEM_REGIMES).first()
     want = D.monthly_drift(scored, spec, spec.train_periods, LINEITEM_REGIMES, ["1998-01"]).first()
     assert got == want and math.isfinite(got.roc_auc)
+
+
+def test_months_need_no_extra_passes_over_the_cells(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = panel(spark, months())
+    monkeypatch.setattr(DataFrame, "count", lambda self: pytest.fail("the points are counted in a pass of their own"))
+    cells = D.materialize(D.panel_counts(df, "m", ["x", "z", "prediction"], ["c"], "prediction", "y"))
+    # one month is in the reference as well
+    out = D.monthly_from_counts(cells, SPEC, ["2024-01"], RegimeSpec(), ["2024-01", "2024-03"])
+    rec = {r.month: r for r in out.collect()}
+    assert rec["2024-01"].roc_auc == rec["2024-01"].reference_roc_auc == rec["2024-03"].reference_roc_auc and rec["2024-01"].auc_delta == 0
+    assert rec["2024-01"].n_rows == rec["2024-03"].n_rows == 20 and rec["2024-01"].drifted_columns == ["z"]
+
+
+def test_sizes_of_cells(spark):
+    cells = D.panel_counts(panel(spark, months()), "m", ["x", "z"], ["c"], "prediction", "y")
+    got = {(r.m, r.role, r.column): (r.n, r["values"], r.known) for r in D.cell_sizes(cells, "m").collect()}
+    assert got[("2024-01", "numeric", "x")] == (20, 20, 20) and got[("2024-02", "numeric", "x")] == (20, 0, 0)
+    assert got[("2024-03", "numeric", "z")] == (20, 1, 20) and got[("2024-02", "categorical", "c")] == (20, 0, 0)
+    assert got[("2024-01", "categorical", "c")] == (20, 2, 20) and got[("2024-02", "rows", "")][0] == 20
