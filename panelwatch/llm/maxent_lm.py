@@ -229,19 +229,28 @@ def features(known: np.ndarray, number: np.ndarray, sizes: np.ndarray, buckets:
 
 def _class_odds(m: Model, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of weights of the classes at some tokens (their greatest is 0), and exponentials."""
-    z = m.weights[f[0]]
+    z = m.weights.take(f[0], axis=0)
+    more = np.empty_like(z)
     for x in f[1:]:
-        z += m.weights[x]
+        z += m.weights.take(x, axis=0, out=more, mode="clip")  # buckets are in range; other modes copy once more
     z += m.bias
     z -= z.max(axis=1, keepdims=True)
     return z, np.exp(z)
 
 
 def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each of the rows to the total's row ``at`` it; equal ``at`` are summed first, in their order."""
+    at = at.astype(np.min_scalar_type(len(total) - 1))  # two bytes are sorted in one pass
     order = np.argsort(at, kind="stable")
     a = at[order]
     cut = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-    total[a[cut]] += np.add.reduceat(rows[order], cut, axis=0)
+    n = np.diff(np.append(cut, len(a)))
+    alone = n == 1  # most buckets; a sum of one row is that row
+    total[a[cut[alone]]] += rows.take(order[cut[alone]], axis=0)
+    if not alone.all():
+        n = n[~alone]
+        kept = rows.take(order[np.repeat(~alone, np.diff(np.append(cut, len(a))))], axis=0)
+        total[a[cut[~alone]]] += np.add.reduceat(kept, np.cumsum(n) - n, axis=0)
 
 
 def _update(blocks: DataFrame, m: Model, number: int, s: Settings) -> np.ndarray:

@@ -474,3 +474,20 @@ def test_token_counts_equal_library_and_fill_the_cache(spark, tmp_path):
     assert {r.doc_id: r.n_tokens for r in token_cache.token_counts(more, TOKENIZER, cache).collect()}[2] == want[3]
     assert spark.read.parquet(cache).count() == distinct + 1  # only the miss was encoded
     assert token_cache.token_counts(docs.limit(0), TOKENIZER, cache).count() == 0
+
+
+def test_lm_gradient_sums_sort_two_byte_buckets(monkeypatch):
+    rng = np.random.default_rng(3)
+    at = np.concatenate([rng.integers(0, 1 << 16, 500), np.full(300, 7), [0, (1 << 16) - 1]]).astype(np.int32)
+    rows = rng.random((len(at), 5)).astype(np.float32)
+    want = np.ones((1 << 16, 5))
+    np.add.at(want, at, rows)
+    kinds, sort = [], np.argsort
+    monkeypatch.setattr(maxent_lm.np, "argsort", lambda x, **how: kinds.append(x.dtype.itemsize) or sort(x, **how))
+    got = np.ones((1 << 16, 5), np.float32)
+    maxent_lm._add_rows(got, at, rows)
+    assert kinds == [2] and np.allclose(got, want, rtol=1e-5)
+    for few in ([3, 1, 2], [5, 5, 5]):
+        got = np.zeros((8, 5), np.float32)
+        maxent_lm._add_rows(got, np.array(few), rows[:3])
+        assert np.allclose(got.sum(axis=0), rows[:3].sum(axis=0)) and set(np.flatnonzero(got.any(axis=1))) == set(few)
