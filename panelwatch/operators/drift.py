@@ -46,9 +46,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import types as T
 
 from panelwatch.functions.scalar import (
     AUC_DROP_THRESHOLD, DRIFT_SHARE_THRESHOLD, drift_status, regime_label,
@@ -138,88 +139,115 @@ def _area_terms(a, b, k, start, base, u, f):
     return (area(b) - ja) - k * (b - a) + 2 * (k * (c - a) - (area(c) - ja))
 
 
-def _run_totals(placed: DataFrame, period: str):
-    """What comes before each run of each column: ``{column: (n_ref, mean_ref, periods, n, {run: (start, end, ref before, n before)})}``.
-
-    Made from one row per (run, column, period), which is all that the driver reads."""
-    ref = F.when(F.col("__ref"), F.col("n")).otherwise(0)
-    ref_value = F.when(F.col("__ref"), F.col("value"))
-    rows = placed.groupBy("__run", "column", period).agg(
-        F.sum(F.when(F.col("__cur"), F.col("n")).otherwise(0)).alias("n"), F.sum(ref).alias("nr"), F.sum(ref * F.col("value")).alias("sr"),
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.min(ref_value).alias("rlo"), F.max(ref_value).alias("rhi")).collect()
+#: a run of one column: its points by (period, value) as arrays of bytes, and what is summed of each of its periods
+_PACKED = ("run int, column int, times array<int>, stops array<long>, n array<long>, sums array<double>, low array<double>, high array<double>, "
+           "values binary, counts binary")
+
+
+def _pack(batches):
+    """The points of a task (one range of ``(column, value)``) as one row for each column."""
+    held = pa.Table.from_batches([x for x in batches if x.num_rows] or [_none(pa.null())]).combine_chunks()
+    if not held.num_rows:
+        return
+    column, time, value, n = (held.column(c).to_numpy() for c in ("__column", "__time", "value", "n"))
+    order = np.argsort(value)
+    owner = column[order].astype(np.int64) * (int(time.max()) + 1) + time[order]
+    owner = owner.astype(np.min_scalar_type(int(owner.max())))  # two bytes are sorted in one pass
+    order = order[np.argsort(owner, kind="stable")]
+    column, time, value, n = column[order], time[order], value[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (column[1:] != column[:-1]) | (time[1:] != time[:-1])]))
+    last = np.append(first[1:], len(value))
+    totals, sums = np.add.reduceat(n, first), np.add.reduceat(n * value, first)
+    of = column[first]
+    for c in np.unique(of):
+        k = np.flatnonzero(of == c)
+        x, y = first[k[0]], last[k[-1]]
+        row = [[TaskContext.get().partitionId()], [int(c)], [time[first[k]]], [last[k] - x], [totals[k]], [sums[k]], [value[first[k]]], [value[last[k] - 1]],
+               [value[x:y].tobytes()], [n[x:y].tobytes()]]
+        kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.list_(pa.float64())] * 3, pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)],
+                                         names=["run", "column", "times", "stops", "n", "sums", "low", "high", "values", "counts"])
+
+
+def _run_totals(packed: DataFrame, is_ref: np.ndarray, is_cur: np.ndarray):
+    """What comes before each run of each column: ``{column: (n_ref, mean_ref, periods, n, {run: (start, end, ref before, n before)})}``,
+    with the numbers of columns and periods.
+
+    Made from one row per (run, column), with sums for each period in it, which is all that the driver reads."""
     by: dict = {}
-    for r in rows:
-        by.setdefault(r["column"], []).append(r)
+    for r in packed.select("run", "column", "times", "n", "sums", "low", "high").collect():
+        by.setdefault(r["column"], []).append(
+            (r["run"], np.array(r["times"]), np.array(r["n"]), np.array(r["sums"]), np.array(r["low"]), np.array(r["high"])))
     out = {}
     for column, rows in by.items():
-        n_ref = sum(r["nr"] for r in rows)
-        periods = sorted({r[period] for r in rows if r["n"]})
-        if column is None or not n_ref or not periods:
+        rows.sort(key=lambda r: r[0])
+        n_ref = sum(int(n[is_ref[t]].sum()) for _, t, n, *_ in rows)
+        periods = np.unique(np.concatenate([t[is_cur[t] & (n > 0)] for _, t, n, *_ in rows]))
+        if not n_ref or not len(periods):
             continue
-        low, high = min(r["rlo"] for r in rows if r["rlo"] is not None), max(r["rhi"] for r in rows if r["rhi"] is not None)
-        mean = low if low == high else math.fsum(r["sr"] for r in rows) / n_ref
-        number = {p: i for i, p in enumerate(periods)}
-        runs = sorted({r["__run"] for r in rows})
-        place = {run: i for i, run in enumerate(runs)}
-        own, refs = np.zeros((len(runs) + 1, len(periods)), np.int64), np.zeros(len(runs) + 1, np.int64)
-        start, end = np.full(len(runs), np.inf), np.full(len(runs), -np.inf)
-        for r in rows:
-            i = place[r["__run"]]
-            refs[i + 1] += r["nr"]
-            start[i], end[i] = min(start[i], r["lo"]), max(end[i], r["hi"])
-            if r["n"]:
-                own[i + 1, number[r[period]]] += r["n"]
+        low = min(x.min() for _, t, _, _, lo, _ in rows if len(x := lo[is_ref[t]]))
+        high = max(x.max() for _, t, _, _, _, hi in rows if len(x := hi[is_ref[t]]))
+        mean = low if low == high else math.fsum(x for _, t, _, sums, _, _ in rows for x in sums[is_ref[t]]) / n_ref
+        number = np.full(len(is_ref), -1)
+        number[periods] = np.arange(len(periods))
+        own, refs = np.zeros((len(rows) + 1, len(periods)), np.int64), np.zeros(len(rows) + 1, np.int64)
+        for i, (_, t, n, *_) in enumerate(rows):
+            mine = is_cur[t] & (n > 0)
+            own[i + 1, number[t[mine]]] = n[mine]
+            refs[i + 1] = n[is_ref[t]].sum()
+        start, end = np.array([lo.min() for *_, lo, _ in rows]), np.array([hi.max() for *_, hi in rows])
         own, refs = own.cumsum(axis=0), refs.cumsum()
         end[:-1] = start[1:]  # a run ends where the next one begins
-        out[column] = (n_ref, mean, periods, own[-1], {run: (start[i], end[i], int(refs[i]), own[i]) for run, i in place.items()})
+        out[column] = (n_ref, mean, periods, own[-1], {r[0]: (start[i], end[i], int(refs[i]), own[i]) for i, r in enumerate(rows)})
     return out
 
 
 def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
-                            periods: Sequence[str] | None = None, size: int | None = None) -> DataFrame:
+                            periods: Sequence[str] | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """``(period, column, w1, sd_ref, score)`` from counts ``(period, column, value, n)``, for the given
-    periods (default: all that are not in the reference).  ``size`` is the number of their points, where it is known already."""
+    periods (default: all that are not in the reference).  ``sizes`` holds the number of counts per (period, column) as
+    ``values``, where it is known already.
+
+    Points travel with the numbers of their column and period, and a range of them is kept as one row for each column."""
+    spark = counts.sparkSession
     is_ref, analysed = _sides(period, reference, periods)
-    points = counts.where(is_ref | analysed).select(period, "column", "value", "n", F.coalesce(is_ref, F.lit(False)).alias("__ref"),
-                                                    F.coalesce(analysed, F.lit(False)).alias("__cur"))
+    points = counts.where(is_ref | analysed)
+    if sizes is None:
+        sizes = points.groupBy(period, "column").agg(F.count(F.lit(1)).alias("values"))
+    sides = sizes.where((is_ref | analysed) & F.col("column").isNotNull()).select(
+        period, "column", "values", F.coalesce(is_ref, F.lit(False)).alias("ref"), F.coalesce(analysed, F.lit(False)).alias("cur")).collect()
+    columns, times = sorted({r["column"] for r in sides}), sorted({r[period] for r in sides})
+    in_ref, in_cur = ({r[period] for r in sides if r[x]} for x in ("ref", "cur"))
+    of_ref, of_cur = (np.array([t in x for t in times], bool) for x in (in_ref, in_cur))
+    column_of, time_of = {c: i for i, c in enumerate(columns)}, {t: i for i, t in enumerate(times)}
+    kind = T.StructType([T.StructField(period, counts.schema[period].dataType), T.StructField("column", T.StringType()),
+                         T.StructField("__column", T.IntegerType()), T.StructField("__time", T.IntegerType())])
+    codes = F.broadcast(spark.createDataFrame([(r[period], r["column"], column_of[r["column"]], time_of[r[period]]) for r in sides], kind))  # one row per (period, column)
     # neighbouring ranges are merged by measured size, unless a range would hold too many points
-    ranges = -(-(points.count() if size is None else size) // RANGE_POINTS)
-    usual = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = points.repartitionByRange(*([ranges] if ranges > usual else []), "column", "value")
-    placed = materialize(placed.withColumn("__run", F.spark_partition_id()))
-    known = _run_totals(placed, period)
-    shared = counts.sparkSession.sparkContext.broadcast(known)
-    kind = counts.schema[period].dataType
-    arrow_kind = to_arrow_type(kind)
+    ranges = -(-sum(r["values"] for r in sides) // RANGE_POINTS)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = points.join(codes, [period, "column"]).select("__column", "__time", F.col("value").cast("double").alias("value"), F.col("n").cast("long").alias("n"))
+    placed = placed.repartitionByRange(*([ranges] if ranges > usual else []), "__column", "value")
+    packed = materialize(placed.mapInArrow(_pack, _PACKED))
+    known = _run_totals(packed, of_ref, of_cur)
+    shared = spark.sparkContext.broadcast(known)
 
     def run(batches):
-        # a task holds one run, of one column or (few points) of several
-        held = pa.Table.from_batches([x for x in batches if x.num_rows] or [_none(arrow_kind)]).combine_chunks()
-        if not held.num_rows:
-            return
-        number = held.column("__run")[0].as_py()
-        codes = held.column("column").combine_chunks().dictionary_encode()
-        names = codes.dictionary.to_pylist()
-        which = codes.indices.to_numpy(zero_copy_only=False)
-        times = held.column(period).combine_chunks().dictionary_encode()
-        labels, at = times.dictionary.to_pylist(), times.indices.to_numpy(zero_copy_only=False)
-        value, n = held.column("value").to_numpy(), held.column("n").to_numpy()
-        ref, cur = (held.column(c).to_numpy(zero_copy_only=False) for c in ("__ref", "__cur"))
-        for i, name in enumerate(names):
-            if name not in shared.value:
+        for r in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows)):
+            if r["column"] not in shared.value:
                 continue
-            n_ref, mean, seen, total, runs = shared.value[name]
-            start, end, ref_before, before = runs[number]
-            mine = which == i
-            r = np.flatnonzero(mine & ref)
-            r = r[np.argsort(value[r], kind="stable")]
-            u, f = value[r], (ref_before + np.cumsum(n[r])) / n_ref
-            spread = float((n[r] * (u - mean) ** 2).sum())
-            place = {p: k for k, p in enumerate(seen)}
-            slot = np.array([place.get(p, -1) for p in labels], np.int64)
-            c = np.flatnonzero(mine & cur)
-            c = c[np.lexsort((value[c], slot[at[c]]))]
-            s, v, w = slot[at[c]], value[c], n[c]
+            n_ref, mean, seen, total, runs = shared.value[r["column"]]
+            start, end, ref_before, before = runs[r["run"]]
+            value, n = np.frombuffer(r["values"], np.float64), np.frombuffer(r["counts"], np.int64)
+            owner = np.repeat(np.array(r["times"]), np.diff(r["stops"], prepend=0))
+            at = np.flatnonzero(of_ref[owner])
+            at = at[np.argsort(value[at], kind="stable")]
+            u, f = value[at], (ref_before + np.cumsum(n[at])) / n_ref
+            spread = float((n[at] * (u - mean) ** 2).sum())
+            number = np.full(len(of_ref), -1)
+            number[seen] = np.arange(len(seen))
+            c = np.flatnonzero(number[owner] >= 0)  # by period and value
+            s, v, w = number[owner[c]], value[c], n[c]
             first, last = (np.searchsorted(s, np.arange(len(seen)), side=x) for x in ("left", "right"))
             upto = np.cumsum(w)
             upto = upto - np.concatenate([[0], upto])[first][s] + before[s]
@@ -227,15 +255,16 @@ def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[
             level = np.insert(upto, first, before) / np.insert(total[s], first, total)
             terms = _area_terms(np.insert(v, first, start), np.insert(v, last, end), level, start, ref_before / n_ref, u, f)
             w1 = np.bincount(np.insert(s, first, np.arange(len(seen))), terms, len(seen))
-            yield pa.RecordBatch.from_arrays([pa.array([name] * (len(seen) + 1)), pa.array([*seen, None], arrow_kind), pa.array([*w1, None], pa.float64()),
-                                              pa.array([None] * len(seen) + [spread], pa.float64())], names=["column", period, "w1", "spread"])
+            yield pa.RecordBatch.from_arrays([pa.array([r["column"]] * (len(seen) + 1), pa.int32()), pa.array([*seen, None], pa.int32()),
+                                              pa.array([*w1, None], pa.float64()), pa.array([None] * len(seen) + [spread], pa.float64())],
+                                             names=["__column", "__time", "w1", "spread"])
 
-    parts = placed.mapInArrow(run, f"`column` string, `{period}` {kind.simpleString()}, w1 double, spread double")
-    sums = materialize(parts.groupBy("column", period).agg(F.sum("w1").alias("w1"), F.sum("spread").alias("spread")))  # one row per (period, column)
+    parts = packed.mapInArrow(run, "__column int, __time int, w1 double, spread double")
+    sums = materialize(parts.groupBy("__column", "__time").agg(F.sum("w1").alias("w1"), F.sum("spread").alias("spread")))  # one row per (period, column)
     shared.unpersist()
-    size = F.create_map(*[x for c, k in known.items() for x in (F.lit(c), F.lit(k[0]))]) if known else F.lit(None).cast("map<string, bigint>")
-    sd = sums.where(F.col("spread").isNotNull()).select("column", F.sqrt(F.col("spread") / size[F.col("column")]).alias("sd_ref"))
-    w1 = sums.where(F.col("w1").isNotNull()).select(period, "column", "w1").join(F.broadcast(sd), "column")  # one row per column
+    size = F.create_map(*[x for c, k in known.items() for x in (F.lit(c), F.lit(k[0]))]) if known else F.lit(None).cast("map<int, bigint>")
+    sd = sums.where(F.col("spread").isNotNull()).select("__column", F.sqrt(F.col("spread") / size[F.col("__column")]).alias("sd_ref"))
+    w1 = sums.where(F.col("w1").isNotNull()).select("__column", "__time", "w1").join(F.broadcast(sd), "__column").join(codes, ["__column", "__time"])  # one row per column
     score = (F.when(F.col("sd_ref") > 0, F.col("w1") / F.col("sd_ref"))
              .when(F.abs(F.col("w1")) < F.lit(1e-12), F.lit(0.0)))
     return w1.select(period, "column", F.greatest(F.col("w1"), F.lit(0.0)).alias("w1"),
@@ -344,8 +373,7 @@ def drift_from_counts(counts: DataFrame, period: str, reference: Sequence[str],
     scores = []
     if NUMERIC in roles:
         values = counts.where((F.col("role") == NUMERIC) & F.col("num").isNotNull()).select(period, "column", F.col("num").alias("value"), "n")
-        size = filled.where((F.col("role") == NUMERIC) & (is_ref | analysed)).agg(F.sum("values")).first()[0] or 0
-        scores.append(wasserstein_from_counts(values, period, reference, periods, size).select(
+        scores.append(wasserstein_from_counts(values, period, reference, periods, filled.where(F.col("role") == NUMERIC)).select(
             period, "column", F.lit(NUMERIC).alias("role"), "score"))
     if CATEGORICAL in roles:
         values = counts.where((F.col("role") == CATEGORICAL) & F.col("text").isNotNull()).select(period, "column", F.col("text").alias("value"), "n")

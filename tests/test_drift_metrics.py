@@ -111,3 +111,24 @@ def test_chi_square_drift_against_table(spark):
     wide = df.select("period", df["value"].alias("k"))
     d = column_drift(wide, "period", [], ["k"], ["ref"], categorical_method="chi_square").first()
     assert (d.direction, d.threshold, d.drifted) == ("lower", 0.05, True)
+
+
+def test_w1_keeps_a_range_as_one_row_a_column(spark, monkeypatch):
+    from panelwatch.operators import drift
+
+    rng = np.random.default_rng(6)
+    months = {m: np.round(rng.normal(k, 1, 300), 3) for k, m in enumerate(("ref", "r2", "m1", "m2", "m3"))}
+    rows = [(m, c, float(v)) for c in ("x", "y") for m, arr in months.items() for v in arr] + [("m1", None, 1.0)]
+    counts = drift._counted(spark.createDataFrame(rows, "period string, column string, value double"), "period", ["ref", "r2"], None, True)
+    kept, frames = drift.materialize, []
+    monkeypatch.setattr(drift, "materialize", lambda df: frames.append(kept(df)) or frames[-1])
+    monkeypatch.setattr(drift, "RANGE_POINTS", 50)
+    got = {(r.period, r.column): r for r in drift.wasserstein_from_counts(counts, "period", ["ref", "r2"]).collect()}
+    packed = frames[0]  # no row, and no text, of a single point
+    assert packed.count() <= packed.rdd.getNumPartitions() + 1 < counts.count() / 10
+    assert not {"string"} & {t for _, t in packed.dtypes}
+    ref = [*months["ref"], *months["r2"]]
+    assert set(got) == {(m, c) for m in ("m1", "m2", "m3") for c in "xy"}
+    for (m, _), r in got.items():
+        assert r.w1 == pytest.approx(_w1_brute(ref, list(months[m])), abs=1e-9)
+        assert r.sd_ref == pytest.approx(np.std(ref), abs=1e-9)
