@@ -56,6 +56,9 @@ from panelwatch.functions.scalar import (
 )
 from panelwatch.functions.stats import chi2_pvalue
 from panelwatch.operators.metrics import ranking_from_counts
+from panelwatch.operators.panel_profile import (
+    CATEGORICAL, NUMERIC, ROWS, RUNS, is_profile, pack_runs, panel_profile, place, text_counts,
+)
 from panelwatch.session import materialize
 from panelwatch.spec import PanelSpec, RegimeSpec
 
@@ -64,10 +67,6 @@ P_VALUE_THRESHOLD = 0.05
 LOW_MEANS_DRIFT = ("chi_square",)
 
 
-#: what a cell of ``panel_counts`` tells about: a numeric or categorical column, or the row itself
-NUMERIC, CATEGORICAL, ROWS = "numeric", "categorical", "rows"
-
-
 def panel_counts(df: DataFrame, period: str, numeric: Sequence[str], categorical: Sequence[str],
                  rank: str | None = None, target: str | None = None) -> DataFrame:
     """``(period, role, column, num, text, label, n)``: how often each value occurs in each period, from one
@@ -105,10 +104,14 @@ def _counted(long: DataFrame, period: str, reference, periods, numeric: bool) ->
 
 
 def cell_sizes(cells: DataFrame, period: str) -> DataFrame:
-    """``(period, role, column, n, values, known)`` of ``panel_counts`` cells: rows, cells with a value and rows with a value.
+    """``(period, role, column, n, values, known)`` of ``panel_counts`` cells: rows, cells with a value and rows with a value
+    (of a profile, ``values`` adds up the points of its rows).
 
     One pass over the cells gives everything that needs only sums of them: the grid of columns, row counts, totals of
     shares and the number of points to place.  One row per (period, column)."""
+    if is_profile(cells):
+        return materialize(cells.groupBy(period, "role", "column").agg(
+            F.sum("n").alias("n"), F.sum("points").alias("values"), F.sum("known").alias("known")))
     has = F.when(F.col("role") == NUMERIC, F.col("num").isNotNull()).otherwise(F.col("text").isNotNull())
     return materialize(cells.groupBy(period, "role", "column").agg(
         F.sum("n").alias("n"), F.count_if(has).alias("values"), F.sum(F.when(has, F.col("n")).otherwise(0)).alias("known")))
@@ -139,34 +142,11 @@ def _area_terms(a, b, k, start, base, u, f):
     return (area(b) - ja) - k * (b - a) + 2 * (k * (c - a) - (area(c) - ja))
 
 
-#: a run of one column: its points by (period, value) as arrays of bytes, and what is summed of each of its periods
-_PACKED = ("run int, column int, times array<int>, stops array<long>, n array<long>, sums array<double>, low array<double>, high array<double>, "
-           "values binary, counts binary")
-
-
 def _pack(batches):
     """The points of a task (one range of ``(column, value)``) as one row for each column."""
     held = pa.Table.from_batches([x for x in batches if x.num_rows] or [_none(pa.null())]).combine_chunks()
-    if not held.num_rows:
-        return
-    column, time, value, n = (held.column(c).to_numpy() for c in ("__column", "__time", "value", "n"))
-    order = np.argsort(value)
-    owner = column[order].astype(np.int64) * (int(time.max()) + 1) + time[order]
-    owner = owner.astype(np.min_scalar_type(int(owner.max())))  # two bytes are sorted in one pass
-    order = order[np.argsort(owner, kind="stable")]
-    column, time, value, n = column[order], time[order], value[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (column[1:] != column[:-1]) | (time[1:] != time[:-1])]))
-    last = np.append(first[1:], len(value))
-    totals, sums = np.add.reduceat(n, first), np.add.reduceat(n * value, first)
-    of = column[first]
-    for c in np.unique(of):
-        k = np.flatnonzero(of == c)
-        x, y = first[k[0]], last[k[-1]]
-        row = [[TaskContext.get().partitionId()], [int(c)], [time[first[k]]], [last[k] - x], [totals[k]], [sums[k]], [value[first[k]]], [value[last[k] - 1]],
-               [value[x:y].tobytes()], [n[x:y].tobytes()]]
-        kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.list_(pa.float64())] * 3, pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)],
-                                         names=["run", "column", "times", "stops", "n", "sums", "low", "high", "values", "counts"])
+    if held.num_rows:
+        yield from pack_runs(TaskContext.get().partitionId(), *(held.column(c).to_numpy() for c in ("__column", "__time", "value", "n")))
 
 
 def _run_totals(packed: DataFrame, is_ref: np.ndarray, is_cur: np.ndarray):
@@ -214,21 +194,62 @@ def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[
     points = counts.where(is_ref | analysed)
     if sizes is None:
         sizes = points.groupBy(period, "column").agg(F.count(F.lit(1)).alias("values"))
+    layout = _layout(sizes.withColumn("role", F.lit(NUMERIC)), period, reference, periods)
+    # neighbouring ranges are merged by measured size, unless a range would hold too many points
+    ranges = -(-sum(layout.points.values()) // RANGE_POINTS)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = points.join(layout.codes, [period, "column"]).select("__column", "__time", F.col("value").cast("double").alias("value"), F.col("n").cast("long").alias("n"))
+    placed = placed.repartitionByRange(*([ranges] if ranges > usual else []), "__column", "value")
+    return _wasserstein(materialize(placed.mapInArrow(_pack, RUNS)), layout, period)
+
+
+@dataclass(frozen=True)
+class _Layout:
+    """Numbers of the columns and periods to place, the numbers of points, and which periods are in the reference or analysed."""
+
+    codes: DataFrame  # (period, role, column, __column, __time): one row per (period, column)
+    columns: int  # numeric columns; the scores of the rows have the next number
+    times: list
+    of_ref: np.ndarray
+    of_cur: np.ndarray
+    points: dict
+
+
+def _layout(sizes: DataFrame, period: str, reference: Sequence[str], periods: Sequence[str] | None) -> _Layout:
+    """Made from the sizes ``(period, role, column, values)``, one row per (period, column)."""
+    is_ref, analysed = _sides(period, reference, periods)
     sides = sizes.where((is_ref | analysed) & F.col("column").isNotNull()).select(
-        period, "column", "values", F.coalesce(is_ref, F.lit(False)).alias("ref"), F.coalesce(analysed, F.lit(False)).alias("cur")).collect()
-    columns, times = sorted({r["column"] for r in sides}), sorted({r[period] for r in sides})
+        period, "role", "column", "values", F.coalesce(is_ref, F.lit(False)).alias("ref"), F.coalesce(analysed, F.lit(False)).alias("cur")).collect()
+    columns, times = sorted({r["column"] for r in sides if r["role"] == NUMERIC}), sorted({r[period] for r in sides})
     in_ref, in_cur = ({r[period] for r in sides if r[x]} for x in ("ref", "cur"))
     of_ref, of_cur = (np.array([t in x for t in times], bool) for x in (in_ref, in_cur))
-    column_of, time_of = {c: i for i, c in enumerate(columns)}, {t: i for i, t in enumerate(times)}
-    kind = T.StructType([T.StructField(period, counts.schema[period].dataType), T.StructField("column", T.StringType()),
+    column_of, time_of = {(NUMERIC, c): i for i, c in enumerate(columns)} | {(ROWS, ""): len(columns)}, {t: i for i, t in enumerate(times)}
+    kind = T.StructType([T.StructField(period, sizes.schema[period].dataType), T.StructField("role", T.StringType()), T.StructField("column", T.StringType()),
                          T.StructField("__column", T.IntegerType()), T.StructField("__time", T.IntegerType())])
-    codes = F.broadcast(spark.createDataFrame([(r[period], r["column"], column_of[r["column"]], time_of[r[period]]) for r in sides], kind))  # one row per (period, column)
-    # neighbouring ranges are merged by measured size, unless a range would hold too many points
-    ranges = -(-sum(r["values"] for r in sides) // RANGE_POINTS)
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = points.join(codes, [period, "column"]).select("__column", "__time", F.col("value").cast("double").alias("value"), F.col("n").cast("long").alias("n"))
-    placed = placed.repartitionByRange(*([ranges] if ranges > usual else []), "__column", "value")
-    packed = materialize(placed.mapInArrow(_pack, _PACKED))
+    points: dict = {}
+    for r in sides:
+        c = column_of[r["role"], r["column"]]
+        points[c] = points.get(c, 0) + r["values"]
+    codes = F.broadcast(sizes.sparkSession.createDataFrame(
+        [(r[period], r["role"], r["column"], column_of[r["role"], r["column"]], time_of[r[period]]) for r in sides], kind))
+    return _Layout(codes, len(columns), times, of_ref, of_cur, points)
+
+
+def _placed(profile: DataFrame, sizes: DataFrame, period: str, reference: Sequence[str], periods: Sequence[str] | None,
+            roles: Sequence[str] = (NUMERIC,)) -> tuple[DataFrame, _Layout]:
+    """Runs of the values of a profile, and of its rows' scores where ``roles`` has them (times of label y: twice the time, plus y)."""
+    layout = _layout(sizes.where(F.col("role").isin(list(roles)) & (F.col("values") > 0)), period, reference, periods)
+    label = F.col("label")
+    rows = profile.where((F.col("role") == NUMERIC) | label.isin(0, 1)).join(layout.codes, [period, "role", "column"]).select(
+        "__column", F.when(F.col("role") == ROWS, 2 * F.col("__time") + label).otherwise(F.col("__time")).alias("__time"), "marks", "values", "counts")
+    return materialize(place(rows, layout.points, RANGE_POINTS)), layout
+
+
+def _wasserstein(packed: DataFrame, layout: _Layout, period: str) -> DataFrame:
+    """R4 from the runs of all columns."""
+    spark = packed.sparkSession
+    codes, of_ref, of_cur = layout.codes, layout.of_ref, layout.of_cur
+    packed = packed.where(F.col("column") < layout.columns)
     known = _run_totals(packed, of_ref, of_cur)
     shared = spark.sparkContext.broadcast(known)
 
@@ -271,6 +292,41 @@ def wasserstein_from_counts(counts: DataFrame, period: str, reference: Sequence[
                      "sd_ref", score.alias("score"))
 
 
+def _auc(packed: DataFrame, layout: _Layout) -> tuple[dict, float | None]:
+    """M15 of each analysed period and of the reference, from the runs of the rows' scores (ties count half; None without both classes).
+
+    A run adds ``positives * (negatives below + half of the ties)``, with the negatives of earlier runs
+    from one row per run, which is all that the driver reads."""
+    packed = packed.where(F.col("column") == layout.columns)
+    slices = {int(t): [int(t)] for t in np.flatnonzero(layout.of_cur)} | {-1: np.flatnonzero(layout.of_ref).tolist()}
+    neg, pos, below = dict.fromkeys(slices, 0), dict.fromkeys(slices, 0), {}
+    for r in sorted(packed.select("run", "times", "n").collect(), key=lambda r: r["run"]):
+        n = dict(zip(r["times"], r["n"]))
+        below[r["run"]] = dict(neg)
+        for k, of in slices.items():
+            neg[k] += sum(n.get(2 * t, 0) for t in of)
+            pos[k] += sum(n.get(2 * t + 1, 0) for t in of)
+    shared = packed.sparkSession.sparkContext.broadcast(below)
+
+    def run(batches):
+        for r in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows)):
+            value, n = np.frombuffer(r["values"], np.float64), np.frombuffer(r["counts"], np.int64)
+            parts = {t: (value[a:b], n[a:b]) for t, a, b in zip(r["times"], [0, *r["stops"]], r["stops"])}
+            out = []
+            for k, of in slices.items():
+                (u, w), (v, p) = ([np.concatenate(x) for x in zip((value[:0], n[:0]), *(parts[2 * t + y] for t in of if 2 * t + y in parts))] for y in (0, 1))
+                order = np.argsort(u, kind="stable")
+                upto = np.concatenate([[0], np.cumsum(w[order])]) + shared.value[r["run"]][k]
+                lower, through = (upto[np.searchsorted(u[order], v, side=x)] for x in ("left", "right"))
+                out.append(float((p * (lower + through)).sum()) / 2)
+            yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(out, pa.float64())], names=["slice", "area"])
+
+    area = {r["slice"]: r["area"] for r in packed.mapInArrow(run, "slice int, area double").groupBy("slice").agg(F.sum("area").alias("area")).collect()}
+    shared.unpersist()
+    auc = {k: area[k] / (pos[k] * neg[k]) if pos[k] and neg[k] else None for k in slices}
+    return {layout.times[k]: v for k, v in auc.items() if k >= 0}, auc[-1]
+
+
 def _none(kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([], kind)], names=["none"])
 
@@ -352,31 +408,40 @@ def column_drift(df: DataFrame, period: str, numeric: Sequence[str],
                  categorical_method: str = "jensenshannon") -> DataFrame:
     """R3/R6 from rows: one scan, then :func:`drift_from_counts`."""
     is_ref, analysed = _sides(period, reference, periods)
-    counts = materialize(panel_counts(df.where(is_ref | analysed), period, numeric, categorical))
+    counts = materialize(panel_profile(df.where(is_ref | analysed), period, numeric, categorical))
     roles = [r for r, c in ((NUMERIC, numeric), (CATEGORICAL, categorical)) if c]
     return drift_from_counts(counts, period, reference, periods, threshold, categorical_method, roles)
 
 
 def drift_from_counts(counts: DataFrame, period: str, reference: Sequence[str], periods: Sequence[str] | None = None,
                       threshold: float = DRIFT_THRESHOLD, categorical_method: str = "jensenshannon",
-                      roles: Sequence[str] = (NUMERIC, CATEGORICAL), sizes: DataFrame | None = None) -> DataFrame:
+                      roles: Sequence[str] = (NUMERIC, CATEGORICAL), sizes: DataFrame | None = None,
+                      placed: tuple[DataFrame, _Layout] | None = None) -> DataFrame:
     """``(period, column, method, score, threshold, direction, drifted)`` for
     every column and analysed period (default: all that are not in the reference).
 
     ``direction`` tells which scores mean drift: ``higher`` than the threshold for
     distances, ``lower`` for p-values (``categorical_method="chi_square"``, threshold
     0.05).  A score that cannot be computed (an empty column on either side) is null and counts as drift.
-    ``sizes`` is :func:`cell_sizes` of the counts, where it is known already."""
+    ``counts`` are ``panel_counts`` cells or a profile.  ``sizes`` is :func:`cell_sizes` of the counts, and ``placed`` the runs of a
+    profile, where they are known already."""
     is_ref, analysed = _sides(period, reference, periods)
     sizes = cell_sizes(counts, period) if sizes is None else sizes
     filled = sizes.where(F.col("values") > 0)
     scores = []
-    if NUMERIC in roles:
+    packed = is_profile(counts)
+    if NUMERIC in roles and packed:
+        runs, layout = placed or _placed(counts, sizes, period, reference, periods)
+        scores.append(_wasserstein(runs, layout, period).select(period, "column", F.lit(NUMERIC).alias("role"), "score"))
+    elif NUMERIC in roles:
         values = counts.where((F.col("role") == NUMERIC) & F.col("num").isNotNull()).select(period, "column", F.col("num").alias("value"), "n")
         scores.append(wasserstein_from_counts(values, period, reference, periods, filled.where(F.col("role") == NUMERIC)).select(
             period, "column", F.lit(NUMERIC).alias("role"), "score"))
     if CATEGORICAL in roles:
-        values = counts.where((F.col("role") == CATEGORICAL) & F.col("text").isNotNull()).select(period, "column", F.col("text").alias("value"), "n")
+        if packed:
+            values = materialize(text_counts(counts.where(is_ref | analysed), period))
+        else:
+            values = counts.where((F.col("role") == CATEGORICAL) & F.col("text").isNotNull()).select(period, "column", F.col("text").alias("value"), "n")
         totals = filled.where(F.col("role") == CATEGORICAL).select(period, "column", F.col("known").alias("n"))
         by = {"jensenshannon": lambda: jensen_shannon_from_counts(values, period, reference, periods, totals),
               "chi_square": lambda: chi_square_from_counts(values, period, reference, periods)}[categorical_method]
@@ -414,15 +479,15 @@ def monthly_drift(df: DataFrame, spec: PanelSpec, reference: Sequence[str],
     are comparable).  Periods default to those not in the reference (B4)."""
     per = spec.period
     is_ref, analysed = _sides(per, reference, periods)
-    counts = panel_counts(df.where(is_ref | analysed), per, list(spec.numeric) + [cfg.prediction], spec.categorical,
-                          cfg.rank_score or cfg.prediction, spec.target)
+    counts = panel_profile(df.where(is_ref | analysed), per, list(spec.numeric) + [cfg.prediction], spec.categorical,
+                           cfg.rank_score or cfg.prediction, spec.target)
     return monthly_from_counts(materialize(counts), spec, reference, regimes, periods, cfg)
 
 
 def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[str],
                         regimes: RegimeSpec, periods: Sequence[str] | None = None,
                         cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
-    """R3-R10 from ``panel_counts`` cells (just made, or read from a profile store).
+    """R3-R10 from ``panel_counts`` cells or from a profile (just made, or read from a profile store).
     Shares, AUC and delta are rounded only in the output; the status uses
     the unrounded values (T5, T8)."""
     per = spec.period
@@ -430,7 +495,8 @@ def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[s
     feats = list(spec.numeric) + list(spec.categorical)
     roles = [NUMERIC] + ([CATEGORICAL] if spec.categorical else [])
     sizes = cell_sizes(cells, per)
-    drift = materialize(drift_from_counts(cells, per, reference, periods, cfg.drift_threshold, roles=roles, sizes=sizes))  # periods x columns rows, read by two branches
+    placed = _placed(cells, sizes, per, reference, periods, (NUMERIC, ROWS)) if is_profile(cells) else None
+    drift = materialize(drift_from_counts(cells, per, reference, periods, cfg.drift_threshold, roles=roles, sizes=sizes, placed=placed))  # periods x columns rows, read by two branches
     counts = sizes.where(analysed & (F.col("role") == ROWS)).select(per, F.col("n").alias("n_rows"))  # rows per analysed period
     order = F.create_map(*[x for i, c in enumerate(feats) for x in (F.lit(c), F.lit(i))])
     fd = drift.where(F.col("column") != cfg.prediction)
@@ -441,17 +507,12 @@ def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[s
     pred = drift.where(F.col("column") == cfg.prediction).select(
         per, F.col("score").alias("prediction_drift_score"),
         F.col("drifted").alias("prediction_drift_detected"))
-    # months and the reference slice ranked in one grouped pass; a month may be in both
-    ref_key = "__reference__"
-    ranked = cells.where((F.col("role") == ROWS) & F.col("num").isNotNull() & F.col("label").isNotNull())
-    slices = F.array_compact(F.array(F.when(analysed, F.col(per)), F.when(is_ref, F.lit(ref_key))))
-    sliced = ranked.select(F.explode(slices).alias("__slice"), "num", "label", "n")
-    aucs = ranking_from_counts(sliced, ["__slice"], "num", "label", "n")
-    aucs = materialize(aucs.select("__slice", "roc_auc"))  # one row per month
-    auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),
-                                                           F.col("roc_auc").alias("__auc"))
-    ref_auc = aucs.where(F.col("__slice") == ref_key).first()
-    ref_auc = ref_auc["roc_auc"] if ref_auc else None
+    if placed:
+        found, ref_auc = _auc(*placed)
+        kind = T.StructType([T.StructField(per, cells.schema[per].dataType), T.StructField("__auc", T.DoubleType())])
+        auc = F.broadcast(cells.sparkSession.createDataFrame(list(found.items()), kind))  # one row per month
+    else:
+        auc, ref_auc = _auc_of_cells(cells, per, is_ref, analysed)
     rec = (counts.join(feat_agg, per, "left").join(pred, per, "left").join(auc, per, "left"))
     share = F.col("drifted_columns_count") / F.lit(float(len(feats)))
     ra = F.lit(ref_auc).cast("double")
@@ -473,6 +534,22 @@ def monthly_from_counts(cells: DataFrame, spec: PanelSpec, reference: Sequence[s
         F.round(ra, d).alias("reference_roc_auc"))
 
 
+def _auc_of_cells(cells: DataFrame, per: str, is_ref, analysed):
+    """M15 of each analysed period ``(period, __auc)`` and of the reference, from ``panel_counts`` cells."""
+    # months and the reference slice ranked in one grouped pass; a month may be in both
+    ref_key = "__reference__"
+    ranked = cells.where((F.col("role") == ROWS) & F.col("num").isNotNull() & F.col("label").isNotNull())
+    slices = F.array_compact(F.array(F.when(analysed, F.col(per)), F.when(is_ref, F.lit(ref_key))))
+    sliced = ranked.select(F.explode(slices).alias("__slice"), "num", "label", "n")
+    aucs = ranking_from_counts(sliced, ["__slice"], "num", "label", "n")
+    aucs = materialize(aucs.select("__slice", "roc_auc"))  # one row per month
+    auc = aucs.where(F.col("__slice") != ref_key).select(F.col("__slice").alias(per),
+                                                           F.col("roc_auc").alias("__auc"))
+    ref_auc = aucs.where(F.col("__slice") == ref_key).first()
+    ref_auc = ref_auc["roc_auc"] if ref_auc else None
+    return auc, ref_auc
+
+
 def history_document(records: DataFrame, model: dict, reference: Sequence[str],
                      cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
     """One-row DataFrame holding the nested history document as JSON
