@@ -1,6 +1,6 @@
-"""Stored profiles of a panel: the cells of ``drift.panel_counts``, kept by period.
+"""Stored profiles of a panel: the packed counts of ``panel_profile``, kept by period.
 
-A profile row is ``(period, role, column, num, text, label, n)``.  Profiles of different periods add up, so
+A profile row is ``(period, role, column, label, n, known, points, ...)`` with values and counts as arrays.  Profiles of different periods add up, so
 monitoring a new period reads that period's rows of the panel, stores their
 counts, and compares them with the stored counts of the reference; no other row of the panel is
 read again.  Storing a period again replaces its profile (a repeated or retried job changes nothing).
@@ -12,25 +12,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwatch.operators import drift as D
+from panelwatch.operators.panel_profile import merge_rows, panel_profile, profile_type
 from panelwatch.spec import PanelSpec, RegimeSpec
 
 
 def store_profiles(scored: DataFrame, spec: PanelSpec, path: str, periods: Sequence[str] | None = None,
                    cfg: D.MonitorConfig = D.MonitorConfig()) -> None:
-    """Count the cells of the given periods (default: all in ``scored``) and keep them below ``path``, one folder a period."""
+    """Count the values of the given periods (default: all in ``scored``) and keep them below ``path``, one folder a period."""
     rows = scored if periods is None else scored.where(F.col(spec.period).isin(list(periods)))
-    cells = D.panel_counts(rows, spec.period, list(spec.numeric) + [cfg.prediction], spec.categorical,
-                           cfg.rank_score or cfg.prediction, spec.target)
-    (cells.repartition(spec.period, "column").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(spec.period).parquet(path))
+    profile = panel_profile(rows, spec.period, list(spec.numeric) + [cfg.prediction], spec.categorical,
+                            cfg.rank_score or cfg.prediction, spec.target)
+    (merge_rows(profile.repartition(spec.period, "column"), spec.period).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(spec.period).parquet(path))
 
 
 def read_profiles(spark: SparkSession, spec: PanelSpec, path: str, periods: Sequence[str] | None = None) -> DataFrame:
-    """The stored cells of the given periods (a partition filter)."""
-    schema = f"role string, column string, num double, text string, label int, n long, {spec.period} string"
-    cells = spark.read.schema(schema).parquet(path)
+    """The stored rows of the given periods (a partition filter)."""
+    cells = spark.read.schema(profile_type(spec.period, T.StringType())).parquet(path)
     return cells if periods is None else cells.where(F.col(spec.period).isin(list(periods)))
 
 

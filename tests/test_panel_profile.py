@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from panelwatch.operators import drift as D
 from panelwatch.operators import panel_profile as PP
+from panelwatch.sources import profile_store
 from panelwatch.spec import PanelSpec, RegimeSpec
 
 SPEC = PanelSpec(period="m", id="i", target="y", numeric=("x", "z"), categorical=("c",), train_periods=("2024-01", "2024-02"), validation_periods=())
 REF = ["2024-01", "2024-02"]
+CFG = D.MonitorConfig()
 
 
 def rows(n=1500, seed=3):
@@ -81,6 +83,14 @@ def test_monitoring_keeps_no_row_of_a_single_value(spark, monkeypatch):
     assert sum(f.count() for f in frames) < cells / 3
 
 
+def test_stored_profiles_have_a_row_a_key(spark, tmp_path):
+    df, path = panel(spark), str(tmp_path / "profiles")
+    profile_store.store_profiles(df, SPEC, path, cfg=CFG)
+    stored = profile_store.read_profiles(spark, SPEC, path)
+    assert stored.count() <= 6 * (3 + 1 + 4)  # months and columns, and labels
+    assert unpacked(stored) == unpacked(profiled(df))
+
+
 def test_empty_and_missing_sides(spark):
     df = panel(spark)
     assert D.monthly_drift(df.where("false"), SPEC, REF, RegimeSpec()).count() == 0
