@@ -1,6 +1,7 @@
 """Boosted trees on binned features.
 
-The features are binned once into one byte each, at exact quantiles.  Every level of a tree is one distributed
+The features are binned once into one byte each, at exact quantiles.  Rows of the same bins, label and weight are kept once, with
+their count: they have the same gradients and fall into the same samples.  Every level of a tree is one distributed
 aggregate: a task adds the gradients and Hessians of its rows to a histogram over (node, feature, bin),
 histograms are merged in groups on the executors, and the task that holds the merged one picks each node's best split; the driver reads
 the splits, a few numbers a node.  The split gain is second order,
@@ -10,11 +11,14 @@ Several estimators over the same features are fitted in step: one aggregate serv
 Gradients are added as whole numbers (rounded to a step that suits the number of rows), so sums do not depend on the order or the
 layout of the rows: the same rows give the same trees under any partitioning.
 
-A partition holds about ``PARTITION_ROWS`` rows.  Where all rows fit into one, its histograms are already the merged ones, and its task
-grows ``CHUNK`` trees with the same functions before it returns them, instead of one level.  Otherwise a level is an aggregate.
+A partition holds about ``PARTITION_ROWS`` rows.  Up to ``ALONE`` times as many stay in one, where the work of a level is smaller than a job:
+its histograms are already the merged ones, and one task for each estimator grows ``CHUNK`` trees with the same functions before it returns them.
+Otherwise a level is an aggregate.
 
-A task keeps the margins of its blocks in the Python worker between aggregates.  They are a cache only: a worker that does not have them (a
-lost executor, another placement) computes them from the trees so far.
+Blocks carry their rows' margins, which are brought up to date after each chunk of trees.  A tree's value is looked up: each feature's bin
+leaves a set of leaves (one bit each), and the common one of all features is the row's leaf.  Between the aggregates of a chunk a Python worker keeps the
+margins, gradients and nodes of its blocks.  They are a cache only: a worker that does not have them (a
+lost executor, another placement) computes them from the block and the chunk's trees so far.
 
 Ties between splits go to the first feature, then the lowest bin.  Rows with a null label are left out of the fit; with one class only
 the model is a constant.  Features must not be null (the preparation fills them).
@@ -27,11 +31,10 @@ import json
 import math
 import uuid
 from collections import OrderedDict
-from collections.abc import Sequence
+from collections.abc import Iterator, MutableMapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
@@ -45,13 +48,18 @@ from pyspark.sql import functions as F
 from panelwatch.operators.scan import Scan, ordered_scan
 from panelwatch.session import ensure_checkpoint_dir
 
-#: rows of a block, and rows that a partition of blocks holds about
+#: rows of a block, rows that a partition of blocks holds about, and how many times as many one partition may hold where it is the only one
 BLOCK_ROWS = 1 << 16
-PARTITION_ROWS = 1 << 18
-#: rows whose margins a worker keeps, histograms merged at once, trees that are broadcast together
-CACHED_ROWS = 4_000_000
+PARTITION_ROWS = 1 << 19
+ALONE = 4
+#: rows of which a worker keeps what it computed, histograms merged at once, trees between two updates of the margins (one partition, several)
+CACHED_ROWS = 2_000_000
 MERGE = 16
 CHUNK = 25
+CHUNK_SPREAD = 10
+#: combinations of bins that one lookup table holds, and that are counted together in one histogram
+TABLE = 1 << 12
+JOINT = 1 << 9
 LEAF = -1
 
 
@@ -87,46 +95,56 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _packed(df: DataFrame, features_col: str, label_col: str, weight_col: str | None, edges) -> DataFrame:
-    """Blocks of binned rows: bins, labels, weights and a hash of each row's content."""
+    """The distinct binned rows (one byte for each feature, label, weight) and how often each occurs."""
     rows = df.where(F.col(label_col).isNotNull()).select(
         vector_to_array(features_col).alias("x"), F.col(label_col).cast("double").alias("y"),
         (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
+    width = len(edges)
 
     def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            bins = binned(np.asarray(batch.column(0).flatten()).reshape(n, -1), edges)
+            at = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+            each = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(bins.T))])
+            y = np.asarray(batch.column(1)).astype(np.uint8).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([each, pa.array(y), batch.column(2)], names=["bins", "y", "w"])
+
+    return rows.mapInArrow(run, "bins binary, y short, w double").groupBy("bins", "y", "w").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _blocks(cells: DataFrame, n_features: int, base: float, models: int):
+    """Distinct rows in blocks.  Rows of the same bins lie together and are one cell: a block is its number of rows, its name, the cells' bins (feature x
+    cell) and first rows, the rows' labels, weights, counts and hashes of their content, and the cells' margins for each estimator."""
+    def block(parts):
+        n = sum(p.num_rows for p in parts)
+        bins = np.concatenate([np.frombuffer(b"".join(p.column(0).to_pylist()), np.uint8).reshape(p.num_rows, n_features) for p in parts])
+        y, w, c = (np.concatenate([np.asarray(p.column(k)) for p in parts]) for k in (1, 2, 3))
+        key = _mixed(y.astype(np.uint64) + np.uint64(1))
+        for b in bins.T:
+            key = _mixed(key * np.uint64(31) + b)
+        first = np.flatnonzero(np.concatenate([[True], (bins[1:] != bins[:-1]).any(axis=1)]))
+        columns = [np.ascontiguousarray(bins[first].T).tobytes(), first.astype(np.int64).tobytes(), y.astype(np.uint8).tobytes(),
+                   w.astype(np.float64).tobytes(), c.astype(np.int64).tobytes(), key.tobytes()]
+        name = hashlib.blake2b(b"".join(columns), digest_size=12).digest()
+        return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), *[pa.array([x], pa.binary()) for x in (name, *columns)]],
+                                          names=["n", "name", "bins", "first", "y", "w", "c", "key"])
+
+    def run(batches):
+        held, n = [], 0
         for batch in batches:
             for a in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(a, BLOCK_ROWS)
-                n = part.num_rows
-                x = np.asarray(part.column(0).flatten()).reshape(n, -1)
-                bins, y, w = binned(x, edges), np.asarray(part.column(1)), np.asarray(part.column(2))
-                key = _mixed(y.astype(np.uint64) + np.uint64(1))
-                for b in bins:
-                    key = _mixed(key * np.uint64(31) + b)
-                columns = [bins.tobytes(), y.astype(np.uint8).tobytes(), w.tobytes(), key.tobytes()]
-                name = hashlib.blake2b(b"".join(columns), digest_size=12).digest()
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), *[pa.array([c], pa.binary()) for c in (name, *columns)]],
-                                                 names=["n", "name", "bins", "y", "w", "key"])
-
-    return rows.mapInArrow(run, "n long, name binary, bins binary, y binary, w binary, key binary")
-
-
-def _joined(rows, n_features: int):
-    """Small blocks of a partition joined to blocks of about ``BLOCK_ROWS``."""
-    held: list[tuple] = []
-
-    def one():
-        bins = np.concatenate([np.frombuffer(r[2], np.uint8).reshape(n_features, -1) for r in held], axis=1)
-        rest = [b"".join(r[k] for r in held) for k in (3, 4, 5)]
-        name = held[0][1] if len(held) == 1 else hashlib.blake2b(b"".join(r[1] for r in held), digest_size=12).digest()
-        return bins.shape[1], name, bins.tobytes(), *rest
-
-    for r in rows:
-        if held and sum(h[0] for h in held) + r[0] > BLOCK_ROWS:
-            yield one()
-            held.clear()
-        held.append(tuple(r))
-    if held:
-        yield one()
+                if n + part.num_rows > BLOCK_ROWS and held:
+                    yield block(held)
+                    held, n = [], 0
+                held.append(part)
+                n += part.num_rows
+        if held:
+            yield block(held)
+
+    rows = cells.mapInArrow(run, "n long, name binary, bins binary, first binary, y binary, w binary, c binary, key binary").rdd
+    return rows.map(lambda r: (r[0], *[bytes(x) for x in r[1:]], [np.full(len(r[3]) // 8, base).tobytes()] * models))
 
 
 # ---------------------------------------------------------------- trees
@@ -157,6 +175,15 @@ class Tree:
             node = np.where(inner, 2 * node + right, node)
         return node
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "found"}
+
+    def lookup(self, shape: Shape) -> Lookup:
+        """The tree as lookup tables, made once."""
+        if "found" not in self.__dict__:
+            self.found = Lookup.of(self, shape)
+        return self.found
+
     @property
     def depth(self) -> int:
         return len(self.feature).bit_length() - 2
@@ -165,47 +192,193 @@ class Tree:
         return self.value[self.places(bins, self.depth)]
 
 
+@dataclass(frozen=True)
+class Shape:
+    """Numbers of bins of the features, and groups of features whose bins make at most ``TABLE`` combinations."""
+
+    kinds: tuple[int, ...]
+    groups: list[list[int]]
+
+    @classmethod
+    def of(cls, edges: Sequence[Sequence[float]]) -> Shape:
+        kinds = tuple(max(1, len(e)) for e in edges)
+        return cls(kinds, _together(kinds, range(len(kinds)), TABLE))
+
+    def code(self, bins: np.ndarray, group: Sequence[int]) -> np.ndarray:
+        """Numbers of the combinations of bins of some features."""
+        code = bins[group[0]].astype(np.intp)
+        for f in group[1:]:
+            code = code * self.kinds[f] + bins[f]
+        return code
+
+    def codes(self, bins: np.ndarray) -> list[np.ndarray]:
+        return [self.code(bins, g) for g in self.groups]
+
+
+def _together(kinds: Sequence[int], features: Sequence[int], most: int) -> list[list[int]]:
+    """Groups of neighbouring features whose bins make at most ``most`` combinations (or a single feature)."""
+    groups, size = [], most + 1
+    for f in features:
+        if size * kinds[f] > most:
+            groups.append([])
+            size = 1
+        groups[-1].append(int(f))
+        size *= kinds[f]
+    return groups
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A tree of at most 64 leaves as tables: for each group of features and combination of bins the leaves that it leaves open, as bits.  The bit that all
+    groups have in common is the row's leaf."""
+
+    tables: list[tuple[int, np.ndarray]]
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, tree: Tree, shape: Shape) -> Lookup | None:
+        """None for a tree with more leaves."""
+        leaves: list[int] = []
+        splits: dict[int, list[tuple[int, int, int]]] = {}
+        feature, cut = tree.feature.tolist(), tree.cut.tolist()
+
+        def bits(node: int) -> int:
+            if feature[node] == LEAF:
+                leaves.append(node)
+                return 1 << (len(leaves) - 1)
+            left, right = bits(2 * node), bits(2 * node + 1)
+            splits.setdefault(feature[node], []).append((cut[node], left, right))
+            return left | right
+
+        every = bits(1)
+        if len(leaves) > 64:
+            return None
+        masks = {}
+        for f, found in splits.items():
+            at, left, right = (np.array(x, np.uint64) for x in zip(*found))
+            over = np.arange(shape.kinds[f], dtype=np.uint64)[:, None] > at
+            masks[f] = np.bitwise_and.reduce(np.where(over, ~left, ~right), axis=1)
+        tables = []
+        for g, group in enumerate(shape.groups):
+            if any(f in masks for f in group):
+                table = np.array([every], np.uint64)
+                for f in group:
+                    m = masks[f] if f in masks else np.full(shape.kinds[f], every, np.uint64)
+                    table = (table[:, None] & m[None, :]).ravel()
+                tables.append((g, table))
+        return cls(tables, tree.value[leaves])
+
+    def margins(self, codes: Sequence[np.ndarray]) -> np.ndarray | float:
+        if not self.tables:
+            return self.value[0]
+        left = None
+        for g, table in self.tables:
+            found = table.take(codes[g])
+            left = found if left is None else np.bitwise_and(left, found, out=left)
+        # the exponent of a power of two
+        return self.value.take((left.astype(np.float64).view(np.int64) >> 52) - 1023)
+
+
+def _advanced(margins: np.ndarray, trees: Sequence[Tree], shape: Shape, codes: Sequence[np.ndarray], bins: np.ndarray) -> np.ndarray:
+    """Margins after some more trees."""
+    for tree in trees:
+        lookup = tree.lookup(shape)
+        margins = margins + (tree.margins(bins) if lookup is None else lookup.margins(codes))
+    return margins
+
+
 @dataclass
 class Growing:
-    """One estimator's state: finished trees (broadcast in chunks, the latest ones beside them) and the tree in hand."""
+    """One estimator's state: the chunk's finished trees, the number of those before them, and the tree in hand."""
 
     params: dict
-    base: float
-    chunks: list
+    before: int
     recent: list[Tree]
     tree: Tree
     level: int
     columns: np.ndarray
 
-    def trees(self, first: int):
-        """Finished trees from number ``first`` on; chunks before it are not opened."""
-        done = 0
-        for c in self.chunks:
-            if done + CHUNK > first:
-                yield from c.value[max(first - done, 0):]
-            done += CHUNK
-        yield from self.recent[max(first - done, 0):]
-
     @property
     def number(self) -> int:
-        return CHUNK * len(self.chunks) + len(self.recent)
-
-
-_margins: OrderedDict = OrderedDict()
-
-
-def _block_margins(fit: str, model: int, name: bytes, bins: np.ndarray, g: Growing) -> np.ndarray:
-    """Margins of a block after all finished trees, from this worker's earlier ones where it has them."""
-    key = (fit, model, bytes(name))
-    have, margins = _margins.pop(key, (0, None))
-    if margins is None:
-        margins = np.full(bins.shape[1], g.base)
-    for tree in g.trees(have):
-        margins = margins + tree.margins(bins)
-    _margins[key] = (g.number, margins)
-    while sum(len(m) for _, m in _margins.values()) > CACHED_ROWS and len(_margins) > 1:
-        _margins.popitem(last=False)
-    return margins
+        return self.before + len(self.recent)
+
+
+class Work:
+    """What an estimator needs of a block: the margins of its cells after the finished trees, and of the cells with sampled rows that are still in open
+    nodes of the tree in hand their bins, nodes (within the level), gradients and Hessians (in whole steps, summed over the rows)."""
+
+    def __init__(self, fit: Fit, block, model: int):
+        self.cells = np.frombuffer(block[2], np.uint8).reshape(len(fit.shape.kinds), -1)
+        self.first, self.y, self.w, self.c, self.key = (np.frombuffer(b, t) for b, t in zip(block[3:8], (np.int64, np.uint8, np.float64, np.int64, np.uint64)))
+        self.margins, self.done = np.frombuffer(block[8][model]), 0
+        self.codes = fit.shape.codes(self.cells)
+        self.number, self.level = -1, 0
+
+    def to(self, g: Growing, fit: Fit) -> None:
+        """Bring the cells to the open level of the tree in hand."""
+        self.margins = _advanced(self.margins, g.recent[self.done:], fit.shape, self.codes, self.cells)
+        self.done = len(g.recent)
+        if self.number != g.number or self.level > g.level:
+            self._begin(g, fit)
+        while self.level < g.level:
+            first = 1 << self.level
+            feature, cut = g.tree.feature[first:2 * first].astype(np.intp), g.tree.cut[first:2 * first]
+            inner = feature != LEAF
+            if not inner.all():
+                keep = np.flatnonzero(inner.take(self.node))
+                self.bins, self.joint = self.bins.take(keep, axis=1), [code.take(keep) for code in self.joint]
+                self.node, self.grad, self.hess = self.node.take(keep), self.grad.take(keep), self.hess.take(keep)
+            n = len(self.node)
+            at = (feature * n).take(self.node)
+            at += np.arange(n)
+            self.node = 2 * self.node + (self.bins.reshape(-1).take(at) > cut.take(self.node))
+            self.level += 1
+
+    def _begin(self, g: Growing, fit: Fit) -> None:
+        p, n = 1 / (1 + np.exp(-self.margins)), len(self.y)
+        if len(p) < n:
+            p = np.repeat(p, np.diff(self.first, append=n))
+        times = self.c * _sampled(self.key, g.number, g.params)
+        grad = np.rint(self.w * (p - self.y) / fit.step).astype(np.int64) * times
+        hess = np.rint(self.w * p * (1 - p) / fit.step).astype(np.int64) * times
+        if len(self.first) < n:
+            last = np.append(self.first[1:], n) - 1
+            grad, hess = (np.diff(np.cumsum(x).take(last), prepend=0) for x in (grad, hess))
+        pick = np.flatnonzero(grad | hess)
+        self.bins, self.node = self.cells.take(pick, axis=1), np.zeros(len(pick), np.intp)
+        self.grad, self.hess = grad.take(pick), hess.take(pick)
+        self.groups = _together(fit.shape.kinds, g.columns, JOINT)
+        self.joint = [fit.shape.code(self.bins, group) for group in self.groups]
+        self.number, self.level = g.number, 0
+
+    def histogram(self, shape: Shape, n_bins: int) -> np.ndarray:
+        """Gradients and Hessians by open node, sampled column and bin: exact sums of whole numbers.  Features with few bins are counted together."""
+        nodes, out = 1 << self.level, []
+        for group, code in zip(self.groups, self.joint):
+            kinds = [shape.kinds[f] for f in group]
+            sums = np.zeros((2, nodes * math.prod(kinds)), np.int64)
+            cell = self.node * math.prod(kinds) + code
+            np.add.at(sums[0], cell, self.grad)
+            np.add.at(sums[1], cell, self.hess)
+            sums = sums.reshape(2, nodes, *kinds)
+            for k, kind in enumerate(kinds):
+                one = np.zeros((2, nodes, n_bins), np.int64)
+                one[:, :, :kind] = sums.sum(axis=tuple(2 + j for j in range(len(kinds)) if j != k))
+                out.append(one)
+        return np.stack(out, axis=2)
+
+
+class Kept(OrderedDict):
+    """Work of at most about ``CACHED_ROWS`` rows, the least recent ones leave first."""
+
+    def __setitem__(self, key, work: Work) -> None:
+        super().__setitem__(key, work)
+        self.move_to_end(key)
+        while sum(len(x.y) for x in self.values()) > CACHED_ROWS and len(self) > 1:
+            self.popitem(last=False)
+
+
+_kept = Kept()
 
 
 def _sampled(key: np.ndarray, number: int, params: dict) -> np.ndarray:
@@ -215,22 +388,6 @@ def _sampled(key: np.ndarray, number: int, params: dict) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) / float(1 << 53) < params["subsample"]
 
 
-def _histogram(g: Growing, bins: np.ndarray, y: np.ndarray, w: np.ndarray, key: np.ndarray, margins: np.ndarray, step: float, n_bins: int) -> np.ndarray:
-    """Gradients and Hessians (in whole ``step``s) of a block by open node, sampled column and bin."""
-    first = 1 << g.level
-    node = g.tree.places(bins, g.level)
-    pick = np.flatnonzero((node >= first) & _sampled(key, g.number, g.params))
-    p = 1 / (1 + np.exp(-margins[pick]))
-    grad, hess = np.rint(w[pick] * (p - y[pick]) / step), np.rint(w[pick] * p * (1 - p) / step)
-    out = np.empty((2, first, len(g.columns), n_bins), np.int64)
-    at = (node[pick] - first) * n_bins
-    for k, f in enumerate(g.columns):
-        cell = at + bins[f, pick]
-        for q, v in enumerate((grad, hess)):  # exact: a block's sums stay below 2^53
-            out[q, :, k] = np.bincount(cell, v, first * n_bins).reshape(first, n_bins)
-    return out
-
-
 def _merged(parts) -> list[np.ndarray] | None:
     total = None
     for one in parts:
@@ -244,18 +401,22 @@ class Fit:
 
     name: str
     settings: list[dict]
-    base: float
     step: float
     n_bins: int
-    n_features: int
+    shape: Shape
 
-    def histograms(self, rows, growing: list[Growing]) -> list[np.ndarray] | None:
-        """The histograms of all estimators' open levels, summed over some blocks."""
+    def histograms(self, blocks, growing: list[Growing], kept: MutableMapping) -> list[np.ndarray] | None:
+        """The histograms of all estimators' open levels, summed over some blocks; ``kept`` holds what was computed before."""
         def each():
-            for _, name, bins, y, w, key in rows:
-                x = np.frombuffer(bins, np.uint8).reshape(self.n_features, -1)
-                yy, ww, kk = np.frombuffer(y, np.uint8), np.frombuffer(w), np.frombuffer(key, np.uint64)
-                yield [_histogram(g, x, yy, ww, kk, _block_margins(self.name, g.params["model"], name, x, g), self.step, self.n_bins) for g in growing]
+            for block in blocks:
+                found = []
+                for g in growing:
+                    at = (self.name, g.params["model"], g.before, block[1])
+                    work = kept.get(at) or Work(self, block, g.params["model"])
+                    work.to(g, self)
+                    kept[at] = work
+                    found.append(work.histogram(self.shape, self.n_bins))
+                yield found
 
         return _merged(each())
 
@@ -263,23 +424,32 @@ class Fit:
         """The best splits of all estimators' open nodes, from their merged histograms: a few numbers a node."""
         return [list(best_splits(h, self.step, g.params["l2"], g.params["min_child"])) for g, h in zip(growing, histograms)]
 
-    def grow(self, numbers, chunks: list[list], recent: list[list[Tree]], best) -> None:
-        """Add the trees with these numbers to ``recent``; ``best`` gives the best splits of open levels over all rows."""
+    def grow(self, numbers: range, models: Sequence[int], best) -> list[list[Tree]]:
+        """The trees with these numbers of some estimators; ``best`` gives the best splits of open levels over all rows."""
+        recent: list[list[Tree]] = [[] for _ in self.settings]
         for number in numbers:
-            growing = [Growing(s, self.base, sent, list(trees), Tree.empty(s["depth"]), 0, _columns(s, number, self.n_features))
-                       for s, sent, trees in zip(self.settings, chunks, recent) if number < s["trees"]]
+            growing = [Growing(s, numbers[0], recent[m], Tree.empty(s["depth"]), 0, _columns(s, number, len(self.shape.kinds)))
+                       for m in models if number < (s := self.settings[m])["trees"]]
             while open_ := [g for g in growing if g.level < g.params["depth"] and _is_open(g)]:
                 for g, found in zip(open_, best(open_)):
                     _split(g, found)
             for g in growing:
                 recent[g.params["model"]].append(g.tree)
+        return recent
+
+    def advanced(self, block, new: list[list[Tree]]):
+        """A block with the margins after some more trees of each estimator."""
+        works = [Work(self, block, m) for m in range(len(new))]
+        return *block[:8], [_advanced(x.margins, trees, self.shape, x.codes, x.cells).tobytes() for x, trees in zip(works, new)]
 
 
 def _over_all(blocks, fit: Fit, growing: list[Growing]) -> list[list[tuple]]:
     """One distributed aggregate: the histograms over all blocks, merged on executors in rounds of ``MERGE``; the last
     round's task picks the splits, so the driver reads no histogram."""
     def run(rows):
-        total = fit.histograms(rows, growing)
+        from panelwatch.operators import boosting  # the worker's own
+
+        total = fit.histograms(rows, growing, boosting._kept)
         return [] if total is None else [total]
 
     parts, n = blocks.mapPartitions(run), blocks.getNumPartitions()
@@ -290,14 +460,13 @@ def _over_all(blocks, fit: Fit, growing: list[Growing]) -> list[list[tuple]]:
     return parts.map(lambda merged: fit.splits(merged, growing)).collect()[0]
 
 
-def _in_one_task(blocks, fit: Fit, numbers, chunks: list[list]) -> list[list[Tree]]:
-    """The same trees where one partition holds all rows: its histograms are the merged ones, so its task goes on by itself."""
-    def run(rows):
-        held, recent = list(rows), [[] for _ in fit.settings]
-        fit.grow(numbers, chunks, recent, lambda growing: fit.splits(fit.histograms(held, growing), growing))
-        return [recent]
+def _in_one_task(blocks, fit: Fit, numbers: range) -> list[list[Tree]]:
+    """The same trees where one partition holds all rows: its histograms are the merged ones, so a task for each estimator goes on by itself."""
+    def run(model, rows):
+        held, kept = list(rows), {}
+        return fit.grow(numbers, [model], lambda growing: fit.splits(fit.histograms(held, growing, kept), growing))[model:model + 1]
 
-    return blocks.mapPartitions(run).collect()[0]
+    return blocks.context.union([blocks] * len(fit.settings)).mapPartitionsWithIndex(run).collect()
 
 
 def best_splits(hist: np.ndarray, step: float, l2: float, min_child: float):
@@ -344,43 +513,39 @@ def fit_together(df: DataFrame, estimators: Sequence["BoostedTrees"]) -> list["B
     base = math.log(pos / neg) if pos and neg else (30.0 if pos else -30.0 if neg else 0.0)
     trees: list[list[Tree]] = [[] for _ in estimators]
     if pos and neg and edges:
-        parts = max(1, min(packed.rdd.getNumPartitions(), math.ceil(n / PARTITION_ROWS)))
-        features = len(edges)
         ensure_checkpoint_dir(df.sparkSession)
-        blocks = packed.rdd.coalesce(parts).mapPartitions(lambda rows: _joined(rows, features)).persist(StorageLevel.MEMORY_AND_DISK)
+        packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
+        distinct = packed.count()
+        parts = math.ceil(distinct / PARTITION_ROWS) if distinct > ALONE * PARTITION_ROWS else 1
+        blocks = _blocks(packed.repartition(parts, "bins").sortWithinPartitions(F.xxhash64("bins"), "bins"), len(edges), base, len(estimators)).persist(StorageLevel.MEMORY_AND_DISK)
         blocks.checkpoint()  # every aggregate starts from these files or the cached blocks, not from the panel
         blocks.count()
-        try:
-            trees = _grow(blocks, estimators, base, step, n_bins, features)
-        finally:
-            blocks.unpersist()
+        packed.unpersist()
+        trees = _grow(blocks, estimators, step, n_bins, Shape.of(edges))
     return [e._model(edges, base, own) for e, own in zip(estimators, trees)]
 
 
-def _grow(blocks, estimators, base, step, n_bins, n_features) -> list[list[Tree]]:
-    """All trees, ``CHUNK`` after ``CHUNK``; finished chunks are broadcast."""
-    sc = blocks.context
+def _grow(blocks, estimators, step, n_bins, shape) -> list[list[Tree]]:
+    """All trees, chunk after chunk; the blocks' margins follow."""
     settings = [{"model": m, "subsample": e.getOrDefault(e.subsamplingRate), "col_sample": e.getOrDefault(e.colSample), "seed": e.getOrDefault(e.seed),
                  "l2": e.getOrDefault(e.l2), "min_child": e.getOrDefault(e.minChildWeight), "depth": e.getOrDefault(e.maxDepth),
                  "rate": e.getOrDefault(e.stepSize), "trees": e.getOrDefault(e.maxIter)} for m, e in enumerate(estimators)]
-    fit = Fit(uuid.uuid4().hex, settings, base, step, n_bins, n_features)
+    fit = Fit(uuid.uuid4().hex, settings, step, n_bins, shape)
     done: list[list[Tree]] = [[] for _ in settings]
-    chunks: list[list] = [[] for _ in settings]
-    most = max(s["trees"] for s in settings)
-    for a in range(0, most, CHUNK):
-        numbers = range(a, min(a + CHUNK, most))
-        if blocks.getNumPartitions() == 1:
-            new = _in_one_task(blocks, fit, numbers, chunks)
-        else:
-            new = [[] for _ in settings]
-            fit.grow(numbers, chunks, new, lambda growing: _over_all(blocks, fit, growing))
-        for trees, sent, made in zip(done, chunks, new):
-            trees += made
-            if len(made) == CHUNK:
-                sent.append(sc.broadcast(made))
-    for sent in chunks:
-        for c in sent:
-            c.unpersist()
+    most, alone, older = max(s["trees"] for s in settings), blocks.getNumPartitions() == 1, None
+    chunk = CHUNK if alone else CHUNK_SPREAD
+    try:
+        for a in range(0, most, chunk):
+            numbers = range(a, min(a + chunk, most))
+            new = _in_one_task(blocks, fit, numbers) if alone else fit.grow(numbers, range(len(settings)), lambda growing: _over_all(blocks, fit, growing))
+            for trees, made in zip(done, new):
+                trees += made
+            if older is not None:
+                older.unpersist()  # the first aggregate of the chunk has read it
+            older, blocks = blocks, blocks.map(lambda block, new=new: fit.advanced(block, new)).persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        for kept in (older, blocks):
+            kept.unpersist() if kept is not None else None
     return done
 
 
@@ -474,16 +639,16 @@ class BoostedTreesModel(Model, _Shape, DefaultParamsReadable, DefaultParamsWrita
     def _transform(self, df: DataFrame) -> DataFrame:
         shared = df.sparkSession.sparkContext.broadcast(self.trees())
 
-        @F.pandas_udf("double")
-        def margin(x: pd.Series) -> pd.Series:
+        @F.arrow_udf("double")
+        def margin(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             edges, base, trees = shared.value
-            if not len(x):
-                return pd.Series([], dtype="float64")
-            bins = binned(np.stack(x.to_numpy()), edges)
-            total = np.full(len(x), base)
-            for t in trees:
-                total = total + t.margins(bins)
-            return pd.Series(total)
+            shape = Shape.of(edges)
+            for x in batches:
+                if not len(x):
+                    yield pa.array([], pa.float64())
+                    continue
+                bins = binned(np.asarray(x.flatten()).reshape(len(x), -1), edges)
+                yield pa.array(_advanced(np.full(len(x), base), trees, shape, shape.codes(bins), bins))
 
         m = margin(vector_to_array(self.getFeaturesCol()))
         p = F.lit(1.0) / (1 + F.exp(-F.col("__margin")))

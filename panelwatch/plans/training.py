@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +25,16 @@ def train_candidates(panel: DataFrame, spec: PanelSpec,
                      candidates: Sequence[Candidate] | None = None):
     """Fit every candidate on the train periods and evaluate all of them on train and
     validation rows in one pass.  Returns ``(models, metrics)``
-    where ``metrics`` has one row per (model, split)."""
-    train, valid = (split_features_target(part, spec) for part in temporal_split(panel, spec))
-    models = fit_candidates(train, spec, list(candidates or default_candidates()))
-    return models, materialize(evaluate_candidates(train, valid, spec, models))  # one row per (model, split)
+    where ``metrics`` has one row per (model, split).  The panel is read once: the rows of
+    both splits are kept by the executors meanwhile."""
+    kept = panel.where(F.col(spec.period).isin([*spec.train_periods, *spec.validation_periods])).select(
+        *dict.fromkeys([spec.period, *spec.features, spec.target])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, valid = (split_features_target(part, spec) for part in temporal_split(kept, spec))
+        models = fit_candidates(train, spec, list(candidates or default_candidates()))
+        return models, materialize(evaluate_candidates(train, valid, spec, models))  # one row per (model, split)
+    finally:
+        kept.unpersist()
 
 
 def train_and_register(panel: DataFrame, spec: PanelSpec, registry: Registry, name: str,

@@ -162,3 +162,52 @@ def test_splits_prefer_the_first_of_equals():
     (gain, c, b, gl, hl, G, H), = best_splits(hist, 0.5, 1.0, 1.0)
     assert (c, b, gl, hl, G, H) == (0, 0, -2.0, 2.0, 0.0, 4.0) and gain == pytest.approx(8 / 3)
     assert Tree.empty(3).depth == 3
+
+
+def test_equal_rows_are_kept_once(spark, monkeypatch):
+    rows, held = noisy(60, 7), []
+    grow = boosting._grow
+
+    def seen(blocks, *args):
+        held.extend(blocks.collect())
+        return grow(blocks, *args)
+
+    monkeypatch.setattr(boosting, "_grow", seen)
+    kw = {"maxIter": 3, "maxDepth": 2, "subsamplingRate": .8}
+    many = booster(**kw).fit(frame(spark, rows * 40))
+    assert sum(b[0] for b in held) <= 60 and sum(int(np.frombuffer(b[6], np.int64).sum()) for b in held) == 60 * 40
+    # a row forty times is a row of forty times the weight (the whole numbers' step is another)
+    heavy = booster(**kw).fit(frame(spark, [(x, y, 40 * w) for x, y, w in rows]))
+    for a, b in zip(many.trees()[2], heavy.trees()[2], strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and list(a.value) == pytest.approx(list(b.value))
+
+
+def test_margins_follow_from_chunk_to_chunk(spark, monkeypatch):
+    df = frame(spark, noisy(300, 9))
+    kw = {"maxIter": 5, "maxDepth": 3, "subsamplingRate": .7, "colSample": .67}
+    alone = booster(**kw).fit(df).getOrDefault("ensemble")
+    monkeypatch.setattr(boosting, "CHUNK", 2)
+    assert booster(**kw).fit(df).getOrDefault("ensemble") == alone
+    monkeypatch.setattr(boosting, "CHUNK_SPREAD", 2)
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 60)
+    assert booster(**kw).fit(df).getOrDefault("ensemble") == alone
+
+
+def test_lookup_finds_the_leaf_that_a_walk_finds():
+    rng = np.random.default_rng(4)
+    shape = boosting.Shape.of([list(range(k)) for k in (50, 64, 3, 256, 1)])
+    bins = np.stack([rng.integers(0, k, 400) for k in shape.kinds]).astype(np.uint8)
+    assert shape.groups == [[0, 1], [2, 3, 4]]
+    for depth in (0, 1, 4, 6, 7):
+        tree = Tree.empty(depth)
+        tree.value[:] = rng.random(len(tree.value))
+        for node in range(1, 1 << depth):
+            if node == 1 or (tree.feature[node // 2] != -1 and (depth > 6 or rng.random() < .8)):
+                f = rng.integers(0, 4)
+                tree.feature[node], tree.cut[node] = f, rng.integers(0, shape.kinds[f] - 1)
+        lookup = tree.lookup(shape)
+        if depth > 6:
+            assert lookup is None  # 128 leaves
+        got = boosting._advanced(np.zeros(400), [tree], shape, shape.codes(bins), bins)
+        assert (got == tree.margins(bins)).all()
+    assert not hasattr(pickle.loads(pickle.dumps(tree)), "found")
