@@ -53,7 +53,7 @@ BLOCK_ROWS = 1 << 16
 PARTITION_ROWS = 1 << 19
 ALONE = 4
 #: rows of which a worker keeps what it computed, histograms merged at once, trees between two updates of the margins (one partition, several)
-CACHED_ROWS = 2_000_000
+CACHED_ROWS = 4_000_000
 MERGE = 16
 CHUNK = 25
 CHUNK_SPREAD = 10
@@ -206,9 +206,9 @@ class Shape:
 
     def code(self, bins: np.ndarray, group: Sequence[int]) -> np.ndarray:
         """Numbers of the combinations of bins of some features."""
-        code = bins[group[0]].astype(np.intp)
+        code = bins[group[0]].astype(np.uint16)  # at most TABLE
         for f in group[1:]:
-            code = code * self.kinds[f] + bins[f]
+            code = code * np.uint16(self.kinds[f]) + bins[f]
         return code
 
     def codes(self, bins: np.ndarray) -> list[np.ndarray]:
@@ -303,23 +303,33 @@ class Growing:
         return self.before + len(self.recent)
 
 
+class Block:
+    """Views of a block's rows and cells (see :func:`_blocks`)."""
+
+    def __init__(self, fit: Fit, block):
+        self.name, self.margins = block[1], block[8]
+        self.bins = np.frombuffer(block[2], np.uint8).reshape(len(fit.shape.kinds), -1)
+        self.first, self.y, self.w, self.c, self.key = (np.frombuffer(b, t) for b, t in zip(block[3:8], (np.int64, np.uint8, np.float64, np.int64, np.uint64)))
+
+    def work(self, fit: Fit, model: int, done: int) -> Work:
+        """A fresh start from the margins that the block carries."""
+        return Work(np.frombuffer(self.margins[model]), done, fit.shape.codes(self.bins))
+
+
 class Work:
     """What an estimator needs of a block: the margins of its cells after the finished trees, and of the cells with sampled rows that are still in open
     nodes of the tree in hand their bins, nodes (within the level), gradients and Hessians (in whole steps, summed over the rows)."""
 
-    def __init__(self, fit: Fit, block, model: int):
-        self.cells = np.frombuffer(block[2], np.uint8).reshape(len(fit.shape.kinds), -1)
-        self.first, self.y, self.w, self.c, self.key = (np.frombuffer(b, t) for b, t in zip(block[3:8], (np.int64, np.uint8, np.float64, np.int64, np.uint64)))
-        self.margins, self.done = np.frombuffer(block[8][model]), 0
-        self.codes = fit.shape.codes(self.cells)
+    def __init__(self, margins: np.ndarray, done: int, codes: list[np.ndarray]):
+        self.margins, self.done, self.codes = margins, done, codes
         self.number, self.level = -1, 0
 
-    def to(self, g: Growing, fit: Fit) -> None:
+    def to(self, g: Growing, fit: Fit, block: Block) -> None:
         """Bring the cells to the open level of the tree in hand."""
-        self.margins = _advanced(self.margins, g.recent[self.done:], fit.shape, self.codes, self.cells)
-        self.done = len(g.recent)
+        self.margins = _advanced(self.margins, g.recent[self.done - g.before:], fit.shape, self.codes, block.bins)
+        self.done = g.number
         if self.number != g.number or self.level > g.level:
-            self._begin(g, fit)
+            self._begin(g, fit, block)
         while self.level < g.level:
             first = 1 << self.level
             feature, cut = g.tree.feature[first:2 * first].astype(np.intp), g.tree.cut[first:2 * first]
@@ -334,18 +344,18 @@ class Work:
             self.node = 2 * self.node + (self.bins.reshape(-1).take(at) > cut.take(self.node))
             self.level += 1
 
-    def _begin(self, g: Growing, fit: Fit) -> None:
-        p, n = 1 / (1 + np.exp(-self.margins)), len(self.y)
+    def _begin(self, g: Growing, fit: Fit, block: Block) -> None:
+        p, n = 1 / (1 + np.exp(-self.margins)), len(block.y)
         if len(p) < n:
-            p = np.repeat(p, np.diff(self.first, append=n))
-        times = self.c * _sampled(self.key, g.number, g.params)
-        grad = np.rint(self.w * (p - self.y) / fit.step).astype(np.int64) * times
-        hess = np.rint(self.w * p * (1 - p) / fit.step).astype(np.int64) * times
-        if len(self.first) < n:
-            last = np.append(self.first[1:], n) - 1
+            p = np.repeat(p, np.diff(block.first, append=n))
+        times = block.c * _sampled(block.key, g.number, g.params)
+        grad = np.rint(block.w * (p - block.y) / fit.step).astype(np.int64) * times
+        hess = np.rint(block.w * p * (1 - p) / fit.step).astype(np.int64) * times
+        if len(self.margins) < n:
+            last = np.append(block.first[1:], n) - 1
             grad, hess = (np.diff(np.cumsum(x).take(last), prepend=0) for x in (grad, hess))
         pick = np.flatnonzero(grad | hess)
-        self.bins, self.node = self.cells.take(pick, axis=1), np.zeros(len(pick), np.intp)
+        self.bins, self.node = block.bins.take(pick, axis=1), np.zeros(len(pick), np.intp)
         self.grad, self.hess = grad.take(pick), hess.take(pick)
         self.groups = _together(fit.shape.kinds, g.columns, JOINT)
         self.joint = [fit.shape.code(self.bins, group) for group in self.groups]
@@ -374,7 +384,7 @@ class Kept(OrderedDict):
     def __setitem__(self, key, work: Work) -> None:
         super().__setitem__(key, work)
         self.move_to_end(key)
-        while sum(len(x.y) for x in self.values()) > CACHED_ROWS and len(self) > 1:
+        while sum(len(x.margins) for x in self.values()) > CACHED_ROWS and len(self) > 1:
             self.popitem(last=False)
 
 
@@ -408,12 +418,14 @@ class Fit:
     def histograms(self, blocks, growing: list[Growing], kept: MutableMapping) -> list[np.ndarray] | None:
         """The histograms of all estimators' open levels, summed over some blocks; ``kept`` holds what was computed before."""
         def each():
-            for block in blocks:
-                found = []
+            for row in blocks:
+                block, found = Block(self, row), []
                 for g in growing:
-                    at = (self.name, g.params["model"], g.before, block[1])
-                    work = kept.get(at) or Work(self, block, g.params["model"])
-                    work.to(g, self)
+                    at = (self.name, g.params["model"], block.name)
+                    work = kept.get(at)
+                    if work is None or not g.before <= work.done <= g.number:
+                        work = block.work(self, g.params["model"], g.before)
+                    work.to(g, self, block)
                     kept[at] = work
                     found.append(work.histogram(self.shape, self.n_bins))
                 yield found
@@ -439,8 +451,9 @@ class Fit:
 
     def advanced(self, block, new: list[list[Tree]]):
         """A block with the margins after some more trees of each estimator."""
-        works = [Work(self, block, m) for m in range(len(new))]
-        return *block[:8], [_advanced(x.margins, trees, self.shape, x.codes, x.cells).tobytes() for x, trees in zip(works, new)]
+        x = Block(self, block)
+        codes = self.shape.codes(x.bins)
+        return *block[:8], [_advanced(np.frombuffer(m), trees, self.shape, codes, x.bins).tobytes() for m, trees in zip(x.margins, new)]
 
 
 def _over_all(blocks, fit: Fit, growing: list[Growing]) -> list[list[tuple]]:
